@@ -1,3 +1,112 @@
-"""Registered queries."""
+"""Window functions (W1-W5), computed with the skew-safe operators of
+kiln.operators.windows; DuckDB twins use plain OVER clauses."""
 
 from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from kiln.operators import windows as win
+from kiln.plans.registry import query
+from kiln.sources.tables import table
+
+
+def _orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice",
+                                                  "o_orderpriority")
+
+
+@query("w1_running_sum_per_key", ids=("W1", "W2"), sql="""
+SELECT o_orderkey, round(sum(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS running_total FROM orders""")
+def w1_running_sum_per_key(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    r = win.running(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", "sum", "running_total")
+    return r.select("o_orderkey", F.round("running_total", 2).alias("running_total"))
+
+
+@query("w2_moving_average_rows", ids=("W2",), sql="""
+SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
+       ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS moving_avg FROM orders""")
+def w2_moving_average_rows(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    r = win.rows_frame(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", -2, 0, "avg", "moving_avg")
+    return r.select("o_orderkey", F.round("moving_avg", 4).alias("moving_avg"))
+
+
+@query("w2_range_frame_days", ids=("W2",), sql="""
+WITH x AS (SELECT o_orderkey, o_custkey, CAST(datediff('day', DATE '1990-01-01', o_orderdate) AS INTEGER) AS day_no,
+                  o_totalprice FROM orders)
+SELECT o_orderkey, count(*) OVER (PARTITION BY o_custkey ORDER BY day_no RANGE BETWEEN 365 PRECEDING AND CURRENT ROW)
+       AS orders_last_year FROM x""")
+def w2_range_frame_days(spark, sf_dir):
+    o = _orders(spark, sf_dir).withColumn("day_no", F.datediff(F.to_date("o_orderdate"), F.lit("1990-01-01").cast("date")))
+    r = win.range_frame(o, ["o_custkey"], "day_no", "o_orderkey", -365, 0, "count", "orders_last_year")
+    return r.select("o_orderkey", "orders_last_year")
+
+
+@query("w3_ranking_functions", ids=("W3",), sql="""
+SELECT o_orderkey, row_number() OVER w AS row_number, rank() OVER w2 AS rank, dense_rank() OVER w2 AS dense_rank,
+       round(percent_rank() OVER w2, 8) AS percent_rank, round(cume_dist() OVER w2, 8) AS cume_dist,
+       CAST(ntile(4) OVER w AS INTEGER) AS ntile
+FROM (SELECT o_orderkey, o_orderpriority, round(o_totalprice, -4) AS price_band FROM orders)
+WINDOW w AS (PARTITION BY o_orderpriority ORDER BY price_band, o_orderkey),
+       w2 AS (PARTITION BY o_orderpriority ORDER BY price_band)""")
+def w3_ranking_functions(spark, sf_dir):
+    o = _orders(spark, sf_dir).select("o_orderkey", "o_orderpriority",
+                                      F.round("o_totalprice", -4).alias("price_band"))
+    r = win.ranks(o, ["o_orderpriority"], ["price_band"], ["o_orderkey"], ntile=4)
+    return r.select("o_orderkey", F.col("row_number").cast("long").alias("row_number"),
+                    F.col("rank").cast("long").alias("rank"), F.col("dense_rank").cast("long").alias("dense_rank"),
+                    F.round("percent_rank", 8).alias("percent_rank"), F.round("cume_dist", 8).alias("cume_dist"),
+                    "ntile")
+
+
+@query("w4_lag_lead", ids=("W4",), sql="""
+SELECT o_orderkey, lag(o_totalprice, 1, 0.0) OVER w AS lag_price, lead(o_orderkey, 2) OVER w AS lead_key
+FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""")
+def w4_lag_lead(spark, sf_dir):
+    o = _orders(spark, sf_dir)
+    order = ["o_orderdate", "o_orderkey"]
+    a = win.shift(o, ["o_custkey"], order, "o_totalprice", 1, default=0.0, out="lag_price")
+    b = win.shift(a, ["o_custkey"], order, "o_orderkey", -2, out="lead_key")
+    return b.select("o_orderkey", "lag_price", "lead_key")
+
+
+@query("w5_frame_aggregates", ids=("W5",), sql="""
+SELECT o_orderkey,
+       max(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS max_next,
+       min(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS min_next,
+       count(*) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS cnt_next,
+       max(o_totalprice) OVER (PARTITION BY o_custkey) AS max_all
+FROM orders""")
+def w5_frame_aggregates(spark, sf_dir):
+    o = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
+    g, order = ["o_custkey"], ["o_orderkey"]
+    a = win.rows_frame(o, g, order, "o_totalprice", 0, 1, "max", "max_next")
+    b = win.rows_frame(o, g, order, "o_totalprice", 0, 1, "min", "min_next").select("o_orderkey", "min_next")
+    c = win.rows_frame(o, g, order, "o_totalprice", 0, 1, "count", "cnt_next").select("o_orderkey", "cnt_next")
+    d = win.group_total(o, g, "o_totalprice", "max", "max_all").select("o_orderkey", "max_all")
+    return a.select("o_orderkey", "max_next").join(b, "o_orderkey").join(c, "o_orderkey").join(d, "o_orderkey")
+
+
+@query("w5_window_without_partition", ids=("W5",), sql="""
+SELECT o_orderkey, max(o_totalprice) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_max,
+       count(*) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_count
+FROM orders""")
+def w5_window_without_partition(spark, sf_dir):
+    o = _orders(spark, sf_dir).select("o_orderkey", "o_totalprice")
+    a = win.running(o, [], ["o_orderkey"], "o_totalprice", "max", "running_max")
+    b = win.running(o, [], ["o_orderkey"], "o_orderkey", "count", "running_count").select("o_orderkey", "running_count")
+    return a.select("o_orderkey", "running_max").join(b, "o_orderkey")
+
+
+@query("w1_builtin_window_spec", ids=("W1",), sql="""
+SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS rn
+FROM orders""")
+def w1_builtin_window_spec(spark, sf_dir):
+    """The plain Window API (partitionBy/orderBy/over) for comparison; one
+    task per key group, fine when groups are small (customers)."""
+    o = _orders(spark, sf_dir)
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    return o.select("o_custkey", "o_orderkey", F.row_number().over(w).alias("rn"))
