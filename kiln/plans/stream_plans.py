@@ -1,3 +1,240 @@
-"""Registered queries."""
+"""Structured Streaming queries.
+
+Each query stages its input table as several files, runs a stream over
+them to the end of input (``availableNow``), and returns the sink as a
+batch table; its DuckDB twin is the batch answer over the same table.
+Event time is ``events.ts`` (cast to TIMESTAMP under a UTC session so the
+watermark accepts it, and back to TIMESTAMP_NTZ in the sink).
+"""
 
 from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from kiln.plans.registry import query
+from kiln.session import scratch_path
+from kiln.sources.tables import table
+from kiln.streaming import models as smodels
+from kiln.streaming import runner
+
+N_FILES = 4
+
+
+def _event_stream(spark, sf_dir, name):
+    ev = table(spark, sf_dir, "events")
+    path, schema = runner.stage_files(ev, name, N_FILES, "event_id")
+    return runner.file_stream(spark, path, schema)
+
+
+def _ts(stream: DataFrame) -> DataFrame:
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _fmt(c) -> F.Column:
+    return F.date_format(F.col(c).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
+
+
+_CHUNK_SQL = "CAST(floor(event_id / ceil(((SELECT max(event_id) FROM events) + 1) / 4.0)) AS INTEGER)"
+
+
+def _windows_sql(width_s: int, slide_s: int, extra: str = "") -> str:
+    k = width_s // slide_s
+    starts = ", ".join(f"s - {i * slide_s}" for i in range(k))
+    return f"""WITH b AS (SELECT *, floor(epoch(ts) / {slide_s}) * {slide_s} AS s FROM events),
+w AS (SELECT *, unnest([{starts}]) AS ws FROM b),
+win AS (SELECT *, strftime(make_timestamp(CAST(ws * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS window_start,
+               strftime(make_timestamp(CAST((ws + {width_s}) * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS window_end
+        FROM w WHERE epoch(ts) >= ws AND epoch(ts) < ws + {width_s} {extra})"""
+
+
+@query("t1_text_file_stream_word_count", ids=("T1", "T2"), sql="""
+WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split(line, ' ')) AS word FROM lines) GROUP BY word""")
+def t1_text_file_stream_word_count(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "docs-text")
+    docs.select("text").repartition(N_FILES).write.text(path)
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
+    words = lines.select(F.explode(F.split("value", " ", -1)).alias("word"))
+    return runner.run_complete(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "t1")
+
+
+@query("t2_stateless_transforms", ids=("T2",), sql="""
+SELECT event_id, upper(event_type) AS kind, value * 2 AS double_value, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events WHERE event_type IN ('click', 'view')""")
+def t2_stateless_transforms(spark, sf_dir):
+    s = _event_stream(spark, sf_dir, "t2")
+    out = (s.where(F.col("event_type").isin("click", "view"))
+            .select("event_id", F.upper("event_type").alias("kind"), (F.col("value") * 2).alias("double_value"),
+                    F.get_json_object("props", "$.k").cast("long").alias("k")))
+    return runner.run_append(out, "t2")
+
+
+@query("t3_stream_static_join", ids=("T3", "T11"), sql="""
+SELECT event_id, c_mktsegment, round(value, 2) AS value FROM events JOIN customer ON user_id = c_custkey""")
+def t3_stream_static_join(spark, sf_dir):
+    s = _event_stream(spark, sf_dir, "t3")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    j = s.join(cust, s.user_id == cust.c_custkey)
+    return runner.run_append(j.select("event_id", "c_mktsegment", F.round("value", 2).alias("value")), "t3")
+
+
+@query("t4_per_batch_aggregates", ids=("T4", "T13"), sql=f"""
+SELECT {_CHUNK_SQL} AS chunk, count(*) AS n, round(sum(value), 2) AS total, round(max(value), 2) AS max_value
+FROM events GROUP BY 1""")
+def t4_per_batch_aggregates(spark, sf_dir):
+    s = _event_stream(spark, sf_dir, "t4")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+        return batch.agg(F.min("chunk").alias("chunk"), F.count(F.lit(1)).alias("n"),
+                         F.round(F.sum("value"), 2).alias("total"), F.round(F.max("value"), 2).alias("max_value"))
+
+    return runner.run_batches(s, "t4", per_batch).drop("batch_id")
+
+
+@query("t5_count_by_value_per_batch", ids=("T5",), sql=f"""
+SELECT {_CHUNK_SQL} AS chunk, count(DISTINCT event_type) AS n_distinct, count(*) AS n FROM events GROUP BY 1""")
+def t5_count_by_value_per_batch(spark, sf_dir):
+    """The reference's countByValue ends in count(): distinct values per batch."""
+    s = _event_stream(spark, sf_dir, "t5")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+        return batch.agg(F.min("chunk").alias("chunk"), F.count_distinct("event_type").alias("n_distinct"),
+                         F.count(F.lit(1)).alias("n"))
+
+    return runner.run_batches(s, "t5", per_batch).drop("batch_id")
+
+
+@query("t6_sliding_event_time_window", ids=("T6",), sql=_windows_sql(3600, 1800) + """
+SELECT window_start, window_end, count(*) AS n FROM win GROUP BY 1, 2""")
+def t6_sliding_event_time_window(spark, sf_dir):
+    with runner.utc_session(spark):
+        s = _ts(_event_stream(spark, sf_dir, "t6")).withWatermark("ts", "1 hour")
+        agg = s.groupBy(F.window("ts", "1 hour", "30 minutes").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+        agg = agg.select(_fmt("w.start").alias("window_start"), _fmt("w.end").alias("window_end"), "n")
+        return runner.run_complete(agg, "t6")
+
+
+@query("t7_count_and_reduce_by_window", ids=("T7",), sql=_windows_sql(7200, 3600) + """
+SELECT window_start, count(*) AS n, round(sum(value), 2) AS total FROM win GROUP BY 1""")
+def t7_count_and_reduce_by_window(spark, sf_dir):
+    with runner.utc_session(spark):
+        s = _ts(_event_stream(spark, sf_dir, "t7")).withWatermark("ts", "2 hours")
+        agg = s.groupBy(F.window("ts", "2 hours", "1 hour").alias("w")).agg(
+            F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("total"))
+        return runner.run_complete(agg.select(_fmt("w.start").alias("window_start"), "n", "total"), "t7")
+
+
+@query("t8_keyed_window_reduce_filter", ids=("T8",), sql=_windows_sql(86400, 43200) + """
+SELECT window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM win
+GROUP BY 1, 2 HAVING sum(value) > 300""")
+def t8_keyed_window_reduce_filter(spark, sf_dir):
+    with runner.utc_session(spark):
+        s = _ts(_event_stream(spark, sf_dir, "t8")).withWatermark("ts", "1 day")
+        agg = s.groupBy(F.window("ts", "1 day", "12 hours").alias("w"), "event_type").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("value").alias("_total"))
+        agg = agg.where(F.col("_total") > 300)      # filterFunc: drop keys below the threshold
+        agg = agg.select(_fmt("w.start").alias("window_start"), "event_type", "n",
+                         F.round("_total", 2).alias("total"))
+        return runner.run_complete(agg, "t8")
+
+
+@query("t9_distinct_values_by_window", ids=("T9",), sql=_windows_sql(86400, 86400) + """
+SELECT window_start, count(DISTINCT user_id) AS n_users FROM win GROUP BY 1""")
+def t9_distinct_values_by_window(spark, sf_dir):
+    with runner.utc_session(spark):
+        s = _ts(_event_stream(spark, sf_dir, "t9")).withWatermark("ts", "1 day")
+        per_value = s.groupBy(F.window("ts", "1 day").alias("w"), "user_id").agg(F.count(F.lit(1)).alias("c"))
+        snap = runner.run_complete(per_value.select(_fmt("w.start").alias("window_start"), "user_id"), "t9")
+    return snap.groupBy("window_start").agg(F.count(F.lit(1)).alias("n_users"))
+
+
+_STATE_OUT = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("n", T.LongType()),
+                           T.StructField("total", T.DoubleType()), T.StructField("batch_seq", T.LongType())])
+_STATE = T.StructType([T.StructField("n", T.LongType()), T.StructField("total", T.DoubleType()),
+                       T.StructField("seq", T.LongType())])
+
+
+def _update_state(key, pdfs, state):
+    n, total, seq = state.get if state.exists else (0, 0.0, 0)
+    for pdf in pdfs:
+        n += len(pdf)
+        total += float(pdf["value"].sum())
+    seq += 1
+    state.update((n, total, seq))
+    yield pd.DataFrame({"user_id": [key[0]], "n": [n], "total": [total], "batch_seq": [seq]})
+
+
+@query("t10_update_state_by_key", ids=("T10",), sql="""
+SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1""")
+def t10_update_state_by_key(spark, sf_dir):
+    s = _event_stream(spark, sf_dir, "t10").select("user_id", "value")
+    upd = s.groupBy("user_id").applyInPandasWithState(_update_state, _STATE_OUT, _STATE, "update",
+                                                      GroupStateTimeout.NoTimeout)
+    out = runner.run_batches(upd, "t10", lambda b, i: b, mode="update")
+    latest = out.groupBy("user_id").agg(F.max_by(F.struct("n", "total"), "batch_seq").alias("s"))
+    return latest.select("user_id", F.col("s.n").alias("n"), F.round("s.total", 4).alias("total"))
+
+
+@query("t11_stream_stream_interval_join", ids=("T11",), sql="""
+SELECT c.event_id AS click_id, p.event_id AS purchase_id FROM events c JOIN events p
+  ON c.user_id = p.user_id AND c.event_type = 'click' AND p.event_type = 'purchase'
+ AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 6 HOUR""")
+def t11_stream_stream_interval_join(spark, sf_dir):
+    with runner.utc_session(spark):
+        ev = table(spark, sf_dir, "events")
+        path, schema = runner.stage_files(ev, "t11", N_FILES, "event_id")
+        clicks = (_ts(runner.file_stream(spark, path, schema)).where("event_type = 'click'")
+                  .select(F.col("event_id").alias("click_id"), F.col("user_id").alias("c_user"),
+                          F.col("ts").alias("c_ts")).withWatermark("c_ts", "12 hours"))
+        buys = (_ts(runner.file_stream(spark, path, schema)).where("event_type = 'purchase'")
+                .select(F.col("event_id").alias("purchase_id"), F.col("user_id").alias("p_user"),
+                        F.col("ts").alias("p_ts")).withWatermark("p_ts", "12 hours"))
+        cond = ((F.col("c_user") == F.col("p_user")) & (F.col("p_ts") >= F.col("c_ts"))
+                & (F.col("p_ts") <= F.col("c_ts") + F.expr("INTERVAL 6 HOURS")))
+        j = clicks.join(buys, cond).select("click_id", "purchase_id")
+        return runner.run_append(j, "t11")
+
+
+@query("t12_union_streams", ids=("T12",), sql="""
+SELECT event_type, count(*) AS n FROM events WHERE event_type IN ('click', 'view', 'signup') GROUP BY 1""")
+def t12_union_streams(spark, sf_dir):
+    a = _event_stream(spark, sf_dir, "t12a").where("event_type = 'click'")
+    b = _event_stream(spark, sf_dir, "t12b").where("event_type IN ('view', 'signup')")
+    u = a.select("event_type").union(b.select("event_type"))
+    return runner.run_complete(u.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "t12")
+
+
+@query("t16_repartition_each_batch", ids=("T16",))
+def t16_repartition_each_batch(spark, sf_dir):
+    s = _event_stream(spark, sf_dir, "t16")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+        r = batch.repartition(3, "user_id")
+        return r.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
+
+    return runner.run_batches(s, "t16", per_batch)
+
+
+@query("t17_streaming_kmeans", ids=("T17",))
+def t17_streaming_kmeans(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    path, schema = runner.stage_files(e, "t17", N_FILES, "vec_id")
+    stream = runner.file_stream(spark, path, schema)
+    return smodels.streaming_kmeans(stream, "embedding", k=4, decay=0.9, seed=1, name="t17")
+
+
+@query("t18_streaming_linear_regression", ids=("T18",))
+def t18_streaming_linear_regression(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(
+        F.monotonically_increasing_id().alias("rid"),
+        F.array((F.col("l_quantity") / 50).cast("double"), F.col("l_discount").cast("double"),
+                F.col("l_tax").cast("double")).alias("x"),
+        (F.col("l_extendedprice") / 100000).alias("y"))
+    path, schema = runner.stage_files(li, "t18", N_FILES, "rid")
+    stream = runner.file_stream(spark, path, schema)
+    return smodels.streaming_linear_sgd(stream, "x", "y", n_features=3, step=0.1, iters_per_batch=5, name="t18")
