@@ -1,3 +1,377 @@
-"""Registered queries."""
+"""Feature transformers, estimators and their exact SQL forms.
+
+Library fits (pyspark.ml) give rows-only checks; wherever the output is
+exact (binarizer, bucketizer, string indexing, tokenizing, exact TF-IDF,
+vector transforms, one-feature OLS, fixed-centre assignment, frequent
+single items) the same result is also computed with built-in expressions
+and checked against SQL.
+"""
 
 from __future__ import annotations
+
+import numpy as np
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from kiln.plans.registry import query
+from kiln.sources.tables import table
+from kiln.streaming.models import assign_clusters
+
+
+def _emb(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "embedding", F.col("label").cast("double").alias("label"),
+                    array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+
+
+def _li_features(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag",
+                     (F.col("l_extendedprice") / 1000).alias("y"))
+
+
+# ---------------------------------------------------------------- exact (Q)
+
+@query("m3_binarizer_bucketizer", ids=("M3",), sql="""
+SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0.05 THEN 1.0 ELSE 0.0 END AS discount_flag,
+  CASE WHEN l_quantity < 10 THEN 0.0 WHEN l_quantity < 20 THEN 1.0 WHEN l_quantity < 30 THEN 2.0 ELSE 3.0 END AS qty_bucket
+FROM lineitem""")
+def m3_binarizer_bucketizer(spark, sf_dir):
+    from pyspark.ml.feature import Binarizer, Bucketizer
+    li = _li_features(spark, sf_dir)
+    b = Binarizer(threshold=0.05, inputCol="l_discount", outputCol="discount_flag").transform(li)
+    z = Bucketizer(splits=[-float("inf"), 10, 20, 30, float("inf")], inputCol="l_quantity",
+                   outputCol="qty_bucket").transform(b)
+    return z.select("l_orderkey", "l_linenumber", "discount_flag", "qty_bucket")
+
+
+@query("m4_string_indexer", ids=("M4",), sql="""
+WITH c AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1),
+idx AS (SELECT p_brand, CAST(row_number() OVER (ORDER BY n DESC, p_brand) - 1 AS DOUBLE) AS brand_index FROM c)
+SELECT p_partkey, brand_index FROM part JOIN idx USING (p_brand)""")
+def m4_string_indexer(spark, sf_dir):
+    from pyspark.ml.feature import StringIndexer
+    p = table(spark, sf_dir, "part")
+    model = StringIndexer(inputCol="p_brand", outputCol="brand_index", stringOrderType="frequencyDesc").fit(p)
+    return model.transform(p).select("p_partkey", "brand_index")
+
+
+@query("m4_one_hot_and_vector_indexer", ids=("M4",))
+def m4_one_hot_and_vector_indexer(spark, sf_dir):
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer
+    p = table(spark, sf_dir, "part")
+    pipe = Pipeline(stages=[
+        StringIndexer(inputCol="p_type", outputCol="type_idx"),
+        OneHotEncoder(inputCols=["type_idx"], outputCols=["type_vec"], dropLast=True),
+        VectorAssembler(inputCols=["type_idx", "p_size"], outputCol="raw"),
+        VectorIndexer(inputCol="raw", outputCol="indexed", maxCategories=10)])
+    out = pipe.fit(p).transform(p)
+    return out.select("p_partkey", "type_idx", vector_to_array("type_vec").alias("one_hot"),
+                      vector_to_array("indexed").alias("indexed"))
+
+
+@query("m5_regex_tokenizer_ngram", ids=("M5",), sql="""
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\W+'), lambda w: length(w) >= 2) AS toks FROM documents)
+SELECT doc_id, CAST(len(toks) AS INTEGER) AS n_tokens, CAST(greatest(len(toks) - 1, 0) AS INTEGER) AS n_bigrams,
+       CASE WHEN len(toks) >= 2 THEN toks[1] || ' ' || toks[2] END AS first_bigram FROM t""")
+def m5_regex_tokenizer_ngram(spark, sf_dir):
+    from pyspark.ml.feature import NGram, RegexTokenizer
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tok = RegexTokenizer(inputCol="text", outputCol="toks", pattern="\\W+", gaps=True, minTokenLength=2,
+                         toLowercase=True).transform(d)
+    ng = NGram(n=2, inputCol="toks", outputCol="bigrams").transform(tok)
+    return ng.select("doc_id", F.size("toks").alias("n_tokens"), F.size("bigrams").alias("n_bigrams"),
+                     F.try_element_at("bigrams", F.lit(1)).alias("first_bigram"))
+
+
+@query("m5_whitespace_tokenizer", ids=("M5",))
+def m5_whitespace_tokenizer(spark, sf_dir):
+    from pyspark.ml.feature import Tokenizer
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return Tokenizer(inputCol="text", outputCol="words").transform(d).select("doc_id", F.size("words").alias("n_words"))
+
+
+_TFIDF_SQL = """
+WITH t AS (SELECT doc_id, unnest(list_filter(string_split_regex(lower(text), '\\W+'), lambda w: length(w) >= 2)) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+m AS (SELECT count(*) AS m FROM documents)
+SELECT doc_id, count(*) AS n_terms, round(sum(tf * ln((m + 1.0) / (df + 1.0))), 4) AS tfidf_sum,
+       round(max(tf * ln((m + 1.0) / (df + 1.0))), 6) AS tfidf_max
+FROM tf JOIN df USING (term), m GROUP BY doc_id"""
+
+
+@query("m6_exact_tf_idf", ids=("M6",), sql=_TFIDF_SQL)
+def m6_exact_tf_idf(spark, sf_dir):
+    """idf = ln((m + 1) / (df + 1)), tf = raw count; explode + two groupBys."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    m = d.count()
+    terms = d.select("doc_id", F.explode(F.filter(F.split(F.lower("text"), "\\W+"), lambda w: F.length(w) >= 2))
+                     .alias("term"))
+    tf = terms.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    w = tf.join(df, "term").withColumn("w", F.col("tf") * F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0)))
+    return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("w"), 4).alias("tfidf_sum"),
+                                   F.round(F.max("w"), 6).alias("tfidf_max"))
+
+
+@query("m6_hashing_tf_idf_library", ids=("M6",))
+def m6_hashing_tf_idf_library(spark, sf_dir):
+    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pipe = Pipeline(stages=[RegexTokenizer(inputCol="text", outputCol="toks", pattern="\\W+", minTokenLength=2),
+                            HashingTF(inputCol="toks", outputCol="tf", numFeatures=1 << 12),
+                            IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2)])
+    out = pipe.fit(d).transform(d)
+    return out.select("doc_id", F.aggregate(vector_to_array("tfidf"), F.lit(0.0), lambda a, v: a + v).alias("tfidf_sum"))
+
+
+@query("m7_vector_transforms", ids=("M7",), sql="""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+n AS (SELECT vec_id, x, sqrt(list_sum(list_transform(x, lambda v: v * v))) AS l2 FROM e),
+s AS (SELECT avg(x[1]) AS mu, stddev_samp(x[1]) AS sd FROM e)
+SELECT vec_id, round(l2, 8) AS l2_norm, round(x[1] / l2, 8) AS unit_first,
+       round(list_sum(list_transform(list_slice(x, 1, 4), lambda v, i: v * i)), 8) AS hadamard_sum,
+       round((x[1] - mu) / sd, 8) AS scaled_first,
+       round(x[1] + x[1] * x[1] + x[2] + x[1] * x[2] + x[2] * x[2], 8) AS poly2_sum
+FROM n, s""")
+def m7_vector_transforms(spark, sf_dir):
+    """Normalizer (L2), ElementwiseProduct, StandardScaler (sample std) and
+    PolynomialExpansion (degree 2) on arrays, all as expressions."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    mu, sd = e.agg(F.avg(F.col("x")[0]), F.stddev_samp(F.col("x")[0])).first()
+    l2 = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
+    w = F.array(*[F.lit(float(i)) for i in (1, 2, 3, 4)])
+    had = F.aggregate(F.zip_with(F.slice("x", 1, 4), w, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+    x1, x2 = F.col("x")[0], F.col("x")[1]
+    return e.select("vec_id", F.round(l2, 8).alias("l2_norm"), F.round(x1 / l2, 8).alias("unit_first"),
+                    F.round(had, 8).alias("hadamard_sum"), F.round((x1 - F.lit(mu)) / F.lit(sd), 8).alias("scaled_first"),
+                    F.round(x1 + x1 * x1 + x2 + x1 * x2 + x2 * x2, 8).alias("poly2_sum"))
+
+
+@query("m7_vector_transformers_library", ids=("M7",))
+def m7_vector_transformers_library(spark, sf_dir):
+    from pyspark.ml.feature import ElementwiseProduct, Normalizer, PolynomialExpansion, StandardScaler, VectorSlicer
+    from pyspark.ml.linalg import Vectors
+    e = _emb(spark, sf_dir)
+    pipe = Pipeline(stages=[
+        Normalizer(inputCol="features", outputCol="unit", p=2.0),
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+        VectorSlicer(inputCol="features", outputCol="head", indices=[0, 1]),
+        PolynomialExpansion(inputCol="head", outputCol="poly", degree=2),
+        ElementwiseProduct(inputCol="head", outputCol="had", scalingVec=Vectors.dense([1.0, 2.0]))])
+    out = pipe.fit(e).transform(e)
+    return out.select("vec_id", vector_to_array("unit")[0].alias("unit_first"),
+                      vector_to_array("scaled")[0].alias("scaled_first"), F.size(vector_to_array("poly")).alias("n_poly"),
+                      vector_to_array("had")[1].alias("had_second"))
+
+
+@query("m12_ols_one_feature", ids=("M12",), sql="""
+SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_r2(l_extendedprice, l_quantity), 8) AS r2
+FROM lineitem GROUP BY 1""")
+def m12_ols_one_feature(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_returnflag").agg(
+        F.round(F.regr_slope("l_extendedprice", "l_quantity"), 6).alias("slope"),
+        F.round(F.regr_intercept("l_extendedprice", "l_quantity"), 4).alias("intercept"),
+        F.round(F.regr_r2("l_extendedprice", "l_quantity"), 8).alias("r2"))
+
+
+_CENTRES_SQL = """
+WITH x AS (SELECT vec_id, label, CAST(generate_subscripts(embedding, 1) AS INTEGER) AS d, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+c AS (SELECT label AS cluster, d, avg(v) AS cv FROM x GROUP BY 1, 2),
+dist AS (SELECT x.vec_id, c.cluster, sum((x.v - c.cv) * (x.v - c.cv)) AS d2 FROM x JOIN c USING (d) GROUP BY 1, 2),
+best AS (SELECT vec_id, arg_min(cluster, (d2, cluster)) AS cluster, min(d2) AS d2 FROM dist GROUP BY 1)"""
+
+
+@query("m15_fixed_centre_assignment_cost", ids=("M15",), sql=_CENTRES_SQL + """
+SELECT CAST(cluster AS INTEGER) AS cluster, count(*) AS n, round(sum(d2), 4) AS cost FROM best GROUP BY 1""")
+def m15_fixed_centre_assignment_cost(spark, sf_dir):
+    """Assignment to fixed centres (the per-label mean vectors) and the
+    k-means cost; centres are a (labels x dims) table, bounded."""
+    e = table(spark, sf_dir, "embeddings")
+    x = e.select("label", F.posexplode(F.col("embedding").cast("array<double>")).alias("d", "v"))
+    cent = x.groupBy("label", "d").agg(F.avg("v").alias("cv")).collect()
+    k = 1 + max(r["label"] for r in cent)
+    dim = 1 + max(r["d"] for r in cent)
+    centres = np.zeros((k, dim))
+    for r in cent:
+        centres[r["label"], r["d"]] = r["cv"]
+    a = assign_clusters(e.select("vec_id", "embedding"), "embedding", centres)
+    xs = F.col("embedding").cast("array<double>")
+    cl = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
+    d2 = F.aggregate(F.zip_with(xs, F.element_at(cl, F.col("cluster") + 1), lambda p, q: (p - q) * (p - q)),
+                     F.lit(0.0), lambda acc, v: acc + v)
+    return a.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(d2), 4).alias("cost"))
+
+
+@query("m18_frequent_single_items", ids=("M18",), sql="""
+WITH baskets AS (SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey),
+n AS (SELECT count(DISTINCT l_orderkey) AS n FROM baskets)
+SELECT p_brand AS item, count(*) AS freq FROM baskets, n GROUP BY p_brand, n.n HAVING count(*) >= 0.05 * n.n""")
+def m18_frequent_single_items(spark, sf_dir):
+    from pyspark.ml.fpm import FPGrowth
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    baskets = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
+                 .agg(F.array_distinct(F.collect_list("p_brand")).alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.5).fit(baskets)
+    fi = model.freqItemsets
+    return fi.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+
+
+# ------------------------------------------------------- library fits (R)
+
+@query("m1_pipeline_logistic", ids=("M1", "M11"))
+def m1_pipeline_logistic(spark, sf_dir):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler
+    e = _emb(spark, sf_dir).withColumn("label", (F.col("label") % 2).cast("double"))
+    pipe = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="scaled"),
+                            LogisticRegression(featuresCol="scaled", maxIter=20, regParam=0.01)])
+    pred = pipe.fit(e).transform(e)
+    return pred.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("m2_cross_validator", ids=("M2",))
+def m2_cross_validator(spark, sf_dir):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    li = _li_features(spark, sf_dir).withColumn(
+        "fold", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_quantity"), F.lit(3)).cast("int"))
+    data = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(li)
+    lr = LinearRegression(labelCol="y", maxIter=10)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1, 1.0]).build()
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y"),
+                        numFolds=3, foldCol="fold")
+    model = cv.fit(data)
+    return spark.createDataFrame([(float(p[lr.regParam]), float(m)) for p, m in zip(grid, model.avgMetrics)],
+                                 "reg_param double, avg_rmse double")
+
+
+@query("m8_pca", ids=("M8",))
+def m8_pca(spark, sf_dir):
+    from pyspark.ml.feature import PCA
+    e = _emb(spark, sf_dir)
+    model = PCA(k=3, inputCol="features", outputCol="pcs").fit(e)
+    return model.transform(e).select("vec_id", vector_to_array("pcs").alias("pcs"))
+
+
+@query("m9_word2vec_synonyms", ids=("M9",))
+def m9_word2vec_synonyms(spark, sf_dir):
+    from pyspark.ml.feature import RegexTokenizer, Word2Vec
+    d = table(spark, sf_dir, "documents").select("text")
+    toks = RegexTokenizer(inputCol="text", outputCol="toks", pattern="\\W+", minTokenLength=2).transform(d)
+    model = Word2Vec(vectorSize=16, minCount=5, maxIter=1, seed=1, inputCol="toks", outputCol="vec").fit(toks)
+    top = model.getVectors().orderBy("word").first()["word"]
+    return model.findSynonyms(top, 5)
+
+
+@query("m10_rformula_selector", ids=("M10",))
+def m10_rformula_selector(spark, sf_dir):
+    from pyspark.ml.feature import RFormula, UnivariateFeatureSelector
+    li = _li_features(spark, sf_dir)
+    f = RFormula(formula="y ~ l_quantity + l_discount + l_tax + l_returnflag").fit(li).transform(li)
+    sel = UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="selected",
+                                    selectionMode="numTopFeatures").setFeatureType("continuous") \
+        .setLabelType("continuous").setSelectionThreshold(2)
+    out = sel.fit(f).transform(f)
+    return out.select("l_orderkey", "l_linenumber", vector_to_array("selected").alias("selected"))
+
+
+@query("m11_svm_naive_bayes", ids=("M11",))
+def m11_svm_naive_bayes(spark, sf_dir):
+    from pyspark.ml.classification import LinearSVC, NaiveBayes
+    e = _emb(spark, sf_dir).withColumn("label", (F.col("label") % 2).cast("double"))
+    svm = LinearSVC(maxIter=10, regParam=0.1).fit(e).transform(e).select("vec_id", F.col("prediction").alias("svm"))
+    pos = e.withColumn("features", array_to_vector(F.transform(F.col("embedding").cast("array<double>"),
+                                                               lambda v: F.abs(v))))
+    nb = NaiveBayes(smoothing=1.0, modelType="multinomial").fit(pos).transform(pos).select("vec_id", F.col("prediction").alias("nb"))
+    return svm.join(nb, "vec_id")
+
+
+@query("m12_linear_regression_elastic_net", ids=("M12",))
+def m12_linear_regression_elastic_net(spark, sf_dir):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    li = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(
+        _li_features(spark, sf_dir))
+    rows = []
+    for name, reg, en in (("ols", 0.0, 0.0), ("ridge", 0.1, 0.0), ("lasso", 0.1, 1.0)):
+        m = LinearRegression(labelCol="y", regParam=reg, elasticNetParam=en, maxIter=20).fit(li)
+        rows.append((name, [float(c) for c in m.coefficients], float(m.intercept)))
+    return spark.createDataFrame(rows, "model string, coefficients array<double>, intercept double")
+
+
+@query("m13_isotonic_regression", ids=("M13",))
+def m13_isotonic_regression(spark, sf_dir):
+    from pyspark.ml.regression import IsotonicRegression
+    li = _li_features(spark, sf_dir).select(F.col("l_quantity").alias("features"), F.col("y").alias("label"))
+    model = IsotonicRegression(featuresCol="features").fit(li)
+    return model.transform(li).groupBy("features").agg(F.max("prediction").alias("fitted"))
+
+
+@query("m14_tree_models", ids=("M14",))
+def m14_tree_models(spark, sf_dir):
+    from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
+    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+    e = _emb(spark, sf_dir).withColumn("label", (F.col("label") % 2).cast("double"))
+    out = []
+    for name, est in (("dt_c", DecisionTreeClassifier(maxDepth=4)), ("rf_c", RandomForestClassifier(numTrees=5, maxDepth=4, seed=1)),
+                      ("gbt_c", GBTClassifier(maxIter=5, maxDepth=3, seed=1)), ("dt_r", DecisionTreeRegressor(maxDepth=4)),
+                      ("rf_r", RandomForestRegressor(numTrees=5, maxDepth=4, seed=1)), ("gbt_r", GBTRegressor(maxIter=5, maxDepth=3, seed=1))):
+        pred = est.fit(e).transform(e)
+        acc = pred.agg(F.avg((F.round("prediction") == F.col("label")).cast("double"))).first()[0]
+        out.append((name, float(acc)))
+    return spark.createDataFrame(out, "model string, train_accuracy double")
+
+
+@query("m15_kmeans_gmm", ids=("M15",))
+def m15_kmeans_gmm(spark, sf_dir):
+    from pyspark.ml.clustering import GaussianMixture, KMeans
+    e = _emb(spark, sf_dir)
+    km = KMeans(k=4, seed=1, maxIter=10).fit(e)
+    g = GaussianMixture(k=2, seed=1, maxIter=10).fit(e)
+    a = km.transform(e).select("vec_id", F.col("prediction").alias("kmeans"))
+    b = g.transform(e).select("vec_id", F.col("prediction").alias("gmm"), vector_to_array("probability").alias("soft"))
+    return a.join(b, "vec_id")
+
+
+@query("m16_pic_lda", ids=("M16",))
+def m16_pic_lda(spark, sf_dir):
+    from pyspark.ml.clustering import LDA, PowerIterationClustering
+    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+    # affinity graph = who bought what: one edge per (customer, part) pair
+    # that occurs in lineitem x orders (linear in the data, no pair blow-up)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    sim = (li.join(o, li.l_orderkey == o.o_orderkey)
+             .groupBy(F.col("o_custkey").alias("src"), (F.col("l_partkey") + F.lit(1 << 40)).alias("dst"))
+             .agg(F.sum("l_quantity").cast("double").alias("weight")))
+    pic = PowerIterationClustering(k=3, maxIter=10, weightCol="weight").assignClusters(sim)
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    toks = RegexTokenizer(inputCol="text", outputCol="toks", pattern="\\W+", minTokenLength=3).transform(d)
+    cv = CountVectorizer(inputCol="toks", outputCol="features", vocabSize=500, minDF=3).fit(toks)
+    lda = LDA(k=3, maxIter=5, seed=1).fit(cv.transform(toks))
+    topics = lda.describeTopics(3).select(F.col("topic").cast("long").alias("id"), F.lit("lda").alias("kind"),
+                                          F.col("termIndices")[0].cast("long").alias("value"))
+    return pic.select(F.col("id").cast("long").alias("id"), F.lit("pic").alias("kind"),
+                      F.col("cluster").cast("long").alias("value")).unionByName(topics)
+
+
+@query("m17_als", ids=("M17",))
+def m17_als(spark, sf_dir):
+    from pyspark.ml.recommendation import ALS
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    r = (li.join(o, li.l_orderkey == o.o_orderkey).groupBy("o_custkey", "l_partkey")
+           .agg(F.sum("l_quantity").alias("rating")))
+    r = r.select(F.col("o_custkey").cast("int").alias("user"), F.col("l_partkey").cast("int").alias("item"), "rating")
+    model = ALS(rank=4, maxIter=3, regParam=0.1, implicitPrefs=True, userCol="user", itemCol="item",
+                ratingCol="rating", seed=1, coldStartStrategy="drop").fit(r)
+    recs = model.recommendForAllUsers(3)
+    return recs.select("user", F.explode("recommendations").alias("rec")).select("user", "rec.item", "rec.rating")
