@@ -24,11 +24,20 @@ from kiln.session import materialize
 
 def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
                         index_col: str = "idx", num_partitions: int | None = None,
-                        checkpoint: bool = True) -> DataFrame:
+                        checkpoint: bool = True, size_col: str | None = None,
+                        n_groups: int | None = None) -> DataFrame:
     """0-based position of each row inside its group, in ``order_cols`` order.
 
     ``order_cols`` must give a total order inside a group for the result to be
-    repeatable (ties get arbitrary but distinct positions).
+    repeatable (ties get arbitrary but distinct positions).  ``size_col``
+    also attaches the group's row count, summed from the span table (no
+    extra pass over the rows).
+
+    With ``checkpoint=False`` the tagged rows are not written first; the
+    caller must consume the result in one plan (the range exchange is then
+    computed once and reused by both branches) -- e.g. materialise it.
+    ``n_groups`` bounds the span table (partitions + groups rows) so it is
+    broadcast without a counting job.
     """
     spark = df.sparkSession
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -44,8 +53,13 @@ def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[s
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
     spans = spans.withColumn("_before", F.sum("_cnt").over(w) - F.col("_cnt"))
-    out = join_small(tagged, spans.select("_pid", *group_cols, "_first", "_before"),
-                     ["_pid", *group_cols])
+    keep = ["_pid", *group_cols, "_first", "_before"]
+    if size_col:
+        whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
+        spans = spans.withColumn(size_col, F.sum("_cnt").over(whole))
+        keep.append(size_col)
+    bound = (n + n_groups) if n_groups is not None else None
+    out = join_small(tagged, spans.select(*keep), ["_pid", *group_cols], known_rows=bound)
     return (out.withColumn(index_col, F.col("_mid") - F.col("_first") + F.col("_before"))
                .drop("_pid", "_mid", "_first", "_before"))
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.indexing import index_within_groups
-from kiln.operators.joins import join_small
 
 # Position of each named field in a ';'-separated household
 # power record (field 0 is the date, which is not used).
@@ -111,7 +110,7 @@ def assign_bucket(df: DataFrame, key_cols: list[str], n: int = 10, method: str =
 
 def assign_folds(df: DataFrame, k: int, order_cols: list[str], group_col: str = "bucket",
                  shuffle: bool = False, seed: int = 0, out: str = "fold",
-                 keep_index: bool = False) -> DataFrame:
+                 keep_index: bool = False, n_groups: int | None = None) -> DataFrame:
     """Contiguous k folds inside each group.
 
     n_each = floor(n / k); fold = min(floor(idx / n_each), k - 1), so the
@@ -125,14 +124,15 @@ def assign_folds(df: DataFrame, k: int, order_cols: list[str], group_col: str =
     if shuffle:
         base = df.withColumn("_shuffle_key", F.xxhash64(F.lit(seed), *[F.col(c) for c in order_cols]))
         order = ["_shuffle_key", *order_cols]
-    indexed = index_within_groups(base, [group_col], order, index_col="_idx")
-    sizes = indexed.groupBy(group_col).agg(F.count(F.lit(1)).alias("_n"))
+    # group sizes come with the index (summed from its span table)
+    # the tagged rows are written once (Parquet, shared folder); spans are a
+    # three-column scan of that table, and the fold is a narrow broadcast join
+    indexed = index_within_groups(base, [group_col], order, index_col="_idx", size_col="_n",
+                                  n_groups=n_groups)
     n_each = F.floor(F.col("_n") / F.lit(k))
-    sizes = sizes.withColumn(
-        "_each",
-        F.when(n_each == 0, F.raise_error(F.lit("partitionKFolds: Number of samples in each fold is 0.")))
-         .otherwise(n_each).cast("long"))
-    out_df = join_small(indexed, sizes.select(group_col, "_n", "_each"), [group_col])
+    each = (F.when(n_each == 0, F.raise_error(F.lit("partitionKFolds: Number of samples in each fold is 0.")))
+             .otherwise(n_each).cast("long"))
+    out_df = indexed.withColumn("_each", each)
     fold = F.least(F.floor(F.col("_idx") / F.col("_each")), F.lit(k - 1)).cast("int")
     res = out_df.withColumn(out, fold).drop("_each")
     res = res.withColumnRenamed("_idx", "idx") if keep_index else res.drop("_idx")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from kiln.operators import cv, power
 from kiln.operators.network import init_weights, layer_sizes
 from kiln.plans.registry import query
+from kiln.session import bounded_local
 from kiln.sources.tables import table
 
 K = 5
@@ -152,14 +153,17 @@ def regression_rows(spark: SparkSession, sf_dir: str, keep_index: bool = False)
         F.col("p_retailprice").alias("x5"), F.col("l_linenumber").cast("double").alias("x6"),
         F.dayofyear("l_shipdate").cast("double").alias("x7"), F.col("l_extendedprice").alias("t"))
     rows = power.assign_bucket(rows, ["l_orderkey"], N_BUCKETS, method="mod")
-    return power.assign_folds(rows, K, LINEITEM_ORDER, keep_index=keep_index)
+    # lineage after this: Parquet scan of the tagged rows + broadcast spans
+    return power.assign_folds(rows, K, LINEITEM_ORDER, keep_index=keep_index, n_groups=N_BUCKETS)
 
 
 def fixed_models(rows: DataFrame) -> DataFrame:
+    """Per-model standardisation (buckets x k x (k-1) rows, a parameter
+    bound), kept as a local relation so scoring plans do not recompute it."""
     plan = cv.cv_plan(rows.select("bucket"), K)
     moments = cv.fold_moments(rows, [*INPUTS, TARGET])
     std = cv.model_standardization(moments, plan, [*INPUTS, TARGET])
-    return cv.standardization_arrays(std, INPUTS, TARGET)
+    return bounded_local(cv.standardization_arrays(std, INPUTS, TARGET), N_BUCKETS * K * (K - 1))
 
 
 _ORDER_SQL = ", ".join(LINEITEM_ORDER)

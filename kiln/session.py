@@ -75,11 +75,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/kiln-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage: write a Parquet table into the shared checkpoint folder
+    and read it back.
 
-    Reliable (not local) checkpoints survive executor loss: the data sits in
-    the shared folder, not on the executor that computed it.
+    The files live in the shared folder, not on the executor that computed
+    them, so a lost executor costs nothing; Parquet is columnar and
+    compressed, far cheaper than serialised-row RDD checkpoints.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bounded_local(df: DataFrame, max_rows: int) -> DataFrame:
+    """Re-create a small result whose size is bounded by parameters (e.g.
+    buckets x folds models) as a local relation, so later plans do not
+    recompute its lineage.  Raises if the bound does not hold."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows")
+    return df.sparkSession.createDataFrame(rows, df.schema)
