@@ -25,7 +25,8 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 def read_lines(spark: SparkSession, path: str, whole_text: bool = False) -> DataFrame:
     """Text lines (``textFile``) or whole files (``wholeTextFiles``)."""
-    df = spark.read.option("wholetext", str(whole_text).lower()).text(path)
+    # text() sets its own wholetext default, so pass it as an argument
+    df = spark.read.text(path, wholetext=whole_text)
     if whole_text:
         from pyspark.sql import functions as F
         return df.select(F.input_file_name().alias("path"), F.col("value").alias("content"))
