@@ -195,3 +195,15 @@ def cv_report(rows: DataFrame, models: DataFrame, inputs: list[str], target: str
 
 def weights_literal_array(w: np.ndarray) -> Column:
     return F.array(*[F.lit(float(v)) for v in np.asarray(w, dtype=float)])
+
+
+def write_report(report: DataFrame, path: str, fmt: str = "json") -> str:
+    """One record per (bucket, test_fold), written by the executors (no
+    collect to the driver); ``fmt`` json, parquet, or text (a JSON string
+    per line)."""
+    ordered = report.orderBy("bucket", "test_fold")
+    if fmt == "text":
+        ordered.select(F.to_json(F.struct(*report.columns)).alias("value")).write.mode("overwrite").text(path)
+    else:
+        ordered.write.mode("overwrite").format(fmt).save(path)
+    return path
