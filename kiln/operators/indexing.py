@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.joins import join_small
-from kiln.session import materialize
+from kiln.session import bounded_local, materialize
 
 
 def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
                         index_col: str = "idx", num_partitions: int | None = None,
                         checkpoint: bool = True, size_col: str | None = None,
-                        n_groups: int | None = None) -> DataFrame:
+                        n_groups: int | None = None, keep_cols: list[str] | None = None) -> DataFrame:
     """0-based position of each row inside its group, in ``order_cols`` order.
 
     ``order_cols`` must give a total order inside a group for the result to be
@@ -36,8 +36,10 @@ def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[s
     With ``checkpoint=False`` the tagged rows are not written first; the
     caller must consume the result in one plan (the range exchange is then
     computed once and reused by both branches) -- e.g. materialise it.
-    ``n_groups`` bounds the span table (partitions + groups rows) so it is
-    broadcast without a counting job.
+    ``n_groups`` bounds the span table (partitions + groups rows): it is
+    then built once as a local relation and broadcast, with no counting
+    job and no recomputation by later consumers.  ``keep_cols`` limits the
+    written columns (order columns are only needed for the sort).
     """
     spark = df.sparkSession
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -46,6 +48,8 @@ def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[s
                 .sortWithinPartitions(*keys)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    if keep_cols is not None:
+        tagged = tagged.select(*dict.fromkeys([*group_cols, *keep_cols, "_pid", "_mid"]))
     if checkpoint:
         # Fix the ids once: later passes read the same rows with the same ids.
         tagged = materialize(tagged)
@@ -58,8 +62,13 @@ def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[s
         whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
         spans = spans.withColumn(size_col, F.sum("_cnt").over(whole))
         keep.append(size_col)
-    bound = (n + n_groups) if n_groups is not None else None
-    out = join_small(tagged, spans.select(*keep), ["_pid", *group_cols], known_rows=bound)
+    spans = spans.select(*keep)
+    if n_groups is not None:
+        bound = n + n_groups
+        spans = bounded_local(spans, bound)
+        out = join_small(tagged, spans, ["_pid", *group_cols], known_rows=bound)
+    else:
+        out = join_small(tagged, spans, ["_pid", *group_cols])
     return (out.withColumn(index_col, F.col("_mid") - F.col("_first") + F.col("_before"))
                .drop("_pid", "_mid", "_first", "_before"))
 

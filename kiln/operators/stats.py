@@ -113,7 +113,12 @@ def chi_square_independence(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def chi_square_goodness_of_fit(df: DataFrame, col: str, expected: dict) -> DataFrame:
     """Observed counts of ``col`` against expected proportions."""
-    obs = {r[0]: r[1] for r in df.groupBy(col).count().collect()}   # bounded: categories
+    # only the expected categories reach the driver (bounded by the caller)
+    keys = list(expected)
+    obs = {r[0]: r[1] for r in df.where(F.col(col).isin(keys)).groupBy(col).count().collect()}
+    others = df.where(~F.col(col).isin(keys) | F.col(col).isNull()).limit(1).count()
+    if others:
+        raise ValueError(f"{col} has values outside the expected categories")
     n = float(sum(obs.values()))
     tot = float(sum(expected.values()))
     stat = sum((obs.get(k, 0) - n * v / tot) ** 2 / (n * v / tot) for k, v in expected.items())

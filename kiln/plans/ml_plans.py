@@ -193,7 +193,10 @@ def m15_fixed_centre_assignment_cost(spark, sf_dir):
     k-means cost; centres are a (labels x dims) table, bounded."""
     e = table(spark, sf_dir, "embeddings")
     x = e.select("label", F.posexplode(F.col("embedding").cast("array<double>")).alias("d", "v"))
-    cent = x.groupBy("label", "d").agg(F.avg("v").alias("cv")).collect()
+    # centres: one per label, a (labels x dims) table; its size is checked
+    cent = x.groupBy("label", "d").agg(F.avg("v").alias("cv")).limit(100_001).collect()
+    if len(cent) > 100_000:
+        raise ValueError("too many centre coordinates for a broadcast model")
     k = 1 + max(r["label"] for r in cent)
     dim = 1 + max(r["d"] for r in cent)
     centres = np.zeros((k, dim))

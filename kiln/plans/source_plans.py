@@ -70,8 +70,10 @@ def s3_json_given_schema_and_strings(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("props")
     schema = F.schema_of_json(F.lit('{"k": 1}'))
     parsed = ev.select(F.from_json("props", schema).alias("p"))
-    # also a JSON reader over a column of strings
-    via_reader = spark.read.schema("k long").json(ev.select(F.col("props").alias("value")).rdd.map(lambda r: r.value))
+    # also the JSON-lines reader over the same strings (written as text)
+    path = scratch_path(spark, "json-strings")
+    ev.select(F.col("props").alias("value")).write.text(path)
+    via_reader = spark.read.schema("k long").json(path)
     a = parsed.groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
     b = via_reader.groupBy("k").agg(F.count(F.lit(1)).alias("n2"))
     return a.join(b, "k").where(F.col("n") == F.col("n2")).select("k", "n")
