@@ -3,7 +3,6 @@ kiln.operators.windows; DuckDB twins use plain OVER clauses."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kiln.operators import windows as win
@@ -105,8 +104,9 @@ def w5_window_without_partition(spark, sf_dir):
 SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS rn
 FROM orders""")
 def w1_builtin_window_spec(spark, sf_dir):
-    """The plain Window API (partitionBy/orderBy/over) for comparison; one
-    task per key group, fine when groups are small (customers)."""
-    o = _orders(spark, sf_dir)
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    return o.select("o_custkey", "o_orderkey", F.row_number().over(w).alias("rn"))
+    """row_number per key: the Window spec (partitionBy/orderBy/over) runs
+    per range-partition span inside ``win.row_number``, so a hot key is
+    numbered across many tasks instead of one."""
+    o = _orders(spark, sf_dir).select("o_custkey", "o_orderkey")
+    r = win.row_number(o, ["o_custkey"], ["o_orderkey"], "rn")
+    return r.select("o_custkey", "o_orderkey", F.col("rn").cast("int").alias("rn"))
