@@ -113,6 +113,39 @@ def predict_column(inputs: list[str], sizes: list[int], w=None) -> Column:
     return ys * F.col("t_std") + F.col("t_mean")
 
 
+def add_prediction(df: DataFrame, inputs: list[str], sizes: list[int], w=None, out: str = "_yhat") -> DataFrame:
+    """Append the network prediction (target units) as column ``out``.
+
+    One projection per layer: each unit is computed once per row and the
+    next layer reads it as a column.  A single nested expression would
+    repeat every earlier layer inside each unit (growing with depth) and
+    fall out of whole-stage codegen.
+    """
+    keep = [F.col(c) for c in df.columns]
+    z = []
+    for i, c in enumerate(inputs):
+        mu = F.element_at(F.col("x_mean"), i + 1)
+        sd = F.element_at(F.col("x_std"), i + 1)
+        z.append(F.when(sd == 0, F.lit(0.0)).otherwise((F.col(c) - mu) / sd).alias(f"_z0_{i}"))
+    cur = df.select(*keep, *z)
+    prev = [f"_z0_{i}" for i in range(len(inputs))]
+    weights = F.col("w") if w is None else w
+    off = 0
+    n_layers = len(sizes) - 1
+    for li in range(n_layers):
+        r, c = sizes[li] + 1, sizes[li + 1]
+        units = []
+        for j in range(c):
+            s_ = _weight(weights, off + j)
+            for i, name in enumerate(prev):
+                s_ = s_ + F.col(name) * _weight(weights, off + (i + 1) * c + j)
+            units.append((F.tanh(s_) if li < n_layers - 1 else s_).alias(f"_z{li + 1}_{j}"))
+        cur = cur.select(*keep, *units)
+        prev = [f"_z{li + 1}_{j}" for j in range(c)]
+        off += r * c
+    return cur.select(*keep, (F.col(prev[0]) * F.col("t_std") + F.col("t_mean")).alias(out))
+
+
 def score_assignments(rows: DataFrame, assignments: DataFrame, inputs: list[str], target: str,
                       sizes: list[int], w=None, extra_keys: list[str] | None = None) -> DataFrame:
     """RMSE (target units) per assignment.
@@ -124,8 +157,8 @@ def score_assignments(rows: DataFrame, assignments: DataFrame, inputs: list[str]
     """
     keys = [*MODEL_KEYS, "role", *(extra_keys or [])]
     joined = rows.join(F.broadcast(assignments), ["bucket", "fold"])
-    y = predict_column(inputs, sizes, w)
-    return (joined.withColumn("_err2", F.pow(y - F.col(target), 2))
+    scored = add_prediction(joined, inputs, sizes, w)
+    return (scored.withColumn("_err2", F.pow(F.col("_yhat") - F.col(target), 2))
                   .groupBy(*keys)
                   .agg(F.count(F.lit(1)).alias("n_scored"), F.sqrt(F.avg("_err2")).alias("rmse")))
 
