@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.joins import join_small
-from kiln.session import bounded_local, materialize
+from kiln.session import bounded_local, materialize, partitions_for
 
 
 def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -41,8 +41,7 @@ def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[s
     job and no recomputation by later consumers.  ``keep_cols`` limits the
     written columns (order columns are only needed for the sort).
     """
-    spark = df.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = num_partitions or partitions_for(df)
     keys = [*group_cols, *order_cols]
     tagged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)

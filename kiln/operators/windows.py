@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from kiln.operators.indexing import index_within_groups
 from kiln.operators.joins import join_small
-from kiln.session import materialize
+from kiln.session import materialize, partitions_for
 
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}
 
@@ -112,8 +112,7 @@ def running(df: DataFrame, group: list[str], order: list[str], col: str, fn: str
     Range partitioning splits a hot group; each partition runs a local
     window, and the prefix of earlier spans of the group is added.
     """
-    spark = df.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = num_partitions or partitions_for(df)
     keys = [*group, *order]
     t = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
            .withColumn("_pid", F.spark_partition_id()))

@@ -97,3 +97,21 @@ def bounded_local(df: DataFrame, max_rows: int) -> DataFrame:
     if len(rows) > max_rows:
         raise ValueError(f"expected at most {max_rows} rows")
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def partitions_for(df: DataFrame, target_bytes: int = 256 << 20) -> int:
+    """Partition count for an explicit (range) repartition: at least
+    ``spark.sql.shuffle.partitions``, and enough that each partition holds
+    about ``target_bytes`` by the optimizer's size estimate.  AQE may merge
+    small range partitions but never splits them, so the count must be
+    sized from the data, not left at the session default.
+    """
+    base = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = int(raw) if isinstance(raw, int) else int(raw.toString())
+    except Exception:                                        # noqa: BLE001 - estimate unavailable
+        return base
+    if size >= 1 << 62:                                      # Spark's "unknown size" default
+        return base
+    return int(min(max(base, -(-size // target_bytes)), 1_000_000))
