@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.operators import cv, power
-from kiln.operators.network import init_weights, layer_sizes
+from kiln.operators.layers import init_weights, layer_sizes
 from kiln.plans.registry import query
 from kiln.session import bounded_local
 from kiln.sources.tables import table
