@@ -43,6 +43,21 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", fi
                  .load(path))
 
 
+@contextmanager
+def _stream_partitions(spark: SparkSession):
+    """State-store partitions follow spark.sql.shuffle.partitions at query
+    start (the stream clones the session then).  Cap them at twice the
+    cluster's parallelism: more state partitions than cores only adds
+    per-batch task overhead."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    cap = max(1, 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), cap)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _await(q):
     q.awaitTermination(TIMEOUT_S)
     if q.isActive:
@@ -55,8 +70,9 @@ def _await(q):
 def run_append(stream: DataFrame, name: str) -> DataFrame:
     spark = stream.sparkSession
     out, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ck")
-    q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
-               .trigger(availableNow=True).start(out))
+    with _stream_partitions(spark):
+        q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
+                   .trigger(availableNow=True).start(out))
     _await(q)
     return spark.read.parquet(out)
 
@@ -64,8 +80,9 @@ def run_append(stream: DataFrame, name: str) -> DataFrame:
 def run_foreach(stream: DataFrame, name: str, fn, mode: str = "update") -> None:
     spark = stream.sparkSession
     ck = scratch_path(spark, f"{name}-ck")
-    q = (stream.writeStream.outputMode(mode).option("checkpointLocation", ck).foreachBatch(fn)
-               .trigger(availableNow=True).start())
+    with _stream_partitions(spark):
+        q = (stream.writeStream.outputMode(mode).option("checkpointLocation", ck).foreachBatch(fn)
+                   .trigger(availableNow=True).start())
     _await(q)
 
 
