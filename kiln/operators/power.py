@@ -44,16 +44,22 @@ def drop_header(lines: DataFrame, col: str = "value", order_by: str | None = Non
     return lines.filter(F.col(col) != F.lit(first[0]))
 
 
+def _py_number(c: Column) -> Column:
+    # Python's float()/int() accept single underscores between digits
+    # ("1_0" == 10); Spark's cast does not, so drop those first.
+    return F.regexp_replace(c, "(?<=[0-9])_(?=[0-9])", "")
+
+
 def _as_double(c: Column) -> Column:
     # Python float() failures become 0.0 in the reference; try_cast gives NULL.
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+    return F.coalesce(_py_number(c).try_cast("double"), F.lit(0.0))
 
 
 def minute_of_day(c: Column) -> Column:
     """``HH:MM[:SS]`` -> minutes since midnight; unparsable -> 0."""
     hm = F.split(c, ":", -1)
-    h = F.try_element_at(hm, F.lit(1)).try_cast("int")
-    m = F.try_element_at(hm, F.lit(2)).try_cast("int")
+    h = _py_number(F.try_element_at(hm, F.lit(1))).try_cast("int")
+    m = _py_number(F.try_element_at(hm, F.lit(2))).try_cast("int")
     return F.coalesce(h * 60 + m, F.lit(0))
 
 

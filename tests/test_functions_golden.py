@@ -54,6 +54,18 @@ def test_sentinel_and_parsing(spark):
     assert power.good_rows(power.parse_records(lines)).count() == 2
 
 
+def test_numbers_parse_like_python(spark):
+    vals = ["1_0", " 1.5 ", "nan", "-Infinity", "+1e3", "1__0", "0x10", "1,5", ""]
+    line = ";".join(["d", "1_2:3_0"] + vals[:7])
+    p = power.parse_records(spark.createDataFrame([(line,)], "value string"),
+                            inputs=["time", "global_reactive_power", "voltage", "global_intensity",
+                                    "sub_metering_1", "sub_metering_2", "sub_metering_3"]).first()
+    assert p["time"] == 12 * 60 + 30
+    assert p["target"] == 10.0 and p["global_reactive_power"] == 1.5
+    assert p["global_intensity"] == float("-inf") and p["sub_metering_1"] == 1000.0
+    assert p["sub_metering_2"] == 0.0 and p["sub_metering_3"] == 0.0        # "1__0", "0x10" fail in Python
+
+
 def test_drop_header_removes_every_copy(spark):
     lines = spark.createDataFrame([(i, "H" if i % 3 == 0 else f"r{i}") for i in range(10)], "i int, value string")
     assert power.drop_header(lines, order_by="i").count() == 6
