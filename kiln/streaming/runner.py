@@ -122,3 +122,9 @@ def utc_session(spark: SparkSession):
         yield
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def slice_batches(batches: DataFrame, first: int, last: int) -> DataFrame:
+    """The outputs of micro-batches ``first``..``last`` (``DStream.slice``),
+    read back from a ``run_batches`` table by its batch-id partitions."""
+    return batches.where(F.col("batch_id").between(first, last))

@@ -60,3 +60,21 @@ def test_streaming_kmeans_and_sgd_run(spark):
                                        iters_per_batch=20, name="sgd").orderBy("batch_id").toPandas()
     assert abs(hist.weights.iloc[-1][0] - 3.0) < 0.3
     assert hist.mse.iloc[-1] < hist.mse.iloc[0]
+
+
+def test_memory_console_sinks_and_slice(spark, capsys):
+    ev = table(spark, SF_SMALL, "events")
+    path, schema = runner.stage_files(ev, "sinks", 4, "event_id")
+    stream = runner.file_stream(spark, path, schema)
+    q = (stream.groupBy("event_type").count().writeStream.format("memory").queryName("kiln_counts")
+               .outputMode("complete").option("checkpointLocation", scratch_path(spark, "mem-ck"))
+               .trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert spark.table("kiln_counts").agg(F.sum("count")).first()[0] == ev.count()
+    q = (stream.select("event_id").writeStream.format("console").option("numRows", 2)
+               .option("checkpointLocation", scratch_path(spark, "console-ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert not q.isActive
+    per_batch = runner.run_batches(stream, "slice", lambda b, i: b.agg(F.count(F.lit(1)).alias("n")))
+    assert runner.slice_batches(per_batch, 1, 2).count() == 2
+    assert per_batch.agg(F.sum("n")).first()[0] == ev.count()
