@@ -227,8 +227,8 @@ def m18_frequent_single_items(spark, sf_dir):
 
 # ------------------------------------------------------- library fits (R)
 
-@query("m1_pipeline_logistic", ids=("M1", "M11"))
-def m1_pipeline_logistic(spark, sf_dir):
+@query("m1_chained_stages_logistic", ids=("M1", "M11"))
+def m1_chained_stages_logistic(spark, sf_dir):
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StandardScaler
     e = _emb(spark, sf_dir).withColumn("label", (F.col("label") % 2).cast("double"))
