@@ -18,8 +18,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.layers import unpack
-
 MODEL_KEYS = ["bucket", "test_fold", "val_fold"]
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Largest row count we are willing to ship to every executor when the size
 # is not known from the plan's parameters.
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_ROW_LIMIT = 500_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
