@@ -65,6 +65,15 @@ def main():
         times["nested_cv_fit"] = round(time.time() - t0, 3)
         extra = {"fit_iterations": iters, "fit_models": n_models,
                  "fit_sec_per_iteration": round(times["nested_cv_fit"] / max(iters, 1), 3)}
+        # validation/test scoring of the trained models and the report
+        from kiln.operators import cv
+        from kiln.operators.layers import layer_sizes
+        from kiln.plans.power_plans import INPUTS, K, TARGET
+        t0 = time.time()
+        rep = cv.cv_report(rows, fitted.drop("reason", "iterations", "final_error"), INPUTS, TARGET,
+                           layer_sizes(len(INPUTS), fit_plans.HIDDEN, 1), K, "per_fold")
+        rep.write.format("noop").mode("overwrite").save()
+        times["nested_cv_report"] = round(time.time() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {"metric": "total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
            "queries": times, "sf": float(m.group(1)) if m else sf_dir, **extra}
