@@ -161,6 +161,78 @@ def score_assignments(rows: DataFrame, assignments: DataFrame, inputs: list[str]
                   .agg(F.count(F.lit(1)).alias("n_scored"), F.sqrt(F.avg("_err2")).alias("rmse")))
 
 
+def score_assignments_kernel(rows: DataFrame, assignments: DataFrame, inputs: list[str], target: str,
+                             sizes: list[int], extra_keys: list[str] | None = None,
+                             max_assignments: int = 100_000) -> DataFrame:
+    """RMSE per assignment for models with their own weights (column ``w``).
+
+    The assignment table (bounded by buckets x k x (k-1)) is broadcast once;
+    a ``mapInPandas`` kernel scores each (bucket, fold) block of a batch for
+    the models assigned to it and emits (assignment, n, sse) partials, so
+    no weight array is copied onto data rows.
+    """
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from kiln.operators.layers import batch_loss_grad
+
+    spark = rows.sparkSession
+    keys = [*MODEL_KEYS, "role", *(extra_keys or [])]
+    a = assignments.select(*dict.fromkeys([*keys, "fold", "x_mean", "x_std", "t_mean", "t_std", "w"])) \
+                   .limit(max_assignments + 1).toPandas()
+    if len(a) > max_assignments:
+        raise ValueError("too many model assignments to broadcast")
+    xs = np.stack(a["x_std"].to_numpy()).astype(float)
+    ts = a["t_std"].to_numpy(float)
+    payload = {
+        "bucket": a["bucket"].to_numpy(np.int64), "fold": a["fold"].to_numpy(np.int64),
+        "x_mean": np.stack(a["x_mean"].to_numpy()).astype(float), "x_sd": np.where(xs == 0, 1.0, xs),
+        "x_const": xs == 0, "t_mean": a["t_mean"].to_numpy(float), "t_sd": np.where(ts == 0, 1.0, ts),
+        "t_raw": ts, "w": np.stack(a["w"].to_numpy()).astype(float)}
+    bc = spark.sparkContext.broadcast(payload)
+
+    def kernel(batches):
+        p = bc.value
+        by_block = {}
+        for j, (b, f) in enumerate(zip(p["bucket"], p["fold"])):
+            by_block.setdefault((int(b), int(f)), []).append(j)
+        acc = np.zeros((len(p["bucket"]), 2))
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            blk = pdf["bucket"].to_numpy().astype(np.int64) * 1024 + pdf["fold"].to_numpy()
+            X = pdf[inputs].to_numpy(dtype=float)
+            Tt = pdf[target].to_numpy(dtype=float)
+            for kv in np.unique(blk):
+                js = by_block.get((int(kv) // 1024, int(kv) % 1024))
+                if not js:
+                    continue
+                js = np.asarray(js)
+                sel = blk == kv
+                xb, tb = X[sel], Tt[sel]
+                z = (xb[None] - p["x_mean"][js][:, None, :]) / p["x_sd"][js][:, None, :]
+                z = np.where(p["x_const"][js][:, None, :], 0.0, z)
+                tz = (tb[None, :] - p["t_mean"][js][:, None]) / p["t_sd"][js][:, None]
+                n, sse, _ = batch_loss_grad(z, tz[:, :, None], np.ones((len(js), len(tb))), p["w"][js], sizes, False)
+                acc[js, 0] += n
+                acc[js, 1] += sse * p["t_raw"][js] ** 2        # back to target units
+        hit = np.flatnonzero(acc[:, 0] > 0)
+        if len(hit):
+            yield pd.DataFrame({"a": hit.astype(np.int64), "n": acc[hit, 0], "sse": acc[hit, 1]})
+
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("n", T.DoubleType()),
+                           T.StructField("sse", T.DoubleType())])
+    part = rows.select("bucket", "fold", *inputs, target).mapInPandas(kernel, schema)
+    sums = part.groupBy("a").agg(F.sum("n").alias("n"), F.sum("sse").alias("sse")).toPandas()
+    bc.unpersist()
+    sums = sums.set_index("a").reindex(range(len(a))).fillna(0.0)
+    out = a[keys].copy()
+    out["n_scored"] = sums["n"].to_numpy().astype(np.int64)
+    out["rmse"] = np.sqrt(sums["sse"].to_numpy() / np.where(sums["n"].to_numpy() > 0, sums["n"].to_numpy(), np.nan))
+    return spark.createDataFrame(out, assignments.select(*keys).schema.add("n_scored", T.LongType())
+                                 .add("rmse", T.DoubleType()))
+
+
 def validation_assignments(models: DataFrame) -> DataFrame:
     return models.withColumn("fold", F.col("val_fold")).withColumn("role", F.lit("val"))
 
@@ -206,11 +278,19 @@ def test_assignments(best: DataFrame, models: DataFrame) -> DataFrame:
 
 def cv_report(rows: DataFrame, models: DataFrame, inputs: list[str], target: str,
               sizes: list[int], k: int, mode: str = "per_fold", w=None, digits: int | None = None) -> DataFrame:
-    """One row per (bucket, test_fold): samples, chosen model, errors."""
-    val_err = score_assignments(rows, validation_assignments(models), inputs, target, sizes, w)
+    """One row per (bucket, test_fold): samples, chosen model, errors.
+
+    Fixed weights (``w`` given) are scored in Catalyst (checkable in SQL);
+    per-model weights (column ``w``) by the broadcast numpy kernel.
+    """
+    def score(assign, extra=None):
+        if w is None:
+            return score_assignments_kernel(rows, assign, inputs, target, sizes, extra)
+        return score_assignments(rows, assign, inputs, target, sizes, w, extra)
+
+    val_err = score(validation_assignments(models))
     best = choose_best(val_err, k, mode)
-    test_err = score_assignments(rows, test_assignments(best, models), inputs, target, sizes, w,
-                                 extra_keys=["model_test_fold"])
+    test_err = score(test_assignments(best, models), ["model_test_fold"])
     n_samples = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_samples"))
     rep = (best.join(test_err.select("bucket", "test_fold", F.col("rmse").alias("test_rmse")),
                      ["bucket", "test_fold"])

@@ -99,19 +99,26 @@ def bounded_local(df: DataFrame, max_rows: int) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def partitions_for(df: DataFrame, target_bytes: int = 256 << 20) -> int:
+def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
     """Partition count for an explicit (range) repartition: at least
-    ``spark.sql.shuffle.partitions``, and enough that each partition holds
-    about ``target_bytes`` by the optimizer's size estimate.  AQE may merge
-    small range partitions but never splits them, so the count must be
-    sized from the data, not left at the session default.
+    ``spark.sql.shuffle.partitions``, and about ``target_bytes`` of input
+    per partition.
+
+    The input size is the sum of the plan's leaf relations (file sizes for
+    scans).  The optimizer's estimate of the whole plan is not used: without
+    cost-based statistics a join is estimated as the product of its sides.
+    AQE may merge small range partitions but never splits them, so the
+    count must come from the data, not the session default.
     """
     base = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = int(raw) if isinstance(raw, int) else int(raw.toString())
-    except Exception:                                        # noqa: BLE001 - estimate unavailable
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        total = 0
+        for i in range(leaves.size()):
+            raw = leaves.apply(i).stats().sizeInBytes()
+            size = int(raw) if isinstance(raw, int) else int(raw.toString())
+            if size < 1 << 62:                              # skip Spark's "unknown size" default
+                total += size
+    except Exception:                                        # noqa: BLE001 - statistics unavailable
         return base
-    if size >= 1 << 62:                                      # Spark's "unknown size" default
-        return base
-    return int(min(max(base, -(-size // target_bytes)), 1_000_000))
+    return int(min(max(base, -(-total // target_bytes)), 1_000_000))
