@@ -5,7 +5,9 @@
   every model's training folds, combined exactly from per-fold moments
   (count, mean, M2) -- never by re-reading the rows per model.
 * ``score_assignments``: RMSE in target units of given models on given
-  folds, with the network evaluated as Catalyst expressions.
+  folds, with the network evaluated as Catalyst expressions (fixed
+  weights); ``score_assignments_kernel`` does the same for per-model
+  trained weights with a broadcast numpy kernel.
 * ``choose_best`` / ``cv_report``: least validation error per test fold.
 
 All model-level tables hold buckets x k x (k-1) rows: a bound fixed by the

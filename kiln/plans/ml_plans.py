@@ -218,8 +218,10 @@ def m18_frequent_single_items(spark, sf_dir):
     from pyspark.ml.fpm import FPGrowth
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    # a basket holds distinct brands: bounded by the brand domain, not by the
+    # order's row count, and collect_set merges map-side
     baskets = (li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey")
-                 .agg(F.array_distinct(F.collect_list("p_brand")).alias("items")))
+                 .agg(F.collect_set("p_brand").alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.5).fit(baskets)
     fi = model.freqItemsets
     return fi.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
