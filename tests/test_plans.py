@@ -87,3 +87,12 @@ def test_freq_items_contains_true_heavy_hitters(spark):
 def test_bernoulli_sample_fraction(spark):
     n = REG["d15_bernoulli_sample"].build(spark, SF_SMALL).count()
     assert 0.05 * 1500 <= n <= 0.15 * 1500
+
+
+def test_loss_of_all_models_broadcasts_the_model_table(spark):
+    p = _formatted(REG["p10_training_loss_fixed_weights"].build(spark, SF_SMALL))
+    tree = p.split("\n\n")[0]
+    assert "BroadcastHashJoin" in tree and "SortMergeJoin" not in tree
+    # the data rows are shuffled only for the final per-model aggregate
+    shuffles = [ln for ln in tree.splitlines() if "Exchange" in ln and "Broadcast" not in ln]
+    assert len(shuffles) == 1, tree
