@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import secrets
+from kiln.llm import langid, secrets, toxicity
 from kiln.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
                         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~held_out(F.col("doc_id"), 4, 2)))
+    return langid.predict(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 5, 0))
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("restored").alias("n_restored"))
