@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import langid, secrets, toxicity
+from kiln.llm import decontam, jaccard_join, langid, secrets, toxicity
 from kiln.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), F.size("restored").alias("n_restored"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class", F.col("group_id").alias("class_id"), "n_links")
