@@ -193,6 +193,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     included."""
     bands, rows = textvec.choose_bands(threshold, recall, most=permutations)
     sketched = materialize(sketch(docs, id_col, text_col, n, bands, rows, seed), "sketch")
+    return link(docs, sketched, id_col, text_col, n, threshold, tile)
+
+
+def link(docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str, n: int, threshold: float, tile: int = TILE) -> DataFrame:
+    """The join's result from the sketches of ``docs``."""
     classes = (sketched.where("class is not null").groupBy("class")
                .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs"), F.first("bands").alias("bands")))
     near = candidates(classes)

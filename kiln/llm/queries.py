@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import decontam, jaccard_join, langid, secrets, toxicity
+from kiln.llm import decontam, fingerprints, jaccard_join, langid, secrets, token_store, toxicity
 from kiln.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +68,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select(
         "doc_id", "class", F.col("group_id").alias("class_id"), "n_links")
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
