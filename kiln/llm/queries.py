@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import decontam, fingerprints, jaccard_join, langid, secrets, token_store, toxicity
+from kiln.llm import decontam, fingerprints, jaccard_join, langid, mixing, secrets, token_store, toxicity
 from kiln.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@query
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(*mixing.mix(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "size", "source_size", "target", "taken")
