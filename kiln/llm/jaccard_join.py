@@ -154,8 +154,9 @@ def similar(sets: list[np.ndarray], threshold: float, block: int = 1 << 24) -> n
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     common = np.zeros((m, m), np.float32)
-    width = max(1, block // max(1, m))
-    for first in range(0, int(shared.sum()), width):
+    columns = int(shared.sum())
+    width = max(1, min(columns, block // max(1, m)))
+    for first in range(0, columns, width):
         a, z = np.searchsorted(column, (first, first + width))
         has = np.zeros((m, width), np.float32)
         has[owner[a:z], column[a:z] - first] = 1

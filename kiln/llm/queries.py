@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import decontam, fingerprints, jaccard_join, langid, mixing, secrets, token_store, toxicity
+from kiln.llm import chat, decontam, fingerprints, jaccard_join, langid, mixing, secrets, token_store, toxicity, url_rules
 from kiln.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,80 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix(table(spark, sf_dir, "documents"))).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+#: Fixed by the contract.
+HOST_RULES = [url_rules.HostRule("allow", "org", "/"), url_rules.HostRule("block", "example.org", "/es/"),
+              url_rules.HostRule("block", "example.org", "/en/1"), url_rules.HostRule("allow", "com", "/fr/"),
+              url_rules.HostRule("block", "com", "/de/")]
+#: For pages that no host rule fits: links of tracked campaigns.
+PATTERN_RULES = [url_rules.PatternRule("block", "*?*utm_source=*")]
+
+
+@query
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), [*HOST_RULES, *PATTERN_RULES])
+
+
+ORACLE_SQL["op6_url_rules"] = r"""
+with parts as (
+  select page_id, coalesce(lower(url), '') as low,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages),
+rules(name, host, path, action) as (values
+  ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
+  ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
+  ('com/de/', 'com', '/de/', 'block')),
+fits as (
+  select p.*, r.name, r.action,
+         row_number() over (partition by p.page_id order by length(r.name) desc nulls last) as place
+  from parts p left join rules r
+    on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path))
+select page_id, host, path, name as rule,
+       coalesce(action, case when (host <> '' or path <> '') and regexp_matches(low, '(?s)^.*\?.*utm_source=')
+                             then 'block' else 'allow' end) as verdict
+from fits where place = 1
+"""
+
+
+@query
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_preferences(chat.preference_turns(table(spark, sf_dir, "conversations"))).withColumnRenamed("pair_id", "conv_id")
+
+
+ORACLE_SQL["op2_preference_format"] = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn) as i,
+         count(*) over (partition by conv_id) as n
+  from conversations where conv_id is not null),
+last as (select conv_id, role, text from c where i = n),
+rejected as (
+  select conv_id, i, role, text from c where i < n
+  union all
+  select c.conv_id, c.i, o.role, o.text from c join last o on o.conv_id = xor(c.conv_id, 1) where c.i = c.n),
+common as (
+  select c.conv_id, coalesce(min(case when r.i is null or c.role <> r.role or c.text <> r.text then c.i end) - 1, max(c.n)) as k
+  from c left join rejected r on r.conv_id = c.conv_id and r.i = c.i group by c.conv_id),
+turns as (
+  select 'chosen' as side, conv_id, i, role, text from c
+  union all select 'rejected', conv_id, i, role, text from rejected),
+shown as (
+  select t.*, m.k, '<|im_start|>' || role || chr(10) as head, text || '<|im_end|>' || chr(10) as body
+  from turns t join common m using (conv_id)),
+placed as (
+  select *, coalesce(sum(case when i > k then length(head) + length(body) end)
+              over (partition by side, conv_id order by i rows between unbounded preceding and 1 preceding), 0) as pos
+  from shown)
+select conv_id, max(k)::bigint as n_prompt_turns,
+       coalesce(string_agg(head || body, '' order by i) filter (where side = 'chosen' and i <= k), '') as prompt,
+       coalesce(string_agg(head || body, '' order by i) filter (where side = 'chosen' and i > k), '') as chosen,
+       coalesce(string_agg(head || body, '' order by i) filter (where side = 'rejected' and i > k), '') as rejected,
+       coalesce(string_agg((pos + length(head))::bigint || ':' || (pos + length(head) + length(body))::bigint, ',' order by i)
+                filter (where side = 'chosen' and i > k and role = 'assistant'), '') as chosen_mask,
+       coalesce(string_agg((pos + length(head))::bigint || ':' || (pos + length(head) + length(body))::bigint, ',' order by i)
+                filter (where side = 'rejected' and i > k and role = 'assistant'), '') as rejected_mask
+from placed group by conv_id
+"""
