@@ -10,7 +10,9 @@ index is built the way ``zipWithIndex`` does it instead:
 3. count rows per (partition, group) -- at most partitions + groups rows;
 4. prefix sums of those counts give each span's start; join them back.
 
-The span table is broadcast only when its size is checked to be small.
+The span table is written; it is broadcast if its bytes are in the limit of
+``join_small``, else joined on (partition id, group), which no hot group
+holds up: its rows are spread over partition ids.
 """
 
 from __future__ import annotations
@@ -19,27 +21,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.joins import join_small
-from kiln.session import bounded_local, materialize, partitions_for
+from kiln.session import materialize, partitions_for
 
 
 def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[str],
                         index_col: str = "idx", num_partitions: int | None = None,
-                        checkpoint: bool = True, size_col: str | None = None,
-                        n_groups: int | None = None, keep_cols: list[str] | None = None) -> DataFrame:
-    """0-based position of each row inside its group, in ``order_cols`` order.
+                        size_col: str | None = None, keep_cols: list[str] | None = None) -> DataFrame:
+    """0-based position of each row inside its group, in ``order_cols`` order
+    (NULL first; rows with a NULL group form a group).
 
     ``order_cols`` must give a total order inside a group for the result to be
     repeatable (ties get arbitrary but distinct positions).  ``size_col``
     also attaches the group's row count, summed from the span table (no
-    extra pass over the rows).
-
-    With ``checkpoint=False`` the tagged rows are not written first; the
-    caller must consume the result in one plan (the range exchange is then
-    computed once and reused by both branches) -- e.g. materialise it.
-    ``n_groups`` bounds the span table (partitions + groups rows): it is
-    then built once as a local relation and broadcast, with no counting
-    job and no recomputation by later consumers.  ``keep_cols`` limits the
-    written columns (order columns are only needed for the sort).
+    extra pass over the rows).  ``keep_cols`` limits the written columns
+    (order columns are only needed for the sort).
     """
     n = num_partitions or partitions_for(df)
     keys = [*group_cols, *order_cols]
@@ -49,9 +44,8 @@ def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[s
                 .withColumn("_mid", F.monotonically_increasing_id()))
     if keep_cols is not None:
         tagged = tagged.select(*dict.fromkeys([*group_cols, *keep_cols, "_pid", "_mid"]))
-    if checkpoint:
-        # Fix the ids once: later passes read the same rows with the same ids.
-        tagged = materialize(tagged)
+    # Fix the ids once: later passes read the same rows with the same ids.
+    tagged = materialize(tagged)
     spans = tagged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")
@@ -61,13 +55,7 @@ def index_within_groups(df: DataFrame, group_cols: list[str], order_cols: list[s
         whole = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
         spans = spans.withColumn(size_col, F.sum("_cnt").over(whole))
         keep.append(size_col)
-    spans = spans.select(*keep)
-    if n_groups is not None:
-        bound = n + n_groups
-        spans = bounded_local(spans, bound)
-        out = join_small(tagged, spans, ["_pid", *group_cols], known_rows=bound)
-    else:
-        out = join_small(tagged, spans, ["_pid", *group_cols])
+    out = join_small(tagged, materialize(spans.select(*keep), "spans"), ["_pid", *group_cols])
     return (out.withColumn(index_col, F.col("_mid") - F.col("_first") + F.col("_before"))
                .drop("_pid", "_mid", "_first", "_before"))
 

@@ -1,40 +1,68 @@
-"""Join helpers: checked broadcast, index join, theta/band joins."""
+"""Join helpers: null-safe equality on named columns, and a broadcast behind
+a check of the side's bytes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType
 
-# Largest row count we are willing to ship to every executor when the size
-# is not known from the plan's parameters.
-BROADCAST_ROW_LIMIT = 500_000
+#: Most bytes of rows that are sent to every executor.
+BROADCAST_BYTES = 64 << 20
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               row_limit: int = BROADCAST_ROW_LIMIT, known_rows: int | None = None) -> DataFrame:
-    """Join with ``small`` broadcast only when its size is checked.
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of the same names where NULL equals NULL; the
+    keys are the left side's (left, inner, semi and anti joins)."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys))
+    return left.join(other, same, how).drop(*(f"_r_{k}" for k in keys))
 
-    ``known_rows`` is a bound proven by the caller's parameters (e.g. buckets
-    x folds); otherwise the rows are counted.  Past the limit the join is left
-    to the planner (shuffle hash / sort-merge, AQE may still switch).
-    """
-    n = known_rows if known_rows is not None else small.count()
-    if n <= row_limit:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a table's values, counted over all its rows: the lengths of
+    strings and binaries, 8 bytes an element for the rest, and 16 a value."""
+    def width(name: str, kind) -> Column:
+        if isinstance(kind, (StringType, BinaryType)):
+            return F.octet_length(name)
+        if isinstance(kind, (ArrayType, MapType)):
+            return 8 * F.size(name)
+        return F.lit(8)
+
+    row = reduce(lambda a, b: a + b, (F.coalesce(width(f.name, f.dataType), F.lit(0)) + 16 for f in df.schema.fields))
+    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
+def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+               limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Null-safe join that broadcasts ``small`` if its measured bytes are in
+    the limit.  Beyond it both sides are shuffled on the keys (AQE splits
+    skewed partitions).  ``small`` should be cheap to read twice: a written
+    table or a small aggregate."""
+    if measured_bytes(small) <= limit_bytes:
+        small = F.broadcast(small)
+    return join_on(big, small, keys, how)
 
 
-def band_join(left: DataFrame, right: DataFrame, lkey: str, rkey: str,
-              width: float, how: str = "inner") -> DataFrame:
-    """``|l - r| <= width`` without a cartesian product.
+def lookup(big: DataFrame, small: DataFrame, keys: list[str], rows_col: str, how: str = "inner",
+           limit_bytes: int = BROADCAST_BYTES, hot_rows: int = 1_000_000) -> DataFrame:
+    """Null-safe join of rows with one row per key, where ``rows_col`` of
+    ``small`` (dropped) counts the rows of ``big`` that have the key.
 
-    Both sides get a band id ``floor(key / width)``; the right side is
-    replicated into the neighbour bands (3 copies), the join is an equi join
-    on band id plus the exact range test.
+    A small side in the limit is broadcast.  Beyond it, a key of more than
+    ``hot_rows`` rows is dealt over copies of its row: there are at most
+    total / hot_rows such keys, so that their list is joined as a small side.
     """
-    lb = left.withColumn("_band", F.floor(F.col(lkey) / F.lit(width)).cast("long"))
-    rb = (right.withColumn("_b0", F.floor(F.col(rkey) / F.lit(width)).cast("long"))
-               .withColumn("_band", F.explode(F.array(F.col("_b0") - 1, F.col("_b0"), F.col("_b0") + 1)))
-               .drop("_b0"))
-    cond = (lb["_band"] == rb["_band"]) & (F.abs(lb[lkey] - rb[rkey]) <= F.lit(width))
-    return lb.join(rb, cond, how).drop("_band")
+    bare = small.drop(rows_col)
+    if measured_bytes(bare) <= limit_bytes:
+        return join_on(big, F.broadcast(bare), keys, how)
+    parts = F.ceil(F.col(rows_col) / F.lit(hot_rows))
+    hot = small.where(F.col(rows_col) > hot_rows).select(*keys, parts.alias("_parts"))
+    dealt = (join_on(big, F.broadcast(hot), keys, "left")
+             .withColumn("_part", F.when(F.col("_parts").isNull(), 0)
+                         .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_parts"))).cast("bigint"))
+             .drop("_parts"))
+    copies = small.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(parts, F.lit(1)) - 1))).drop(rows_col)
+    return join_on(dealt, copies, [*keys, "_part"], how).drop("_part")

@@ -116,7 +116,7 @@ def assign_bucket(df: DataFrame, key_cols: list[str], n: int = 10, method: str =
 
 def assign_folds(df: DataFrame, k: int, order_cols: list[str], group_col: str = "bucket",
                  shuffle: bool = False, seed: int = 0, out: str = "fold",
-                 keep_index: bool = False, n_groups: int | None = None,
+                 keep_index: bool = False,
                  keep_cols: list[str] | None = None) -> DataFrame:
     """Contiguous k folds inside each group.
 
@@ -135,9 +135,9 @@ def assign_folds(df: DataFrame, k: int, order_cols: list[str], group_col: str =
     # the tagged rows are written once (Parquet, shared folder); spans are a
     # three-column scan of that table, and the fold is a narrow broadcast join
     indexed = index_within_groups(base, [group_col], order, index_col="_idx", size_col="_n",
-                                  n_groups=n_groups, keep_cols=keep_cols)
+                                  keep_cols=keep_cols)
     n_each = F.floor(F.col("_n") / F.lit(k))
-    each = (F.when(n_each == 0, F.raise_error(F.lit("partitionKFolds: Number of samples in each fold is 0.")))
+    each = (F.when(n_each == 0, F.raise_error(F.lit("a group has fewer rows than folds")))
              .otherwise(n_each).cast("long"))
     out_df = indexed.withColumn("_each", each)
     fold = F.least(F.floor(F.col("_idx") / F.col("_each")), F.lit(k - 1)).cast("int")

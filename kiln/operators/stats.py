@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators import windows as win
+from kiln.operators.joins import lookup
 
 
 def col_stats(df: DataFrame, array_col: str) -> DataFrame:
@@ -27,11 +28,12 @@ def col_stats(df: DataFrame, array_col: str) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
-    """1-based ranks of ``col`` over the whole frame, ties get the average."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    """1-based ranks of ``col`` over the whole frame, ties get the average;
+    NULL has no rank."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     run = win.running(counts, [], [col], "_c", "sum", "_cum")
-    ranks = run.select(col, (F.col("_cum") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(out))
-    return df.join(ranks, col)
+    ranks = run.select(col, (F.col("_cum") - F.col("_c") + (F.col("_c") + 1) / 2.0).alias(out), "_c")
+    return lookup(df, ranks, [col], "_c", "left")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], method: str = "pearson", id_col: str | None = None) -> DataFrame:

@@ -11,8 +11,13 @@ operators split every group over many partitions instead:
 * ranks come from per-peer-group min/max positions (a partial aggregate);
 * running (unbounded preceding) aggregates are a partition-local window
   plus the prefix of earlier spans of the same group;
-* value-range frames aggregate per (group, order value) first, so a
-  group's window holds one row per distinct value, not per row.
+* value-range frames aggregate per (group, order value) first and run in
+  bands of values as wide as the frame;
+* what is known per group or value is joined back with its hot keys dealt
+  over copies (``lookup``).
+
+NULL is a group, an order value and a peer like any other (first in order),
+as in SQL windows.
 """
 
 from __future__ import annotations
@@ -21,10 +26,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators.indexing import index_within_groups
-from kiln.operators.joins import join_small
+from kiln.operators.joins import join_on, join_small, lookup
 from kiln.session import materialize, partitions_for
 
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}
+#: How partial aggregates of a group are merged.
+_MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 
 
 def with_position(df: DataFrame, group: list[str], order: list[str], col: str = "_pos") -> DataFrame:
@@ -32,17 +39,6 @@ def with_position(df: DataFrame, group: list[str], order: list[str], col: str =
     return index_within_groups(df, group, order, index_col=col)
 
 
-def group_sizes(df: DataFrame, group: list[str], col: str = "_n") -> DataFrame:
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias(col))
-
-
-def _attach_sizes(df: DataFrame, group: list[str]) -> DataFrame:
-    if not group:
-        # one number: fetch it instead of joining a one-row table
-        return df.withColumn("_n", F.lit(df.count()).cast("long"))
-    return df.join(group_sizes(df, group), group)
-
-
 def row_number(df: DataFrame, group: list[str], order: list[str], out: str = "row_number") -> DataFrame:
     return with_position(df, group, order).withColumn(out, F.col("_pos") + 1).drop("_pos")
 
@@ -52,12 +48,11 @@ def ranks(df: DataFrame, group: list[str], order: list[str], tiebreak: list[str]
 
     ``order`` defines peers; ``tiebreak`` makes row_number / ntile unique.
     """
-    pos = with_position(df, group, [*order, *tiebreak])
+    pos = index_within_groups(df, group, [*order, *tiebreak], index_col="_pos", size_col="_n")
     peers = pos.groupBy(*group, *order).agg(F.min("_pos").alias("_pfirst"), F.max("_pos").alias("_plast"))
     # dense rank: position of the peer value among the group's distinct values
-    dense = index_within_groups(peers, group, order, index_col="_dense", checkpoint=True)
-    x = pos.join(dense, [*group, *order])
-    x = _attach_sizes(x, group)
+    dense = index_within_groups(peers, group, order, index_col="_dense")
+    x = lookup(pos, dense.withColumn("_peers", F.col("_plast") - F.col("_pfirst") + 1), [*group, *order], "_peers")
     n = F.col("_n")
     rn = F.col("_pos") + 1
     rank = F.col("_pfirst") + 1
@@ -81,36 +76,44 @@ def _ntile(rn: Column, n: Column, b: int) -> Column:
 def shift(df: DataFrame, group: list[str], order: list[str], col: str, offset: int,
           default=None, out: str | None = None) -> DataFrame:
     """lag (offset > 0) / lead (offset < 0) of ``col``: a join on
-    (group, position - offset)."""
+    (group, position - offset).  The default stands where there is no such
+    row; a NULL of the row found stays NULL."""
     out = out or (f"lag_{col}" if offset > 0 else f"lead_{col}")
     pos = with_position(df, group, order)
-    src = pos.select(*group, (F.col("_pos") + F.lit(offset)).alias("_pos"), F.col(col).alias(out))
-    j = pos.join(src, [*group, "_pos"], "left")
+    src = pos.select(*group, (F.col("_pos") + F.lit(offset)).alias("_pos"), F.col(col).alias(out), F.lit(True).alias("_found"))
+    j = join_on(pos, src, [*group, "_pos"], "left")
     if default is not None:
-        j = j.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
-    return j.drop("_pos")
+        j = j.withColumn(out, F.when(F.col("_found"), F.col(out)).otherwise(F.lit(default)))
+    return j.drop("_pos", "_found")
 
 
-def rows_frame(df: DataFrame, group: list[str], order: list[str], col: str, lo: int, hi: int,
-               fn: str, out: str) -> DataFrame:
-    """``fn(col) over (rows between lo and hi)``: every row is sent to the
-    (hi - lo + 1) positions whose frame contains it, then aggregated by
-    (group, position).  No key is hot: positions are unique per group."""
+def rows_frames(df: DataFrame, group: list[str], order: list[str], col: str, lo: int, hi: int,
+                outs: dict[str, str]) -> DataFrame:
+    """``fn(col) over (rows between lo and hi)`` for each ``{out: fn}``: every
+    row is sent to the (hi - lo + 1) positions whose frame contains it, then
+    aggregated by (group, position).  No key is hot: positions are unique per
+    group."""
     pos = with_position(df, group, order)
     offs = F.sequence(F.lit(-hi), F.lit(-lo))
     contrib = pos.select(*group, F.explode(offs).alias("_d"), "_pos", F.col(col).alias("_v")) \
                  .select(*group, (F.col("_pos") + F.col("_d")).alias("_pos"), "_v")
-    framed = contrib.groupBy(*group, "_pos").agg(_AGG[fn]("_v").alias(out))
-    return pos.join(framed, [*group, "_pos"], "left").drop("_pos")
+    framed = contrib.groupBy(*group, "_pos").agg(*(_AGG[fn]("_v").alias(out) for out, fn in outs.items()))
+    j = join_on(pos, framed, [*group, "_pos"], "left").drop("_pos")
+    return j.fillna(0, [out for out, fn in outs.items() if fn == "count"])
 
 
-def running(df: DataFrame, group: list[str], order: list[str], col: str, fn: str, out: str,
-            num_partitions: int | None = None) -> DataFrame:
+def rows_frame(df: DataFrame, group: list[str], order: list[str], col: str, lo: int, hi: int,
+               fn: str, out: str) -> DataFrame:
+    return rows_frames(df, group, order, col, lo, hi, {out: fn})
+
+
+def runnings(df: DataFrame, group: list[str], order: list[str], outs: dict[str, tuple[str, str]],
+             num_partitions: int | None = None) -> DataFrame:
     """``fn(col) over (partition by group order by order rows unbounded
-    preceding)`` for fn in sum / count / min / max.
+    preceding)`` for each ``{out: (col, fn)}``, fn in sum / count / min / max.
 
     Range partitioning splits a hot group; each partition runs a local
-    window, and the prefix of earlier spans of the group is added.
+    window, and the prefix of earlier spans of the group is merged in.
     """
     n = num_partitions or partitions_for(df)
     keys = [*group, *order]
@@ -118,20 +121,30 @@ def running(df: DataFrame, group: list[str], order: list[str], col: str, fn: str
            .withColumn("_pid", F.spark_partition_id()))
     t = materialize(t)
     frame = Window.partitionBy("_pid", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = t.withColumn("_local", _AGG[fn](col).over(frame))
-    spans = t.groupBy("_pid", *group).agg(_AGG[fn](col).alias("_span"))
-    merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[fn]
     before = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("_pid") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("_before", merge("_span").over(before))
-    j = join_small(local, spans.select("_pid", *group, "_before"), ["_pid", *group])
-    if fn in ("sum", "count"):
-        val = F.col("_local") + F.coalesce(F.col("_before"), F.lit(0))
-    elif fn == "min":
-        val = F.least("_local", "_before")
-    else:
-        val = F.greatest("_local", "_before")
-    return j.withColumn(out, val).drop("_pid", "_local", "_before")
+    spans = t.groupBy("_pid", *group).agg(*(_AGG[fn](col).alias(f"_span_{out}") for out, (col, fn) in outs.items()))
+    spans = spans.select("_pid", *group, *(_MERGE[fn](f"_span_{out}").over(before).alias(f"_before_{out}") for out, (_, fn) in outs.items()))
+    j = join_small(t, materialize(spans, "spans"), ["_pid", *group])
+    local = {out: _AGG[fn](col).over(frame) for out, (col, fn) in outs.items()}
+    return (j.withColumns(local)
+             .withColumns({out: _both(fn, F.col(f"_before_{out}"), F.col(out)) for out, (_, fn) in outs.items()})
+             .drop("_pid", *(f"_before_{out}" for out in outs)))
+
+
+def _both(fn: str, a: Column, b: Column) -> Column:
+    """Merge two partial aggregates; NULL stands for no values."""
+    if fn == "min":
+        return F.least(a, b)
+    if fn == "max":
+        return F.greatest(a, b)
+    zero = F.lit(0)
+    return F.when(a.isNotNull() | b.isNotNull(), F.coalesce(a, zero) + F.coalesce(b, zero))
+
+
+def running(df: DataFrame, group: list[str], order: list[str], col: str, fn: str, out: str,
+            num_partitions: int | None = None) -> DataFrame:
+    return runnings(df, group, order, {out: (col, fn)}, num_partitions)
 
 
 def range_frame(df: DataFrame, group: list[str], order_col: str, col: str, lo: int, hi: int,
@@ -139,14 +152,23 @@ def range_frame(df: DataFrame, group: list[str], order_col: str, col: str, lo: i
     """``fn(col) over (partition by group order by order_col range between
     lo and hi)`` for sum / count / min / max on an integer order column.
 
-    Rows are first merged per (group, order value); the window then runs
-    over distinct values only and is joined back by (group, value).
+    Rows are first merged per (group, order value).  Values are cut into
+    bands as wide as the frame, and each merged row is sent to the one or two
+    bands that hold rows with a frame over it; the window then runs per
+    (group, band), so a hot group is spread over its bands.  Rows with a NULL
+    order value frame each other.
     """
-    per_value = df.groupBy(*group, order_col).agg(_AGG[fn](col).alias("_v"))
-    merge = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[fn]
-    w = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy(order_col).rangeBetween(lo, hi)
-    framed = per_value.withColumn(out, merge("_v").over(w)).drop("_v")
-    return df.join(framed, [*group, order_col])
+    width = hi - lo + 1
+    per_value = df.groupBy(*group, order_col).agg(_AGG[fn](col).alias("_v"), F.count(F.lit(1)).alias("_rows"))
+    value = F.col(order_col)
+    bands = F.array_distinct(F.array(*(F.floor((value - d) / width) for d in (hi, lo, 0))))
+    sent = per_value.withColumn("_own", F.floor(value / width)).withColumn("_band", F.explode(bands))
+    w = Window.partitionBy(*group, "_band").orderBy(order_col).rangeBetween(lo, hi)
+    framed = (sent.withColumn(out, _MERGE[fn]("_v").over(w)).where(F.col("_band").eqNullSafe(F.col("_own")))
+              .drop("_v", "_own", "_band"))
+    if fn == "count":
+        framed = framed.fillna(0, [out])
+    return lookup(df, framed, [*group, order_col], "_rows")
 
 
 def group_total(df: DataFrame, group: list[str], col: str, fn: str, out: str) -> DataFrame:
@@ -154,4 +176,4 @@ def group_total(df: DataFrame, group: list[str], col: str, fn: str, out: str) ->
     partial aggregate joined back."""
     if not group:
         return df.withColumn(out, F.lit(df.agg(_AGG[fn](col)).first()[0]))
-    return df.join(df.groupBy(*group).agg(_AGG[fn](col).alias(out)), group)
+    return lookup(df, df.groupBy(*group).agg(_AGG[fn](col).alias(out), F.count(F.lit(1)).alias("_rows")), group, "_rows")

@@ -166,7 +166,7 @@ def _regression_rows(li: DataFrame, pa: DataFrame, keep_index: bool) -> DataFram
         F.dayofyear("l_shipdate").cast("double").alias("x7"), F.col("l_extendedprice").alias("t"))
     rows = power.assign_bucket(rows, ["l_orderkey"], N_BUCKETS, method="mod")
     # lineage after this: Parquet scan of the tagged rows + broadcast spans
-    return power.assign_folds(rows, K, LINEITEM_ORDER, keep_index=keep_index, n_groups=N_BUCKETS,
+    return power.assign_folds(rows, K, LINEITEM_ORDER, keep_index=keep_index,
                               keep_cols=["l_orderkey", "l_linenumber", *INPUTS, TARGET])
 
 

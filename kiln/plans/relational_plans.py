@@ -409,9 +409,9 @@ def j10_broadcast_dimension_join(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
     n = _t(spark, sf_dir, "nation")
     r = _t(spark, sf_dir, "region")
-    # nation/region are counted before they are broadcast (join_small)
-    nr = join_small(n, r.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
-    j = join_small(c.withColumnRenamed("c_nationkey", "n_nationkey"), nr, "n_nationkey")
+    # nation/region are measured before they are broadcast (join_small)
+    nr = join_small(n, r.withColumnRenamed("r_regionkey", "n_regionkey"), ["n_regionkey"])
+    j = join_small(c.withColumnRenamed("c_nationkey", "n_nationkey"), nr, ["n_nationkey"])
     return j.select("c_custkey", "n_name", "r_name")
 
 

@@ -82,11 +82,9 @@ FROM orders""")
 def w5_frame_aggregates(spark, sf_dir):
     o = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
     g, order = ["o_custkey"], ["o_orderkey"]
-    a = win.rows_frame(o, g, order, "o_totalprice", 0, 1, "max", "max_next")
-    b = win.rows_frame(o, g, order, "o_totalprice", 0, 1, "min", "min_next").select("o_orderkey", "min_next")
-    c = win.rows_frame(o, g, order, "o_totalprice", 0, 1, "count", "cnt_next").select("o_orderkey", "cnt_next")
-    d = win.group_total(o, g, "o_totalprice", "max", "max_all").select("o_orderkey", "max_all")
-    return a.select("o_orderkey", "max_next").join(b, "o_orderkey").join(c, "o_orderkey").join(d, "o_orderkey")
+    framed = win.rows_frames(o, g, order, "o_totalprice", 0, 1, {"max_next": "max", "min_next": "min", "cnt_next": "count"})
+    return win.group_total(framed, g, "o_totalprice", "max", "max_all").select(
+        "o_orderkey", "max_next", "min_next", "cnt_next", "max_all")
 
 
 @query("w5_window_without_partition", ids=("W5",), sql="""
@@ -95,9 +93,8 @@ SELECT o_orderkey, max(o_totalprice) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBO
 FROM orders""")
 def w5_window_without_partition(spark, sf_dir):
     o = _orders(spark, sf_dir).select("o_orderkey", "o_totalprice")
-    a = win.running(o, [], ["o_orderkey"], "o_totalprice", "max", "running_max")
-    b = win.running(o, [], ["o_orderkey"], "o_orderkey", "count", "running_count").select("o_orderkey", "running_count")
-    return a.select("o_orderkey", "running_max").join(b, "o_orderkey")
+    r = win.runnings(o, [], ["o_orderkey"], {"running_max": ("o_totalprice", "max"), "running_count": ("o_orderkey", "count")})
+    return r.select("o_orderkey", "running_max", "running_count")
 
 
 @query("w1_builtin_window_spec", ids=("W1",), sql="""
