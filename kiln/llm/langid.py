@@ -181,8 +181,43 @@ def viterbi(scores: np.ndarray, firsts: np.ndarray, counts: np.ndarray, penalty:
     return labels
 
 
+@dataclass
+class Labelled:
+    """Result for the texts of a group: language number (-1: undetermined),
+    its share of the letters, and the spans, text by text."""
+    group: textvec.Slice
+    lang: np.ndarray
+    score: np.ndarray
+    span_text: np.ndarray
+    span_lang: np.ndarray
+    span_start: np.ndarray
+    span_end: np.ndarray
+
+
+def label(model: LanguageModel, texts: list[str | None], penalty: float, group_chars: int) -> Iterator[Labelled]:
+    for g in textvec.slices(texts, group_chars):
+        scores, starts, ends = _group_words(model, g)
+        text = np.searchsorted(g.starts, starts, "right") - 1
+        if not model.langs:
+            text, starts, ends = text[:0], starts[:0], ends[:0]
+        counts = np.bincount(text, minlength=g.n)
+        labels = viterbi(scores, np.cumsum(counts) - counts, counts, penalty) if model.langs else np.zeros(0, np.int8)
+        share = np.zeros((g.n, max(1, len(model.langs))))
+        np.add.at(share, (text, labels), ends - starts)
+        whole = share.sum(axis=1)
+        # a span runs from a change of text or label to the last word before the next
+        new = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(labels, prepend=-1) != 0))
+        last = np.append(new[1:], len(starts))[:len(new)] - 1
+        base = g.starts[text[new]]
+        yield Labelled(g, np.where(whole > 0, share.argmax(axis=1), -1), share.max(axis=1) / np.maximum(whole, 1),
+                       text[new], labels[new], starts[new] - base, ends[last] - base)
+
+
+PENALTY, GROUP_CHARS = 12.0, 8_000_000
+
+
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
-            penalty: float = 12.0, group_chars: int = 8_000_000) -> DataFrame:
+            penalty: float = PENALTY, group_chars: int = GROUP_CHARS) -> DataFrame:
     """(doc_id, lang_pred, score, spans): the language with most letters of
     each text, its share of them, and the spans (code points, end exclusive).
     ``group_chars``: about how much text a task decodes side by side."""
@@ -190,39 +225,35 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     span_type = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array([*m.langs, UNDETERMINED], object)
+        names = np.array([*shared.value.langs, UNDETERMINED], object)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for g in textvec.slices(texts, group_chars):
-                scores, starts, ends = _group_words(m, g)
-                text = np.searchsorted(g.starts, starts, "right") - 1
-                counts = np.bincount(text, minlength=g.n)
-                firsts = np.cumsum(counts) - counts
-                labels = viterbi(scores, firsts, counts, penalty) if m.langs else np.zeros(len(starts), np.int8)
-                share = np.zeros((g.n, max(1, len(m.langs))))
-                np.add.at(share, (text, labels), ends - starts)
-                lang, whole = share.argmax(axis=1), share.sum(axis=1)
-                known = (whole > 0) & bool(m.langs)
-                score = np.where(known, share.max(axis=1) / np.maximum(whole, 1), 0.0)
-                # a span runs from a change of text or label to the last word before the next
-                new = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(labels, prepend=-1) != 0))
-                last = np.append(new[1:], len(starts)) - 1
-                if not m.langs:
-                    new, last = new[:0], last[:0]
-                base = g.starts[text[new]]
-                items = pa.StructArray.from_arrays(
-                    [pa.array(names[labels[new]], pa.string()), pa.array(starts[new] - base), pa.array(ends[last] - base)],
-                    ["lang", "start", "end"])
-                offsets = np.concatenate(([0], np.cumsum(np.bincount(text[new], minlength=g.n))))
+            for r in label(shared.value, b.column(1).to_pylist(), penalty, group_chars):
+                spans = pa.StructArray.from_arrays(
+                    [pa.array(names[r.span_lang], pa.string()), pa.array(r.span_start), pa.array(r.span_end)], ["lang", "start", "end"])
+                offsets = np.concatenate(([0], np.cumsum(np.bincount(r.span_text, minlength=r.group.n))))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(g.first, g.n), pa.array(names[np.where(known, lang, -1)], pa.string()), pa.array(score),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items).cast(span_type)],
+                    [b.column(0).slice(r.group.first, r.group.n), pa.array(names[r.lang], pa.string()), pa.array(r.score),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans).cast(span_type)],
                     ["doc_id", "lang_pred", "score", "spans"])
 
     return docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, PREDICTED)
 
 
+def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float, text_col: str = "text",
+                    penalty: float = PENALTY, group_chars: int = GROUP_CHARS) -> DataFrame:
+    """The documents, all columns, whose language is known and covers
+    ``least_score`` of the letters or more, in the task that reads them."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in label(shared.value, b.column(at).to_pylist(), penalty, group_chars):
+                keep = (r.lang >= 0) & (r.score >= least_score)
+                yield b.slice(r.group.first, r.group.n).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _group_words(model: LanguageModel, group: textvec.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word scores of a group, slice by slice: trigrams take many bytes a character."""
     parts, at = [], 0
