@@ -246,18 +246,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     copy = F.row_number().over(Window.partitionBy("row_key").orderBy(*key))
     piece = F.struct("copy", "round", "from_word", "to_word")
     parts = (pieces.join(documents.withColumn("copy", copy).select(*key, "row_key", "copy"), key)
-             .groupBy("row_key").agg(F.collect_list(piece).alias("_pieces")).withColumnRenamed("row_key", "_key"))
-    own = F.filter("_pieces", lambda p: p["copy"] == F.col("_copy"))
-    ranges = F.array_sort(F.transform(F.filter("_pieces", lambda p: p["round"] == F.col("_round")),
+             .groupBy("row_key").agg(F.collect_list(piece).alias("pieces")))
+    text = F.col("row").getField(text_col)
+    own = F.filter("pieces", lambda p: p["copy"] == F.col("copy"))
+    ranges = F.array_sort(F.transform(F.filter("pieces", lambda p: p["round"] == F.col("round")),
                                       lambda p: F.struct(p["from_word"].alias("a"), p["to_word"].alias("z"))))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(SPACED_WORD), F.lit(0))
-    whole = F.aggregate("_ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["z"] - r["a"]) == word_count(F.col(text_col))
-    some = F.array_join(F.transform("_ranges", lambda r: F.array_join(F.slice("_words", (r["a"] + 1).cast("int"), (r["z"] - r["a"]).cast("int")), "")), "")
-    chosen = (docs.withColumn("_key", row_key(id_col, source_col, text_col)).join(parts, "_key")
-              .withColumn("_copy", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
-              .withColumn("_pieces", own)
-              .withColumn("_round", F.explode(F.array_distinct(F.transform("_pieces", lambda p: p["round"]))))
-              .withColumn("_ranges", ranges).withColumn("_whole", whole)
-              .withColumn("_words", F.when(~F.col("_whole"), words))
-              .withColumn(text_col, F.when(F.col("_whole"), F.col(text_col)).otherwise(some)))
-    return chosen.select(*docs.columns)
+    whole = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["z"] - r["a"]) == word_count(text)
+    words = F.regexp_extract_all(text, F.lit(SPACED_WORD), F.lit(0))
+    some = F.array_join(F.transform("ranges", lambda r: F.array_join(
+        F.slice("words", (r["a"] + 1).cast("int"), (r["z"] - r["a"]).cast("int")), "")), "")
+    chosen = (docs.select(F.struct("*").alias("row"), row_key(id_col, source_col, text_col).alias("row_key")).join(parts, "row_key")
+              .withColumn("copy", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key")))
+              .withColumn("pieces", own)
+              .withColumn("round", F.explode(F.array_distinct(F.transform("pieces", lambda p: p["round"]))))
+              .withColumn("ranges", ranges).withColumn("whole", whole).withColumn("words", F.when(~F.col("whole"), words)))
+    return chosen.select(*((F.when(F.col("whole"), text).otherwise(some) if c == text_col else F.col("row").getField(c)).alias(c)
+                           for c in docs.columns))
