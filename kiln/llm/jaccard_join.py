@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm import textvec
 from kiln.llm.groups import components
+from kiln.operators.joins import join_small
 from kiln.session import materialize
 
 N, THRESHOLD, RECALL, PERMUTATIONS, SEED = 5, 0.8, 0.9995, 256, 8
@@ -83,9 +84,8 @@ def candidates(classes: DataFrame) -> DataFrame:
 def ngram_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(class, group, n_docs, grams): the n-gram set of each wanted class, as
     sorted 64-bit hashes packed in bytes, from the text of its named document."""
-    texts = (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-             .join(wanted.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")))
-             .select("class", "group", "n_docs", "text"))
+    texts = join_small(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")),
+                       wanted, ["doc_id"]).select("class", "group", "n_docs", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -230,7 +230,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5")
     best = joined.where("class is not null").groupBy("group_key").agg(F.min(order).alias("k")).select("k.doc_id", "k.text_md5")
     alone = joined.where("class is null").select("doc_id", "text_md5")
-    kept = best.unionByName(alone).select(key(F.col("doc_id"), F.col("text_md5")).alias("_kept")).distinct()
+    kept = best.unionByName(alone).select(key(F.col("doc_id"), F.col("text_md5")).alias("kept")).distinct()
     digest = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    return (docs.withColumn("_kept", key(F.col(id_col).cast("bigint"), digest)).join(kept, "_kept")
-            .dropDuplicates(["_kept"]).select(*docs.columns))
+    return (docs.select(F.struct("*").alias("row"), key(F.col(id_col).cast("bigint"), digest).alias("kept"))
+            .join(kept, "kept").dropDuplicates(["kept"]).select("row.*"))
