@@ -29,6 +29,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,8 +38,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
-from public_tokenizers import PATTERN
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +61,29 @@ RECORDS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 # -- encoding ---------------------------------------------------------------
 
+#: Fixed value: the word pattern of byte-level tokenizers, in Python's classes.
+#: Of ``plain`` characters the classes hold the same ones: a letter is a word
+#: character that is neither a decimal digit nor an underscore.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+
+
+def plain(c: str) -> bool:
+    return unicodedata.category(c) not in ("No", "Nl", "Cn", "Cc") or c in "\t\n\v\f\r"
+
+
+@lru_cache(maxsize=1)
+def unusual() -> re.Pattern:
+    """Finds a character that isn't plain, or not of the scripts up to
+    Cyrillic and general punctuation, whose classes are long settled."""
+    usual = [c for c in map(chr, [*range(0x530), *range(0x2010, 0x2028), *range(0x2030, 0x205F)]) if plain(c)]
+    return re.compile("[^" + "".join(map(re.escape, usual)) + "]")
+
+
 class Encoder(dict):
     """Texts to raw ids with a tokenizer file.  A byte-level tokenizer without
     normalizer encodes each piece of its word pattern by itself, so the ids of
-    a piece are kept: this dict maps pieces to raw ids."""
+    a piece are kept: this dict maps pieces to raw ids.  Texts with unusual
+    characters are given to the tokenizer whole."""
 
     def __init__(self, path: str):
         super().__init__()
@@ -74,7 +92,7 @@ class Encoder(dict):
         pre = self.tokenizer.pre_tokenizer
         self.by_piece = (self.tokenizer.normalizer is None and isinstance(pre, ByteLevel) and pre.use_regex
                          and not pre.add_prefix_space)
-        self.pieces = regex.compile(PATTERN).findall
+        self.pieces = re.compile(PIECES).findall
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
 
@@ -88,9 +106,9 @@ class Encoder(dict):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not self.by_piece or self.added and self.added.search(text):
+        if not self.by_piece or self.added and self.added.search(text) or unusual().search(text):
             return self.whole(text)
-        return b"".join([self[p] for p in self.pieces(text)])
+        return b"".join(map(self.__getitem__, self.pieces(text)))
 
 
 @lru_cache(maxsize=2)
