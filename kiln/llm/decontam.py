@@ -4,10 +4,12 @@ edited and paraphrased copies.
 
 1. The documents that hold each n-gram of the benchmark are counted over the
    whole corpus (one scan; a task sends at most one count per n-gram).
-2. Of every ``stride`` neighbouring n-grams of an item the rarest one becomes
-   a seed.  So every part of every item keeps a seed, however common it is.
-3. A second scan looks the seeds up in each document; where they hit, the
-   item is aligned with the surrounding words (+1 a match, ``-gap`` a change,
+2. An n-gram is a seed if at most ``rare_share`` of the documents hold it, or
+   at most twice as many as hold the item's median n-gram.  So every item has
+   seeds, however common it is, and stock phrases in it are none.
+3. A second scan looks the seeds up in each document; where they hit, and
+   the words around hold enough of the item's to reach the score, the item is
+   aligned with the surrounding words (+1 a match, ``-gap`` a change,
    insertion or deletion).  The score is the best local alignment's value per
    word of the item, 1 for a verbatim copy.
 
@@ -16,7 +18,7 @@ The benchmark is the stated query set: it is taken in blocks of about
 Texts aren't shuffled.
 
 Defined results: null, empty and wordless texts and items match nothing;
-items of fewer words than a seed are looked up whole; equal items are all
+items of fewer words than a seed match only texts of just these words; equal items are all
 reported; of several copies in one document the best (then the first) is
 reported; repeated rows each get their result; extra columns are ignored.
 """
@@ -37,7 +39,7 @@ BLOCK_CHARS = 20_000_000
 
 #: A leak scores ``LEAST_SCORE`` per word of the item or more, and
 #: ``LEAST_WORDS`` in all or the whole of a shorter item.
-SEED_WORDS, STRIDE, GAP, LEAST_SCORE, LEAST_WORDS = 3, 3, 0.5, 0.4, 8
+SEED_WORDS, RARE_SHARE, GAP, LEAST_SCORE, LEAST_WORDS = 3, 0.001, 0.5, 0.4, 8
 
 LEAKS = "doc_id bigint, item_id bigint, score double, start bigint, end bigint"
 
@@ -87,14 +89,15 @@ class Lookup:
         return maybe[hit], k[hit]
 
 
-def count_grams(docs: DataFrame, grams: np.ndarray, seed_words: int, text_col: str = "text") -> dict[int, int]:
-    """Documents that hold each of the n-grams, over the whole corpus."""
+def gram_shares(docs: DataFrame, grams: np.ndarray, seed_words: int, text_col: str = "text") -> dict[int, float]:
+    """Share of the documents that hold each of the n-grams, over the whole corpus."""
     shared = docs.sparkSession.sparkContext.broadcast(Lookup(grams))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = shared.value
-        n = np.zeros(len(look.keys), np.int64)
+        n = np.zeros(len(look.keys) + 1, np.int64)             # the last one counts documents
         for b in batches:
+            n[-1] += b.num_rows
             for s in textvec.slices(b.column(0).to_pylist()):
                 w = textvec.words(s)
                 g, at = textvec.ngrams(w, seed_words)
@@ -105,19 +108,17 @@ def count_grams(docs: DataFrame, grams: np.ndarray, seed_words: int, text_col: s
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(n[k])], ["gram", "n"])
 
     rows = docs.select(text_col).mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    keys = np.unique(grams)
-    return {int(keys[r["gram"]]): r["n"] for r in rows}
+    n, keys = {r["gram"]: r["n"] for r in rows}, np.unique(grams)
+    whole = n.pop(len(keys), 1)
+    return {int(keys[k]): v / whole for k, v in n.items()}
 
 
-def choose_seeds(items: Items, counts: dict[int, int], stride: int) -> np.ndarray:
-    """Gram numbers: the rarest (then first) of each run of ``stride``."""
-    item = np.searchsorted(items.first, items.at, "right") - 1
-    rarity = np.array([counts.get(int(g), 0) for g in items.grams])
-    chosen = []
-    for k in np.unique(item):
-        own = np.flatnonzero(item == k)
-        chosen += [own[i:i + stride][rarity[own[i:i + stride]].argmin()] for i in range(0, len(own), stride)]
-    return np.array(sorted(chosen), np.int64)
+def choose_seeds(items: Items, shares: dict[int, float], rare_share: float) -> np.ndarray:
+    """Gram numbers of the rare n-grams of each item."""
+    share = np.array([shares.get(int(g), 0.0) for g in items.grams])
+    cut = np.searchsorted(items.at, items.first)                 # grams of item k: cut[k] to cut[k + 1]
+    limit = [max(rare_share, 2 * float(np.median(share[a:z]))) for a, z in zip(cut, cut[1:]) if z > a]
+    return np.flatnonzero(share <= np.repeat(limit, np.diff(cut)[np.diff(cut) > 0]))
 
 
 def align(item: np.ndarray, words: np.ndarray, gap: float) -> tuple[float, int, int]:
@@ -179,14 +180,17 @@ class Matcher:
                 regions[-1][1] = max(end, regions[-1][1])
             else:
                 regions.append([begin, end])
+        least = max(self.least_score * m, min(self.least_words, m))
         top, where = 0.0, None
         for begin, end in regions:
+            if np.isin(own, w.hashes[begin:end]).sum() < max(least, top):      # no alignment can reach it
+                continue
             value, i, j = align(own, w.hashes[begin:end], self.gap)
             if value > top:
                 top, where = value, (begin, i, j)
             if top == m:
                 break
-        if where is None or top < max(self.least_score * m, min(self.least_words, m)):
+        if where is None or top < least:
             return None
         begin, i, j = where                                   # backwards from its end for where it begins
         _, _, back = align(own[:i][::-1], w.hashes[begin:begin + j][::-1], self.gap)
@@ -203,23 +207,23 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[
         yield [r["id"] for r in rows], [r["text"] for r in rows]
 
 
-def _matchers(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, seed_words: int, stride: int, gap: float,
+def _matchers(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, seed_words: int, rare_share: float, gap: float,
               least_score: float, least_words: int):
     for ids, texts in _blocks(benchmark, item_col, text_col):
         items = Items.of(ids, texts, seed_words)
-        seeds = choose_seeds(items, count_grams(docs, items.grams, seed_words, text_col), stride)
+        seeds = choose_seeds(items, gram_shares(docs, items.grams, seed_words, text_col), rare_share)
         yield docs.sparkSession.sparkContext.broadcast(Matcher(items, seeds, seed_words, gap, least_score, least_words))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
-               seed_words: int = SEED_WORDS, stride: int = STRIDE, gap: float = GAP, least_score: float = LEAST_SCORE,
+               seed_words: int = SEED_WORDS, rare_share: float = RARE_SHARE, gap: float = GAP, least_score: float = LEAST_SCORE,
                least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, item_id, score, start, end): every document with a copy of an
     item, its score and its span (code points, end exclusive)."""
     out = None
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
 
-    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, stride, gap, least_score, least_words):
+    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             m = shared.value
             for b in batches:
@@ -235,11 +239,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", it
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
-                 seed_words: int = SEED_WORDS, stride: int = STRIDE, gap: float = GAP, least_score: float = LEAST_SCORE,
+                 seed_words: int = SEED_WORDS, rare_share: float = RARE_SHARE, gap: float = GAP, least_score: float = LEAST_SCORE,
                  least_words: int = LEAST_WORDS) -> DataFrame:
     """The documents without a copy of an item, all columns, in the task that reads them."""
     at, out = docs.columns.index(text_col), docs
-    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, stride, gap, least_score, least_words):
+    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 keep = np.ones(b.num_rows, bool)
