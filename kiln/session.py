@@ -44,7 +44,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); sets a
-    private one only when none is configured.
+    private one only when none is configured and the master is local: on a
+    cluster each executor would write to its own disk, so that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="kiln-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -99,10 +102,10 @@ def bounded_local(df: DataFrame, max_rows: int) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
-    """Partition count for an explicit (range) repartition: at least
-    ``spark.sql.shuffle.partitions``, and about ``target_bytes`` of input
-    per partition.
+def partitions_for(df: DataFrame, target_bytes: int = 128 << 20, least: int | None = None) -> int:
+    """Partition count for an explicit (range) repartition: ``least`` (by
+    default ``spark.sql.shuffle.partitions``), and about ``target_bytes`` of
+    input per partition.
 
     The input size is the sum of the plan's leaf relations (file sizes for
     scans).  The optimizer's estimate of the whole plan is not used: without
@@ -110,15 +113,8 @@ def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
     AQE may merge small range partitions but never splits them, so the
     count must come from the data, not the session default.
     """
-    base = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        total = 0
-        for i in range(leaves.size()):
-            raw = leaves.apply(i).stats().sizeInBytes()
-            size = int(raw) if isinstance(raw, int) else int(raw.toString())
-            if size < 1 << 62:                              # skip Spark's "unknown size" default
-                total += size
-    except Exception:                                        # noqa: BLE001 - statistics unavailable
-        return base
-    return int(min(max(base, -(-total // target_bytes)), 1_000_000))
+    least = least or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    total = sum(n for n in sizes if n < 1 << 62)            # Spark's "unknown size" is left out
+    return max(least, -(-total // target_bytes))

@@ -7,6 +7,7 @@ filter pushdown happen in Catalyst when the caller selects / filters.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
@@ -28,7 +29,6 @@ def read_lines(spark: SparkSession, path: str, whole_text: bool = False) -> Data
     # text() sets its own wholetext default, so pass it as an argument
     df = spark.read.text(path, wholetext=whole_text)
     if whole_text:
-        from pyspark.sql import functions as F
         return df.select(F.input_file_name().alias("path"), F.col("value").alias("content"))
     return df
 
@@ -42,3 +42,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w = w.option(k, v)
     w.save(path)
     return path
+
+
+def fixed_length_records(files: DataFrame, length: int, col: str = "content") -> DataFrame:
+    """(path, record): the fixed-length records of binary files (columns
+    ``path`` and ``content``, as the ``binaryFile`` source reads them, batch
+    or stream).  A tail shorter than a record is dropped, as the reference
+    does.  A file is one value, so it must fit a task; write many files."""
+    n = F.floor(F.octet_length(col) / length)
+    at = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    records = F.transform(at, lambda i: F.substring(F.col(col), (i * length + 1).cast("int"), F.lit(length)))
+    return files.select("path", F.explode(records).alias("record"))

@@ -1,16 +1,16 @@
 """Models updated per micro-batch (streaming k-means, streaming linear SGD).
 
-The model itself (k centres, or d weights) is small and lives on the
-driver between batches; every batch is scored and summarised by Spark
-jobs (built-in array expressions, partial aggregates), and only the
-k x d / d-sized summaries come back.  Each batch appends its model
-snapshot under its batch id, so a replayed batch overwrites, not repeats.
+The model itself (k centres, or d weights) is small; every batch is scored
+and summarised by Spark jobs (built-in array expressions, partial
+aggregates), and only the k x d / d-sized summaries come back.  Each batch
+starts from the snapshot written under the batch id before its own and
+writes its own, so a repeated batch or a restart changes nothing.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.session import scratch_path
@@ -57,22 +57,53 @@ def kmeans_update(centres: np.ndarray, weights: np.ndarray, m: np.ndarray, xs: n
     return newc, nw
 
 
+def _before(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
+    """The model history up to the batch before this one, read from what was
+    committed: a restarted or repeated batch starts from the same model."""
+    return spark.read.option("basePath", out).parquet(*(f"{out}/b={i}" for i in range(batch_id))) if batch_id else None
+
+
+def last_centres(history: DataFrame) -> np.ndarray:
+    return _kmeans_model(history)[0]
+
+
+def _kmeans_model(history: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    last = history.agg(F.max("batch_id")).first()[0]
+    rows = history.where(F.col("batch_id") == last).orderBy("cluster").collect()          # k centres
+    return np.array([r["centre"] for r in rows]), np.array([r["weight"] for r in rows])
+
+
+def last_weights(history: DataFrame) -> np.ndarray:
+    return np.array(history.orderBy(F.desc("batch_id")).first()["weights"])
+
+
+def predict_linear(df: DataFrame, xcol: str, w: np.ndarray, logistic: bool = False, out: str = "prediction") -> DataFrame:
+    z = _dot(F.col(xcol).cast("array<double>"), w)
+    return df.withColumn(out, 1 / (1 + F.exp(-z)) if logistic else z)
+
+
 def streaming_kmeans(stream: DataFrame, col: str, k: int, decay: float = 1.0, seed: int = 0,
-                     name: str = "kmeans", dim: int | None = None) -> DataFrame:
+                     name: str = "kmeans", dim: int | None = None, time_unit: str = "batches") -> DataFrame:
+    """Centres after each batch.  Old points lose weight by ``decay`` per
+    batch, or per new point (``time_unit`` "batches" or "points")."""
+    if time_unit not in ("batches", "points"):
+        raise ValueError(f"unknown time unit {time_unit!r}")
     spark = stream.sparkSession
     out = scratch_path(spark, f"{name}-centres")
-    state = {"centres": None, "weights": np.zeros(k)}
-    rng = np.random.default_rng(seed)
 
     def each(batch: DataFrame, batch_id: int):
-        d = dim or len(batch.select(col).first()[0])
-        if state["centres"] is None:
-            state["centres"] = rng.normal(size=(k, d))
-        assigned = assign_clusters(batch, col, state["centres"])
-        m, xs = cluster_sums(assigned, col, k, d)
-        state["centres"], state["weights"] = kmeans_update(state["centres"], state["weights"], m, xs, decay)
-        rows = [(int(batch_id), i, float(state["weights"][i]), [float(v) for v in state["centres"][i]])
-                for i in range(k)]
+        first = batch.select(col).first()
+        if batch_id:
+            centres, weights = _kmeans_model(_before(spark, out, batch_id))
+        elif first is None:
+            return
+        else:
+            centres = np.random.default_rng(seed).normal(size=(k, dim or len(first[0])))
+            weights = np.zeros(k)
+        m, xs = cluster_sums(assign_clusters(batch, col, centres), col, k, centres.shape[1])
+        fade = decay if time_unit == "batches" else decay ** m.sum()
+        centres, weights = kmeans_update(centres, weights, m, xs, fade)
+        rows = [(int(batch_id), i, float(weights[i]), [float(v) for v in centres[i]]) for i in range(k)]
         spark.createDataFrame(rows, "batch_id long, cluster int, weight double, centre array<double>") \
              .write.mode("overwrite").parquet(f"{out}/b={batch_id}")
 
@@ -86,23 +117,21 @@ def streaming_linear_sgd(stream: DataFrame, xcol: str, ycol: str, n_features: in
     steps per batch; gradient = one posexplode + groupBy(pos) aggregate."""
     spark = stream.sparkSession
     out = scratch_path(spark, f"{name}-weights")
-    state = {"w": np.zeros(n_features)}
 
     def each(batch: DataFrame, batch_id: int):
         b = batch.select(F.col(xcol).cast("array<double>").alias("x"), F.col(ycol).cast("double").alias("y"))
+        w = last_weights(_before(spark, out, batch_id)) if batch_id else np.zeros(n_features)
         loss = None
         for _ in range(iters_per_batch):
-            z = _dot(F.col("x"), state["w"])
-            pred = 1 / (1 + F.exp(-z)) if logistic else z
-            r = b.withColumn("_err", pred - F.col("y"))
+            r = predict_linear(b, "x", w, logistic).withColumn("_err", F.col("prediction") - F.col("y"))
             g = (r.select(F.posexplode("x").alias("pos", "xi"), "_err")
                   .groupBy("pos").agg(F.avg(F.col("xi") * F.col("_err")).alias("g")).collect())
             grad = np.zeros(n_features)
             for row in g:
                 grad[row["pos"]] = row["g"]
             loss = r.agg(F.avg(F.col("_err") * F.col("_err"))).first()[0]
-            state["w"] = state["w"] - step * grad
-        spark.createDataFrame([(int(batch_id), [float(v) for v in state["w"]], float(loss or 0.0))],
+            w = w - step * grad
+        spark.createDataFrame([(int(batch_id), [float(v) for v in w], float(loss or 0.0))],
                               "batch_id long, weights array<double>, mse double") \
              .write.mode("overwrite").parquet(f"{out}/b={batch_id}")
 

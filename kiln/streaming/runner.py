@@ -1,68 +1,71 @@
 """Structured Streaming plumbing shared by the stream queries.
 
-* ``stage_files``: lay a table down as several files so a file stream sees
-  several micro-batches (``maxFilesPerTrigger=1``).
-* ``run_append`` / ``run_complete`` / ``run_foreach``: run a stream to the
-  end of its input with ``trigger(availableNow=True)`` into a Parquet sink
-  (append) or through ``foreachBatch`` (complete/update), with the
-  checkpoint in the shared folder, then return the sink as a batch table.
+* ``stage``: lay a table down as files, batch by batch, so that a file stream
+  reads it in that order, one micro-batch per batch;
+* ``run_*``: run a stream to the end of its input with
+  ``trigger(availableNow=True)``, checkpoint and output in the shared folder,
+  and return the output as a batch table.  Output is kept under the batch id,
+  so a batch that runs again replaces its own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from kiln.session import scratch_path
+from kiln.session import partitions_for, scratch_path
 
-TIMEOUT_S = 900
 
+@dataclass
+class Staged:
+    """Files of a stream: ``files_per_batch`` files make a batch."""
+    path: str
+    schema: StructType
+    files_per_batch: int
 
-def stage_files(df: DataFrame, name: str, n_files: int, id_col: str) -> tuple[str, object]:
-    """Write ``df`` as ``n_files`` chunk folders ``chunk=i`` of one file each,
-    chunk = floor(id / ceil((max id + 1) / n_files)) -- a rule SQL can
-    repeat.  Returns (folder, schema incl. the ``chunk`` column)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    hi = df.agg(F.max(id_col)).first()[0]
-    size = -(-(int(hi) + 1) // n_files)
-    chunked = df.withColumn("chunk", F.floor(F.col(id_col) / F.lit(size)).cast("int"))
-    # One write per chunk, in order: the file source orders new files by
-    # modification time, so batches then arrive in id (= event time) order
-    # and the watermark never overtakes rows still to come.
-    for i in range(n_files):
-        (chunked.where(F.col("chunk") == i).drop("chunk").coalesce(1)
-                .write.mode("overwrite").parquet(f"{path}/chunk={i}"))
-    return path, spark.read.parquet(path).schema
+    def stream(self, spark: SparkSession) -> DataFrame:
+        return (spark.readStream.format("parquet").schema(self.schema)
+                .option("maxFilesPerTrigger", self.files_per_batch).load(self.path))
 
 
-def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
-                 .load(path))
+def stage(df: DataFrame, name: str, n_batches: int, id_col: str, closing: DataFrame | None = None) -> Staged:
+    """Write ``df`` as ``n_batches`` folders ``chunk=i``, chunk = floor(id /
+    ceil((max id + 1) / n_batches)), a rule SQL can repeat.
 
-
-@contextmanager
-def _stream_partitions(spark: SparkSession):
-    """State-store partitions follow spark.sql.shuffle.partitions at query
-    start (the stream clones the session then).  Cap them at twice the
-    cluster's parallelism: more state partitions than cores only adds
-    per-batch task overhead."""
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    cap = max(1, 2 * spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", str(min(int(old), cap)))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    The file source takes files by age, so the folders are written one after
+    the other, each by as many tasks (and files) as its share of the data
+    asks for.  ``closing``: rows for one more batch, e.g. a late time stamp
+    that moves the watermark past all windows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    size = -(-(int(df.agg(F.max(id_col)).first()[0] or 0) + 1) // n_batches)
+    files = -(-partitions_for(df, least=1) // n_batches)
+    for i in range(n_batches):
+        part = df.where((F.col(id_col) >= i * size) & (F.col(id_col) < (i + 1) * size))
+        part.repartition(files).write.parquet(f"{path}/chunk={i}")
+    if closing is not None:
+        closing.select(*df.columns).repartition(1).write.parquet(f"{path}/chunk={n_batches}")
+    return Staged(path, spark.read.parquet(path).schema, files)
+
+
+def queue_stream(name: str, batches: list[DataFrame]) -> DataFrame:
+    """A stream whose micro-batches are the given tables (``queueStream``),
+    each written as its own folder ``batch=i``."""
+    spark = batches[0].sparkSession
+    path = scratch_path(spark, name)
+    for i, df in enumerate(batches):
+        df.repartition(1).write.parquet(f"{path}/batch={i}")
+    return Staged(path, spark.read.parquet(path).schema, 1).stream(spark)
 
 
-def _await(q):
-    q.awaitTermination(TIMEOUT_S)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {q.name} did not finish")
+def _wait(q) -> None:
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
@@ -70,36 +73,19 @@ def _await(q):
 def run_append(stream: DataFrame, name: str) -> DataFrame:
     spark = stream.sparkSession
     out, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ck")
-    with _stream_partitions(spark):
-        q = (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
-                   .trigger(availableNow=True).start(out))
-    _await(q)
-    return spark.read.parquet(out)
-
-
-def run_foreach(stream: DataFrame, name: str, fn, mode: str = "update") -> None:
-    spark = stream.sparkSession
-    ck = scratch_path(spark, f"{name}-ck")
-    with _stream_partitions(spark):
-        q = (stream.writeStream.outputMode(mode).option("checkpointLocation", ck).foreachBatch(fn)
-                   .trigger(availableNow=True).start())
-    _await(q)
+    _wait(stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
+          .trigger(availableNow=True).start(out))
+    return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_complete(stream: DataFrame, name: str) -> DataFrame:
-    """Complete-mode aggregate: each batch overwrites the snapshot table
-    (idempotent on replay); the last snapshot is the answer."""
-    spark = stream.sparkSession
-    out = scratch_path(spark, f"{name}-snap")
-
-    def snapshot(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(out)
+def run_foreach(stream: DataFrame, name: str, fn: Callable[[DataFrame, int], None], mode: str = "update",
+                checkpoint: str | None = None) -> None:
+    ck = checkpoint or scratch_path(stream.sparkSession, f"{name}-ck")
+    _wait(stream.writeStream.outputMode(mode).option("checkpointLocation", ck).foreachBatch(fn)
+          .trigger(availableNow=True).start())
 
-    run_foreach(stream, name, snapshot, mode="complete")
-    return spark.read.parquet(out)
 
-
-def run_batches(stream: DataFrame, name: str, fn, mode: str = "append") -> DataFrame:
+def run_batches(stream: DataFrame, name: str, fn: Callable[[DataFrame, int], DataFrame], mode: str = "append") -> DataFrame:
     """Apply ``fn(batch_df, batch_id) -> DataFrame`` to every micro-batch and
     keep each result under its batch id (overwrite per id = idempotent)."""
     spark = stream.sparkSession
@@ -112,6 +98,52 @@ def run_batches(stream: DataFrame, name: str, fn, mode: str = "append") -> DataF
     return spark.read.option("basePath", out).parquet(out)
 
 
+def run_latest(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """An aggregate stream in update mode: a batch writes only the keys it
+    changed, and the last value written for a key is the answer."""
+    changes = run_batches(stream, name, lambda batch, _: batch, mode="update")
+    values = [c for c in stream.columns if c not in keys]
+    last = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_last"))
+    return last.select(*keys, "_last.*")
+
+
+def run_text_folders(stream: DataFrame, name: str) -> str:
+    """Write every batch of a one-column stream as a text folder
+    ``batch_id=<id>`` (``saveAsTextFiles``); returns the parent folder."""
+    out = scratch_path(stream.sparkSession, f"{name}-text")
+    run_foreach(stream, name, lambda batch, i: batch.write.mode("overwrite").text(f"{out}/batch_id={i}"), mode="append")
+    return out
+
+
+def update_state_by_key(stream: DataFrame, name: str, key: str, new: dict[str, Column], state: dict[str, Column],
+                        keep: Column, state_schema: str) -> DataFrame:
+    """``updateStateByKey``: after each batch the state of *every* key is
+    renewed, also of keys without new rows, and keys may be dropped.
+
+    ``new``: aggregates of a key's rows in the batch (NULL without rows).
+    ``state``: each state column as an expression over the aggregates and the
+    old state (NULL if there was none).  ``keep``: condition on the renewed
+    state.  ``state_schema``: DDL of the key and the state columns.  The state
+    is a table per batch id in the shared folder; batch n reads that of batch
+    n - 1, so a batch can run again and a restart goes on from the last one.
+    """
+    spark = stream.sparkSession
+    out = scratch_path(spark, f"{name}-state")
+    empty = spark.createDataFrame([], state_schema)
+    written = []
+
+    def each(batch: DataFrame, batch_id: int):
+        rows = batch.groupBy(key).agg(*(c.alias(n) for n, c in new.items()))
+        old = spark.read.schema(empty.schema).parquet(f"{out}/batch_id={batch_id - 1}") if batch_id else empty
+        renewed = rows.join(old, key, "full_outer").select(
+            key, *(c.cast(empty.schema[n].dataType).alias(n) for n, c in state.items()))
+        renewed.where(keep).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        written[:] = [batch_id]
+
+    run_foreach(stream, name, each, mode="append")
+    return spark.read.schema(empty.schema).parquet(f"{out}/batch_id={written[0]}") if written else empty
+
+
 @contextmanager
 def utc_session(spark: SparkSession):
     """Event-time windows need TIMESTAMP (not NTZ); pin the session zone so

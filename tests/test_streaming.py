@@ -49,14 +49,12 @@ def test_kmeans_update_rule():
 
 def test_streaming_kmeans_and_sgd_run(spark):
     e = table(spark, SF_SMALL, "embeddings").select("vec_id", "embedding")
-    path, schema = runner.stage_files(e, "km", 3, "vec_id")
-    cents = models.streaming_kmeans(runner.file_stream(spark, path, schema), "embedding", k=3, seed=1, name="km")
+    cents = models.streaming_kmeans(runner.stage(e, "km", 3, "vec_id").stream(spark), "embedding", k=3, seed=1, name="km")
     assert cents.select("batch_id").distinct().count() == 3
     assert cents.where("batch_id = 2").agg(F.sum("weight")).first()[0] == e.count()   # decay 1: all points
     x = spark.range(3000).select(F.col("id").alias("rid"), F.array((F.col("id") % 10 / 10.0).cast("double")).alias("x")) \
              .withColumn("y", F.col("x")[0] * 3.0)
-    path, schema = runner.stage_files(x, "sgd", 3, "rid")
-    hist = models.streaming_linear_sgd(runner.file_stream(spark, path, schema), "x", "y", 1, step=0.5,
+    hist = models.streaming_linear_sgd(runner.stage(x, "sgd", 3, "rid").stream(spark), "x", "y", 1, step=0.5,
                                        iters_per_batch=20, name="sgd").orderBy("batch_id").toPandas()
     assert abs(hist.weights.iloc[-1][0] - 3.0) < 0.3
     assert hist.mse.iloc[-1] < hist.mse.iloc[0]
@@ -64,8 +62,7 @@ def test_streaming_kmeans_and_sgd_run(spark):
 
 def test_memory_console_sinks_and_slice(spark, capsys):
     ev = table(spark, SF_SMALL, "events")
-    path, schema = runner.stage_files(ev, "sinks", 4, "event_id")
-    stream = runner.file_stream(spark, path, schema)
+    stream = runner.stage(ev, "sinks", 4, "event_id").stream(spark)
     q = (stream.groupBy("event_type").count().writeStream.format("memory").queryName("kiln_counts")
                .outputMode("complete").option("checkpointLocation", scratch_path(spark, "mem-ck"))
                .trigger(availableNow=True).start())
