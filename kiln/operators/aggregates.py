@@ -59,31 +59,35 @@ def describe_population(df: DataFrame, cols: list[str]) -> DataFrame:
         aggs += [F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
                  F.stddev_pop(x).alias(f"stddev__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
     wide = df.agg(*aggs)
-    stats = ["count", "mean", "stddev", "min", "max"]
-    stack = ", ".join(f"'{s}', " + ", ".join(f"`{s}__{c}`" for c in cols) for s in stats)
-    return wide.selectExpr(f"stack({len(stats)}, {stack}) AS (summary, {', '.join(cols)})")
+    stack = ", ".join(f"'{s}', " + ", ".join(f"`{s}__{c}`" for c in cols) for s in STATISTICS)
+    return wide.selectExpr(f"stack({len(STATISTICS)}, {stack}) AS (summary, {', '.join(cols)})")
+
+
+STATISTICS = ("count", "mean", "stddev", "min", "max")
 
 
 def describe_long(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """The same statistics in long form (summary, column, value double)."""
-    wide = describe_population(df, cols)
-    parts = [wide.select("summary", F.lit(c).alias("column"),
-                         F.round(F.col(c).cast("double"), digits).alias("value")) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def crosstab(df: DataFrame, a: str, b: str, max_values: int = 10_000) -> DataFrame:
-    """Contingency table: first column ``a_b``, one count column per value
-    of ``b`` (zeros for absent pairs).  Distinct values of ``b`` are
-    checked against ``max_values`` before pivoting."""
-    values = [r[0] for r in df.select(F.col(b).cast("string")).distinct().limit(max_values + 1).collect()]
-    if len(values) > max_values:
-        raise ValueError(f"more than {max_values} distinct values in {b}")
-    values = sorted(v for v in values if v is not None)
-    t = (df.select(F.col(a).cast("string").alias(f"{a}_{b}"), F.col(b).cast("string").alias("_b"))
+    """The same statistics in long form (summary, column, value double), from
+    one scan."""
+    by_column = ", ".join(f"'{c}', round(double({c}), {digits})" for c in cols)
+    return describe_population(df, cols).selectExpr("summary", f"stack({len(cols)}, {by_column}) AS (column, value)")
+
+
+def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Contingency table in long form: (a, b, n) of the pairs that occur, NULL
+    a value like any other.  No limit on the number of values."""
+    return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+
+
+def crosstab(df: DataFrame, a: str, b: str, values: list[str] | None = None) -> DataFrame:
+    """Contingency table: first column ``a_b``, one count column per value of
+    ``b`` (zeros for absent pairs; ``null`` for NULL).  A wide table has the
+    values of ``b`` as column names, so they are fetched unless given; use
+    ``crosstab_long`` for many values."""
+    name = F.coalesce(F.col(b).cast("string"), F.lit("null"))
+    if values is None:
+        values = sorted(r[0] for r in df.select(name).distinct().collect())
+    t = (df.select(F.col(a).cast("string").alias(f"{a}_{b}"), name.alias("_b"))
            .groupBy(f"{a}_{b}").pivot("_b", values).count())
     return t.na.fill(0, subset=values)
 
@@ -96,31 +100,45 @@ def frequent_values(df: DataFrame, col: str, support: float) -> DataFrame:
     return counts.where(F.col("n") >= F.lit(support * total))
 
 
-def keyed_reduce(df: DataFrame, key: str, val: str, ufunc: np.ufunc, out_type: str = "double") -> DataFrame:
-    """``reduceByKey`` with a user monoid given as a numpy ufunc.
+#: Keys a task of ``keyed_reduce`` holds before it sends their partials, and
+#: the partials of one key that meet in the last merge at most.
+HELD_KEYS, LAST_PARTIALS = 1 << 18, 64
+
 
-    Map side: every Arrow batch is reduced per key with ``ufunc.reduceat``
-    (one partial row per key per batch).  Reduce side: the partials of a key
-    (at most one per batch, never the raw rows) are merged by the same
-    ufunc in ``applyInPandas``.
+def keyed_reduce(df: DataFrame, key: str, val: str, ufunc: np.ufunc, out_type: str = "double") -> DataFrame:
+    """``reduceByKey`` with a user monoid given as a numpy ufunc, for monoids
+    that no built-in aggregate expresses.
+
+    A task keeps one partial per key over all its batches (and sends them
+    when it holds ``HELD_KEYS``).  A key's partials are merged in two levels:
+    first per (key, one of ``LAST_PARTIALS`` salts), then per key, so the
+    last merge of a key sees at most ``LAST_PARTIALS`` values however many
+    tasks held it.  NULL is a key; NULL values are skipped.
     """
+    narrow = df.select(F.col(key), F.col(val).cast(out_type).alias(val)).where(F.col(val).isNotNull())
+    schema = narrow.schema
+
+    def reduced(pdf: pd.DataFrame) -> pd.DataFrame:
+        codes, keys = pd.factorize(pdf[key], sort=False, use_na_sentinel=False)
+        order = np.argsort(codes, kind="stable")
+        firsts = np.searchsorted(codes[order], np.arange(len(keys)))
+        return pd.DataFrame({key: keys, val: ufunc.reduceat(pdf[val].to_numpy()[order], firsts)})
+
     def partial(batches):
+        held = []
         for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.sort_values(key, kind="stable")
-            keys = pdf[key].to_numpy()
-            vals = pdf[val].to_numpy()
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            yield pd.DataFrame({key: keys[starts], val: ufunc.reduceat(vals, starts)})
-
-    schema = df.select(key, F.col(val).cast(out_type).alias(val)).schema
-    parts = df.select(key, F.col(val).cast(out_type).alias(val)).mapInPandas(partial, schema)
+            if len(pdf):
+                held = [reduced(pd.concat([*held, pdf[[key, val]]]))]
+                if len(held[0]) >= HELD_KEYS:
+                    yield held.pop()
+        yield from held
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({key: pdf[key].iloc[:1].to_numpy(), val: [ufunc.reduce(pdf[val].to_numpy())]})
+        return reduced(pdf[[key, val]])
 
-    return parts.groupBy(key).applyInPandas(merge, schema)
+    salt = F.pmod(F.spark_partition_id(), F.lit(LAST_PARTIALS))
+    salted = narrow.mapInPandas(partial, schema).withColumn("_salt", salt)
+    return salted.groupBy(key, "_salt").applyInPandas(merge, schema).groupBy(key).applyInPandas(merge, schema)
 
 
 def grouped_values(df: DataFrame, key: str, val: str, order: list[str] | None = None) -> DataFrame:
@@ -159,12 +177,8 @@ def clt_estimate(df: DataFrame, col: str, fraction: float, seed: int = 0, confid
     tot = F.col("sv") / p
     mean_se = F.sqrt(F.col("var") / F.col("m"))
     tot_se = cnt * mean_se
-    rows = []
-    for name, est, se in (("count", cnt, cnt_se), ("sum", tot, tot_se), ("mean", F.col("mean"), mean_se)):
-        rows.append(a.select(F.lit(name).alias("stat"), est.alias("estimate"),
-                             (est - F.lit(z) * se).alias("low"), (est + F.lit(z) * se).alias("high"),
-                             F.lit(confidence).alias("confidence")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    cells = (("count", cnt, cnt_se), ("sum", tot, tot_se), ("mean", F.col("mean"), mean_se))
+    one = a.select(F.explode(F.array(*(
+        F.struct(F.lit(name).alias("stat"), est.alias("estimate"), (est - F.lit(z) * se).alias("low"),
+                 (est + F.lit(z) * se).alias("high"), F.lit(confidence).alias("confidence")) for name, est, se in cells))).alias("x"))
+    return one.select("x.*")

