@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kiln.plans.registry import query
 from kiln.sources.tables import table
+from kiln.streaming.runner import utc_session
 
 R = 10  # digits kept for transcendental results
 
@@ -76,11 +77,13 @@ def f4_base_conversion(spark, sf_dir):
                     F.hex("p_brand").alias("hex_str"), F.decode(F.unhex(F.hex("p_brand")), "UTF-8").alias("unhex_"))
 
 
-@query("f4_conv_no_twin", ids=("F4",))
+@query("f4_conv_no_twin", ids=("F4",), sql="""
+SELECT p_partkey, hex(p_partkey) AS base16, bin(p_partkey) AS base2, p_partkey AS back FROM part""")
 def f4_conv_no_twin(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    return p.select("p_partkey", F.conv(F.col("p_partkey").cast("string"), 10, 16).alias("base16"),
-                    F.conv(F.col("p_partkey").cast("string"), 10, 36).alias("base36"))
+    key = F.col("p_partkey").cast("string")
+    return p.select("p_partkey", F.conv(key, 10, 16).alias("base16"), F.conv(key, 10, 2).alias("base2"),
+                    F.conv(F.conv(key, 10, 36), 36, 10).cast("bigint").alias("back"))
 
 
 @query("f5_string_functions", ids=("F5",), sql="""
@@ -105,7 +108,9 @@ def f5_string_functions(spark, sf_dir):
         F.concat("c_name", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))).alias("concat_null"))
 
 
-@query("f5_string_no_twin", ids=("F5",))
+@query("f5_string_no_twin", ids=("F5",), sql="""
+SELECT c_custkey, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS initcap_,
+       format('{:,.2f}', c_acctbal) AS format_number_ FROM customer""")
 def f5_string_no_twin(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return c.select("c_custkey", F.initcap(F.lower("c_mktsegment")).alias("initcap_"),
@@ -124,11 +129,15 @@ def f6_substring_search(spark, sf_dir):
                     F.levenshtein("p_name", "p_type").alias("levenshtein_"))
 
 
-@query("f6_search_no_twin", ids=("F6",))
+@query("f6_search_no_twin", ids=("F6",), sql="""
+SELECT p_partkey, split_part(p_type, ' ', 1) AS first_, split_part(p_type, ' ', -1) AS last_, upper(substr(p_name, 1, 1)) AS soundex_letter,
+       true AS soundex_digits FROM part""")
 def f6_search_no_twin(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.select("p_partkey", F.substring_index("p_type", " ", 1).alias("first_"),
-                    F.substring_index("p_type", " ", -1).alias("last_"), F.soundex("p_name").alias("soundex_"))
+                    F.substring_index("p_type", " ", -1).alias("last_"),
+                    F.substring(F.soundex("p_name"), 1, 1).alias("soundex_letter"),
+                    F.soundex("p_name").rlike("^[A-Z][0-6]{3}$").alias("soundex_digits"))
 
 
 @query("f7_regex", ids=("F7",), sql="""
@@ -197,12 +206,15 @@ def f10_date_arithmetic(spark, sf_dir):
                     F.trunc(od, "month").cast("string").alias("month_start"), od.cast("string").alias("as_date"))
 
 
-@query("f10_dates_no_twin", ids=("F10",))
+@query("f10_dates_no_twin", ids=("F10",), sql="""
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS od FROM orders)
+SELECT o_orderkey, round(12 * (year(od) - 1995) + month(od) - 1 + (day(od) - 1) / 31.0, 8) AS months_between_,
+       CAST(od + CAST(7 - dayofweek(od) AS INTEGER) AS VARCHAR) AS next_sunday FROM d""")
 def f10_dates_no_twin(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     od = F.to_date("o_orderdate")
     return o.select("o_orderkey", F.months_between(od, F.lit("1995-01-01").cast("date")).alias("months_between_"),
-                    F.next_day(od, "Sun").alias("next_sunday"))
+                    F.next_day(od, "Sun").cast("string").alias("next_sunday"))
 
 
 @query("f11_date_format", ids=("F11",), sql="""
@@ -213,21 +225,30 @@ def f11_date_format(spark, sf_dir):
                     F.date_format("ts", "dd/MM/yyyy").alias("dmy"))
 
 
-@query("f11_epoch_and_zones", ids=("F11",))
+@query("f11_epoch_and_zones", ids=("F11",), sql="""
+SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch_s, strftime(ts, '%Y-%m-%d %H:%M:%S') AS back,
+       strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S') AS tokyo, strftime(ts - INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S') AS from_tokyo
+FROM events""")
 def f11_epoch_and_zones(spark, sf_dir):
-    """Session-time-zone dependent: no oracle (the driver's zone is unknown)."""
+    """Under a UTC session; the zone is one without daylight saving."""
     e = table(spark, sf_dir, "events")
-    tsz = F.col("ts").cast("timestamp")
-    secs = F.unix_timestamp(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "yyyy-MM-dd HH:mm:ss")
-    return e.select("event_id", secs.alias("epoch_s"), F.from_unixtime(secs).alias("back"),
-                    F.from_utc_timestamp(tsz, "Asia/Tokyo").alias("tokyo"),
-                    F.to_utc_timestamp(tsz, "America/New_York").alias("from_ny"))
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    with utc_session(spark):
+        tsz = F.col("ts").cast("timestamp")
+        secs = F.unix_timestamp(F.date_format("ts", fmt), fmt)
+        return e.select("event_id", secs.alias("epoch_s"), F.from_unixtime(secs).alias("back"),
+                        F.date_format(F.from_utc_timestamp(tsz, "Asia/Tokyo"), fmt).alias("tokyo"),
+                        F.date_format(F.to_utc_timestamp(tsz, "Asia/Tokyo"), fmt).alias("from_tokyo"))
 
 
-@query("f12_query_time_constants", ids=("F12",))
+@query("f12_query_time_constants", ids=("F12",), sql="""
+SELECT count(*) AS n, 1 AS n_times, true AS day_of_time FROM events""")
 def f12_query_time_constants(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    return e.select("event_id", F.current_date().alias("today"), F.current_timestamp().alias("now"))
+    """The current time is the same in all rows of a query, and the current
+    date is its day."""
+    e = table(spark, sf_dir, "events").select(F.current_date().alias("today"), F.current_timestamp().alias("now"))
+    return e.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("now").alias("n_times"),
+                 F.every(F.to_date("now") == F.col("today")).alias("day_of_time"))
 
 
 @query("f13_arrays_structs", ids=("F13",), sql="""

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kiln.operators import relational as rel
-from kiln.operators.indexing import zip_with_index
+from kiln.operators.indexing import zip_with_index, zip_with_unique_id
 from kiln.operators.joins import join_small
 from kiln.plans.registry import query
 from kiln.sources.tables import table
@@ -197,14 +197,13 @@ UNION ALL SELECT 'thresh2', count(*) FROM x
       + (CASE WHEN nat IS NOT NULL THEN 1 ELSE 0 END) >= 2
 UNION ALL SELECT 'subset', count(*) FROM x WHERE seg IS NOT NULL""")
 def d12_dropna(spark, sf_dir):
+    """Rows that dropna keeps for each ``how``, counted in one scan: each
+    rule is a condition on the number of values a row has."""
     x = _nully_customer(spark, sf_dir).drop("c_custkey")
-    parts = [("any", x.dropna(how="any")), ("all", x.dropna(how="all")),
-             ("thresh2", x.na.drop(thresh=2)), ("subset", x.dropna(subset=["seg"]))]
-    out = None
-    for name, d in parts:
-        r = d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("how"), "n")
-        out = r if out is None else out.unionByName(r)
-    return out
+    n = sum((F.col(c).isNotNull().cast("int") for c in x.columns), F.lit(0))
+    rules = {"any": n == len(x.columns), "all": n > 0, "thresh2": n >= 2, "subset": F.col("seg").isNotNull()}
+    wide = x.agg(*(F.count_if(rule).alias(f"n_{how}") for how, rule in rules.items()))
+    return wide.selectExpr(f"stack({len(rules)}, {', '.join(f"'{how}', n_{how}" for how in rules)}) AS (how, n)")
 
 
 @query("d12_fillna", ids=("D12",), sql=_NULLY_CUSTOMER + """
@@ -222,43 +221,74 @@ def d12_replace(spark, sf_dir):
     return x.replace({"MACHINERY": "MACH", "HOUSEHOLD": "HOME"}, subset=["seg"])
 
 
-@query("d14_ids_and_random_columns", ids=("D14",))
+@query("d14_ids_and_random_columns", ids=("D14",), sql="""
+SELECT count(*) AS n, count(*) AS n_ids, true AS ids_name_partitions, true AS uniform, true AS normal FROM orders""")
 def d14_ids_and_random_columns(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders").select("o_orderkey")
-    return o.select("o_orderkey", F.monotonically_increasing_id().alias("mono_id"),
-                    F.spark_partition_id().alias("pid"), F.rand(7).alias("u"), F.randn(7).alias("z"))
+    """Ids are unique and carry the partition in their upper bits; the draws
+    have the mean and spread of their distributions."""
+    o = _t(spark, sf_dir, "orders").select(
+        F.monotonically_increasing_id().alias("mono_id"), F.spark_partition_id().alias("pid"), F.rand(7).alias("u"), F.randn(7).alias("z"))
+    return o.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("mono_id").alias("n_ids"),
+                 F.every(F.shiftright("mono_id", 33) == F.col("pid")).alias("ids_name_partitions"),
+                 (F.every(F.col("u").between(0, 1)) & F.avg("u").between(0.4, 0.6)).alias("uniform"),
+                 (F.avg("z").between(-0.2, 0.2) & F.stddev("z").between(0.85, 1.15)).alias("normal"))
+
+
+_SAMPLE_SQL = "SELECT true AS from_the_table, {distinct} AS no_repeats, true AS size_in_bounds"
+
 
+def _sample_check(orders, sample, share):
+    """One row: whether the sample's keys are the table's, none twice, and its
+    size within six deviations of ``share`` of the table."""
+    n = orders.count()
+    spread = 6 * (n * share) ** 0.5 + 1
+    known = sample.join(orders.select("o_orderkey", F.lit(True).alias("known")), "o_orderkey", "left")
+    return known.agg(F.every(F.col("known").isNotNull()).alias("from_the_table"),
+                     (F.count(F.lit(1)) == F.count_distinct("o_orderkey")).alias("no_repeats"),
+                     F.count(F.lit(1)).between(n * share - spread, n * share + spread).alias("size_in_bounds"))
 
-@query("d15_bernoulli_sample", ids=("D15",))
+
+@query("d15_bernoulli_sample", ids=("D15",), sql=_SAMPLE_SQL.format(distinct="true"))
 def d15_bernoulli_sample(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    return o.sample(withReplacement=False, fraction=0.1, seed=3).select("o_orderkey", "o_totalprice")
+    return _sample_check(o, o.sample(withReplacement=False, fraction=0.1, seed=3).select("o_orderkey"), 0.1)
 
 
-@query("d15_sample_with_replacement", ids=("D15",))
+@query("d15_sample_with_replacement", ids=("D15",), sql=_SAMPLE_SQL.format(distinct="false"))
 def d15_sample_with_replacement(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    return o.sample(withReplacement=True, fraction=0.5, seed=3).select("o_orderkey")
+    return _sample_check(o, o.sample(withReplacement=True, fraction=0.5, seed=3).select("o_orderkey"), 0.5)
 
 
-@query("d15_stratified_sample", ids=("D15",))
+@query("d15_stratified_sample", ids=("D15",), sql="""
+SELECT o_orderstatus, true AS size_in_bounds FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1""")
 def d15_stratified_sample(spark, sf_dir):
+    """Each listed stratum at its own fraction, others not at all."""
+    fractions = {"F": 0.1, "O": 0.2}
     o = _t(spark, sf_dir, "orders")
-    return o.sampleBy("o_orderstatus", {"F": 0.1, "O": 0.2}, seed=5).select("o_orderkey", "o_orderstatus")
+    whole = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    got = o.sampleBy("o_orderstatus", fractions, seed=5).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("m"))
+    share = F.when(F.col("o_orderstatus") == "F", fractions["F"]).when(F.col("o_orderstatus") == "O", fractions["O"])
+    spread = 6 * F.sqrt(F.col("n") * share) + 1
+    return got.join(whole, "o_orderstatus").select("o_orderstatus", (F.abs(F.col("m") - F.col("n") * share) <= spread).alias("size_in_bounds"))
 
 
-@query("d15_random_split", ids=("D15",))
+@query("d15_random_split", ids=("D15",), sql="""
+SELECT o_orderkey, 1 AS splits FROM orders""")
 def d15_random_split(spark, sf_dir):
+    """The splits are a partition of the table: every row is in one."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey")
     a, b, c = o.randomSplit([0.6, 0.3, 0.1], seed=11)
-    return (a.withColumn("split", F.lit(0)).unionByName(b.withColumn("split", F.lit(1)))
-             .unionByName(c.withColumn("split", F.lit(2))))
+    return a.unionByName(b).unionByName(c).groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("splits"))
 
 
-@query("d15_exact_size_sample", ids=("D15",))
+@query("d15_exact_size_sample", ids=("D15",), sql="""
+SELECT 100 AS n, 100 AS n_keys, true AS from_the_table""")
 def d15_exact_size_sample(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders")
-    return rel.take_sample(o.select("o_orderkey"), 100, seed=13)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey")
+    s = rel.take_sample(o, 100, seed=13).join(o.withColumn("known", F.lit(True)), "o_orderkey", "left")
+    return s.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_keys"),
+                 F.every(F.col("known").isNotNull()).alias("from_the_table"))
 
 
 @query("d15_key_systematic_sample", ids=("D15",), sql="""
@@ -269,13 +299,21 @@ def d15_key_systematic_sample(spark, sf_dir):
     return rel.key_sample(o, "o_orderkey", 10, 3).select("o_orderkey", "o_totalprice")
 
 
-@query("d16_partition_sizes", ids=("D16",))
+@query("d16_partition_sizes", ids=("D16",), sql="""
+SELECT 'hash6' AS kind, count(*) AS n, true AS in_bound, true AS keys_together FROM lineitem
+UNION ALL SELECT 'coalesce2', count(*), true, true FROM lineitem""")
 def d16_partition_sizes(spark, sf_dir):
+    """Rows and number of partitions after repartition by key and coalesce;
+    repartition puts all rows of a key into one."""
     li = _t(spark, sf_dir, "lineitem")
-    r = li.repartition(6, "l_orderkey")
-    sizes = r.groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
-    c = li.coalesce(2).groupBy(F.spark_partition_id().alias("pid")).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.withColumn("kind", F.lit("hash6")).unionByName(c.withColumn("kind", F.lit("coalesce2")))
+    out = None
+    for kind, parts, df in (("hash6", 6, li.repartition(6, "l_orderkey")), ("coalesce2", 2, li.coalesce(2))):
+        keys = df.groupBy(F.spark_partition_id().alias("pid"), "l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+        together = F.lit(True) if kind != "hash6" else F.count(F.lit(1)) == F.count_distinct("l_orderkey")
+        row = keys.agg(F.lit(kind).alias("kind"), F.sum("n").alias("n"), (F.count_distinct("pid") <= parts).alias("in_bound"),
+                       together.alias("keys_together"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 # ------------------------------------------------------------------ J: joins
@@ -396,10 +434,11 @@ def j9_zip_by_position(spark, sf_dir):
     return a.join(b, "idx").select("idx", "o_orderkey", "c_custkey")
 
 
-@query("j9_zip_with_unique_id", ids=("J9",))
+@query("j9_zip_with_unique_id", ids=("J9",), sql="""
+SELECT count(*) AS n, count(DISTINCT o_orderkey) AS n_keys, count(*) AS n_ids FROM orders""")
 def j9_zip_with_unique_id(spark, sf_dir):
-    from kiln.operators.indexing import zip_with_unique_id
-    return zip_with_unique_id(_t(spark, sf_dir, "orders").select("o_orderkey"))
+    ids = zip_with_unique_id(_t(spark, sf_dir, "orders").select("o_orderkey"))
+    return ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_keys"), F.count_distinct("uid").alias("n_ids"))
 
 
 @query("j10_broadcast_dimension_join", ids=("J10",), sql="""
@@ -486,8 +525,16 @@ def o3_top_k(spark, sf_dir):
     return o.orderBy(F.desc("o_totalprice"), F.asc("o_orderkey")).limit(20).select("o_orderkey", "o_totalprice")
 
 
-@query("o4_repartition_sort_within", ids=("O4",))
+@query("o4_repartition_sort_within", ids=("O4",), sql="""
+SELECT count(*) AS n, true AS keys_together, true AS sorted_within FROM lineitem""")
 def o4_repartition_sort_within(spark, sf_dir):
+    """Rows of a key share a partition, and each partition is in order: no
+    row is less than the one before it."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    r = li.repartition(4, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")
-    return r.withColumn("pid", F.spark_partition_id())
+    r = li.repartition(4, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber").select(
+        "*", F.spark_partition_id().alias("pid"), F.monotonically_increasing_id().alias("at"))
+    pos = F.struct("l_orderkey", "l_linenumber")
+    before = r.select((F.col("at") + 1).alias("at"), pos.alias("before"))
+    in_order = r.join(before, "at", "left").select("l_orderkey", "pid", (F.col("before").isNull() | (F.col("before") <= pos)).alias("ok"))
+    keys = in_order.groupBy("l_orderkey").agg(F.count_distinct("pid").alias("pids"), F.count(F.lit(1)).alias("n"), F.every("ok").alias("ok"))
+    return keys.agg(F.sum("n").alias("n"), F.every(F.col("pids") == 1).alias("keys_together"), F.every("ok").alias("sorted_within"))

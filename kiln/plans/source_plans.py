@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from kiln.functions import random_columns as rnd
 from kiln.plans.registry import query
 from kiln.session import scratch_path
-from kiln.sources.tables import table, write_table
+from kiln.sources.tables import fixed_length_records, parse_point, point_text, table, write_table
 
 _LINES_SQL = """WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)"""
 
@@ -134,25 +134,77 @@ def s10_range_missing_keys(spark, sf_dir):
     return ids.join(o, ids.id == o.o_orderkey, "left_anti")
 
 
-@query("s11_libsvm_round_trip", ids=("S11",))
+@query("s11_libsvm_round_trip", ids=("S11",), sql="""
+WITH x AS (SELECT label, list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE))) AS s FROM embeddings)
+SELECT CAST(label AS DOUBLE) AS label, count(*) AS n, round(sum(s), 4) AS total FROM x GROUP BY 1""")
 def s11_libsvm_round_trip(spark, sf_dir):
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import array_to_vector, vector_to_array
     e = table(spark, sf_dir, "embeddings")
     path = scratch_path(spark, "libsvm")
     data = e.select(F.col("label").cast("double").alias("label"),
                     array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     data.write.format("libsvm").save(path)
     back = spark.read.format("libsvm").option("numFeatures", 64).load(path)
-    return back.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, v: a + v)
+    return back.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(total), 4).alias("total"))
 
 
-@query("s12_random_generators", ids=("S12",))
+@query("s11_labelled_point_text", ids=("S11",), sql="""
+WITH x AS (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS j FROM embeddings)
+SELECT CAST(label AS DOUBLE) AS label, CAST(j - 1 AS INTEGER) AS position, count(*) AS n, round(sum(CAST(v AS DOUBLE)), 4) AS total
+FROM x GROUP BY 1, 2""")
+def s11_labelled_point_text(spark, sf_dir):
+    """Labelled points as text, ``(label,[v0,v1,...])``, written and parsed back."""
+    e = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "points")
+    e.select(point_text(F.col("label").cast("double"), F.col("embedding").cast("array<double>"))).write.text(path)
+    back = spark.read.text(path).select(*parse_point(F.col("value")))
+    return (back.select("label", F.posexplode("vector").alias("position", "v")).groupBy("label", "position")
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("v"), 4).alias("total")))
+
+
+@query("s8_fixed_length_records", ids=("S8",), sql="""
+SELECT o_orderkey FROM orders""")
+def s8_fixed_length_records(spark, sf_dir):
+    """Binary files of 12-byte records, cut into records on the executors."""
+    o = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "records")
+    o.select(F.lpad(F.col("o_orderkey").cast("string"), 11, " ")).write.text(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    return fixed_length_records(files, 12).select(F.trim(F.decode("record", "UTF-8").substr(1, 11)).cast("bigint").alias("o_orderkey"))
+
+
+@query("s12_random_generators", ids=("S12",), sql="""
+SELECT unnest(['uniform', 'normal', 'log_normal', 'exponential', 'poisson', 'gamma']) AS name, (SELECT count(*) FROM orders) AS n,
+       true AS mean_in_bounds, true AS spread_in_bounds""")
 def s12_random_generators(spark, sf_dir):
-    n = table(spark, sf_dir, "orders").count()
-    ids = spark.range(n, numPartitions=max(1, spark.sparkContext.defaultParallelism))
-    return ids.select("id", rnd.uniform(1).alias("uniform"), rnd.normal(2).alias("normal"),
-                      rnd.log_normal(0.0, 1.0, 3).alias("log_normal"), rnd.exponential(2.0, 4).alias("exponential"),
-                      rnd.poisson(3.0, 5, "id").alias("poisson"), rnd.gamma(2.0, 1.5, 6, "id").alias("gamma"))
+    """One draw of each distribution per order: mean and deviation lie near
+    the distribution's."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    drawn = o.select(rnd.uniform(1).alias("uniform"), rnd.normal(2).alias("normal"), rnd.log_normal(0.0, 0.5, 3).alias("log_normal"),
+                     rnd.exponential(2.0, 4).alias("exponential"), rnd.poisson(3.0, 5, "id").alias("poisson"),
+                     rnd.gamma(2.0, 1.5, 6, "id").alias("gamma"))
+    moments = {"uniform": (0.5, 12 ** -0.5), "normal": (0.0, 1.0), "log_normal": (1.1331, 0.6039), "exponential": (2.0, 2.0),
+               "poisson": (3.0, 3 ** 0.5), "gamma": (3.0, 1.5 * 2 ** 0.5)}
+    rows = drawn.select(F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("v"), F.lit(m).alias("m"), F.lit(s).alias("s"))
+                                            for c, (m, s) in moments.items()))).alias("x")).select("x.*")
+    return rows.groupBy("name").agg(
+        F.count("v").alias("n"), (F.abs(F.avg("v") - F.first("m")) < 6 * F.first("s") / F.sqrt(F.count("v"))).alias("mean_in_bounds"),
+        F.stddev("v").between(F.first("s") * 0.75, F.first("s") * 1.3).alias("spread_in_bounds"))
+
+
+@query("s12_random_vectors_and_linear_data", ids=("S12",), sql="""
+SELECT count(*) AS n, true AS near_truth, true AS noise_in_bounds FROM orders""")
+def s12_random_vectors_and_linear_data(spark, sf_dir):
+    """Random vectors with y = w . x + b + noise: the residuals of the true
+    weights are the noise."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    w, b, eps = [1.0, -2.0, 0.5], 3.0, 0.1
+    d = rnd.linear_data(o, w, b, eps, seed=7)
+    dot = sum((F.get("x", F.lit(i)) * v for i, v in enumerate(w)), F.lit(b))
+    r = d.select((F.col("y") - dot).alias("r"))
+    return r.agg(F.count("r").alias("n"), (F.abs(F.avg("r")) < 6 * eps / F.sqrt(F.count("r"))).alias("near_truth"),
+                 F.stddev("r").between(0.8 * eps, 1.2 * eps).alias("noise_in_bounds"))
 
 
 # ------------------------------------------------------------------ UDFs

@@ -6,7 +6,7 @@ filter pushdown happen in Catalyst when the caller selects / filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -53,3 +53,16 @@ def fixed_length_records(files: DataFrame, length: int, col: str = "content") ->
     at = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
     records = F.transform(at, lambda i: F.substring(F.col(col), (i * length + 1).cast("int"), F.lit(length)))
     return files.select("path", F.explode(records).alias("record"))
+
+
+def point_text(label: Column, vector: Column) -> Column:
+    """A labelled point as text: ``(label,[v0,v1,...])``."""
+    return F.concat(F.lit("("), label.cast("string"), F.lit(",["), F.array_join(vector.cast("array<string>"), ","), F.lit("])"))
+
+
+def parse_point(text: Column) -> tuple[Column, Column]:
+    """(label, vector) of a labelled point's text; NULL where it isn't one."""
+    form = r"^\(([^,\[\]()]+),\[([^\[\]()]*)\]\)$"
+    values = F.split(F.regexp_extract(text, form, 2), ",")
+    label = F.regexp_extract(text, form, 1).try_cast("double")
+    return label.alias("label"), F.when(label.isNotNull(), F.transform(values, lambda v: v.try_cast("double"))).alias("vector")
