@@ -113,8 +113,11 @@ def predict_column(inputs: list[str], sizes: list[int], w=None) -> Column:
     return ys * F.col("t_std") + F.col("t_mean")
 
 
-def add_prediction(df: DataFrame, inputs: list[str], sizes: list[int], w=None, out: str = "_yhat") -> DataFrame:
-    """Append the network prediction (target units) as column ``out``.
+def add_prediction(df: DataFrame, inputs: list[str], sizes: list[int], w=None, out: str = "_yhat",
+                   activations: str | None = None) -> DataFrame:
+    """Append the network prediction (target units) as column ``out``, and
+    with ``activations`` the outputs of all layers (array per layer, the
+    standardised inputs first) under that name.
 
     One projection per layer: each unit is computed once per row and the
     next layer reads it as a column.  A single nested expression would
@@ -129,6 +132,7 @@ def add_prediction(df: DataFrame, inputs: list[str], sizes: list[int], w=None, o
         z.append(F.when(sd == 0, F.lit(0.0)).otherwise((F.col(c) - mu) / sd).alias(f"_z0_{i}"))
     cur = df.select(*keep, *z)
     prev = [f"_z0_{i}" for i in range(len(inputs))]
+    layers = [list(prev)]
     weights = F.col("w") if w is None else w
     off = 0
     n_layers = len(sizes) - 1
@@ -140,10 +144,15 @@ def add_prediction(df: DataFrame, inputs: list[str], sizes: list[int], w=None, o
             for i, name in enumerate(prev):
                 s_ = s_ + F.col(name) * _weight(weights, off + (i + 1) * c + j)
             units.append((F.tanh(s_) if li < n_layers - 1 else s_).alias(f"_z{li + 1}_{j}"))
-        cur = cur.select(*keep, *units)
+        earlier = [name for layer in layers for name in layer] if activations else []
+        cur = cur.select(*keep, *earlier, *units)
         prev = [f"_z{li + 1}_{j}" for j in range(c)]
+        layers.append(list(prev))
         off += r * c
-    return cur.select(*keep, (F.col(prev[0]) * F.col("t_std") + F.col("t_mean")).alias(out))
+    result = [(F.col(prev[0]) * F.col("t_std") + F.col("t_mean")).alias(out)]
+    if activations:
+        result.append(F.array(*(F.array(*layer) for layer in layers)).alias(activations))
+    return cur.select(*keep, *result)
 
 
 def score_assignments(rows: DataFrame, assignments: DataFrame, inputs: list[str], target: str,
@@ -164,8 +173,7 @@ def score_assignments(rows: DataFrame, assignments: DataFrame, inputs: list[str]
 
 
 def score_assignments_kernel(rows: DataFrame, assignments: DataFrame, inputs: list[str], target: str,
-                             sizes: list[int], extra_keys: list[str] | None = None,
-                             max_assignments: int = 100_000) -> DataFrame:
+                             sizes: list[int], extra_keys: list[str] | None = None) -> DataFrame:
     """RMSE per assignment for models with their own weights (column ``w``).
 
     The assignment table (bounded by buckets x k x (k-1)) is broadcast once;
@@ -180,10 +188,7 @@ def score_assignments_kernel(rows: DataFrame, assignments: DataFrame, inputs: li
 
     spark = rows.sparkSession
     keys = [*MODEL_KEYS, "role", *(extra_keys or [])]
-    a = assignments.select(*dict.fromkeys([*keys, "fold", "x_mean", "x_std", "t_mean", "t_std", "w"])) \
-                   .limit(max_assignments + 1).toPandas()
-    if len(a) > max_assignments:
-        raise ValueError("too many model assignments to broadcast")
+    a = assignments.select(*dict.fromkeys([*keys, "fold", "x_mean", "x_std", "t_mean", "t_std", "w"])).toPandas()
     xs = np.stack(a["x_std"].to_numpy()).astype(float)
     ts = a["t_std"].to_numpy(float)
     payload = {
@@ -202,11 +207,12 @@ def score_assignments_kernel(rows: DataFrame, assignments: DataFrame, inputs: li
         for pdf in batches:
             if pdf.empty:
                 continue
-            blk = pdf["bucket"].to_numpy().astype(np.int64) * 1024 + pdf["fold"].to_numpy()
+            blocks, blk = np.unique(pdf[["bucket", "fold"]].to_numpy(np.int64), axis=0, return_inverse=True)
+            blk = blk.reshape(-1)
             X = pdf[inputs].to_numpy(dtype=float)
             Tt = pdf[target].to_numpy(dtype=float)
-            for kv in np.unique(blk):
-                js = by_block.get((int(kv) // 1024, int(kv) % 1024))
+            for kv, (b, f) in enumerate(blocks.tolist()):
+                js = by_block.get((b, f))
                 if not js:
                     continue
                 js = np.asarray(js)

@@ -32,16 +32,20 @@ MIN_FIELDS = 9          # a record needs fields 0..8
 SENTINEL_INPUTS = 7     # a bad record always carries 7 inputs
 
 
-def drop_header(lines: DataFrame, col: str = "value", order_by: str | None = None) -> DataFrame:
+def drop_header(lines: DataFrame, col: str = "value", order_by: str | None = None, header: str | None = None) -> DataFrame:
     """Drop every line equal to the first line (not just line one).
 
-    ``order_by`` names the column that defines "first" for tables; for text
-    files the file order is used.  Only one row reaches the driver.
+    ``header`` is that line, if known; else ``order_by`` names the column
+    that defines "first", and lines read from files are taken in the order of
+    file name and position.  Spark reads large splits first, so the first row
+    it returns is not the first line.  Only one row reaches the driver.
     """
-    first = (lines.orderBy(order_by) if order_by else lines).select(col).first()
-    if first is None:
-        return lines
-    return lines.filter(F.col(col) != F.lit(first[0]))
+    if header is None:
+        place = [F.col(order_by)] if order_by else [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                                    F.monotonically_increasing_id()]
+        placed = lines.select(F.col(col).alias("line"), F.struct(*(p.alias(f"p{i}") for i, p in enumerate(place))).alias("place"))
+        header = placed.agg(F.min_by("line", "place")).first()[0]
+    return lines if header is None else lines.filter(F.col(col) != F.lit(header))
 
 
 def _py_number(c: Column) -> Column:
@@ -50,17 +54,37 @@ def _py_number(c: Column) -> Column:
     return F.regexp_replace(c, "(?<=[0-9])_(?=[0-9])", "")
 
 
+#: What Python's float() and int() read, underscores taken out; Spark's casts
+#: also read forms like 1.5d, 2f and 0x1p3.
+_FLOAT = r"^\s*[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
+_INT = r"^\s*[+-]?[0-9]+\s*$"
+
+
 def _as_double(c: Column) -> Column:
-    # Python float() failures become 0.0 in the reference; try_cast gives NULL.
-    return F.coalesce(_py_number(c).try_cast("double"), F.lit(0.0))
+    # What float() doesn't read becomes 0.0, as in the reference.
+    number = _py_number(c)
+    return F.when(number.rlike(_FLOAT), F.coalesce(number.try_cast("double"), F.lit(0.0))).otherwise(0.0)
 
 
 def minute_of_day(c: Column) -> Column:
     """``HH:MM[:SS]`` -> minutes since midnight; unparsable -> 0."""
     hm = F.split(c, ":", -1)
-    h = _py_number(F.try_element_at(hm, F.lit(1))).try_cast("int")
-    m = _py_number(F.try_element_at(hm, F.lit(2))).try_cast("int")
-    return F.coalesce(h * 60 + m, F.lit(0))
+    h, m = (_py_number(F.try_element_at(hm, F.lit(i))) for i in (1, 2))
+    whole = [F.when(x.rlike(_INT), F.trim(x).try_cast("int")) for x in (h, m)]
+    return F.coalesce(whole[0] * 60 + whole[1], F.lit(0))
+
+
+def record_time(col: str = "value", sep: str = ";") -> tuple[Column, Column]:
+    """(day, second) of a record, to order records in time: field 0 is the
+    date as day/month/year, field 1 the time as H:M:S.  NULL if unreadable."""
+    parts = F.split(F.col(col), sep, -1)
+    dmy, hms = (F.split(F.try_element_at(parts, F.lit(i)), p, -1) for i, p in ((1, "/"), (2, ":")))
+
+    def number(a: Column, i: int) -> Column:
+        return F.try_element_at(a, F.lit(i)).try_cast("int")
+
+    return (number(dmy, 3) * 10_000 + number(dmy, 2) * 100 + number(dmy, 1),
+            number(hms, 1) * 3600 + number(hms, 2) * 60 + F.coalesce(number(hms, 3), F.lit(0)))
 
 
 def parse_records(lines: DataFrame, inputs: list[str] = DEFAULT_INPUTS,

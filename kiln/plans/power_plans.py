@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from kiln.operators import cv, power
 from kiln.operators.layers import init_weights, layer_sizes
 from kiln.plans.registry import query
-from kiln.session import bounded_local
+from kiln.session import bounded_local, materialize
 from kiln.sources.tables import table
 
 K = 5
@@ -141,16 +141,22 @@ def p5_bucket_totals(spark, sf_dir):
 # regression data set on lineitem x part
 # --------------------------------------------------------------------------
 
-# Fold-assigned rows already written in this session, keyed by the input
-# files (Parquet files are immutable: same files, same rows).
+# Fold-assigned rows already written by this application, keyed by the input
+# files' names and times.
 _ROWS: dict = {}
 
 
+def _version(df: DataFrame) -> tuple:
+    """Application, and a hash over a table's files and when they were written."""
+    mark = F.xxhash64("_metadata.file_path", "_metadata.file_modification_time").cast("decimal(38,0)")
+    return df.sparkSession.sparkContext.applicationId, df.agg(F.sum(mark)).first()[0]
+
+
 def regression_rows(spark: SparkSession, sf_dir: str, keep_index: bool = False) -> DataFrame:
     """lineitem x part -> key, bucket, x1..x7, t, fold (contiguous, k=5)."""
     li = table(spark, sf_dir, "lineitem")
     pa = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
-    key = (id(spark), keep_index, tuple(sorted(li.inputFiles())), tuple(sorted(pa.inputFiles())))
+    key = (keep_index, _version(table(spark, sf_dir, "lineitem")), _version(table(spark, sf_dir, "part")))
     if key not in _ROWS:
         _ROWS[key] = _regression_rows(li, pa, keep_index)
     return _ROWS[key]
@@ -164,7 +170,8 @@ def _regression_rows(li: DataFrame, pa: DataFrame, keep_index: bool) -> DataFram
         F.col("l_tax").alias("x3"), F.col("p_size").cast("double").alias("x4"),
         F.col("p_retailprice").alias("x5"), F.col("l_linenumber").cast("double").alias("x6"),
         F.dayofyear("l_shipdate").cast("double").alias("x7"), F.col("l_extendedprice").alias("t"))
-    rows = power.assign_bucket(rows, ["l_orderkey"], N_BUCKETS, method="mod")
+    # written once: the range shuffle of the folds reads its input twice
+    rows = materialize(power.assign_bucket(rows, ["l_orderkey"], N_BUCKETS, method="mod"), "regression")
     # lineage after this: Parquet scan of the tagged rows + broadcast spans
     return power.assign_folds(rows, K, LINEITEM_ORDER, keep_index=keep_index,
                               keep_cols=["l_orderkey", "l_linenumber", *INPUTS, TARGET])
@@ -176,11 +183,10 @@ _MODELS: dict = {}
 def fixed_models(rows: DataFrame) -> DataFrame:
     """Per-model standardisation (buckets x k x (k-1) rows, a parameter
     bound), kept as a local relation so scoring plans do not recompute it."""
-    if id(rows) in _MODELS and _MODELS[id(rows)][0] is rows:
-        return _MODELS[id(rows)][1]
-    out = _fixed_models(rows)
-    _MODELS[id(rows)] = (rows, out)
-    return out
+    key = (rows.sparkSession.sparkContext.applicationId, rows.semanticHash())
+    if key not in _MODELS:
+        _MODELS[key] = _fixed_models(rows)
+    return _MODELS[key]
 
 
 def _fixed_models(rows: DataFrame) -> DataFrame:
@@ -352,6 +358,24 @@ def p15_predict_fixed_weights(spark, sf_dir):
     return y.select("bucket", "fold", "l_orderkey", "l_linenumber", F.round("_yhat", 3).alias("y_hat"))
 
 
+@query("p15_layer_activations", ids=("P15",), sql="WITH " + _ROWS_SQL + f"""
+SELECT r.bucket, count(*) AS n, {len(SIZES)} AS n_layers, true AS sizes_fit, true AS hidden_within_tanh, true AS output_is_prediction
+FROM rows r GROUP BY 1""")
+def p15_layer_activations(spark, sf_dir):
+    """The outputs of all layers with the prediction: inputs, hidden layers
+    (tanh, within -1 and 1), and the output before it is unstandardised."""
+    rows = regression_rows(spark, sf_dir)
+    models = fixed_models(rows).filter("test_fold = 0 AND val_fold = 1").drop("test_fold", "val_fold")
+    y = cv.add_prediction(rows.join(F.broadcast(models), "bucket"), INPUTS, SIZES, FIXED_W, activations="layers")
+    hidden = F.flatten(F.slice("layers", 2, len(SIZES) - 2))
+    output = F.element_at(F.element_at("layers", -1), 1) * F.col("t_std") + F.col("t_mean")
+    fits = F.transform("layers", lambda a: F.size(a)) == F.array(*map(F.lit, SIZES))
+    return y.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("layers")).alias("n_layers"), F.every(fits).alias("sizes_fit"),
+        F.every(F.forall(hidden, lambda v: F.abs(v) <= 1)).alias("hidden_within_tanh"),
+        F.every(F.abs(output - F.col("_yhat")) <= 1e-9 * (F.abs(F.col("_yhat")) + 1)).alias("output_is_prediction"))
+
+
 @query("p16_validation_rmse", ids=("P16",), sql="WITH " + _VAL_ERR_SQL + """
 SELECT bucket, test_fold, val_fold, n_scored, round(rmse, 3) AS rmse FROM val_err""")
 def p16_validation_rmse(spark, sf_dir):
