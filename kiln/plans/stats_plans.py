@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kiln.operators import stats
+from kiln.operators import matrices, stats
 from kiln.operators import windows as win
 from kiln.plans.registry import query
 from kiln.sources.tables import table
@@ -290,6 +290,22 @@ def m28_indexed_rows(spark, sf_dir):
                        F.round(F.aggregate("entries", F.lit(0.0), lambda acc, s: acc + s["v"] * (s["j"] + 1)), 4).alias("weighted"))
 
 
+@query("m28_conversions", ids=("M28",), sql="""
+SELECT vec_id AS i, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS j, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings""")
+def m28_conversions(spark, sf_dir):
+    """Vectors to coordinates, to blocks, to coordinates, to indexed rows, and
+    back to coordinates: the same entries."""
+    coo = matrices.from_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    again = matrices.blocks_to_coordinate(matrices.to_blocks(coo, 128, 16), 128, 16)
+    return matrices.rows_to_coordinate(matrices.to_rows(again))
+
+
+@query("m28_dimensions", ids=("M28",), sql="""
+SELECT max(vec_id) + 1 AS rows, CAST(max(len(embedding)) AS BIGINT) AS cols, CAST(sum(len(embedding)) AS BIGINT) AS entries FROM embeddings""")
+def m28_dimensions(spark, sf_dir):
+    return matrices.dimensions(matrices.from_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"))
+
+
 @query("m29_append_bias", ids=("M29",), sql="""
 SELECT vec_id, CAST(len(list_concat(embedding, [1.0::FLOAT])) AS INTEGER) AS size_,
        list_concat(embedding, [1.0::FLOAT])[-1] AS last_ FROM embeddings""")

@@ -107,3 +107,50 @@ def w1_builtin_window_spec(spark, sf_dir):
     o = _orders(spark, sf_dir).select("o_custkey", "o_orderkey")
     r = win.row_number(o, ["o_custkey"], ["o_orderkey"], "rn")
     return r.select("o_custkey", "o_orderkey", F.col("rn").cast("int").alias("rn"))
+
+
+_NULLY_SQL = """WITH x AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS grp, CAST(nullif(o_custkey % 40, 3) AS INTEGER) AS ord,
+  CASE WHEN o_orderkey % 3 = 0 OR o_orderkey < 200 THEN NULL ELSE o_totalprice END AS val FROM orders)"""
+
+
+def _nully(spark, sf_dir):
+    """Orders with NULL groups, order values and values."""
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("grp"),
+                    F.nullif(F.col("o_custkey") % 40, F.lit(3)).cast("int").alias("ord"),
+                    F.when(~((F.col("o_orderkey") % 3 == 0) | (F.col("o_orderkey") < 200)), F.col("o_totalprice")).alias("val"))
+
+
+@query("w1_running_with_nulls", ids=("W1", "W2"), sql=_NULLY_SQL + """
+SELECT o_orderkey, round(sum(val) OVER w, 2) AS total, count(val) OVER w AS n, min(val) OVER w AS least, max(val) OVER w AS most FROM x
+WINDOW w AS (PARTITION BY grp ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def w1_running_with_nulls(spark, sf_dir):
+    r = win.runnings(_nully(spark, sf_dir), ["grp"], ["o_orderkey"], {"total": ("val", "sum"), "n": ("val", "count"),
+                                                                        "least": ("val", "min"), "most": ("val", "max")})
+    return r.select("o_orderkey", F.round("total", 2).alias("total"), "n", "least", "most")
+
+
+@query("w2_range_frame_with_nulls", ids=("W2",), sql=_NULLY_SQL + """
+SELECT o_orderkey, round(sum(val) OVER w, 2) AS total, count(*) OVER (PARTITION BY grp) AS in_group FROM x
+WINDOW w AS (PARTITION BY grp ORDER BY ord NULLS FIRST RANGE BETWEEN 5 PRECEDING AND 2 FOLLOWING)""")
+def w2_range_frame_with_nulls(spark, sf_dir):
+    x = win.range_frame(_nully(spark, sf_dir), ["grp"], "ord", "val", -5, 2, "sum", "total")
+    return win.group_total(x, ["grp"], "o_orderkey", "count", "in_group").select("o_orderkey", F.round("total", 2).alias("total"), "in_group")
+
+
+@query("w3_ranks_with_nulls", ids=("W3",), sql=_NULLY_SQL + """
+SELECT o_orderkey, rank() OVER w AS rank, dense_rank() OVER w AS dense_rank, round(percent_rank() OVER w, 8) AS percent_rank,
+       round(cume_dist() OVER w, 8) AS cume_dist, CAST(ntile(7) OVER u AS INTEGER) AS ntile FROM x
+WINDOW w AS (PARTITION BY grp ORDER BY ord NULLS FIRST), u AS (PARTITION BY grp ORDER BY ord NULLS FIRST, o_orderkey)""")
+def w3_ranks_with_nulls(spark, sf_dir):
+    r = win.ranks(_nully(spark, sf_dir), ["grp"], ["ord"], ["o_orderkey"], ntile=7)
+    return r.select("o_orderkey", "rank", "dense_rank", F.round("percent_rank", 8).alias("percent_rank"),
+                    F.round("cume_dist", 8).alias("cume_dist"), "ntile")
+
+
+@query("w4_shifts_with_nulls", ids=("W4",), sql=_NULLY_SQL + """
+SELECT o_orderkey, lag(val, 1, -1.0) OVER w AS before, lead(val, 2, -2.0) OVER w AS after FROM x
+WINDOW w AS (PARTITION BY grp ORDER BY ord NULLS FIRST, o_orderkey)""")
+def w4_shifts_with_nulls(spark, sf_dir):
+    a = win.shift(_nully(spark, sf_dir), ["grp"], ["ord", "o_orderkey"], "val", 1, default=-1.0, out="before")
+    return win.shift(a, ["grp"], ["ord", "o_orderkey"], "val", -2, default=-2.0, out="after").select("o_orderkey", "before", "after")

@@ -1,8 +1,13 @@
-"""Golden values (from the documented examples) for functions without a
-DuckDB twin, plus property tests for folds and histograms."""
+"""Values worked out by hand or by the standard library for functions without
+a DuckDB twin, plus property tests for folds and histograms."""
 
 from __future__ import annotations
 
+import hashlib
+import zlib
+from datetime import datetime, timezone
+from zoneinfo import ZoneInfo
+
 import numpy as np
 import pandas as pd
 from hypothesis import given, settings
@@ -18,24 +23,45 @@ def _one(spark, expr):
 
 
 def test_no_twin_string_functions(spark):
-    assert _one(spark, F.soundex(F.lit("Robert"))) == "R163"
-    assert _one(spark, F.initcap(F.lit("ab cD"))) == "Ab Cd"
-    assert _one(spark, F.format_number(F.lit(1234567.891), 2)) == "1,234,567.89"
-    assert _one(spark, F.substring_index(F.lit("a.b.c.d"), ".", 2)) == "a.b"
-    assert _one(spark, F.substring_index(F.lit("a.b.c.d"), ".", -2)) == "c.d"
-    assert _one(spark, F.conv(F.lit("100"), 2, 10)) == "4"
-    assert _one(spark, F.conv(F.lit("-10"), 16, -10)) == "-16"
-    assert _one(spark, F.crc32(F.lit("ABC"))) == 2743272264
-    assert _one(spark, F.levenshtein(F.lit("kitten"), F.lit("sitting"))) == 3
+    # soundex by hand: keep the first letter, code the rest, drop vowels and repeats
+    assert _one(spark, F.soundex(F.lit("Kilner"))) == "K456"
+    assert _one(spark, F.soundex(F.lit("Xu"))) == "X000"
+    assert _one(spark, F.initcap(F.lit("tWO wORDS here"))) == "Two Words Here"
+    assert _one(spark, F.format_number(F.lit(-98765.4321), 3)) == "-98,765.432"
+    path = "north/east/south/west"
+    assert _one(spark, F.substring_index(F.lit(path), "/", 3)) == "north/east/south"
+    assert _one(spark, F.substring_index(F.lit(path), "/", -1)) == "west"
+    assert _one(spark, F.conv(F.lit("7e8"), 16, 10)) == str(int("7e8", 16))
+    assert _one(spark, F.conv(F.lit("2024"), 10, 36)) == np.base_repr(2024, 36)
+    for text in ("kiln", "", "fire clay"):
+        assert _one(spark, F.crc32(F.lit(text).cast("binary"))) == zlib.crc32(text.encode())
+        assert _one(spark, F.sha2(F.lit(text), 384)) == hashlib.sha384(text.encode()).hexdigest()
+    assert _one(spark, F.levenshtein(F.lit("brick"), F.lit("trickle"))) == 3         # b>t, +l, +e
 
 
 def test_no_twin_date_functions(spark):
-    d = F.lit("2015-01-14").cast("date")
-    assert str(_one(spark, F.next_day(F.lit("2015-07-27").cast("date"), "Sun"))) == "2015-08-02"
-    assert _one(spark, F.months_between(F.lit("1997-02-28 10:30:00").cast("timestamp"),
-                                        F.lit("1996-10-30").cast("timestamp"))) == 3.94959677
-    assert str(_one(spark, F.add_months(F.lit("2015-01-31").cast("date"), 1))) == "2015-02-28"
-    assert str(_one(spark, F.last_day(d))) == "2015-01-31"
+    def day(text):
+        return F.lit(text).cast("date")
+
+    # 9 March 2021 was a Tuesday
+    assert str(_one(spark, F.next_day(day("2021-03-09"), "Tue"))) == "2021-03-16"
+    assert str(_one(spark, F.next_day(day("2021-03-09"), "Fri"))) == "2021-03-12"
+    # whole months between equal days; else the day difference over 31
+    assert _one(spark, F.months_between(day("2021-05-09"), day("2021-03-09"))) == 2.0
+    assert _one(spark, F.months_between(day("2021-05-19"), day("2021-03-09"))) == round(2 + 10 / 31, 8)
+    assert _one(spark, F.months_between(day("2021-02-28"), day("2021-01-31"))) == 1.0   # both last days
+    assert str(_one(spark, F.add_months(day("2023-10-31"), 4))) == "2024-02-29"
+    assert str(_one(spark, F.last_day(day("2100-02-03")))) == "2100-02-28"
+
+
+def test_zones_with_daylight_saving(spark):
+    def shown(expr):
+        return _one(spark, F.date_format(expr, "yyyy-MM-dd HH:mm"))
+
+    for zone in ("America/New_York", "Europe/Berlin"):
+        for utc in ("2021-01-05 12:00:00", "2021-07-05 12:00:00"):
+            local = datetime.fromisoformat(utc).replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone))
+            assert shown(F.from_utc_timestamp(F.lit(utc).cast("timestamp"), zone)) == f"{local:%Y-%m-%d %H:%M}"
 
 
 def test_rounding_modes(spark):
@@ -66,6 +92,32 @@ def test_numbers_parse_like_python(spark):
     assert p["sub_metering_2"] == 0.0 and p["sub_metering_3"] == 0.0        # "1__0", "0x10" fail in Python
 
 
+def test_numbers_that_only_spark_reads_are_zero(spark):
+    for text in ("1.5d", "2f", "0x1p3", "1e", "_1", "1_", "--1", "1 2", "infinit"):
+        line = f"1/1/2007;1:2;{text};1;1;1;1;1;1"
+        assert power.parse_records(spark.createDataFrame([(line,)], "value string")).first()["target"] == 0.0, text
+    for text, value in (("1.", 1.0), (".5", 0.5), ("+2E-1", 0.2), ("INF", float("inf")), ("1_000.5", 1000.5)):
+        line = f"1/1/2007;1:2;{text};1;1;1;1;1;1"
+        assert power.parse_records(spark.createDataFrame([(line,)], "value string")).first()["target"] == value == float(text)
+    p = power.parse_records(spark.createDataFrame([("1/1/2007;1.5:2;1;1;1;1;1;1;1",)], "value string")).first()
+    assert p["time"] == 0
+
+
+def test_header_is_the_first_line_of_the_first_file(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("H\nr1\nH\n")
+    (tmp_path / "b.txt").write_text("".join(f"row {i}\n" for i in range(4000)) + "H\n")     # the larger split is read first
+    lines = power.drop_header(spark.read.text(str(tmp_path)))
+    assert lines.count() == 4001 and lines.where("value = 'H'").count() == 0
+    assert power.drop_header(spark.read.text(str(tmp_path)), header="row 0").count() == 4003
+
+
+def test_records_are_ordered_in_time(spark):
+    lines = [("1/2/2007;0:0:5",), ("1/1/2008;0:0:0",), ("2/1/2007;23:59:59",), ("1/2/2007;0:0",), ("x",)]
+    day, second = power.record_time()
+    rows = spark.createDataFrame(lines, "value string").select("value", day.alias("d"), second.alias("s")).orderBy("d", "s").collect()
+    assert [r.value for r in rows] == ["x", "2/1/2007;23:59:59", "1/2/2007;0:0", "1/2/2007;0:0:5", "1/1/2008;0:0:0"]
+
+
 def test_drop_header_removes_every_copy(spark):
     lines = spark.createDataFrame([(i, "H" if i % 3 == 0 else f"r{i}") for i in range(10)], "i int, value string")
     assert power.drop_header(lines, order_by="i").count() == 6
