@@ -24,7 +24,9 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         # Large star: each node's larger neighbours are linked to the least of its neighbourhood.
         both = edges.select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(
             edges.where("low <> high").select(F.col("high").alias("a"), F.col("low").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # The minima are written, so that the join below shuffles both sides and AQE can
+        # split the rows of a node with very many neighbours.
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("low"), F.col("b").alias("high")).distinct()
         # Small star: each node's smaller neighbours, and itself, are linked to the least of them.
         least = large.groupBy("high").agg(F.min("low").alias("m"))
