@@ -96,7 +96,7 @@ def gram_shares(docs: DataFrame, grams: np.ndarray, seed_words: int, text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = shared.value
         n = np.zeros(len(look.keys) + 1, np.int64)             # the last one counts documents
-        for b in batches:
+        for b in textvec.parts(batches):
             n[-1] += b.num_rows
             for s in textvec.slices(b.column(0).to_pylist()):
                 w = textvec.words(s)
@@ -226,7 +226,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", it
     for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             m = shared.value
-            for b in batches:
+            for b in textvec.parts(batches):
                 ids = b.column(0).to_pylist()
                 rows = [(ids[d], m.items.ids[i], score, start, end) for d, i, score, start, end in m.leaks(b.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
@@ -245,7 +245,7 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id
     at, out = docs.columns.index(text_col), docs
     for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in textvec.parts(batches):
                 keep = np.ones(b.num_rows, bool)
                 keep[[leak[0] for leak in shared.value.leaks(b.column(at).to_pylist())]] = False
                 yield b.filter(pa.array(keep))

@@ -79,7 +79,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         down = -1 - shared.value                              # ascending, and no overflow
-        for b in batches:
+        for b in textvec.parts(batches):
             ids = -1 - b.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
             sig = signatures(b.column(1).to_pylist(), n, permutations, seed)
             bucket = np.maximum(np.searchsorted(down, ids, "right") - 1, 0)
@@ -94,7 +94,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []                                # the last row waits for its successor
-        for b in batches:
+        for b in textvec.parts(batches):
             rows = held + list(zip(*(b.column(k).to_pylist() for k in range(1, 5))))
             pairs = [(a, z) for a, z in zip(rows, rows[1:]) if not a[0]]
             held = rows[-1:]

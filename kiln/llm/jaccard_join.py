@@ -51,7 +51,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows
     """(doc_id, text_md5, class, n_words, bands) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.parts(batches):
             for s in textvec.slices(b.column(1).to_pylist()):
                 w = textvec.words(s)
                 g, at = textvec.ngrams(w, n)
@@ -88,7 +88,7 @@ def ngram_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n
                        wanted, ["doc_id"]).select("class", "group", "n_docs", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.parts(batches):
             classes = b.column(0).to_pylist()
             for s in textvec.slices(b.column(3).to_pylist()):
                 w = textvec.words(s)
@@ -139,7 +139,7 @@ def tile_links(sets: DataFrame, threshold: float, tile: int) -> DataFrame:
     return placed.groupBy("group", "row_tile", "col_tile").applyInArrow(compare, "class binary, links bigint, peer binary")
 
 
-def similar(sets: list[np.ndarray], threshold: float, block: int = 1 << 24) -> np.ndarray:
+def similar(sets: list[np.ndarray], threshold: float, block: int = 1 << 22) -> np.ndarray:
     """(pairs, 2) of the sets whose Jaccard similarity is ``threshold`` or
     more.  Common n-grams are counted by products of 0/1 matrices whose
     columns are the n-grams that two or more sets have, a block at a time."""

@@ -108,7 +108,7 @@ def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", buckets
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in textvec.parts(batches):
             labels = np.array(b.column(0).to_pylist(), object)
             texts = b.column(1).to_pylist()
             for lang in sorted(set(labels)):
@@ -213,7 +213,7 @@ def label(model: LanguageModel, texts: list[str | None], penalty: float, group_c
                        text[new], labels[new], starts[new] - base, ends[last] - base)
 
 
-PENALTY, GROUP_CHARS = 12.0, 8_000_000
+PENALTY, GROUP_CHARS = 12.0, 3_000_000
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
@@ -226,7 +226,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.langs, UNDETERMINED], object)
-        for b in batches:
+        for b in textvec.parts(batches):
             for r in label(shared.value, b.column(1).to_pylist(), penalty, group_chars):
                 spans = pa.StructArray.from_arrays(
                     [pa.array(names[r.span_lang], pa.string()), pa.array(r.span_start), pa.array(r.span_end)], ["lang", "start", "end"])
@@ -246,7 +246,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float, t
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.parts(batches):
             for r in label(shared.value, b.column(at).to_pylist(), penalty, group_chars):
                 keep = (r.lang >= 0) & (r.score >= least_score)
                 yield b.slice(r.group.first, r.group.n).filter(pa.array(keep))

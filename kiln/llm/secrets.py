@@ -28,6 +28,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from kiln.llm import textvec
+
 #: Fixed by the contract of the base kinds, in the order of ties.
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "github", "npm", "iban", "key")
@@ -124,7 +126,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
+        for b in textvec.parts(batches):
             spans = [[{"kind": k, "start": s, "end": e} for s, e, k in scan(t)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, kind)], ["doc_id", "spans"])
 

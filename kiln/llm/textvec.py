@@ -9,13 +9,15 @@ memory of a task is set by the slice and the longest text, not the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
+PART_ROWS = 1000
 CODE_POINTS = 0x110000
 
 # Odd multipliers of the polynomial hashes, and of the splitmix64 finaliser.
@@ -60,7 +62,17 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of ``base`` and of its inverse modulo 2**64, at least n of each."""
-    return _powers(base, max(1 << 21, 1 << (n - 1).bit_length()) if n > 1 else 1 << 21)
+    return _powers(base, max(1 << 19, 1 << (n - 1).bit_length()))
+
+
+def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``PART_ROWS``, so that only as many texts are
+    Python strings at a time.  Arrow's spare memory is given back at the end:
+    a worker may idle for long between tasks."""
+    for b in batches:
+        for at in range(0, b.num_rows, PART_ROWS):
+            yield b.slice(at, PART_ROWS)
+    pa.default_memory_pool().release_unused()
 
 
 @dataclass

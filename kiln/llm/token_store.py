@@ -31,6 +31,7 @@ import re
 import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -52,8 +53,8 @@ NULL_KEY = -(1 << 63)
 LOAD, BLOCK_BITS = 2.0, 512
 FINGERPRINT_SEED = np.uint64(0xD6E8FEB86659FD93)
 
-#: Encoded words a worker keeps; emptied when full.
-MEMO_WORDS = 1_000_000
+#: Encoded pieces a task keeps at most, half of them those met last.
+MEMO_PIECES = 500_000
 
 MANIFEST = "shard int, n_docs bigint, n_ids bigint, first_key bigint, last_key bigint"
 RECORDS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -67,6 +68,13 @@ RECORDS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 
 
+#: Fixed rule of byte-level tokenizers: a printable byte stands for itself, the
+#: others, in order, for the code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SYMBOLS = {b: 256 + i for i, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
+SPACE = chr(BYTE_SYMBOLS[32])
+
+
 def plain(c: str) -> bool:
     return unicodedata.category(c) not in ("No", "Nl", "Cn", "Cc") or c in "\t\n\v\f\r"
 
@@ -95,13 +103,35 @@ class Encoder(dict):
         self.pieces = re.compile(PIECES).findall
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.older: dict[str, bytes] = {}
+        self.met = bytearray(1 << 23)
+        self.model = self.tokenizer.model
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMO_WORDS:
+        out = self.older.get(piece)
+        if out is None:
+            out = self.one(piece)
+            at = hash(piece) % len(self.met)
+            if not self.met[at]:                         # most pieces are met once, they aren't kept
+                self.met[at] = 1
+                return out
+        if len(self) >= MEMO_PIECES // 2:                # pieces not met again before the next time are dropped
+            self.older = dict(self)
             self.clear()
-        out = self[piece] = self.whole(piece)
+        self[piece] = out
         return out
 
+    def forget(self) -> None:
+        """Free the kept pieces: between tasks a worker may idle for long."""
+        self.clear()
+        self.older = {}
+
+    def one(self, piece: str) -> bytes:
+        """The ids of a piece of the pattern: its bytes, as the model's symbols."""
+        symbols = piece.replace(" ", SPACE) if piece.isascii() and piece.isprintable() else \
+            piece.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+        return array("H" if self.dtype == "<u2" else "I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
@@ -242,7 +272,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
         task = TaskContext.get()
         shard, attempt = task.partitionId(), task.taskAttemptId()
         keys, lengths, out = [], [], None
-        for b in batches:
+        for b in textvec.parts(batches):
             if out is None:
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(f"{folder}/payload-{shard:06d}.{attempt}.part", buffer_size=1 << 20)
@@ -251,6 +281,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
                 ids = enc.encode(text) + end
                 lengths.append(len(ids) // len(end))
                 out.write(ids)
+        enc.forget()
         if out is None:
             return
         out.close()
@@ -323,13 +354,13 @@ def read_records(keys: DataFrame, path: str, id_col: str = "doc_id") -> DataFram
     shared = spark.sparkContext.broadcast(Shards.of(spark, path))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in textvec.parts(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shared.value.of_keys(b.column(0).to_numpy()), pa.int32()), b.column(0)], ["entry", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards, opened = shared.value, None
-        for b in batches:
+        for b in textvec.parts(batches):
             entries, all_keys = b.column(0).to_numpy(), b.column(1).to_numpy()
             for entry in np.unique(entries):
                 if entry < 0:

@@ -75,7 +75,7 @@ def fit_letters(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(SYMBOLS ** 3, np.int64)
-        for b in batches:
+        for b in textvec.parts(batches):
             for s in textvec.slices(b.column(0).to_pylist()):
                 x = symbol_table()[s.codes].astype(np.int32)
                 x = np.concatenate(([0, 0], x))
@@ -246,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per text and word its contexts, each once: (word, toxic, context)."""
         memo: dict[str, str] = {}
-        for b in batches:
+        for b in textvec.parts(batches):
             texts, toxic = b.column(0).to_pylist(), b.column(1).to_numpy(zero_copy_only=False)
             for s in textvec.slices(texts):
                 spans: dict[int, list[tuple[int, int]]] = {}
@@ -333,7 +333,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
             hit = m.words[at] == hashes[maybe]
             return maybe[hit], at[hit]
 
-        for b in batches:
+        for b in textvec.parts(batches):
             for s in textvec.slices(b.column(1).to_pylist()):
                 w = textvec.words(s)
                 which, weight = find(w.hashes)
