@@ -24,7 +24,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -51,7 +50,7 @@ SEPARATORS = " .-_*~"
 
 #: Costs in nats: reading a character as an imitation, a run of a letter as
 #: fewer letters, a separator as dropped or as the end of a word.
-LEET_COST, REPEAT_COST, DROP_COST, BREAK_COST = 1.0, 0.5, 0.5, 1.0
+LEET_COST, REPEAT_COST, DROP_COST, BREAK_COST = 1.0, 0.5, 0.5, 4.0
 
 #: Symbols of the language model: 0 word edge, 1-26 a-z, 27 other letters.
 SYMBOLS = 28
@@ -142,10 +141,7 @@ def decode(token: str, cost: np.ndarray) -> str:
     return " ".join(min(ends)[1].split())
 
 
-#: Tokens to decode, of lower-cased text: single letters (or imitations) set
-#: apart by single separators, four or more; or one token with an imitation
-#: beside a letter or a letter three times in a row.
-SPACED = re.compile(r"(?<![^\W_])(?:[a-z0-9@$!|+](?:[ .\-_*~])){3,}[a-z0-9@$!|+](?![^\W_])")
+#: Taken off the end of a token before it is decoded.
 TRAILING = ".,;:?!%&#*$|\"')]}("
 
 

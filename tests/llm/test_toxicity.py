@@ -22,7 +22,8 @@ def read(text, letters):
 
 @pytest.mark.parametrize("hidden, word", [
     ("id1ot", "idiot"), ("1diot", "idiot"), ("st*pid", "stupid"), ("$tupid", "stupid"), ("stuuupid", "stupid"), ("m0r0n", "moron"),
-    ("tr4sh", "trash"), ("s t u p i d", "stupid"), ("s.c.u.m", "scum"), ("s-t-u-p-i-d", "stupid")])
+    ("tr4sh", "trash"), ("s t u p i d", "stupid"), ("s.c.u.m", "scum"), ("s-t-u-p-i-d", "stupid"),
+    ("d i s g u s t i n g", "disgusting"), ("w.o.r.t.h.l.e.s.s", "worthless")])
 def test_disguises(hidden, word, letters):
     assert read(f"of the {hidden} in it.", letters) == [word]
 
