@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from kiln.llm import textvec
 from kiln.llm.groups import components
-from kiln.operators.joins import join_small
+from kiln.operators.joins import join_small, lookup
 from kiln.session import materialize
 
 N, THRESHOLD, RECALL, PERMUTATIONS, SEED = 5, 0.8, 0.9995, 256, 8
@@ -82,15 +82,16 @@ def candidates(classes: DataFrame) -> DataFrame:
 
 
 def ngram_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(class, group, n_docs, grams): the n-gram set of each wanted class, as
-    sorted 64-bit hashes packed in bytes, from the text of its named document."""
+    """(class, group, n_docs, n_classes, grams): the n-gram set of each wanted
+    class, as sorted 64-bit hashes packed in bytes, from the text of its named
+    document."""
     texts = join_small(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")),
-                       wanted, ["doc_id"]).select("class", "group", "n_docs", "text")
+                       wanted, ["doc_id"]).select("class", "group", "n_docs", "n_classes", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in textvec.parts(batches):
             classes = b.column(0).to_pylist()
-            for s in textvec.slices(b.column(3).to_pylist()):
+            for s in textvec.slices(b.column(4).to_pylist()):
                 w = textvec.words(s)
                 g, at = textvec.ngrams(w, n)
                 own = np.searchsorted(w.text[at], np.arange(s.n + 1))
@@ -98,19 +99,18 @@ def ngram_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n
                 use = [d for d in range(s.n) if w.counts[d] and keys[d].tobytes() == classes[s.first + d]]
                 rows = pa.array([s.first + d for d in use], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(k).take(rows) for k in range(3)]
+                    [b.column(k).take(rows) for k in range(4)]
                     + [pa.array([np.unique(g[own[d]:own[d + 1]]).tobytes() for d in use], pa.binary())],
-                    ["class", "group", "n_docs", "grams"])
+                    ["class", "group", "n_docs", "n_classes", "grams"])
 
-    return texts.mapInArrow(run, "class binary, group binary, n_docs bigint, grams binary")
+    return texts.mapInArrow(run, "class binary, group binary, n_docs bigint, n_classes bigint, grams binary")
 
 
 def tile_links(sets: DataFrame, threshold: float, tile: int) -> DataFrame:
     """(class, links, peer): per class the documents of similar classes,
     in parts to be summed, and links of a spanning forest as (class, peer)."""
-    size = sets.groupBy("group").agg(F.count("*").alias("n_classes"))
     tiles = F.greatest(F.lit(1), F.ceil(F.col("n_classes") / F.greatest(F.lit(tile), F.ceil(F.sqrt("n_classes"))))).cast("int")
-    placed = (sets.join(size, "group").withColumn("tiles", tiles)
+    placed = (sets.withColumn("tiles", tiles)
               .withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
               .withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)")))
               .select("class", "group", "n_docs", "grams", "tile",
@@ -201,8 +201,9 @@ def link(docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str, n: in
     """The join's result from the sketches of ``docs``."""
     classes = (sketched.where("class is not null").groupBy("class")
                .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs"), F.first("bands").alias("bands")))
-    near = candidates(classes)
-    wanted = materialize(near.join(classes.drop("bands"), "class"), "wanted")
+    near = materialize(candidates(classes), "near")
+    sizes = near.groupBy("group").agg(F.count("*").alias("n_classes")).withColumn("rows", F.col("n_classes"))
+    wanted = materialize(lookup(near, sizes, ["group"], "rows").join(classes.drop("bands"), "class"), "wanted")
     found = materialize(tile_links(ngram_sets(docs, wanted, id_col, text_col, n), threshold, tile), "found")
     linked = components(found.where("peer is not null"), "class", "peer")
     sums = found.groupBy("class").agg(F.sum("links").alias("links"))
