@@ -49,54 +49,33 @@ def row_key(id_col: str, source_col: str, text_col: str) -> Column:
 
 # -- pseudorandom permutations ----------------------------------------------
 
-def _sides(n: Column) -> tuple[Column, Column]:
-    """(a, b) of the least grid of a * b >= n places with a about sqrt(n)."""
-    a = F.ceil(F.sqrt(n))
-    return a, F.ceil(n / a)
+def permute(df: DataFrame, out: str, i: Column, n: Column, *key: Column, back: bool = False) -> DataFrame:
+    """Adds ``out``: where a pseudorandom permutation of 0 to n - 1, one per
+    ``key``, sends i (with ``back``: what it sends to i).
 
+    Four rounds of an unbalanced Feistel network permute the least grid of
+    a x b >= n places with a about sqrt(n).  It is repeated while the value is
+    n or more: such places number fewer than a, so a repeats are enough.  The
+    grid and the first value are columns of their own, so that expressions
+    stay small.
+    """
+    a, b, once = F.col("_a"), F.col("_b"), F.col("_once")
 
-def _walk(step, i: Column, n: Column) -> Column:
-    """Repeat ``step``, a permutation of a grid of fewer than n + a places,
-    until the value is below n; it leaves the grid's fewer than a spare
-    places after as many steps at most."""
-    once = step(i)
-    again = F.aggregate(F.sequence(F.lit(1).cast("bigint"), _sides(n)[0]), once, lambda x, _: F.when(x < n, x).otherwise(step(x)))
-    return F.when(once < n, once).otherwise(again)
-
-
-def _turn(x: Column, by: Column, size: Column, turn: int, key: tuple[Column, ...], sign: int) -> Column:
-    return F.pmod(x + sign * F.pmod(F.xxhash64(F.lit(turn), by, *key), size), size)
-
-
-def permuted(i: Column, n: Column, *key: Column) -> Column:
-    """Where a pseudorandom permutation of 0 to n - 1, one per ``key``, sends
-    i: four rounds of an unbalanced Feistel network on a grid."""
-    a, b = _sides(n)
-
-    def step(x: Column) -> Column:
-        left, right = F.pmod(x, a), F.floor(x / a)
-        left = _turn(left, right, a, 0, key, 1)
-        right = _turn(right, left, b, 1, key, 1)
-        left = _turn(left, right, a, 2, key, 1)
-        right = _turn(right, left, b, 3, key, 1)
-        return right * a + left
-
-    return _walk(step, i, n)
-
-
-def unpermuted(i: Column, n: Column, *key: Column) -> Column:
-    """What ``permuted`` sends to i."""
-    a, b = _sides(n)
+    def turn(x: Column, by: Column, size: Column, k: int) -> Column:
+        return F.pmod(x + (-1 if back else 1) * F.pmod(F.xxhash64(F.lit(k), by, *key), size), size)
 
     def step(x: Column) -> Column:
         left, right = F.pmod(x, a), F.floor(x / a)
-        right = _turn(right, left, b, 3, key, -1)
-        left = _turn(left, right, a, 2, key, -1)
-        right = _turn(right, left, b, 1, key, -1)
-        left = _turn(left, right, a, 0, key, -1)
+        for k in reversed(range(4)) if back else range(4):
+            if k % 2 == 0:
+                left = turn(left, right, a, k)
+            else:
+                right = turn(right, left, b, k)
         return right * a + left
 
-    return _walk(step, i, n)
+    walk = F.aggregate(F.sequence(F.lit(1).cast("bigint"), a), once, lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    return (df.withColumn("_a", F.ceil(F.sqrt(n))).withColumn("_b", F.ceil(n / a)).withColumn("_once", step(i))
+            .withColumn(out, F.when(once < n, once).otherwise(walk)).drop("_a", "_b", "_once"))
 
 
 # -- sources, positions, slots ----------------------------------------------
@@ -172,8 +151,8 @@ def draw_slots(shares: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     before = by_source.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumns({"n_before": F.coalesce(F.sum("n").over(before), F.lit(0)), "drawn": F.sum("n").over(by_source)})
     within = F.row_number().over(Window.partitionBy("shard", "src").orderBy("slot"))
-    numbered = (drawn.withColumn("within", within).join(counts, ["shard", "src"])
-                .withColumn("use", permuted(F.col("n_before") + F.col("within") - 1, F.col("drawn"), F.lit(seed), F.col("src"))))
+    numbered = permute(drawn.withColumn("within", within).join(counts, ["shard", "src"]), "use",
+                       F.col("n_before") + F.col("within") - 1, F.col("drawn"), F.lit(seed), F.col("src"))
     kept = numbered.where("use < quota").select("shard", "slot", "src", "use")
     # draws beyond a quota fill what other sources lack, one to one
     whole = (shares.select("src", "quota").join(counts.groupBy("src").agg(F.max("drawn").alias("drawn")), "src", "left")
@@ -205,20 +184,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     documents = materialize(positions(sized.join(named, F.col("source").eqNullSafe(F.col("of"))).drop("of")), "positions")
 
     shares = materialize(quotas(targets, block_words), "quotas")
-    slots = draw_slots(shares, shard_slots, seed)
+    slots = materialize(draw_slots(shares, shard_slots, seed), "slots")
     n = F.lit(block_words)
     order = (F.lit(seed), F.col("src"), F.col("round"))
     last = F.col("source_size") - (F.col("blocks") - 1) * n                                # words of the source's last block
-    ends = F.when(F.col("last_at") < F.col("place"), n - last).otherwise(0)
     took = (slots.join(shares.select("src", "source_size", "blocks", "rounds", "rest"), "src")
-            .withColumns({"round": F.floor(F.col("use") / F.col("blocks")), "place": F.col("use") % F.col("blocks")})
-            .withColumn("block", permuted(F.col("place"), F.col("blocks"), *order))
-            .withColumn("words", F.when(F.col("block") == F.col("blocks") - 1, last).otherwise(n)))
-    full = took.where("round < rounds")
-    part = (took.where("round = rounds")
-            .withColumn("last_at", unpermuted(F.col("blocks") - 1, F.col("blocks"), *order))
-            .withColumn("words", F.least(F.col("words"), F.col("rest") - F.col("place") * n + ends)).drop("last_at"))
-    took = full.unionByName(part).where("words > 0").select("shard", "slot", "round", "src", "block", "words")
+            .withColumns({"round": F.floor(F.col("use") / F.col("blocks")), "place": F.col("use") % F.col("blocks")}))
+    took = permute(took, "block", F.col("place"), F.col("blocks"), *order)
+    took = permute(took, "last_at", F.col("blocks") - 1, F.col("blocks"), *order, back=True)     # the place of the last block
+    whole = F.when(F.col("block") == F.col("blocks") - 1, last).otherwise(n)
+    before = F.col("place") * n - F.when(F.col("last_at") < F.col("place"), n - last).otherwise(0)
+    words = F.when(F.col("round") < F.col("rounds"), whole).otherwise(F.least(whole, F.col("rest") - before))
+    took = took.withColumn("words", words).where("words > 0").select("shard", "slot", "round", "src", "block", "words")
 
     first, behind = F.col("start"), F.col("start") + F.col("size")
     blocks = (documents.where("size > 0").select("src", "chunk", "nth", "start", "size", F.explode(

@@ -78,9 +78,9 @@ def test_hot_and_tiny_sources(spark, sizes):
 
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
 def test_permutation(spark, n):
-    rows = spark.range(n).select(F.col("id"), F.lit(n).cast("bigint").alias("n")).select(
-        "id", mixing.permuted(F.col("id"), F.col("n"), F.lit(7)).alias("to")).withColumn("n", F.lit(n).cast("bigint"))
-    rows = rows.withColumn("back", mixing.unpermuted(F.col("to"), F.col("n"), F.lit(7))).collect()
+    df = spark.range(n).withColumn("n", F.lit(n).cast("bigint"))
+    df = mixing.permute(df, "to", F.col("id"), F.col("n"), F.lit(7))
+    rows = mixing.permute(df, "back", F.col("to"), F.col("n"), F.lit(7), back=True).collect()
     assert sorted(r["to"] for r in rows) == list(range(n)) and all(r["back"] == r["id"] for r in rows)
     if n >= 1000:
         assert abs(np.corrcoef([r["id"] for r in rows], [r["to"] for r in rows])[0, 1]) < 0.1
