@@ -5,8 +5,11 @@ edited and paraphrased copies.
 1. The documents that hold each n-gram of the benchmark are counted over the
    whole corpus (one scan; a task sends at most one count per n-gram).
 2. An n-gram is a seed if at most ``rare_share`` of the documents hold it, or
-   at most twice as many as hold the item's median n-gram.  So every item has
-   seeds, however common it is, and stock phrases in it are none.
+   at most twice as many as hold the item's median n-gram, of those that occur
+   at all; so is the rarest one that occurs in each part of an item, and any
+   that gives a document ``CANDIDATES`` items or fewer on average.  So what a
+   much copied edit or passage keeps of an item are seeds, however common it
+   is, and phrases common in texts and in items alike are none.
 3. A second scan looks the seeds up in each document; where they hit, and
    the words around hold enough of the item's to reach the score, the item is
    aligned with the surrounding words (+1 a match, ``-gap`` a change,
@@ -41,6 +44,10 @@ BLOCK_CHARS = 20_000_000
 #: ``LEAST_WORDS`` in all or the whole of a shorter item.
 SEED_WORDS, RARE_SHARE, GAP, LEAST_SCORE, LEAST_WORDS = 3, 0.001, 0.5, 0.4, 8
 
+#: Items that an n-gram of any share may bring to a document on average, and
+#: the n-grams of an item's part, whose rarest is a seed.
+CANDIDATES, PART_GRAMS = 4, 8
+
 LEAKS = "doc_id bigint, item_id bigint, score double, start bigint, end bigint"
 
 
@@ -114,11 +121,22 @@ def gram_shares(docs: DataFrame, grams: np.ndarray, seed_words: int, text_col: s
 
 
 def choose_seeds(items: Items, shares: dict[int, float], rare_share: float) -> np.ndarray:
-    """Gram numbers of the rare n-grams of each item."""
+    """Gram numbers of the seeds of each item, among the n-grams that occur."""
     share = np.array([shares.get(int(g), 0.0) for g in items.grams])
-    cut = np.searchsorted(items.at, items.first)                 # grams of item k: cut[k] to cut[k + 1]
-    limit = [max(rare_share, 2 * float(np.median(share[a:z]))) for a, z in zip(cut, cut[1:]) if z > a]
-    return np.flatnonzero(share <= np.repeat(limit, np.diff(cut)[np.diff(cut) > 0]))
+    if not len(share):
+        return np.zeros(0, np.int64)
+    item = np.searchsorted(items.first, items.at, "right") - 1
+    occurs = np.flatnonzero(share)
+    limit = np.full(len(items.ids), rare_share)
+    owners, cut = np.unique(item[occurs], return_index=True)
+    for k, own in zip(owners, np.split(share[occurs], cut[1:])):
+        limit[k] = max(rare_share, 2 * float(np.median(own)))
+    _, gram, n = np.unique(items.grams, return_inverse=True, return_counts=True)
+    part = item * (len(share) + 1) + (items.at - items.first[item]) // PART_GRAMS
+    part = np.unique(part, return_inverse=True)[1]
+    rarest = np.full(part.max() + 1, np.inf)
+    np.minimum.at(rarest, part[occurs], share[occurs])
+    return np.flatnonzero((share > 0) & ((share <= limit[item]) | (share <= rarest[part]) | (share * n[gram] <= CANDIDATES)))
 
 
 def align(item: np.ndarray, words: np.ndarray, gap: float) -> tuple[float, int, int]:

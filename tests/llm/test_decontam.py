@@ -67,6 +67,37 @@ def test_common_passage_keeps_its_seeds(spark):
     assert decontam.find_leaks(docs, spark.createDataFrame([(1, passage)], "item_id bigint, text string")).count() == 300
 
 
+def changed(rng, words, every):
+    return [prose(rng, 1)[0] + "x" if i % every == every - 1 else w for i, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("form", ["every 4th changed", "every 5th changed", "first part"])
+@pytest.mark.parametrize("rows, copies", [(200, 1), (600, 200)])
+def test_edited_and_partial_copies_without_a_verbatim_one(spark, form, rows, copies):
+    rng = random.Random(11)
+    item = prose(rng, 40)
+    copy = item[:18] if form == "first part" else changed(rng, item, int(form.split()[1][0]))
+    stock = [" ".join(item[k:k + 3]) for k in range(0, 38, 3)] if copies > 1 else []       # rarer than the copies
+    docs = []
+    for d in range(rows):
+        words = prose(rng, 30)
+        words[10:10] = copy if d < copies else [stock[d % len(stock)]] if stock and d < copies + 40 else []
+        docs.append((d, " ".join(words)))
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(prose(rng, 40)))], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(table, bench).collect()} == {(d, 1) for d in range(copies)}
+    assert decontam.remove_leaks(table, bench).count() == rows - copies
+
+
+def test_seeds_of_many_items_with_a_common_phrase():
+    rng = random.Random(4)
+    items = decontam.Items.of(list(range(50)), ["what is the best answer to this " + " ".join(prose(rng, 20)) for _ in range(50)], 3)
+    common = set(items.grams[:4].tolist())
+    shares = {int(g): 0.5 if int(g) in common else 0.0005 for g in items.grams}
+    seeds = decontam.choose_seeds(items, shares, 0.001)
+    assert not common & set(items.grams[seeds].tolist()) and len(seeds) == len(items.grams) - 50 * len(common)
+
+
 def test_blocks_of_the_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_CHARS", 400)
     rng = random.Random(3)
