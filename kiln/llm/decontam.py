@@ -14,7 +14,8 @@ edited and paraphrased copies.
    the words around hold enough of the item's to reach the score, the item is
    aligned with the surrounding words (+1 a match, ``-gap`` a change,
    insertion or deletion).  The score is the best local alignment's value per
-   word of the item, 1 for a verbatim copy.
+   word of the item, 1 for a verbatim copy; a long passage of a longer item is
+   a leak by its own length.
 
 The benchmark is the stated query set: it is taken in blocks of about
 ``BLOCK_CHARS`` characters, each broadcast and held against all documents.
@@ -41,8 +42,9 @@ from kiln.llm import textvec
 BLOCK_CHARS = 20_000_000
 
 #: A leak scores ``LEAST_SCORE`` per word of the item or more, and
-#: ``LEAST_WORDS`` in all or the whole of a shorter item.
-SEED_WORDS, RARE_SHARE, GAP, LEAST_SCORE, LEAST_WORDS = 3, 0.001, 0.5, 0.4, 8
+#: ``LEAST_WORDS`` in all or the whole of a shorter item; or it is worth
+#: ``LONG_WORDS``, which clean texts don't share, of an item of any length.
+SEED_WORDS, RARE_SHARE, GAP, LEAST_SCORE, LEAST_WORDS, LONG_WORDS = 3, 0.001, 0.5, 0.4, 8, 30
 
 #: Items that an n-gram of any share may bring to a document on average, and
 #: the n-grams of an item's part, whose rarest is a seed.
@@ -159,9 +161,10 @@ def align(item: np.ndarray, words: np.ndarray, gap: float) -> tuple[float, int,
 class Matcher:
     """Finds the leaks of a block of items in texts."""
 
-    def __init__(self, items: Items, seeds: np.ndarray, seed_words: int, gap: float, least_score: float, least_words: int):
+    def __init__(self, items: Items, seeds: np.ndarray, seed_words: int, gap: float, least_score: float, least_words: int,
+                 long_words: int):
         self.items, self.seed_words, self.gap = items, seed_words, gap
-        self.least_score, self.least_words = least_score, least_words
+        self.least_score, self.least_words, self.long_words = least_score, least_words, long_words
         self.look = Lookup(items.grams[seeds])
         key = np.searchsorted(self.look.keys, items.grams[seeds])
         order = np.argsort(key, kind="stable")
@@ -198,7 +201,7 @@ class Matcher:
                 regions[-1][1] = max(end, regions[-1][1])
             else:
                 regions.append([begin, end])
-        least = max(self.least_score * m, min(self.least_words, m))
+        least = min(max(self.least_score * m, min(self.least_words, m)), self.long_words)
         top, where = 0.0, None
         for begin, end in regions:
             if np.isin(own, w.hashes[begin:end]).sum() < max(least, top):      # no alignment can reach it
@@ -226,22 +229,23 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[
 
 
 def _matchers(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, seed_words: int, rare_share: float, gap: float,
-              least_score: float, least_words: int):
+              least_score: float, least_words: int, long_words: int):
     for ids, texts in _blocks(benchmark, item_col, text_col):
         items = Items.of(ids, texts, seed_words)
         seeds = choose_seeds(items, gram_shares(docs, items.grams, seed_words, text_col), rare_share)
-        yield docs.sparkSession.sparkContext.broadcast(Matcher(items, seeds, seed_words, gap, least_score, least_words))
+        yield docs.sparkSession.sparkContext.broadcast(Matcher(items, seeds, seed_words, gap, least_score, least_words, long_words))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",
                seed_words: int = SEED_WORDS, rare_share: float = RARE_SHARE, gap: float = GAP, least_score: float = LEAST_SCORE,
-               least_words: int = LEAST_WORDS) -> DataFrame:
+               least_words: int = LEAST_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
     """(doc_id, item_id, score, start, end): every document with a copy of an
     item, its score and its span (code points, end exclusive)."""
     out = None
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
 
-    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words):
+    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words,
+                            long_words):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             m = shared.value
             for b in textvec.parts(batches):
@@ -258,10 +262,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", it
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
                  seed_words: int = SEED_WORDS, rare_share: float = RARE_SHARE, gap: float = GAP, least_score: float = LEAST_SCORE,
-                 least_words: int = LEAST_WORDS) -> DataFrame:
+                 least_words: int = LEAST_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
     """The documents without a copy of an item, all columns, in the task that reads them."""
     at, out = docs.columns.index(text_col), docs
-    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words):
+    for shared in _matchers(docs, benchmark, item_col, text_col, seed_words, rare_share, gap, least_score, least_words,
+                            long_words):
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in textvec.parts(batches):
                 keep = np.ones(b.num_rows, bool)

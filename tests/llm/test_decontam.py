@@ -89,6 +89,19 @@ def test_edited_and_partial_copies_without_a_verbatim_one(spark, form, rows, cop
     assert decontam.remove_leaks(table, bench).count() == rows - copies
 
 
+def test_long_passage_of_a_longer_item(spark):
+    rng = random.Random(8)
+    item = prose(rng, 400)
+    passages = {0: item[100:250], 1: item[300:360], 2: changed(rng, item[20:120], 5), 3: item[200:220]}
+    docs = [(d, " ".join([*prose(rng, 80), *passages.get(d, []), *prose(rng, 80)])) for d in range(40)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    rows = {r.doc_id: r for r in decontam.find_leaks(table, bench).collect()}
+    assert set(rows) == {0, 1, 2}
+    assert dict(docs)[0][rows[0].start:rows[0].end] == " ".join(passages[0]) and rows[0].score == pytest.approx(150 / 400)
+    assert {r.doc_id for r in decontam.remove_leaks(table, bench).collect()} == set(range(3, 40))
+
+
 def test_seeds_of_many_items_with_a_common_phrase():
     rng = random.Random(4)
     items = decontam.Items.of(list(range(50)), ["what is the best answer to this " + " ".join(prose(rng, 20)) for _ in range(50)], 3)
