@@ -33,6 +33,7 @@ from kiln.llm import jaccard_join, textvec
 from kiln.session import materialize, partitions_for
 
 N, PERMUTATIONS, SEED = 5, 128, 9
+THRESHOLD, RECALL = 0.8, 0.9995
 WORDLESS = 0xFFFF
 
 #: Most buckets that ids are cut into: their first ids go to every task.
@@ -114,8 +115,8 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .mapInArrow(follow, RESULT))
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = 0.8,
-                recall: float = 0.94, permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD,
+                recall: float = RECALL, permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
     """(doc_id, text_md5, class, group_key, group_id, n_links): documents
     linked to others by Jaccard similarity of ``threshold`` or more.  The
     signature is cut into bands, the bands are joined in Spark and every

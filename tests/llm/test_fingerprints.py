@@ -1,13 +1,15 @@
 """Fingerprints: neighbours and edits against plain Python, likeness against Jaccard."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
 
 from kiln.llm import fingerprints
 from llm_cases import MESSY, documents
-from test_jaccard_join import shingles
+from test_jaccard_join import brute as brute_links
+from test_jaccard_join import near_copies, shingles
 
 
 def brute(rows):
@@ -45,6 +47,20 @@ def test_likeness_estimates_jaccard(result, fixture_table):
         assert texts.setdefault(text, got.fingerprint[d]) == got.fingerprint[d]
 
 
+def test_default_recall_links_pairs_at_the_threshold(spark):
+    rng = random.Random(12)
+    docs = near_copies(rng, 300, [1], 95)
+    for d, text in docs[:300]:                             # two changed words: 81 of 101 shingles shared
+        words = text.split()
+        words[20], words[60] = "changed", "too"
+        docs.append((1000 + d, " ".join(words)))
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    links, group = brute_links(docs)
+    assert sum(links.values()) == 600
+    got = {r.doc_id: r.n_links for r in fingerprints.near_copies(table).collect()}
+    assert sum(got.values()) >= 598                        # with 16 bands of 8 rows some 30 are missed
+
+
 def test_messy_rows(spark, messy, nothing):
     rows = fingerprints.edited_neighbours(messy).collect()
     assert as_found(rows) == as_wanted(brute([r[:2] for r in MESSY]))
