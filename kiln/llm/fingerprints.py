@@ -16,7 +16,7 @@ fingerprint, unlike any other; texts of fewer words than ``n`` have one
 shingle, all their words; documents are ordered by descending id, null ids
 last, and equal ids by text (rows of one id stay in one bucket); a lone
 document is its own successor; repeated rows each get their result; extra
-columns are ignored.
+columns are ignored; a wordless text is its own group, linked to nothing.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.llm import jaccard_join, textvec
+from kiln.operators.joins import lookup
 from kiln.session import materialize, partitions_for
 
 N, PERMUTATIONS, SEED = 5, 128, 9
@@ -55,6 +56,15 @@ def signatures(texts: list[str | None], n: int, permutations: int, seed: int) ->
     return out
 
 
+def classes(texts: list[str]) -> list[bytes | None]:
+    """Key of each text's word sequence (no words: None)."""
+    out: list[bytes | None] = []
+    for s in textvec.slices(texts):
+        w = textvec.words(s)
+        out += [k.tobytes() if c else None for k, c in zip(textvec.sequence_keys(w), w.counts)]
+    return out
+
+
 def edited(text: str, successor: str) -> str:
     """The last half of the code points replaced by as many first ones of the
     successor, or all that it has."""
@@ -63,9 +73,11 @@ def edited(text: str, successor: str) -> str:
 
 
 def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N,
-                      permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
+                      permutations: int = PERMUTATIONS, seed: int = SEED, with_class: bool = False) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next) of every document."""
+    near_edited, near_next) of every document, and the class of its word
+    sequence if asked for."""
+    result = RESULT + ", class binary" * with_class
     named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = partitions_for(docs)
     wanted = min(BUCKETS, 4 * parts)
@@ -73,7 +85,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     cuts = named.agg(F.percentile_approx(key, [k / wanted for k in range(1, wanted)] or [0.5], max(10_000, 10 * wanted)),
                      F.max(key)).first()
     if cuts[1] is None:
-        return docs.sparkSession.createDataFrame([], RESULT)
+        return docs.sparkSession.createDataFrame([], result)
     # bucket b holds the ids from firsts[b] down to above firsts[b + 1]
     firsts = np.unique(np.array([*cuts[0], cuts[1]], np.int64))[::-1]
     shared = docs.sparkSession.sparkContext.broadcast(firsts)
@@ -107,12 +119,20 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 [pa.array([a[1] for a, _ in pairs], pa.int64()), pa.array([len(a[2]) for a, _ in pairs], pa.int64()),
                  pa.array([hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() for x in changed], pa.string()),
                  pa.array([a[3].hex() for a, _ in pairs], pa.string()), pa.array([x.tobytes().hex() for x in sig], pa.string()),
-                 pa.array((own == sig).mean(axis=1)), pa.array((own == after).mean(axis=1))],
-                ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                 pa.array((own == sig).mean(axis=1)), pa.array((own == after).mean(axis=1))]
+                + [pa.array(classes([a[2] for a, _ in pairs]), pa.binary())] * with_class,
+                [c.split()[0] for c in result.split(", ")])
 
     return (named.mapInArrow(place, "bucket int, head boolean, doc_id bigint, text string, sig binary")
             .repartition(parts, "bucket").sortWithinPartitions("bucket", "head", F.desc_nulls_last("doc_id"), "text")
-            .mapInArrow(follow, RESULT))
+            .mapInArrow(follow, result))
+
+
+def signature_bands(docs: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float, permutations: int,
+                    seed: int) -> DataFrame:
+    """Classes and signature bands of all documents, written."""
+    bands, rows = textvec.choose_bands(threshold, recall, most=permutations)
+    return materialize(jaccard_join.sketch(docs, id_col, text_col, n, bands, rows, seed, permutations), "fingerprints")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD,
@@ -121,6 +141,21 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked to others by Jaccard similarity of ``threshold`` or more.  The
     signature is cut into bands, the bands are joined in Spark and every
     candidate is verified on its full shingle set."""
-    bands, rows = textvec.choose_bands(threshold, recall, most=permutations)
-    sketched = materialize(jaccard_join.sketch(docs, id_col, text_col, n, bands, rows, seed), "fingerprints")
+    sketched = signature_bands(docs, id_col, text_col, n, threshold, recall, permutations, seed)
     return jaccard_join.link(docs, sketched, id_col, text_col, n, threshold)
+
+
+def fingerprint_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, threshold: float = THRESHOLD,
+                     recall: float = RECALL, permutations: int = PERMUTATIONS, seed: int = SEED) -> DataFrame:
+    """The rows of ``edited_neighbours`` with (group_id, n_links) of their
+    near copies.  What is known per class of equal word sequences joins on the
+    class, so that null and repeated ids need no care; classes without a copy
+    or a link aren't sent."""
+    sketched = signature_bands(docs, id_col, text_col, n, threshold, recall, permutations, seed)
+    linked = materialize(jaccard_join.class_links(docs, sketched, id_col, text_col, n, threshold).where("n_links > 0")
+                         .select("class", "group_id", "n_links", F.col("n_docs").alias("rows")), "near_copies")
+    rows = edited_neighbours(docs, id_col, text_col, n, permutations, seed, with_class=True)
+    return lookup(rows, linked, ["class"], "rows", "left").select(
+        *[c for c in rows.columns if c != "class"],
+        F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("group_id")).alias("group_id"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))

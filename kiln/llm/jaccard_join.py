@@ -47,8 +47,10 @@ TILE = 64
 SKETCH = "doc_id bigint, text_md5 string, class binary, n_words bigint, bands array<bigint>"
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(doc_id, text_md5, class, n_words, bands) of every text."""
+def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int, seed: int,
+           permutations: int = 0) -> DataFrame:
+    """(doc_id, text_md5, class, n_words, bands) of every text; the bands are
+    of a signature of ``permutations`` values, or as many as they need."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in textvec.parts(batches):
@@ -58,7 +60,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows
                 full = np.flatnonzero(w.counts)
                 firsts = np.searchsorted(w.text[at], full)
                 keys = np.zeros((s.n, bands), np.uint64)
-                keys[full] = textvec.band_keys(textvec.minhash(g, firsts, bands * rows, seed), bands, rows)
+                keys[full] = textvec.band_keys(textvec.minhash(g, firsts, max(permutations, bands * rows), seed), bands, rows)
                 size = np.where(w.counts > 0, bands, 0)
                 offsets = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
                 classes = textvec.sequence_keys(w)
@@ -199,6 +201,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def link(docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str, n: int, threshold: float, tile: int = TILE) -> DataFrame:
     """The join's result from the sketches of ``docs``."""
+    per_class = class_links(docs, sketched, id_col, text_col, n, threshold, tile).drop("n_docs")
+    every = sketched.select("doc_id", "text_md5", "class")
+    hexed = F.lower(F.hex("class")).alias("class")
+    return (every.join(per_class, "class").select("doc_id", "text_md5", hexed, "group_key", "group_id", "n_links")
+            .unionByName(every.where("class is null").select(
+                "doc_id", "text_md5", hexed, F.lit(None).cast("string").alias("group_key"),
+                F.col("doc_id").alias("group_id"), F.lit(0).cast("bigint").alias("n_links"))))
+
+
+def class_links(docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str, n: int, threshold: float,
+                tile: int = TILE) -> DataFrame:
+    """(class, group_id, group_key, n_links, n_docs) of every class."""
     classes = (sketched.where("class is not null").groupBy("class")
                .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs"), F.first("bands").alias("bands")))
     near = materialize(candidates(classes), "near")
@@ -210,15 +224,9 @@ def link(docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str, n: in
     per_class = (classes.drop("bands").join(linked.select(F.col("node").alias("class"), "component"), "class", "left")
                  .join(sums, "class", "left").withColumn("component", F.coalesce("component", "class")))
     least = per_class.groupBy("component").agg(F.min("doc_id").alias("group_id"))
-    per_class = per_class.join(least, "component").select(
+    return per_class.join(least, "component").select(
         "class", "group_id", F.lower(F.hex("component")).alias("group_key"),
-        (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"))
-    every = sketched.select("doc_id", "text_md5", "class")
-    hexed = F.lower(F.hex("class")).alias("class")
-    return (every.join(per_class, "class").select("doc_id", "text_md5", hexed, "group_key", "group_id", "n_links")
-            .unionByName(every.where("class is null").select(
-                "doc_id", "text_md5", hexed, F.lit(None).cast("string").alias("group_key"),
-                F.col("doc_id").alias("group_id"), F.lit(0).cast("bigint").alias("n_links"))))
+        (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"), "n_docs")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

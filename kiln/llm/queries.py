@@ -72,7 +72,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_neighbours(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprint_join(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -47,6 +47,12 @@ def test_likeness_estimates_jaccard(result, fixture_table):
         assert texts.setdefault(text, got.fingerprint[d]) == got.fingerprint[d]
 
 
+def test_query_finds_near_copies_that_are_no_neighbours(result, fixture_table):
+    got = result("op9_fingerprints")
+    links, group = brute_links([(r.doc_id, r.text) for r in fixture_table("documents").collect()])
+    assert dict(zip(got.doc_id, got.n_links)) == links and dict(zip(got.doc_id, got.group_id)) == group
+
+
 def test_default_recall_links_pairs_at_the_threshold(spark):
     rng = random.Random(12)
     docs = near_copies(rng, 300, [1], 95)
@@ -61,6 +67,14 @@ def test_default_recall_links_pairs_at_the_threshold(spark):
     assert sum(got.values()) >= 598                        # with 16 bands of 8 rows some 30 are missed
 
 
+def test_joined_columns_of_messy_rows(spark, messy, nothing):
+    rows = fingerprints.fingerprint_join(messy).collect()
+    assert as_found(rows) == as_wanted(brute([r[:2] for r in MESSY]))
+    assert sorted((r.doc_id or 0, r.group_id or 0, r.n_links) for r in rows) == sorted(
+        (r.doc_id or 0, r.group_id or 0, r.n_links) for r in fingerprints.near_copies(messy).collect())
+    assert fingerprints.fingerprint_join(nothing).count() == 0
+
+
 def test_messy_rows(spark, messy, nothing):
     rows = fingerprints.edited_neighbours(messy).collect()
     assert as_found(rows) == as_wanted(brute([r[:2] for r in MESSY]))
