@@ -28,6 +28,7 @@ import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +98,8 @@ def fit_letters(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """Per position the (text, cost) choices; '' drops it, ' ' ends a word."""
     out: list[list[tuple[str, float]]] = []
+    runs = [len(list(g)) for c, g in groupby(token) if c.isalpha()]
+    doubled = len(runs) > 1 and min(runs) >= 2
     at = 0
     while at < len(token):
         c = token[at]
@@ -104,6 +107,10 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         while end < len(token) and token[end] == c:
             end += 1
         if c.isalpha():
+            if end - at == 2 and doubled:
+                out.append([(c, 0.0), (c + c, REPEAT_COST)])
+                at = end
+                continue
             if end - at >= 3:
                 out.append([(c, REPEAT_COST), (c + c, REPEAT_COST)])
                 at = end
@@ -111,6 +118,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             out.append([(c, 0.0)])
         else:
             choices = [(x, LEET_COST) for x in IMITATES.get(c, "")]
+            if c in TRAILING and c != "$" and choices and not token[at:].strip(TRAILING):   # at the end it may be punctuation
+                choices.append((" ", 0.0))
             if c in SEPARATORS:
                 choices += [("", DROP_COST), (" ", BREAK_COST)]
             out.append(choices or [(" ", BREAK_COST)])
@@ -162,23 +171,25 @@ def suspects(s: textvec.Slice) -> list[tuple[int, int, int]]:
     look at, found on the code points of the whole slice."""
     kind = _kinds()[s.codes]
     letter, imitation = (kind & 1) > 0, (kind & 2) > 0
+    separator = ((kind & 4) > 0) & (s.codes > 32)
     edge = ((kind & 4) > 0) | (s.codes <= 32)
     n = len(s.codes)
     mark = np.zeros(n, bool)
     mark[:-1] |= imitation[:-1] & letter[1:]                           # 1diot, id1ot
-    digit = (s.codes >= 48) & (s.codes <= 57)
-    mark[1:] |= digit[1:] & letter[:-1]                                # idio7
+    mark[1:] |= imitation[1:] & letter[:-1]                            # idio7, a$$
+    mark[1:-1] |= separator[1:-1] & letter[:-2] & letter[2:]           # mo-ron
+    mark[3:] |= letter[3:] & (s.codes[3:] == s.codes[2:-1]) & (s.codes[1:-2] == s.codes[:-3]) & letter[1:-2]  # iiddiioott
     mark[2:] |= letter[2:] & (s.codes[2:] == s.codes[1:-1]) & (s.codes[1:-1] == s.codes[:-2])
     single = (letter | imitation) & np.append(edge[1:], True) & np.append(True, edge[:-1])
-    mark[6:] |= single[6:] & single[4:-2] & single[2:-4] & single[:-6]  # s t u p
+    mark[4:] |= single[4:] & single[2:-2] & single[:-4]                # f u k
     out: dict[tuple[int, int], int] = {}
     for i in np.flatnonzero(mark):
         d = int(np.searchsorted(s.starts, i, "right")) - 1
         text, at = s.texts[d], int(i - s.starts[d])
         if at >= len(text):
             continue
-        if single[i] and i >= 6 and single[i - 2] and single[i - 4] and single[i - 6]:
-            begin = at - 6
+        if single[i] and i >= 4 and single[i - 2] and single[i - 4]:
+            begin = at - 4
             while begin >= 2 and single[s.starts[d] + begin - 2] and edge[s.starts[d] + begin - 1]:
                 begin -= 2
             end = at + 1
@@ -199,9 +210,13 @@ def restore(text: str, spans: list[tuple[int, int]], cost: np.ndarray, memo: dic
     ``memo`` keeps decoded tokens; it is emptied when it gets large."""
     out, done = [], 0
     for begin, end in spans:
-        token = text[begin:end].lower().rstrip(TRAILING)
+        whole = text[begin:end].lower()
+        token = whole.rstrip(TRAILING)
         if begin < done or not token:
             continue
+        if (tail := whole[len(token):]) and tail[0] in IMITATES:      # a$$: or punctuation, as the language model has it
+            tail = tail[:len(tail) - len(tail.lstrip("".join(IMITATES)))]
+            token += tail
         if token not in memo:
             if len(memo) > 200_000:
                 memo.clear()

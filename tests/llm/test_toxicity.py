@@ -28,6 +28,13 @@ def test_disguises(hidden, word, letters):
     assert read(f"of the {hidden} in it.", letters) == [word]
 
 
+@pytest.mark.parametrize("hidden, word", [
+    ("worthle$$", "worthless"), ("w0rthle$$", "worthless"), ("mo-ron", "moron"), ("id.iot", "idiot"), ("iiddiioott", "idiot"), ("s u m", "sum")])
+def test_more_disguises(hidden, word, letters):
+    assert read(f"of the {hidden} in it.", letters) == [word]
+    assert read("Oh the idiot! And the end.", letters) in ([], ["idiot"])
+
+
 def test_clean_text_has_one_path(letters):
     assert read("The theory of it, and so on. 12 of 30 a b", letters) == []
 
