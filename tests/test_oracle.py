@@ -9,7 +9,7 @@ import pytest
 
 from kiln.plans.registry import load_all
 
-from conftest import SF_SMALL
+from kiln_cases import SF_SMALL
 
 REG = load_all()
 WITH_SQL = sorted(n for n, q in REG.items() if q.sql)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kiln.plans.registry import load_all
 
-from conftest import SF_SMALL
+from kiln_cases import SF_SMALL
 
 REG = load_all()
 

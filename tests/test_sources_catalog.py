@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kiln.session import materialize, scratch_path
 from kiln.sources.tables import read_lines, table
 
-from conftest import SF_SMALL
+from kiln_cases import SF_SMALL
 
 
 def test_catalog_tables(spark):

@@ -10,7 +10,7 @@ from kiln.session import scratch_path
 from kiln.sources.tables import table
 from kiln.streaming import models, runner
 
-from conftest import SF_SMALL
+from kiln_cases import SF_SMALL
 
 
 def test_restart_from_checkpoint_continues(spark):
