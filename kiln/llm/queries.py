@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, decontam, fingerprints, jaccard_join, langid, mixing, secrets, token_store, toxicity, url_rules
+from kiln.llm import chat, decontam, fingerprints, jaccard_join, langid, mixing, secrets, spelling, token_store, toxicity, url_rules
 from kiln.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), typo_every=199, least_length=6, least_count=5)
+    return spelling.group_spellings(words, least_ratio=5)
+
+
 @query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
