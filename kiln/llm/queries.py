@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, decontam, fingerprints, jaccard_join, langid, mixing, secrets, spelling, token_store, toxicity, url_rules
+from kiln.llm import (chat, decontam, fingerprints, gru_lm, jaccard_join, langid, mixing, phrases, secrets, spelling, token_store, toxicity,
+                      url_rules)
 from kiln.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +42,56 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = phrases.count_phrases(table(spark, sf_dir, "documents"), max_words=3, least=10)
+    return phrases.collocations(counts, max_words=3, least=10, cover_percent=50, top=2000)
+
+
+ORACLE_SQL["op11_phrase_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+rows as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+places as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from rows),
+found as (
+  select lang, size, array_to_string(ws[i:i + size - 1], ' ') as phrase
+  from places, (values (1), (2), (3)) s(size) where i + size - 1 <= len(ws)),
+f as (select lang, size, phrase, count(*) as n from found group by all),
+totals as (select lang, sum(n)::bigint as n from f where size = 1 group by lang),
+cand as (select lang, size, phrase, n as a, string_split(phrase, ' ') as ws from f where size > 1 and n >= 10),
+cuts as (select *, unnest(range(1, size)) as k from cand),
+scored as (
+  select c.lang, c.phrase, c.size, c.a, c.k, x.n as l, y.n as r,
+         (1000000::hugeint * c.a * c.a) // (x.n::hugeint * y.n) as score
+  from cuts c
+  join f x on x.lang = c.lang and x.size = c.k and x.phrase = array_to_string(c.ws[1:c.k], ' ')
+  join f y on y.lang = c.lang and y.size = c.size - c.k and y.phrase = array_to_string(c.ws[c.k + 1:c.size], ' ')),
+lowest as (
+  select * from (select *, row_number() over (partition by lang, phrase order by score, k) as place from scored) where place = 1),
+covers as (
+  select lang, phrase, max(n) as n from (
+    select lang, array_to_string(ws[1:2], ' ') as phrase, a as n from cand where size = 3
+    union all select lang, array_to_string(ws[2:3], ' '), a from cand where size = 3) group by lang, phrase),
+kept as (
+  select s.* from lowest s left join covers c on c.lang = s.lang and c.phrase = s.phrase and s.size = 2
+  where c.n is null or 100 * c.n < 50 * s.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score::bigint as score
+from ranked r join totals t on t.lang = r.lang where r.rank <= 2000
+"""
+
+
+@query
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = gru_lm.fit(docs.where(~held_out(F.col("doc_id"), 10, 0)))
+    return gru_lm.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 10, 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.count_words(table(spark, sf_dir, "documents"), typo_every=199, least_length=6, least_count=5)
