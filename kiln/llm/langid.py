@@ -157,12 +157,12 @@ def viterbi(scores: np.ndarray, firsts: np.ndarray, counts: np.ndarray, penalty:
     order = np.argsort(-counts, kind="stable")
     at, n = firsts[order], counts[order]
     at, n = at[n > 0], n[n > 0]
-    labels = np.zeros(len(scores), np.int8)
+    labels = np.zeros(len(scores), np.int16)
     if not len(n):
         return labels
     live = np.searchsorted(-n, -np.arange(n[0]), "left")     # texts with more than t words
     stay = np.ones(scores.shape, bool)
-    jump = np.zeros(len(scores), np.int8)
+    jump = np.zeros(len(scores), np.int16)
     best = scores[at]
     for t in range(1, n[0]):
         a = live[t]
@@ -171,7 +171,7 @@ def viterbi(scores: np.ndarray, firsts: np.ndarray, counts: np.ndarray, penalty:
         leap = now[np.arange(a), top] - np.float32(penalty)
         keep = now >= leap[:, None]
         stay[pos], jump[pos] = keep, top
-        best[:a] = np.where(keep, now, leap[:, None]) + scores[pos]
+        best[:a] = np.where(keep, now, leap[:, None]) - now[np.arange(a), top][:, None] + scores[pos]      # rebased: sums stay small
     state = best.argmax(axis=1)
     for t in range(n[0] - 1, -1, -1):
         a = live[t]
@@ -201,7 +201,7 @@ def label(model: LanguageModel, texts: list[str | None], penalty: float, group_c
         if not model.langs:
             text, starts, ends = text[:0], starts[:0], ends[:0]
         counts = np.bincount(text, minlength=g.n)
-        labels = viterbi(scores, np.cumsum(counts) - counts, counts, penalty) if model.langs else np.zeros(0, np.int8)
+        labels = viterbi(scores, np.cumsum(counts) - counts, counts, penalty) if model.langs else np.zeros(0, np.int16)
         share = np.zeros((g.n, max(1, len(model.langs))))
         np.add.at(share, (text, labels), ends - starts)
         whole = share.sum(axis=1)

@@ -24,6 +24,20 @@ def test_viterbi_equals_enumeration():
                 assert abs(value(got[a:a + n]) - best) < 1e-4
 
 
+def test_viterbi_of_many_labels_and_steps():
+    """Over 127 labels, and sums beyond what single precision resolves."""
+    scores = np.full((600, 300), -5.0, np.float32)
+    scores[:300, 299] = scores[300:, 150] = 0.0
+    got = langid.viterbi(scores, np.array([0]), np.array([600]), 12.0)
+    assert (got[:300] == 299).all() and (got[300:] == 150).all()
+    n = 400_000
+    scores = np.full((n, 2), -60.0, np.float32)             # both sums reach -24 million, where steps are 2
+    scores[:, 0] += 0.25
+    scores[n // 2:, 1] += 0.5
+    got = langid.viterbi(scores, np.array([0]), np.array([n]), 12.0)
+    assert (got[:n // 2] == 0).all() and (got[n // 2:] == 1).all()
+
+
 def test_held_out_accuracy(result, fixture_table):
     got = result("op3_language_id").merge(fixture_table("documents").toPandas()[["doc_id", "lang"]], on="doc_id")
     assert len(got) == fixture_table("documents").count()
