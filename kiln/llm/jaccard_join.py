@@ -86,9 +86,11 @@ def candidates(classes: DataFrame) -> DataFrame:
 def ngram_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """(class, group, n_docs, n_classes, grams): the n-gram set of each wanted
     class, as sorted 64-bit hashes packed in bytes, from the text of its named
-    document."""
-    texts = join_small(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")),
-                       wanted, ["doc_id"]).select("class", "group", "n_docs", "n_classes", "text")
+    document.  Id and digest name it, so that null and shared ids fetch no
+    other texts."""
+    named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
+                        F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_md5"))
+    texts = join_small(named, wanted, ["doc_id", "text_md5"]).select("class", "group", "n_docs", "n_classes", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in textvec.parts(batches):
@@ -214,14 +216,16 @@ def class_links(docs: DataFrame, sketched: DataFrame, id_col: str, text_col: str
                 tile: int = TILE) -> DataFrame:
     """(class, group_id, group_key, n_links, n_docs) of every class."""
     classes = (sketched.where("class is not null").groupBy("class")
-               .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs"), F.first("bands").alias("bands")))
+               .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_md5")).alias("named"), F.count("*").alias("n_docs"),
+                    F.first("bands").alias("bands"))
+               .select("class", "named.doc_id", "named.text_md5", "n_docs", "bands"))
     near = materialize(candidates(classes), "near")
     sizes = near.groupBy("group").agg(F.count("*").alias("n_classes")).withColumn("rows", F.col("n_classes"))
     wanted = materialize(lookup(near, sizes, ["group"], "rows").join(classes.drop("bands"), "class"), "wanted")
     found = materialize(tile_links(ngram_sets(docs, wanted, id_col, text_col, n), threshold, tile), "found")
     linked = components(found.where("peer is not null"), "class", "peer")
     sums = found.groupBy("class").agg(F.sum("links").alias("links"))
-    per_class = (classes.drop("bands").join(linked.select(F.col("node").alias("class"), "component"), "class", "left")
+    per_class = (classes.drop("bands", "text_md5").join(linked.select(F.col("node").alias("class"), "component"), "class", "left")
                  .join(sums, "class", "left").withColumn("component", F.coalesce("component", "class")))
     least = per_class.groupBy("component").agg(F.min("doc_id").alias("group_id"))
     return per_class.join(least, "component").select(

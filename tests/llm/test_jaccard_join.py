@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kiln.llm import fingerprints, groups, jaccard_join, textvec
 from llm_cases import MESSY
@@ -128,3 +129,17 @@ def test_messy_rows(spark, messy, nothing):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == messy.columns and sorted(x for x in ids if x is not None) == [1, 2, 3, 4, 5, 6, 8, 9, 10, 10, 12, 13]
     assert jaccard_join.jaccard_join(nothing).count() == 0 and jaccard_join.keep_one(nothing).count() == 0
+
+
+def test_many_null_ids_fetch_only_their_own_texts(spark):
+    """Classes whose ids are all null: each fetches one text, not every text without an id."""
+    n = 400
+    texts = [" ".join(f"w{k}x{i}" for i in range(60)) for k in range(n // 2)]
+    rows = [(None, t) for t in texts] + [(None, t + " more") for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    bands, per_band = jaccard_join.textvec.choose_bands(0.8, 0.9995, most=256)
+    sketched = jaccard_join.materialize(jaccard_join.sketch(docs, "doc_id", "text", 5, bands, per_band, 8))
+    wanted = (sketched.groupBy("class").agg(F.min(F.struct("doc_id", "text_md5")).alias("d")).select("class", "d.*")
+              .selectExpr("class", "doc_id", "text_md5", "class as group", "1L as n_docs", "1L as n_classes"))
+    assert jaccard_join.ngram_sets(docs, wanted, "doc_id", "text", 5).count() == n
+    assert [r.n_links for r in jaccard_join.jaccard_join(docs).collect()] == [1] * n
