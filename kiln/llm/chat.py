@@ -18,7 +18,7 @@ prompt is empty; repeated turns stay repeated; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BEGIN, MIDDLE, END = "<|im_start|>", "\n", "<|im_end|>\n"
@@ -30,17 +30,23 @@ def preference_turns(conversations: DataFrame, id_col: str = "conv_id", turn_col
     """(pair_id, side, turn, role, text): a pair for every conversation.  Its
     turns are the chosen side; the rejected side ends on the last turn of
     the conversation of the next id in its pair of ids (2k, 2k + 1) instead
-    of its own, if there is one."""
-    c = conversations.select(F.col(id_col).cast("bigint").alias("pair_id"), F.col(turn_col).cast("bigint").alias("turn"),
-                             F.col(role_col).alias("role"), F.col(text_col).alias("text")).where("pair_id is not null")
-    last = c.groupBy("pair_id").agg(F.max(F.struct("turn", "role", "text")).alias("last"))
-    other = last.select(F.expr("pair_id ^ 1").alias("pair_id"), F.col("last.role").alias("role"), F.col("last.text").alias("text"))
-    kept = (c.join(last.select("pair_id", F.col("last.turn").alias("last_turn")), "pair_id")
-            .where(~F.col("turn").eqNullSafe(F.col("last_turn"))).drop("last_turn"))
-    ending = last.select("pair_id", F.col("last.turn").alias("turn")).join(other, "pair_id")
+    of its own, if there is one.
+
+    Turns are numbered in order of turn (null first), role and text (null as
+    empty), so that a shared turn number is no tie and exactly one turn is the
+    last.  Rows without a conversation id belong to no pair and are left out."""
+    empty = F.lit("")
+    role, text = F.coalesce(F.col(role_col), empty), F.coalesce(F.col(text_col), empty)
+    pair = Window.partitionBy("pair_id")
+    c = (conversations.select(F.col(id_col).cast("bigint").alias("pair_id"), F.col(turn_col).cast("bigint").alias("n"),
+                              role.alias("role"), text.alias("text")).where("pair_id is not null")
+         .withColumn("turn", F.row_number().over(pair.orderBy(F.asc_nulls_first("n"), "role", "text")).cast("bigint"))
+         .withColumn("last", F.count("*").over(pair)))
     columns = ["pair_id", "turn", "role", "text"]
+    other = c.where("turn = last").select(F.expr("pair_id ^ 1").alias("pair_id"), "role", "text")
+    ending = c.where("turn = last").select("pair_id", "turn").join(other, "pair_id")
     return (c.select(*columns, F.lit("chosen").alias("side"))
-            .unionByName(kept.unionByName(ending.select(*columns)).withColumn("side", F.lit("rejected"))))
+            .unionByName(c.where("turn < last").select(*columns).unionByName(ending.select(*columns)).withColumn("side", F.lit("rejected"))))
 
 
 def format_preferences(turns: DataFrame) -> DataFrame:

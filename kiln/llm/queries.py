@@ -187,7 +187,7 @@ def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op2_preference_format"] = r"""
 with c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
-         row_number() over (partition by conv_id order by turn) as i,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i,
          count(*) over (partition by conv_id) as n
   from conversations where conv_id is not null),
 last as (select conv_id, role, text from c where i = n),

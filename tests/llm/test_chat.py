@@ -69,3 +69,18 @@ def test_pairs_from_conversations(spark):
     assert set(got) == {0, 1, 4}
     assert (got[0].prompt, got[0].chosen, got[0].rejected) == (render([("user", "q")]), render([("assistant", "good")]), render([("assistant", "bad")]))
     assert got[4].chosen == render([("user", "alone")]) and got[4].rejected == "" and got[4].n_prompt_turns == 0
+
+
+def test_a_shared_last_turn_number(spark):
+    """Two rows with the last number: one of them, by role and text, is the last."""
+    rows = [(0, 1, "user", "q"), (0, 2, "assistant", "a"), (0, 2, "assistant", "b"), (1, 1, "user", "q"), (1, 2, "assistant", "z"),
+            (None, 1, "user", "lost"), (2, None, "user", None), (2, 1, None, "x" * 100_000)]
+    turns = chat.preference_turns(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")).collect()
+    sides = {}
+    for t in sorted(turns, key=lambda t: t.turn):
+        sides.setdefault((t.pair_id, t.side), []).append((t.role, t.text))
+    assert sides[0, "chosen"] == [("user", "q"), ("assistant", "a"), ("assistant", "b")]
+    assert sides[0, "rejected"] == [("user", "q"), ("assistant", "a"), ("assistant", "z")]
+    assert sides[1, "rejected"] == [("user", "q"), ("assistant", "b")]
+    assert sides[2, "chosen"] == [("user", ""), ("", "x" * 100_000)] and sides[2, "rejected"] == [("user", "")]
+    assert {k[0] for k in sides} == {0, 1, 2}
