@@ -4,7 +4,7 @@ A store is a folder in the shared file system:
 
 * ``payload-<shard>.bin``: the ids of the shard's documents one after another,
   raw little-endian, 16 bits if the vocabulary allows, else 32; documents in
-  ascending order of their key, shards too.
+  ascending order of their key, null first, shards too.
 * ``index-<shard>.bin``: a minimal perfect hash of the shard's keys (levels of
   bit arrays; a key that is alone at its place in a level is settled there,
   the rest go on to the next; its slot is the rank of its bit), and per slot a
@@ -13,15 +13,18 @@ A store is a folder in the shared file system:
   key that isn't in the store fails the fingerprint, but for one in 2**32.
 * ``manifest``: a Parquet table of the shards with key ranges and sizes.
 
-Writing shuffles the texts once, by ranges of the key; a task streams its
+Writing shuffles the texts once, by ranges of (key, first characters, digest,
+row); a key with very many rows spans several shards.  A task streams its
 texts into its payload and keeps only keys and lengths.  Files get their
 names when complete, and a repeated task writes the same bytes, so lost
-executors and repeated attempts do no harm.
-
-Defined results: null text is empty; the null key is the key ``NULL_KEY``;
-rows of equal key are separate documents of the key, ordered by text, and
-stay in one shard; an empty table gives a store without shards; a text that
-holds an added token's own string is encoded as the tokenizer does.
+executors and repeated attempts do no harm.  Records are read back with one
+task per shard, so a task reads as much payload as one wrote.
+
+Defined results: null text is empty; rows of equal key, and those of the null
+key, are separate documents, ordered by their first ``TIE_CHARS`` characters,
+then by digest; any 64-bit number can be a key; an empty table gives a store
+without shards; a text that holds an added token's own string is encoded as
+the tokenizer does.
 """
 
 from __future__ import annotations
@@ -49,15 +52,18 @@ from kiln.llm import textvec
 from kiln.session import partitions_for, scratch_path
 
 MAGIC = b"KILNTOK1"
-NULL_KEY = -(1 << 63)
 LOAD, BLOCK_BITS = 2.0, 512
+
+#: Characters that order documents of one key; the sample that cuts the ranges holds no more of a text.
+TIE_CHARS = 64
 FINGERPRINT_SEED = np.uint64(0xD6E8FEB86659FD93)
 
 #: Encoded pieces a task keeps at most, half of them those met last.
 MEMO_PIECES = 500_000
 
-MANIFEST = "shard int, n_docs bigint, n_ids bigint, first_key bigint, last_key bigint"
+MANIFEST = "shard int, n_docs bigint, n_null bigint, n_ids bigint, first_key bigint, last_key bigint"
 RECORDS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+RECORD_ROWS = 10_000
 
 
 # -- encoding ---------------------------------------------------------------
@@ -201,24 +207,33 @@ class KeyHash:
 @dataclass
 class ShardIndex:
     """Keys of a shard to its documents: documents ``first[s]`` to
-    ``first[s] + count[s]`` belong to the key in slot s; document d has the
-    ids ``offsets[d]`` to ``offsets[d + 1]`` of the payload."""
+    ``first[s] + count[s]`` belong to the key in slot s, and the first
+    ``n_null`` to none; document d has the ids ``offsets[d]`` to
+    ``offsets[d + 1]`` of the payload."""
     hash: KeyHash
     fingerprints: np.ndarray
     first: np.ndarray
     count: np.ndarray
     offsets: np.ndarray
     dtype: str
+    n_null: int = 0
 
     @classmethod
-    def of(cls, keys: np.ndarray, lengths: np.ndarray, dtype: str) -> ShardIndex:
-        """From the ascending keys and numbers of ids of the documents."""
+    def of(cls, keys: np.ndarray, lengths: np.ndarray, dtype: str, n_null: int = 0) -> ShardIndex:
+        """From the numbers of ids of the documents, and the ascending keys of
+        those after the first ``n_null``."""
         distinct, first, count = np.unique(keys, return_index=True, return_counts=True)
         distinct = distinct.view(np.uint64)
         h = KeyHash.of(distinct)
         order = np.argsort(h.slots(distinct))
-        return cls(h, _fingerprint(distinct)[order], first[order].astype(np.uint32), count[order].astype(np.uint32),
-                   np.concatenate(([0], np.cumsum(lengths))).astype(np.uint64), dtype)
+        return cls(h, _fingerprint(distinct)[order], (first[order] + n_null).astype(np.uint32), count[order].astype(np.uint32),
+                   np.concatenate(([0], np.cumsum(lengths))).astype(np.uint64), dtype, n_null)
+
+    def documents(self, keys: np.ndarray) -> list[range]:
+        """The documents of each key that the shard has (int64); an empty
+        range if it has none."""
+        slots = self.find(keys)
+        return [range(int(self.first[s]), int(self.first[s]) + int(self.count[s])) if s >= 0 else range(0) for s in slots]
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Slots of int64 keys; -1 if the shard doesn't have the key."""
@@ -230,7 +245,7 @@ class ShardIndex:
 
     def to_bytes(self) -> bytes:
         parts = [self.hash.bits, self.hash.ranks, self.fingerprints, self.first, self.count, self.offsets]
-        head = json.dumps({"levels": self.hash.sizes, "dtype": self.dtype,
+        head = json.dumps({"levels": self.hash.sizes, "dtype": self.dtype, "n_null": self.n_null,
                            "parts": [[p.dtype.str, len(p)] for p in parts]}).encode()
         return b"".join([MAGIC, struct.pack("<Q", len(head)), head, *(p.tobytes() for p in parts)])
 
@@ -243,7 +258,7 @@ class ShardIndex:
         for dtype, n in head["parts"]:
             parts.append(np.frombuffer(raw, dtype, n, at))
             at += parts[-1].nbytes
-        return cls(KeyHash(head["levels"], parts[0], parts[1]), *parts[2:], head["dtype"])
+        return cls(KeyHash(head["levels"], parts[0], parts[1]), *parts[2:], head["dtype"], head["n_null"])
 
 
 # -- files ------------------------------------------------------------------
@@ -271,12 +286,13 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
         end = np.array([end_id], enc.dtype).tobytes()
         task = TaskContext.get()
         shard, attempt = task.partitionId(), task.taskAttemptId()
-        keys, lengths, out = [], [], None
+        keys, n_null, lengths, out = [], 0, [], None
         for b in textvec.parts(batches):
             if out is None:
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(f"{folder}/payload-{shard:06d}.{attempt}.part", buffer_size=1 << 20)
-            keys.append(b.column(0).to_numpy())
+            n_null += b.column(0).null_count
+            keys.append(b.column(0).drop_null().to_numpy())
             for text in b.column(1).to_pylist():
                 ids = enc.encode(text) + end
                 lengths.append(len(ids) // len(end))
@@ -286,18 +302,21 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
             return
         out.close()
         keys = np.concatenate(keys)
-        index = ShardIndex.of(keys, np.array(lengths, np.int64), enc.dtype)
+        index = ShardIndex.of(keys, np.array(lengths, np.int64), enc.dtype, n_null)
         with fs.open_output_stream(f"{folder}/index-{shard:06d}.{attempt}.part") as f:
             f.write(index.to_bytes())
         for kind in ("payload", "index"):
             _put(fs, f"{folder}/{kind}-{shard:06d}.{attempt}.part", f"{folder}/{kind}-{shard:06d}.bin")
         yield pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int32()), *(pa.array([int(x)], pa.int64()) for x in (len(keys), sum(lengths), keys[0], keys[-1]))],
-            ["shard", "n_docs", "n_ids", "first_key", "last_key"])
-
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_KEY)).alias("key"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    (keyed.repartitionByRange(partitions_for(docs), "key").sortWithinPartitions("key", "text")
+            [pa.array([shard], pa.int32()), *(pa.array([x], pa.int64()) for x in (len(lengths), n_null, sum(lengths))),
+             *(pa.array([int(k) for k in own], pa.int64()) if len(own) else pa.array([None], pa.int64()) for own in (keys[:1], keys[-1:]))],
+            ["shard", "n_docs", "n_null", "n_ids", "first_key", "last_key"])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).cast("bigint").alias("key"), text.alias("text"), F.substring(text, 1, TIE_CHARS).alias("begin"),
+                        F.xxhash64(text).alias("digest"), F.monotonically_increasing_id().alias("row"))
+    order = ["key", "begin", "digest"]
+    (keyed.repartitionByRange(partitions_for(docs), *order, "row").sortWithinPartitions(*order, "text").select("key", "text")
      .mapInArrow(run, MANIFEST).write.parquet(f"{path}/manifest"))
     return docs.sparkSession.read.parquet(f"{path}/manifest")
 
@@ -305,90 +324,118 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
 @dataclass
 class Shards:
     """The manifest, one entry per shard in key order; sent to every task
-    (some 40 bytes a shard)."""
+    (some 50 bytes a shard).  ``keyed`` are the entries with keys, ``first_key``
+    and ``last_key`` theirs; ``unkeyed`` those with documents without a key."""
     path: str
     shard: np.ndarray
-    first_key: np.ndarray
     start: np.ndarray
+    keyed: np.ndarray
+    first_key: np.ndarray
+    last_key: np.ndarray
+    unkeyed: np.ndarray
 
     @classmethod
     def of(cls, spark: SparkSession, path: str) -> Shards:
-        m = spark.read.parquet(f"{path}/manifest").toPandas().sort_values("first_key")
-        n = m["n_ids"].to_numpy(np.int64)
-        return cls(path, m["shard"].to_numpy(), m["first_key"].to_numpy(np.int64), np.cumsum(n) - n)
-
-    def of_keys(self, keys: np.ndarray) -> np.ndarray:
-        """Entry of the shard whose range has the key; -1 if before all."""
-        return np.searchsorted(self.first_key, keys, "right") - 1
+        m = spark.read.parquet(f"{path}/manifest").orderBy("shard").collect()
+        n = np.array([r["n_ids"] for r in m], np.int64)
+        keyed = [k for k, r in enumerate(m) if r["first_key"] is not None]
+        first, last = (np.array([m[k][c] for k in keyed], np.int64) for c in ("first_key", "last_key"))
+        return cls(path, np.array([r["shard"] for r in m], np.int64), np.cumsum(n) - n, np.array(keyed, np.int64), first, last,
+                   np.array([k for k, r in enumerate(m) if r["n_null"]], np.int64))
+
+    def of_keys(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the key, entry) of the shards whose ranges have the
+        keys, one row for each; a key in no range has none."""
+        low = np.searchsorted(self.last_key, keys, "left")
+        n = np.maximum(np.searchsorted(self.first_key, keys, "right") - low, 0)
+        which = np.repeat(np.arange(len(keys)), n)
+        at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        return which, self.keyed[at]
 
     def index(self, entry: int) -> ShardIndex:
         fs, folder = open_folder(self.path)
         with fs.open_input_file(f"{folder}/index-{self.shard[entry]:06d}.bin") as f:
             return ShardIndex.from_bytes(f.read())
 
-    def get(self, key: int | None) -> list[np.ndarray]:
-        """The ids of each document of a key, read by their byte range."""
-        key = np.array([NULL_KEY if key is None else key], np.int64)
-        entry = int(self.of_keys(key)[0])
-        if entry < 0:
-            return []
-        index = self.index(entry)
-        slot = int(index.find(key)[0])
-        if slot < 0:
-            return []
+    def payload(self, entry: int) -> pa.NativeFile:
         fs, folder = open_folder(self.path)
-        size, out = np.dtype(index.dtype).itemsize, []
-        with fs.open_input_file(f"{folder}/payload-{self.shard[entry]:06d}.bin") as f:
-            for d in range(int(index.first[slot]), int(index.first[slot]) + int(index.count[slot])):
-                a, z = int(index.offsets[d]), int(index.offsets[d + 1])
-                out.append(np.frombuffer(f.read_at((z - a) * size, a * size), index.dtype))
+        return fs.open_input_file(f"{folder}/payload-{self.shard[entry]:06d}.bin")
+
+    def get(self, key: int | None) -> list[np.ndarray]:
+        """The ids of each document of a key, read by their byte ranges."""
+        out = []
+        for entry in self.unkeyed if key is None else self.of_keys(np.array([key], np.int64))[1]:
+            index = self.index(entry)
+            with self.payload(entry) as f:
+                out += [_ids(index, f, d) for d in (range(index.n_null) if key is None else index.documents(np.array([key], np.int64))[0])]
         return out
 
 
+def _ids(index: ShardIndex, payload: pa.NativeFile, d: int) -> np.ndarray:
+    a, z, size = int(index.offsets[d]), int(index.offsets[d + 1]), np.dtype(index.dtype).itemsize
+    return np.frombuffer(payload.read_at((z - a) * size, a * size), index.dtype)
+
+
 def read_records(keys: DataFrame, path: str, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document of the keys,
     read from the store: the keys, dealt by shard, go through the shard's
     perfect hash to payload ranges.  ``start`` counts the ids of all
     documents before; a key that the store doesn't have is an error."""
     spark = keys.sparkSession
-    shared = spark.sparkContext.broadcast(Shards.of(spark, path))
+    stored = Shards.of(spark, path)
+    shared = spark.sparkContext.broadcast(stored)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shards = shared.value
         for b in textvec.parts(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shared.value.of_keys(b.column(0).to_numpy()), pa.int32()), b.column(0)], ["entry", "key"])
+            named = b.column(0).drop_null()
+            which, entry = shards.of_keys(named.to_numpy())
+            if (lost := np.setdiff1d(np.arange(len(named)), which)).size:
+                raise KeyError(f"no shard has the key {named[int(lost[0])]}")
+            yield pa.RecordBatch.from_arrays([pa.array(entry, pa.int32()), named.take(pa.array(which))], ["entry", "key"])
+            if b.column(0).null_count:
+                if not len(shards.unkeyed):
+                    raise KeyError("no shard has documents without a key")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shards.unkeyed, pa.int32()), pa.nulls(len(shards.unkeyed), pa.int64())], ["entry", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards, opened = shared.value, None
         for b in textvec.parts(batches):
-            entries, all_keys = b.column(0).to_numpy(), b.column(1).to_numpy()
+            entries = b.column(0).to_numpy()
             for entry in np.unique(entries):
-                if entry < 0:
-                    raise KeyError(f"no shard has the key {all_keys[entries == entry][0]}")
                 if opened is None or opened[0] != entry:
                     if opened:
                         opened[2].close()
-                    fs, folder = open_folder(shards.path)
-                    payload = fs.open_input_file(f"{folder}/payload-{shards.shard[entry]:06d}.bin")
-                    opened = (entry, shards.index(entry), payload)
-                yield _records(opened[1], opened[2], int(shards.start[entry]), all_keys[entries == entry])
-
-    named = keys.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NULL_KEY)).alias("key")).distinct()
-    return (named.mapInArrow(place, "entry int, key bigint").repartition("entry").sortWithinPartitions("entry", "key")
-            .mapInArrow(run, RECORDS))
-
-
-def _records(index: ShardIndex, payload: pa.NativeFile, base: int, keys: np.ndarray) -> pa.RecordBatch:
-    slots = index.find(keys)
-    if (slots < 0).any():
-        raise KeyError(f"the store doesn't have the key {keys[slots < 0][0]}")
-    docs = [range(int(a), int(a) + int(n)) for a, n in zip(index.first[slots], index.count[slots])]
-    size, rows = np.dtype(index.dtype).itemsize, []
-    for key, own in zip(keys.tolist(), docs):
+                    opened = (entry, shards.index(entry), shards.payload(entry))
+                own = b.column(1).filter(pa.array(entries == entry))
+                yield from _records(opened[1], opened[2], int(shards.start[entry]), own)
+
+    named = keys.select(F.col(id_col).cast("bigint").alias("key")).distinct()
+    # a task for each shard: what it reads is the shard's payload, not its keys
+    return (named.mapInArrow(place, "entry int, key bigint").repartitionById(max(1, len(stored.shard)), "entry")
+            .sortWithinPartitions("entry", "key").mapInArrow(run, RECORDS))
+
+
+def _records(index: ShardIndex, payload: pa.NativeFile, base: int, keys: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Records of the documents of a shard's keys, at most a few thousand at
+    a time: a key may have very many."""
+    named = keys.drop_null()
+    documents = index.documents(named.to_numpy())
+    if not all(documents):
+        raise KeyError(f"the store doesn't have the key {named[[len(d) for d in documents].index(0)]}")
+    rows: list[tuple] = []
+    for key, own in [(None, range(index.n_null))] * bool(keys.null_count) + list(zip(named.to_pylist(), documents)):
         for d in own:
-            a, z = int(index.offsets[d]), int(index.offsets[d + 1])
-            ids = np.frombuffer(payload.read_at((z - a) * size, a * size), index.dtype)
-            rows.append((None if key == NULL_KEY else key, base + a, z - a, zlib.crc32(ids.astype("<u4").tobytes())))
+            ids = _ids(index, payload, d)
+            rows.append((key, base + int(index.offsets[d]), len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+            if len(rows) == RECORD_ROWS:
+                yield _record_batch(rows)
+                rows = []
+    yield _record_batch(rows)
+
+
+def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)],
                                       ["doc_id", "start", "n_tokens", "ids_crc32"])
 

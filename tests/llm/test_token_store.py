@@ -18,14 +18,17 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
 
 
+NULL = -(1 << 64)
+
+
 def ids_of(text):
     return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [2]
 
 
 def brute(rows):
-    """(key, start, n, crc) in ascending key order, ties by text."""
+    """(key, start, n, crc) in ascending key order, null first, ties by text."""
     out, at = [], 0
-    for d, t in sorted(((token_store.NULL_KEY if d is None else d, t or "") for d, t in rows)):
+    for d, t in sorted(((NULL if d is None else d, t or "") for d, t in rows)):
         ids = ids_of(t)
         out.append((d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
@@ -33,7 +36,7 @@ def brute(rows):
 
 
 def found(df):
-    return sorted((token_store.NULL_KEY if r.doc_id is None else r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in df.collect())
+    return sorted((NULL if r.doc_id is None else r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in df.collect())
 
 
 def test_fixture_round_trip(result, fixture_table):
@@ -84,3 +87,36 @@ def test_keyed_access_and_messy_rows(spark, messy, nothing):
     with pytest.raises(PySparkException, match="424242"):
         token_store.read_records(missing, path).collect()
     assert token_store.encode_and_read(nothing, PATH, 2).count() == 0
+
+
+def test_extreme_keys_aren_t_null(spark):
+    rows = [(-(1 << 63), "least"), (None, "none"), ((1 << 63) - 1, "most"), (0, "zero")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    path = scratch_path(spark, "tokens-test")
+    token_store.write_store(docs, path, PATH, 2)
+    assert found(token_store.read_records(docs, path)) == brute(rows)
+    store = token_store.Shards.of(spark, path)
+    assert [[x.tolist() for x in store.get(k)] for k, _ in rows] == [[ids_of(t)] for _, t in rows]
+    with pytest.raises(PySparkException, match="without a key"):
+        some = scratch_path(spark, "tokens-test")
+        token_store.write_store(docs.where("doc_id is not null"), some, PATH, 2)
+        token_store.read_records(docs, some).collect()
+
+
+def test_hot_keys_span_shards_and_shards_have_tasks(spark, monkeypatch):
+    """A third of the rows has one id, a third none; repeated rows of one text among them."""
+    rng = random.Random(9)
+    rows = [((7, None, k)[k % 3], "same text" if k % 2 else f"text {rng.random()}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    monkeypatch.setattr(token_store, "partitions_for", lambda df: 12)
+    path = scratch_path(spark, "tokens-test")
+    manifest = token_store.write_store(docs, path, PATH, 2).collect()
+    assert len(manifest) >= 10 and max(r.n_docs for r in manifest) < 700 and sum(r.n_docs for r in manifest) == 3000
+    records = token_store.read_records(docs, path)
+    assert records.rdd.getNumPartitions() == len(manifest)
+    got, want = records.collect(), brute(rows)
+    starts = sorted((r.start, r.n_tokens) for r in got)
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+    assert sorted((NULL if r.doc_id is None else r.doc_id, r.ids_crc32) for r in got) == sorted((w[0], w[3]) for w in want)
+    store = token_store.Shards.of(spark, path)
+    assert len(store.get(7)) == len(store.get(None)) == 1000
