@@ -4,14 +4,14 @@ edited and paraphrased copies.
 
 1. The documents that hold each n-gram of the benchmark are counted over the
    whole corpus (one scan; a task sends at most one count per n-gram).
-2. An n-gram is a seed if at most ``rare_share`` of the documents hold it, or
-   at most twice as many as hold the item's median n-gram, of those that occur
-   at all; so is the rarest one that occurs in each part of an item, and any
-   that gives a document ``CANDIDATES`` items or fewer on average.  So what a
-   much copied edit or passage keeps of an item are seeds, however common it
-   is, and phrases common in texts and in items alike are none.
-3. A second scan looks the seeds up in each document; where they hit, and
-   the words around hold enough of the item's to reach the score, the item is
+2. An n-gram is a seed if at most ``rare_share`` of the documents hold it and
+   it brings a document ``CANDIDATES`` items or fewer on average.  A more common
+   one is a seed only of items whose n-grams that are about as common (half its
+   share or more) cover the words that a leak needs: then copies of the item
+   may be that common, however many they are.  A phrase that many texts and
+   items share covers less, and is none.
+3. A second scan looks the seeds up in each document; where a rare one hits,
+   or two common ones on near diagonals, and the words around hold enough of the item's to reach the score, the item is
    aligned with the surrounding words (+1 a match, ``-gap`` a change,
    insertion or deletion).  The score is the best local alignment's value per
    word of the item, 1 for a verbatim copy; a long passage of a longer item is
@@ -46,9 +46,8 @@ BLOCK_CHARS = 20_000_000
 #: ``LONG_WORDS``, which clean texts don't share, of an item of any length.
 SEED_WORDS, RARE_SHARE, GAP, LEAST_SCORE, LEAST_WORDS, LONG_WORDS = 3, 0.001, 0.5, 0.4, 8, 30
 
-#: Items that an n-gram of any share may bring to a document on average, and
-#: the n-grams of an item's part, whose rarest is a seed.
-CANDIDATES, PART_GRAMS = 4, 8
+#: Items that a rare n-gram may bring to a document on average.
+CANDIDATES = 4
 
 LEAKS = "doc_id bigint, item_id bigint, score double, start bigint, end bigint"
 
@@ -122,23 +121,40 @@ def gram_shares(docs: DataFrame, grams: np.ndarray, seed_words: int, text_col: s
     return {int(keys[k]): v / whole for k, v in n.items()}
 
 
-def choose_seeds(items: Items, shares: dict[int, float], rare_share: float) -> np.ndarray:
-    """Gram numbers of the seeds of each item, among the n-grams that occur."""
+def least_value(words: int, least_score: float, least_words: int, long_words: int) -> float:
+    """Alignment value from which an item of so many words is leaked."""
+    return min(max(least_score * words, min(least_words, words)), long_words)
+
+
+def choose_seeds(items: Items, shares: dict[int, float], rare_share: float, seed_words: int = SEED_WORDS, least_score: float = LEAST_SCORE,
+                 least_words: int = LEAST_WORDS, long_words: int = LONG_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(gram numbers of the seeds of each item, whether they are rare), among
+    the n-grams that occur.  Items of the same words count once."""
     share = np.array([shares.get(int(g), 0.0) for g in items.grams])
     if not len(share):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, bool)
     item = np.searchsorted(items.first, items.at, "right") - 1
-    occurs = np.flatnonzero(share)
-    limit = np.full(len(items.ids), rare_share)
-    owners, cut = np.unique(item[occurs], return_index=True)
-    for k, own in zip(owners, np.split(share[occurs], cut[1:])):
-        limit[k] = max(rare_share, 2 * float(np.median(own)))
-    _, gram, n = np.unique(items.grams, return_inverse=True, return_counts=True)
-    part = item * (len(share) + 1) + (items.at - items.first[item]) // PART_GRAMS
-    part = np.unique(part, return_inverse=True)[1]
-    rarest = np.full(part.max() + 1, np.inf)
-    np.minimum.at(rarest, part[occurs], share[occurs])
-    return np.flatnonzero((share > 0) & ((share <= limit[item]) | (share <= rarest[part]) | (share * n[gram] <= CANDIDATES)))
+    _, kind = np.unique([items.words[a:z].tobytes() for a, z in zip(items.first, items.first[1:])], return_inverse=True)
+    _, gram = np.unique(items.grams, return_inverse=True)
+    pairs = np.unique(np.stack([gram, kind[item]]), axis=1)
+    brings = share * np.bincount(pairs[0])[gram]
+    rare = (share > 0) & (share <= rare_share) & (brings <= CANDIDATES)
+    seed = rare.copy()
+    others = np.flatnonzero((share > 0) & ~rare)
+    owners, cut = np.unique(item[others], return_index=True)
+    for k, own in zip(owners, np.split(others, cut[1:])):
+        words = int(items.first[k + 1] - items.first[k])
+        need = least_value(words, least_score, least_words, long_words)
+        every = np.arange(*np.searchsorted(item, [k, k + 1]))
+        every = every[share[every] > 0]
+        for level in np.unique(share[own]):
+            covered = np.zeros(words + seed_words, bool)
+            for at in (items.at[every[share[every] >= level / 2]] - items.first[k]).tolist():
+                covered[at:at + seed_words] = True
+            if covered[:words].sum() >= need:
+                seed[own[share[own] == level]] = True
+    seeds = np.flatnonzero(seed)
+    return seeds, rare[seeds]
 
 
 def align(item: np.ndarray, words: np.ndarray, gap: float) -> tuple[float, int, int]:
@@ -161,7 +177,7 @@ def align(item: np.ndarray, words: np.ndarray, gap: float) -> tuple[float, int,
 class Matcher:
     """Finds the leaks of a block of items in texts."""
 
-    def __init__(self, items: Items, seeds: np.ndarray, seed_words: int, gap: float, least_score: float, least_words: int,
+    def __init__(self, items: Items, seeds: np.ndarray, rare: np.ndarray, seed_words: int, gap: float, least_score: float, least_words: int,
                  long_words: int):
         self.items, self.seed_words, self.gap = items, seed_words, gap
         self.least_score, self.least_words, self.long_words = least_score, least_words, long_words
@@ -169,6 +185,9 @@ class Matcher:
         key = np.searchsorted(self.look.keys, items.grams[seeds])
         order = np.argsort(key, kind="stable")
         self.word = items.at[seeds][order]                    # item words of key k: word[first[k]:first[k + 1]]
+        self.item = np.searchsorted(items.first, self.word, "right") - 1
+        # an item with a single n-gram can't have two
+        self.rare = rare[order] | (np.diff(items.first)[self.item] <= seed_words)
         self.first = np.searchsorted(key[order], np.arange(len(self.look.keys) + 1))
 
     def leaks(self, texts: list[str | None]) -> list[tuple[int, int, float, int, int]]:
@@ -178,21 +197,37 @@ class Matcher:
             w = textvec.words(s)
             g, at = textvec.ngrams(w, self.seed_words)
             which, key = self.look.find(g)
-            found: dict[tuple[int, int], set[int]] = {}
-            for p, k in zip(at[which].tolist(), key.tolist()):
-                for q in self.word[self.first[k]:self.first[k + 1]].tolist():
-                    item = int(np.searchsorted(self.items.first, q, "right")) - 1
-                    found.setdefault((int(w.text[p]), item), set()).add(p - (q - int(self.items.first[item])))
-            for (d, item), diagonals in sorted(found.items()):
-                if leak := self.best(w, d, item, sorted(diagonals)):
+            d, item, diagonal, rare = self.hits(w.text[at[which]], at[which], key)
+            cut = np.flatnonzero(np.diff(d, prepend=-1) | np.diff(item, prepend=-1))
+            for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(d)]):
+                own = diagonal[a:z]
+                if not rare[a:z].any() and not (np.diff(own) <= self.pad(int(item[a]))).any():
+                    continue
+                text = int(d[a])
+                if leak := self.best(w, text, int(item[a]), np.unique(own).tolist()):
                     score, begin, end = leak
-                    out.append((s.first + d, item, score, int(w.starts[begin] - s.starts[d]), int(w.ends[end - 1] - s.starts[d])))
+                    out.append((s.first + text, int(item[a]), score, int(w.starts[begin] - s.starts[text]), int(w.ends[end - 1] - s.starts[text])))
         return out
 
+    def hits(self, text: np.ndarray, at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(text, item, diagonal, whether the seed is rare) of every place of
+        an item that a seed found, ordered by text, item and diagonal."""
+        n = self.first[key + 1] - self.first[key]
+        which = np.repeat(np.arange(len(key)), n)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[key], n)
+        item = self.item[place]
+        diagonal = at[which] - (self.word[place] - self.items.first[item])
+        order = np.lexsort((diagonal, item, text[which]))
+        return text[which][order], item[order], diagonal[order], self.rare[place][order]
+
+    def pad(self, item: int) -> int:
+        """How far a copy may be off its diagonal."""
+        return int(self.items.first[item + 1] - self.items.first[item]) // 4 + 2
+
     def best(self, w: textvec.Words, d: int, item: int, diagonals: list[int]) -> tuple[float, int, int] | None:
         """Best alignment of an item near the diagonals: (score, word range)."""
         own = self.items.words[self.items.first[item]:self.items.first[item + 1]]
-        m, pad = len(own), len(own) // 4 + 2
+        m, pad = len(own), self.pad(item)
         low, high = int(w.firsts[d]), int(w.firsts[d] + w.counts[d])
         regions: list[list[int]] = []
         for x in diagonals:
@@ -201,7 +236,7 @@ class Matcher:
                 regions[-1][1] = max(end, regions[-1][1])
             else:
                 regions.append([begin, end])
-        least = min(max(self.least_score * m, min(self.least_words, m)), self.long_words)
+        least = least_value(m, self.least_score, self.least_words, self.long_words)
         top, where = 0.0, None
         for begin, end in regions:
             if np.isin(own, w.hashes[begin:end]).sum() < max(least, top):      # no alignment can reach it
@@ -232,8 +267,9 @@ def _matchers(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: st
               least_score: float, least_words: int, long_words: int):
     for ids, texts in _blocks(benchmark, item_col, text_col):
         items = Items.of(ids, texts, seed_words)
-        seeds = choose_seeds(items, gram_shares(docs, items.grams, seed_words, text_col), rare_share)
-        yield docs.sparkSession.sparkContext.broadcast(Matcher(items, seeds, seed_words, gap, least_score, least_words, long_words))
+        shares = gram_shares(docs, items.grams, seed_words, text_col)
+        seeds, rare = choose_seeds(items, shares, rare_share, seed_words, least_score, least_words, long_words)
+        yield docs.sparkSession.sparkContext.broadcast(Matcher(items, seeds, rare, seed_words, gap, least_score, least_words, long_words))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text",

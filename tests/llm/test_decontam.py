@@ -2,6 +2,7 @@
 verbatim, edited and partial copies, no clean document."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -102,13 +103,73 @@ def test_long_passage_of_a_longer_item(spark):
     assert {r.doc_id for r in decontam.remove_leaks(table, bench).collect()} == set(range(3, 40))
 
 
+PHRASE = "which of the following words is the best answer to this"
+
+
 def test_seeds_of_many_items_with_a_common_phrase():
     rng = random.Random(4)
-    items = decontam.Items.of(list(range(50)), ["what is the best answer to this " + " ".join(prose(rng, 20)) for _ in range(50)], 3)
-    common = set(items.grams[:4].tolist())
+    items = decontam.Items.of(list(range(50)), [f"{PHRASE} " + " ".join(prose(rng, 30)) for _ in range(50)], 3)
+    n = len(PHRASE.split()) - 2
+    common = set(items.grams[:n].tolist())
     shares = {int(g): 0.5 if int(g) in common else 0.0005 for g in items.grams}
-    seeds = decontam.choose_seeds(items, shares, 0.001)
-    assert not common & set(items.grams[seeds].tolist()) and len(seeds) == len(items.grams) - 50 * len(common)
+    seeds, rare = decontam.choose_seeds(items, shares, 0.001)
+    assert not common & set(items.grams[seeds].tolist()) and len(seeds) == len(items.grams) - 50 * n and rare.all()
+    seeds, _ = decontam.choose_seeds(items, {g: 0.5 for g in common}, 0.001)
+    assert not len(seeds)                                   # clean items, whose other n-grams don't occur
+
+
+def test_a_clean_templated_block_costs_little(spark):
+    """1,000 clean items that open with a phrase that a third of the documents hold."""
+    rng = random.Random(6)
+    items = [(k, f"{PHRASE} " + " ".join(x + "q" for x in prose(rng, 30))) for k in range(1000)]
+    docs = [(d, " ".join([*prose(rng, 40), *(PHRASE.split() if d % 3 == 0 else []), *prose(rng, 40)])) for d in range(300)]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)
+    block = decontam.Items.of([k for k, _ in items], [t for _, t in items], 3)
+    shares = decontam.gram_shares(table, block.grams, 3)
+    seeds, rare = decontam.choose_seeds(block, shares, decontam.RARE_SHARE)
+    assert len(seeds) < 20
+    matcher = decontam.Matcher(block, seeds, rare, 3, 0.5, 0.4, 8, 30)
+    begin = time.process_time()
+    assert matcher.leaks([t for _, t in docs]) == []
+    assert time.process_time() - begin < 1
+    copies = [(1000 + d, " ".join([*prose(rng, 40), *items[7][1].split(), *prose(rng, 40)])) for d in range(150)]
+    found = decontam.find_leaks(table.unionByName(spark.createDataFrame(copies, table.schema)), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1000 + d, 7) for d in range(150)}
+
+
+def test_equal_items_and_a_hot_copy(spark):
+    """Twenty items of the same words, a copy in half of the documents."""
+    rng = random.Random(12)
+    item = " ".join(prose(rng, 25))
+    docs = spark.createDataFrame([(d, f"{' '.join(prose(rng, 20))} {item if d % 2 else ''}") for d in range(60)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(k, item) for k in range(20)], "item_id bigint, text string")
+    assert decontam.find_leaks(docs, bench).count() == 30 * 20
+
+
+def test_all_pairs_by_plain_alignment(spark):
+    """Every pair of a small set of edited copies and clean texts, aligned plainly."""
+    rng = random.Random(21)
+    items = [prose(rng, rng.randint(9, 60)) for _ in range(12)]
+    docs = []
+    for d in range(80):
+        words = prose(rng, rng.randint(0, 60))
+        if d % 4:
+            copy = list(items[d % 12])
+            for _ in range(rng.randint(0, len(copy) // 5)):
+                edit, at = rng.randrange(3), rng.randrange(len(copy))
+                copy[at:at + (edit != 1)] = [] if edit == 0 else ["new" + prose(rng, 1)[0]]
+            words[len(words) // 2:len(words) // 2] = copy[:rng.randint(len(copy) // 3, len(copy))]
+        docs.append(words)
+    number = {w: k for k, w in enumerate(sorted({w for t in items + docs for w in t}))}
+    want = {}
+    for d, t in enumerate(docs):
+        for i, item in enumerate(items):
+            value = brute_align([number[w] for w in item], [number[w] for w in t], 0.5)
+            if value >= decontam.least_value(len(item), 0.4, 8, 30):
+                want[d, i] = value / len(item)
+    got = decontam.find_leaks(spark.createDataFrame([(d, " ".join(t)) for d, t in enumerate(docs)], "doc_id bigint, text string").repartition(3),
+                              spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string"))
+    assert len(want) > 30 and {(r.doc_id, r.item_id): r.score for r in got.collect()} == pytest.approx(want)
 
 
 def test_blocks_of_the_benchmark(spark, monkeypatch):
