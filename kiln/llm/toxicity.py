@@ -25,6 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -38,9 +39,8 @@ from pyspark.sql import functions as F
 from kiln.llm import textvec
 
 #: Most labelled rows the word weights are fitted on (lowest hashes of the id).
+#: They bound the number of words that can have a weight, too.
 FIT_ROWS = 20_000
-#: Most words that keep a weight.
-FIT_WORDS = 50_000
 
 #: What characters imitate.
 IMITATES = {
@@ -53,6 +53,9 @@ SEPARATORS = " .-_*~"
 #: fewer letters, a separator as dropped or as the end of a word.
 LEET_COST, REPEAT_COST, DROP_COST, BREAK_COST = 1.0, 0.5, 0.5, 4.0
 
+#: Most choices of a lattice position, and the longest tokens kept decoded.
+CHOICES, MEMO_CHARS = 16, 64
+
 #: Symbols of the language model: 0 word edge, 1-26 a-z, 27 other letters.
 SYMBOLS = 28
 
@@ -100,29 +103,28 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     out: list[list[tuple[str, float]]] = []
     runs = [len(list(g)) for c, g in groupby(token) if c.isalpha()]
     doubled = len(runs) > 1 and min(runs) >= 2
+    ending = len(token.rstrip(TRAILING))                    # from here on it may be punctuation
     at = 0
     while at < len(token):
         c = token[at]
-        end = at
-        while end < len(token) and token[end] == c:
-            end += 1
         if c.isalpha():
+            end = at
+            while end < len(token) and token[end] == c:
+                end += 1
             if end - at == 2 and doubled:
                 out.append([(c, 0.0), (c + c, REPEAT_COST)])
-                at = end
-                continue
-            if end - at >= 3:
+            elif end - at >= 3:
                 out.append([(c, REPEAT_COST), (c + c, REPEAT_COST)])
-                at = end
-                continue
-            out.append([(c, 0.0)])
-        else:
-            choices = [(x, LEET_COST) for x in IMITATES.get(c, "")]
-            if c in TRAILING and c != "$" and choices and not token[at:].strip(TRAILING):   # at the end it may be punctuation
-                choices.append((" ", 0.0))
-            if c in SEPARATORS:
-                choices += [("", DROP_COST), (" ", BREAK_COST)]
-            out.append(choices or [(" ", BREAK_COST)])
+            else:
+                out += [[(c, 0.0)]] * (end - at)
+            at = end
+            continue
+        choices = [(x, LEET_COST) for x in IMITATES.get(c, "")]
+        if c in TRAILING and c != "$" and choices and at >= ending:
+            choices.append((" ", 0.0))
+        if c in SEPARATORS:
+            choices += [("", DROP_COST), (" ", BREAK_COST)]
+        out.append(choices or [(" ", BREAK_COST)])
         at += 1
     return out
 
@@ -130,24 +132,39 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 def decode(token: str, cost: np.ndarray) -> str:
     """The words of the cheapest path through the token's lattice, joined by
     blanks.  A state is the last two symbols; costs are those of the channel
-    plus the language model."""
+    plus the language model.  Each step keeps, per state, which state and
+    choice it came from, so time and memory grow with the token's length."""
     symbols = symbol_table()
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for choices in lattice(token):
-        nxt: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (total, text) in best.items():
-            for piece, extra in choices:
+    steps = lattice(token)
+    best: dict[tuple[int, int], float] = {(0, 0): 0.0}
+    came: list[array] = []
+    for choices in steps:
+        nxt: dict[tuple[int, int], float] = {}
+        origin: dict[tuple[int, int], int] = {}
+        for source, ((a, b), total) in enumerate(best.items()):
+            for k, (piece, extra) in enumerate(choices):
                 p, q, c = a, b, total + extra
                 for ch in piece:
-                    z = symbols[ord(ch)]
+                    z = int(symbols[ord(ch)])
                     if z or q:                       # a second blank adds nothing
                         c += cost[p, q, z]
                     p, q = (q, z) if z else (0, 0)
-                if (p, q) not in nxt or c < nxt[p, q][0]:
-                    nxt[p, q] = (c, text + piece)
+                if (p, q) not in nxt or c < nxt[p, q]:
+                    nxt[p, q] = c
+                    origin[p, q] = source * CHOICES + k
         best = nxt
-    ends = [(c + (cost[a, b, 0] if b else 0.0), text) for (a, b), (c, text) in best.items()]
-    return " ".join(min(ends)[1].split())
+        came.append(array("H", origin.values()))
+
+    def path(state: int) -> str:
+        pieces = []
+        for choices, back in zip(reversed(steps), reversed(came)):
+            state, k = divmod(back[state], CHOICES)
+            pieces.append(choices[k][0])
+        return "".join(reversed(pieces))
+
+    ends = [c + (cost[a, b, 0] if b else 0.0) for (a, b), c in best.items()]
+    least = min(ends)
+    return " ".join(min(path(k) for k, c in enumerate(ends) if c == least).split())
 
 
 #: Taken off the end of a token before it is decoded.
@@ -166,9 +183,17 @@ def _kinds() -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=1)
+def _blank_table() -> np.ndarray:
+    out = np.zeros(textvec.CODE_POINTS, bool)
+    out[[cp for cp in range(0x3001) if chr(cp).isspace()]] = True         # no white space beyond
+    return out
+
+
 def suspects(s: textvec.Slice) -> list[tuple[int, int, int]]:
     """(text, start, end) of the tokens of a slice that the decoder has to
-    look at, found on the code points of the whole slice."""
+    look at, found on the code points of the whole slice; a token's bounds
+    are looked up for all its marks at once, so a long one costs no more."""
     kind = _kinds()[s.codes]
     letter, imitation = (kind & 1) > 0, (kind & 2) > 0
     separator = ((kind & 4) > 0) & (s.codes > 32)
@@ -181,28 +206,43 @@ def suspects(s: textvec.Slice) -> list[tuple[int, int, int]]:
     mark[3:] |= letter[3:] & (s.codes[3:] == s.codes[2:-1]) & (s.codes[1:-2] == s.codes[:-3]) & letter[1:-2]  # iiddiioott
     mark[2:] |= letter[2:] & (s.codes[2:] == s.codes[1:-1]) & (s.codes[1:-1] == s.codes[:-2])
     single = (letter | imitation) & np.append(edge[1:], True) & np.append(True, edge[:-1])
-    mark[4:] |= single[4:] & single[2:-2] & single[:-4]                # f u k
+    chained = np.zeros(n, bool)                                        # to the single two before, in one text
+    chained[2:] = single[2:] & single[:-2]
+    chained[s.starts[s.lengths > 0]] = False
+    spelled = chained.copy()                                           # f u k
+    spelled[:2] = False
+    spelled[2:] &= chained[:-2]
+    mark |= spelled
+    at = np.flatnonzero(mark)
+    text = np.searchsorted(s.starts, at, "right") - 1
+    blanks = np.flatnonzero(_blank_table()[s.codes])
+    place = np.searchsorted(blanks, at)
+    begin = np.append(-1, blanks)[place] + 1                           # the token, between white space
+    begin = np.maximum(begin, s.starts[text])
+    end = np.minimum(np.append(blanks, n)[place], s.starts[text] + s.lengths[text])
+    first, last = _chains(chained)
+    alone = spelled[at]
+    begin = np.where(alone, first[at], begin)
+    end = np.where(alone, last[at] + 1, end)
     out: dict[tuple[int, int], int] = {}
-    for i in np.flatnonzero(mark):
-        d = int(np.searchsorted(s.starts, i, "right")) - 1
-        text, at = s.texts[d], int(i - s.starts[d])
-        if at >= len(text):
-            continue
-        if single[i] and i >= 4 and single[i - 2] and single[i - 4]:
-            begin = at - 4
-            while begin >= 2 and single[s.starts[d] + begin - 2] and edge[s.starts[d] + begin - 1]:
-                begin -= 2
-            end = at + 1
-            while end + 1 < len(text) and single[s.starts[d] + end + 1] and edge[s.starts[d] + end]:
-                end += 2
-        else:
-            begin, end = at, at + 1
-            while begin > 0 and not text[begin - 1].isspace():
-                begin -= 1
-            while end < len(text) and not text[end].isspace():
-                end += 1
-        out[d, begin] = max(out.get((d, begin), 0), end)
-    return [(d, begin, end) for (d, begin), end in sorted(out.items())]
+    for d, b, e in zip(text.tolist(), (begin - s.starts[text]).tolist(), (end - s.starts[text]).tolist()):
+        if e > out.get((d, b), 0):
+            out[d, b] = e
+    return [(d, b, e) for (d, b), e in sorted(out.items())]
+
+
+def _chains(chained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last member of each position's chain, where a position is
+    chained to the one two before."""
+    n = len(chained)
+    first, last = np.empty(n, np.int64), np.empty(n, np.int64)
+    for parity in (0, 1):
+        link = chained[parity::2]
+        m = np.arange(len(link))
+        first[parity::2] = np.maximum.accumulate(np.where(link, -1, m)) * 2 + parity
+        goes_on = np.append(link[1:], False)
+        last[parity::2] = np.minimum.accumulate(np.where(goes_on, len(link), m)[::-1])[::-1] * 2 + parity
+    return first, last
 
 
 def restore(text: str, spans: list[tuple[int, int]], cost: np.ndarray, memo: dict[str, str]) -> list[tuple[int, int, str]]:
@@ -217,11 +257,14 @@ def restore(text: str, spans: list[tuple[int, int]], cost: np.ndarray, memo: dic
         if (tail := whole[len(token):]) and tail[0] in IMITATES:      # a$$: or punctuation, as the language model has it
             tail = tail[:len(tail) - len(tail.lstrip("".join(IMITATES)))]
             token += tail
-        if token not in memo:
-            if len(memo) > 200_000:
-                memo.clear()
-            memo[token] = decode(token, cost)
-        out.append((begin, begin + len(token), memo[token]))
+        word = memo.get(token)
+        if word is None:
+            word = decode(token, cost)
+            if len(token) <= MEMO_CHARS:
+                if len(memo) > 200_000:
+                    memo.clear()
+                memo[token] = word
+        out.append((begin, begin + len(token), word))
         done = begin + len(token)
     return out
 
@@ -265,8 +308,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     spans.setdefault(d, []).append((begin, end))
                 restored = list(s.texts)
                 for d, at in spans.items():
-                    for begin, end, word in reversed(restore(s.texts[d], at, shared.value, memo)):
-                        restored[d] = restored[d][:begin] + word + restored[d][end:]
+                    pieces, done = [], 0
+                    for begin, end, word in restore(s.texts[d], at, shared.value, memo):
+                        pieces += [s.texts[d][done:begin], word]
+                        done = end
+                    restored[d] = "".join([*pieces, s.texts[d][done:]])
                 for r in textvec.slices(restored):
                     w = textvec.words(r)
                     if not len(w.hashes):
@@ -294,7 +340,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     odds = F.log(t / c) - float(np.log((total["t"] + 1) / (total["c"] + 1)))
     z = F.col("w") / F.sqrt(1 / t + 1 / c)
     kept = (seen.where("t >= 3").withColumn("w", odds).where((z >= least_z) & (F.col("w") > 1.5))
-            .orderBy(F.desc(z), "word").limit(FIT_WORDS).select("word", "w").toPandas())
+            .select("word", "w").toPandas())
     words = kept["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
     model = ToxicityModel(bias, letters, words[order], kept["w"].to_numpy(float)[order])

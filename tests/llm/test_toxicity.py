@@ -1,6 +1,7 @@
 """Toxicity: the decoder on known disguises and against all paths, held-out accuracy."""
 
 import itertools
+import time
 
 import numpy as np
 import pytest
@@ -79,3 +80,84 @@ def test_messy_rows(spark, messy, nothing):
     blank = toxicity.fit(nothing, labels.limit(0))
     assert np.isfinite(toxicity.score(messy, blank).agg(F.sum("score")).first()[0])
     assert toxicity.score(nothing, model).count() == 0
+
+
+def slow_suspects(s):
+    """Token by token and character by character, as the rule is stated."""
+    kinds = toxicity._kinds()
+    out = set()
+    for d, text in enumerate(s.texts):
+        kind = [int(kinds[ord(c)]) for c in text]
+        letter, imitation = [k & 1 for k in kind], [k & 2 for k in kind]
+        edge = [bool(k & 4) or ord(c) <= 32 for k, c in zip(kind, text)]
+        n = len(text)
+        single = [(letter[i] or imitation[i]) and (i == n - 1 or edge[i + 1]) and (i == 0 or edge[i - 1]) for i in range(n)]
+        found = {}
+        for i in range(n):
+            spelled = i >= 4 and single[i] and single[i - 2] and single[i - 4]
+            marked = spelled or (imitation[i] and (i + 1 < n and letter[i + 1] or i and letter[i - 1])) \
+                or (kind[i] & 4 and ord(text[i]) > 32 and 0 < i < n - 1 and letter[i - 1] and letter[i + 1]) \
+                or (i >= 3 and letter[i] and text[i] == text[i - 1] and text[i - 2] == text[i - 3] and letter[i - 2]) \
+                or (i >= 2 and letter[i] and text[i] == text[i - 1] == text[i - 2])
+            if not marked:
+                continue
+            a, z = i, i + 1
+            if spelled:
+                while a >= 2 and single[a - 2]:
+                    a -= 2
+                while z + 1 < n and single[z + 1]:
+                    z += 2
+            else:
+                while a and not text[a - 1].isspace():
+                    a -= 1
+                while z < n and not text[z].isspace():
+                    z += 1
+            found[a] = max(found.get(a, 0), z)
+        out |= {(d, a, z) for a, z in found.items()}
+    return sorted(out)
+
+
+def test_suspects_as_stated():
+    rng = np.random.default_rng(3)
+    letters = list("aab1$ .-_*!é\n\t\u00a0")
+    for _ in range(300):
+        texts = ["".join(rng.choice(letters, rng.integers(0, 25))) for _ in range(4)]
+        s = next(textvec.slices(texts))
+        assert toxicity.suspects(s) == slow_suspects(s), texts
+
+
+@pytest.mark.parametrize("token", ["a" * 1_000_000, "a b c d e " * 100_000, "ab-" * 333_333, "QUJDREVGR0hJ" * 83_333, "1!" * 500_000, "-" * 1_000_000 + "a1"],
+                         ids=["one letter", "spaced", "hyphens", "base64", "imitations", "separators"])
+def test_a_token_of_a_million_characters(token, letters):
+    begin = time.process_time()
+    read(f"of the {token} in it", letters)
+    assert time.process_time() - begin < 60
+
+
+def test_weights_as_counted(spark, fixture_table, letters):
+    """Word weights from plain counts of contexts over the same texts."""
+    rows = [(k, "the fool is here" if k % 2 else f"the {w} is here", k % 2) for k, w in enumerate(["cat", "dog", "sun", "sky"] * 10)]
+    name = lambda k: "".join(("ba", "ce", "di", "fo", "gu", "ha", "je", "ki", "lo", "mu")[int(d)] for d in str(k))
+    rows += [(1000 + k, f"{name(k)} fool {name(k + 500)}", 1) for k in range(150)] + [(2000 + k, f"{name(k)} tree {name(k + 500)}", 0) for k in range(150)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    seen = {}
+    for _, text, toxic in rows:
+        words = text.split()
+        for i, w in enumerate(words):
+            context = (words[i - 1] if i else None, words[i + 1] if i + 1 < len(words) else None)
+            seen.setdefault(w, set()).add((toxic, context))
+    t = {w: sum(x for x, _ in c) for w, c in seen.items()}
+    c = {w: len(v) - t[w] for w, v in seen.items()}
+    whole = np.log((sum(t.values()) + 1) / (sum(c.values()) + 1))
+    want = {}
+    for w in seen:
+        odds = np.log((t[w] + 0.5) / (c[w] + 0.5)) - whole
+        if t[w] >= 3 and odds > 1.5 and odds / np.sqrt(1 / (t[w] + 0.5) + 1 / (c[w] + 0.5)) >= 3.2:
+            want[int(toxicity.word_hashes(w)[0])] = odds
+    assert want and dict(zip(model.words.tolist(), model.weights.tolist())) == pytest.approx(want)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for d, text, _ in rows:
+        total = model.bias + model.scale * sum({w: want.get(int(toxicity.word_hashes(w)[0]), 0.0) for w in set(text.split())}.values())
+        assert got[d] == pytest.approx(1 / (1 + np.exp(-total)))
