@@ -20,8 +20,8 @@ texts add up whatever the vocabulary.
    fewer than ``LEAST_TOKENS`` tokens, they are gone through as often as that
    takes.
 3. Scoring is one scan: texts side by side, the state carried through each
-   whole text.  The ``LISTED`` most frequent tokens and their counts are
-   broadcast; what a text has of other words is joined with the table of
+   whole text.  The most frequent tokens, ``LISTED`` at most, and their counts
+   are broadcast; what a text has of other words is joined with the table of
    counts.
 
 Defined results: a null text counts as empty and has only its end token; a
@@ -89,7 +89,7 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """``tokens``: the most frequent tokens, first the end, with counts and
+    """``tokens``: the end and the most frequent tokens, with counts and
     network ids; ids are in order of frequency, ``id_counts`` theirs."""
     tokens: pa.LargeStringArray
     counts: np.ndarray
@@ -106,7 +106,7 @@ class Vocabulary:
     def of(cls, counts: DataFrame, words: int, listed: int) -> Vocabulary:
         n, distinct, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
                                        F.coalesce(F.max(F.when(F.col("token") == END, F.col("n"))), F.lit(0))).first()
-        rows = counts.where(F.col("token") != END).orderBy(F.desc("n"), "token").limit(listed).collect()
+        rows = sorted(_most_frequent(counts.where(F.col("token") != END), listed, words), key=lambda r: (-r["n"], r["token"]))
         tokens, count = [END] + [r["token"] for r in rows], np.array([ends] + [r["n"] for r in rows], np.int64)
         own = count[:words + 1]                              # the end and the words of the network
         rare_n = int(n - own.sum())
@@ -132,6 +132,24 @@ class Vocabulary:
         return place, np.where(place >= 0, self.ids[place], self.rare)
 
 
+def _most_frequent(counts: DataFrame, listed: int, words: int) -> list:
+    """The tokens from a count on that at most ``listed`` reach, found from
+    the numbers of tokens per eighth of a power of two; if they are fewer than
+    ``words`` (very many have the same count), the first ``words``."""
+    level = F.floor(F.log2("n") * 8).cast("int")
+    per_level = dict(counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect())
+    total, least = 0, None
+    for k in sorted(per_level, reverse=True):
+        total += per_level[k]
+        if total > listed:
+            break
+        least = k
+    found = 0 if least is None else sum(n for k, n in per_level.items() if k >= least)
+    if found < min(words, sum(per_level.values())):
+        return counts.orderBy(F.desc("n"), "token").limit(words).collect()
+    return counts.where(level >= F.lit(least)).collect() if found else []
+
+
 # ---------------------------------------------------------------- network
 
 @dataclass
@@ -175,39 +193,50 @@ class Network:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
-def _tanh(x: np.ndarray) -> np.ndarray:
-    return 2 / (1 + np.exp(-2 * x)) - 1
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 @np.errstate(over="ignore")                                 # 1 / infinity is the right limit
-def forward(w: dict[str, np.ndarray], previous: np.ndarray, keep: np.ndarray, h: np.ndarray):
+def forward(w: dict[str, np.ndarray], previous: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: bool = True):
     """States of a window.  ``previous``: (steps, lanes) ids; ``keep``:
-    (steps, lanes) 0 where a text begins, else 1; ``h``: state before."""
+    (steps, lanes) 0 where a text begins, else 1; ``h``: state before.  With
+    ``trace``, also what the gradients need."""
     steps, size = len(previous), h.shape[1]
     x = w["embed"][previous.ravel()]
     gx = (x @ w["input"] + w["gates"]).reshape(steps, -1, 3 * size)
-    before, gates, fresh, own = (np.empty((steps, len(h), n), np.float32) for n in (size, 2 * size, size, size))
-    states = np.empty((steps, len(h), size), np.float32)
+    before, gates, own = (np.empty((steps if trace else 1, len(h), n), np.float32) for n in (size, 2 * size, size))
+    fresh, states = (np.empty((steps, len(h), size), np.float32) for _ in range(2))
+    gh = np.empty((len(h), 3 * size), np.float32)
     for t in range(steps):
-        h = h * keep[t, :, None]
-        gh = h @ w["state"]
-        zr = _sigmoid(gx[t, :, :2 * size] + gh[:, :2 * size])
-        n = _tanh(gx[t, :, 2 * size:] + zr[:, size:] * gh[:, 2 * size:])
-        before[t], gates[t], fresh[t], own[t] = h, zr, n, gh[:, 2 * size:]
-        h = n + zr[:, :size] * (h - n)
-        states[t] = h
+        k = t if trace else 0
+        h = np.multiply(h, keep[t, :, None], out=before[k])
+        np.matmul(h, w["state"], out=gh)
+        zr = _sigmoid(np.add(gx[t, :, :2 * size], gh[:, :2 * size], out=gates[k]))
+        own[k] = gh[:, 2 * size:]
+        n = np.multiply(zr[:, size:], own[k], out=fresh[t])
+        n += gx[t, :, 2 * size:]
+        np.tanh(n, out=n)
+        after = np.subtract(h, n, out=states[t])
+        after *= zr[:, :size]
+        after += n
+        h = after
     return states, (x, before, gates, fresh, own)
 
 
 def _shares(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(exponentials, their sums) of rows of logits, in place; logits beyond
-    80, which training doesn't reach, count as 80."""
-    np.minimum(logits, 80, out=logits)
-    np.exp(logits, out=logits)
-    return logits, logits.sum(axis=1)
+    """(exponentials, their sums) of rows of logits; rows with very large
+    logits are scaled down first."""
+    with np.errstate(over="ignore"):
+        e = np.exp(logits)
+    sums = e.sum(axis=1)
+    if not np.isfinite(sums).all() or sums.min(initial=1.0) < 1e-30:
+        e = np.exp(logits - logits.max(axis=1, keepdims=True))
+        sums = e.sum(axis=1)
+    return e, sums
 
 
 def outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: dict[str, np.ndarray] | None = None, scale: float = 0.0):
@@ -262,17 +291,22 @@ def gradients(net: Network, previous: np.ndarray, targets: np.ndarray, keep: np.
     ds = np.zeros((states.size // size, size), np.float32)
     ds[at] = back
     ds = ds.reshape(states.shape)
+    z, r = gates[:, :, :size], gates[:, :, size:]
+    to_fresh = (1 - z) * (1 - fresh * fresh)                 # slopes of the state by each input
+    to_z = (before - fresh) * z * (1 - z)
+    to_r = own * r * (1 - r)
     d_in, d_state = (np.empty((len(states), len(h), 3 * size), np.float32) for _ in range(2))
-    dh = np.zeros_like(h)
+    dh, back_state = np.zeros_like(h), np.ascontiguousarray(w["state"].T)
     for t in range(len(states) - 1, -1, -1):
-        dh = dh + ds[t]
-        z, r = gates[t, :, :size], gates[t, :, size:]
-        dn = dh * (1 - z) * (1 - fresh[t] ** 2)
-        dz = dh * (before[t] - fresh[t]) * z * (1 - z)
-        dr = dn * own[t] * r * (1 - r)
-        d_in[t, :, :size], d_in[t, :, size:2 * size], d_in[t, :, 2 * size:] = dz, dr, dn
-        d_state[t, :, :size], d_state[t, :, size:2 * size], d_state[t, :, 2 * size:] = dz, dr, dn * r
-        dh = (dh * z + d_state[t] @ w["state"].T) * keep[t, :, None]
+        dh += ds[t]
+        dn = np.multiply(dh, to_fresh[t], out=d_in[t, :, 2 * size:])
+        np.multiply(dh, to_z[t], out=d_in[t, :, :size])
+        np.multiply(dn, to_r[t], out=d_in[t, :, size:2 * size])
+        d_state[t, :, :2 * size] = d_in[t, :, :2 * size]
+        np.multiply(dn, r[t], out=d_state[t, :, 2 * size:])
+        dh *= z[t]
+        dh += d_state[t] @ back_state
+        dh *= keep[t, :, None]
     d_in, d_state = d_in.reshape(-1, 3 * size), d_state.reshape(-1, 3 * size)
     grads["state"] = before.reshape(-1, size).T @ d_state
     grads["input"], grads["gates"] = x.T @ d_in, d_in.sum(axis=0)
@@ -358,7 +392,7 @@ def log_probabilities(net: Network, ids: np.ndarray, offsets: np.ndarray, end: i
     logs = np.zeros(laid.targets.shape, np.float64)
     h = np.zeros((len(laid.loads), net.weights["state"].shape[0]), np.float32)
     for t, previous, targets, keep, live in laid.windows(end, window):
-        states, _ = forward(net.weights, previous, keep, h[:previous.shape[1]])
+        states, _ = forward(net.weights, previous, keep, h[:previous.shape[1]], trace=False)
         h = states[-1]
         at = np.flatnonzero(live.ravel())
         values = np.zeros(live.size)
