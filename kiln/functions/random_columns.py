@@ -9,6 +9,7 @@ rejection sampler, which runs in a vectorised pandas UDF on such hashes.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -90,6 +91,33 @@ def normal_vector(size: int, seed: int, id_col: str) -> Column:
     return F.array(*(_hash_normal(seed * 1_000_003 + i, F.col(id_col)) for i in range(size)))
 
 
+def vector(draw: Callable[[int], Column], size: int, seed: int) -> Column:
+    """``size`` independent values of one row: ``draw`` makes a column from a
+    seed, and each element has a seed of its own."""
+    return F.array(*(draw(seed * 1_000_003 + i) for i in range(size)))
+
+
+def uniform_vector(size: int, seed: int, id_col: str) -> Column:
+    """Uniform in (0, 1); like all vectors here, drawn from the row's id."""
+    return vector(lambda s: _hash_uniform(s, F.col(id_col)), size, seed)
+
+
+def log_normal_vector(mean: float, std: float, size: int, seed: int, id_col: str) -> Column:
+    return vector(lambda s: F.exp(F.lit(float(mean)) + F.lit(float(std)) * _hash_normal(s, F.col(id_col))), size, seed)
+
+
+def exponential_vector(mean: float, size: int, seed: int, id_col: str) -> Column:
+    return vector(lambda s: -F.lit(float(mean)) * F.log(_hash_uniform(s, F.col(id_col))), size, seed)
+
+
+def poisson_vector(mean: float, size: int, seed: int, id_col: str) -> Column:
+    return vector(lambda s: poisson(mean, s, id_col), size, seed)
+
+
+def gamma_vector(shape: float, scale: float, size: int, seed: int, id_col: str) -> Column:
+    return vector(lambda s: gamma(shape, scale, s, id_col), size, seed)
+
+
 def linear_data(ids: DataFrame, weights: list[float], intercept: float, eps: float, seed: int, id_col: str = "id") -> DataFrame:
     """(id, x, y): y = weights . x + intercept + eps * noise, x uniform in
     [-1, 1) per element, all drawn from the row's id."""

@@ -21,6 +21,15 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(other, same, how).drop(*(f"_r_{k}" for k in keys))
 
 
+def full_join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer equi-join on columns of the same names where NULL equals
+    NULL; the keys come from whichever side has the row."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys))
+    rest = [c for c in [*left.columns, *right.columns] if c not in keys]
+    return left.join(other, same, "full").select(*(F.coalesce(k, f"_r_{k}").alias(k) for k in keys), *rest)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of a table's values, counted over all its rows: the lengths of
     strings and binaries, 8 bytes an element for the rest, and 16 a value."""

@@ -67,14 +67,33 @@ def band_self_join(df: DataFrame, key: str, id_col: str, val: str, width: float)
             .select("k1", "k2")
 
 
+def cogroup(inputs: list[tuple[DataFrame, dict[str, Column]]], keys: list[str]) -> DataFrame:
+    """Any number of inputs grouped by ``keys`` side by side (``cogroup``,
+    ``groupWith``): (keys, one column per aggregate of every input); NULL
+    where an input lacks the key.  NULL is a key like any other.
+
+    Each input is reduced to a row per key before the rows meet, so a hot key
+    never travels as a list, and the rows of all inputs meet in one shuffle.
+    Aggregates may be of any type; their names must differ."""
+    names = [name for _, aggs in inputs for name in aggs]
+    if len(set(names)) < len(names):
+        raise ValueError("aggregates of a cogroup must have different names")
+    parts = [df.groupBy(*keys).agg(*(c.alias(name) for name, c in aggs.items())).withColumn("_input", F.lit(i))
+             for i, (df, aggs) in enumerate(inputs)]
+    every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    own = {name: i for i, (_, aggs) in enumerate(inputs) for name in aggs}
+    # the one row of an input that has the key, whatever its value
+    return every.groupBy(*keys).agg(*(F.max_by(name, F.when(F.col("_input") == own[name], 1)).alias(name) for name in names))
+
+
 def cogroup_aggregate(a: DataFrame, b: DataFrame, key: str, val: str,
                       names_a: tuple[str, str], names_b: tuple[str, str], digits: int = 2) -> DataFrame:
-    """Both inputs grouped by ``key`` side by side (``cogroup``), keys of
-    either side kept.  Each side is reduced to (count, sum) before the full
-    outer join, so a hot key never travels as a list."""
-    ga = a.groupBy(key).agg(F.count(F.lit(1)).alias(names_a[0]), F.round(F.sum(val), digits).alias(names_a[1]))
-    gb = b.groupBy(key).agg(F.count(F.lit(1)).alias(names_b[0]), F.round(F.sum(val), digits).alias(names_b[1]))
-    j = ga.join(gb, key, "full")
+    """Two inputs grouped by ``key`` side by side: counts (0 where an input
+    lacks the key) and rounded sums of ``val``."""
+    def aggs(names: tuple[str, str]) -> dict[str, Column]:
+        return {names[0]: F.count(F.lit(1)), names[1]: F.round(F.sum(val), digits)}
+
+    j = cogroup([(a, aggs(names_a)), (b, aggs(names_b))], [key])
     return j.select(key, F.coalesce(names_a[0], F.lit(0)).alias(names_a[0]), names_a[1],
                     F.coalesce(names_b[0], F.lit(0)).alias(names_b[0]), names_b[1])
 

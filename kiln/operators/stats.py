@@ -8,13 +8,15 @@ distinct values, so a heavily repeated value is one row, not a hot group.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.operators import windows as win
-from kiln.operators.joins import lookup
+from kiln.operators.joins import join_on, lookup
 
 
 def col_stats(df: DataFrame, array_col: str) -> DataFrame:
@@ -37,27 +39,40 @@ def average_ranks(df: DataFrame, col: str, out: str = "rank") -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: list[str], method: str = "pearson", id_col: str | None = None) -> DataFrame:
-    """Long form (i, j, corr) for all column pairs; Spearman = Pearson of
-    average ranks (ranks computed per column, rows matched by ``id_col``)."""
-    base = df
-    use = cols
+    """Long form (i, j, corr) for all column pairs, each over the rows that
+    have both values; Spearman = Pearson of average ranks among those rows.
+    (Rows need no id: ``id_col`` is kept for callers that name one.)"""
+    n = len(cols)
     if method == "spearman":
-        if id_col is None:
-            raise ValueError("spearman needs a row id to line ranks up")
-        ranked = None
-        for c in cols:
-            r = average_ranks(df.select(id_col, c), c, f"{c}__r").select(id_col, f"{c}__r")
-            ranked = r if ranked is None else ranked.join(r, id_col)
-        base, use = ranked, [f"{c}__r" for c in cols]
-    elif method != "pearson":
+        gaps = df.agg(*(F.count_if(F.col(c).isNull()).alias(f"_{k}") for k, c in enumerate(cols))).first()
+        if any(gaps):
+            return _spearman_with_gaps(df.select(*cols), cols, gaps)
+        base, use = df.select(*cols), [f"{c}__r" for c in cols]
+        for c, r in zip(cols, use):
+            base = average_ranks(base, c, r)
+    elif method == "pearson":
+        base, use = df, cols
+    else:
         raise ValueError(f"unknown method {method!r}")
-    n = len(cols)
     # all pairs in one aggregate; stack turns its row into the long form
     wide = base.agg(*(F.corr(use[i], use[j]).alias(f"c_{i}_{j}") for i in range(n) for j in range(n)))
     cells = ", ".join(f"'{cols[i]}', '{cols[j]}', c_{i}_{j}" for i in range(n) for j in range(n))
     return wide.selectExpr(f"stack({n * n}, {cells}) AS (i, j, corr)")
 
 
+def _spearman_with_gaps(df: DataFrame, cols: list[str], gaps) -> DataFrame:
+    """Pair by pair: which rows count, and so the ranks, differ."""
+    out = []
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            x = df.select(F.col(a).alias("x"), F.col(cols[j]).alias("y"))
+            if gaps[i] or gaps[j]:
+                x = x.where("x is not null and y is not null")
+            one = average_ranks(average_ranks(x, "x", "rx"), "y", "ry").agg(F.corr("rx", "ry").alias("corr"))
+            out += [one.select(F.lit(p).alias("i"), F.lit(q).alias("j"), "corr") for p, q in dict.fromkeys([(a, cols[j]), (cols[j], a)])]
+    return reduce(lambda p, q: p.unionByName(q), out)
+
+
 def _chi2_sf(x: float, k: int) -> float:
     """Upper tail of the chi-square distribution (regularised gamma Q)."""
     if x <= 0:
@@ -97,8 +112,10 @@ def chi_square_independence(df: DataFrame, a: str, b: str) -> DataFrame:
     Sum over all cells of (o - e)^2 / e equals sum over observed cells of
     o^2 / e minus n (empty cells contribute their e, and sum e = n), so
     only the observed contingency cells are aggregated -- no grid of all
-    value pairs is built.
+    value pairs is built.  Rows that lack a value don't count; without any
+    complete row the statistic is 0.
     """
+    df = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     cells = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
     ra = df.groupBy(a).agg(F.count(F.lit(1)).alias("ra"))
     cb = df.groupBy(b).agg(F.count(F.lit(1)).alias("cb"))
@@ -107,8 +124,8 @@ def chi_square_independence(df: DataFrame, a: str, b: str) -> DataFrame:
     e = F.col("ra") * F.col("cb") / F.lit(n)
     row = j.agg(F.sum(F.col("o") * F.col("o") / e).alias("s"), F.countDistinct(a).alias("na"),
                 F.countDistinct(b).alias("nb")).first()
-    stat = float(row["s"]) - n
-    dof = int((row["na"] - 1) * (row["nb"] - 1))
+    stat = float(row["s"] or 0.0) - n
+    dof = max(0, row["na"] - 1) * max(0, row["nb"] - 1)
     return df.sparkSession.createDataFrame([(stat, dof, float(_chi2_sf(stat, dof)) if dof > 0 else 1.0)],
                                            "statistic double, dof int, p_value double")
 
@@ -129,6 +146,57 @@ def chi_square_goodness_of_fit(df: DataFrame, col: str, expected: dict) -> DataF
                                            "statistic double, dof int, p_value double")
 
 
+def kolmogorov_smirnov(df: DataFrame, col: str, cdf: Callable[[Column], Column], exact_rows: int = 140) -> DataFrame:
+    """One-sample test of ``col`` against a distribution function (a Column of
+    a Column): (n, statistic, location, p_value).
+
+    The statistic is the largest distance between the function and the
+    empirical distribution, before and after its step at each distinct value;
+    steps come from counts per value and a running sum over the sorted values,
+    so ties are one row and no task holds all values.  ``location``: the
+    least value with that distance.  The p-value is exact (a power of a
+    matrix) up to ``exact_rows`` values, else the limit distribution's.  NULL
+    and NaN don't count; an empty table gives NULL and a p-value of 1."""
+    x = F.col(col).cast("double")
+    counts = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    steps = win.running(counts, [], ["x"], "c", "sum", "upto")
+    n = int(counts.agg(F.sum("c")).first()[0] or 0)
+    at = cdf(F.col("x"))
+    d = F.greatest(F.col("upto") / F.lit(float(max(1, n))) - at, at - (F.col("upto") - F.col("c")) / F.lit(float(max(1, n))))
+    top = steps.agg(F.max(d).alias("statistic"), F.max_by(-F.col("x"), F.struct(d.alias("d"), (-F.col("x")).alias("x"))).alias("_at"))
+    p = F.pandas_udf(lambda s: s.map(lambda v: ks_p_value(v, n, exact_rows)), "double")
+    return top.select(F.lit(n).cast("bigint").alias("n"), "statistic", (-F.col("_at")).alias("location"),
+                      F.when(F.col("statistic").isNull(), 1.0).otherwise(p("statistic")).alias("p_value"))
+
+
+def ks_p_value(d: float | None, n: int, exact_rows: int = 140) -> float:
+    """Probability of a distance of ``d`` or more for n values from the
+    distribution: exact by the matrix of Marsaglia, Tsang and Wang (2003) up
+    to ``exact_rows``, else the limit series at Stephens' corrected argument."""
+    if d is None or d != d or n == 0 or d <= 0:
+        return 1.0
+    if d >= 1:
+        return 0.0
+    if n > exact_rows:
+        t = d * (math.sqrt(n) + 0.12 + 0.11 / math.sqrt(n))
+        if t < 0.3:
+            return 1.0
+        return min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * t * t) for k in range(1, 101))))
+    k = int(n * d) + 1
+    m, h = 2 * k - 1, k - n * d
+    i, j = np.indices((m, m))
+    matrix = (i - j + 1 >= 0).astype(float)
+    edge = h ** np.arange(1, m + 1)
+    matrix[:, 0] -= edge
+    matrix[-1, :] -= edge[::-1]
+    matrix[-1, 0] += max(0.0, 2 * h - 1) ** m
+    matrix /= np.array([[math.factorial(max(0, a - b + 1)) for b in range(m)] for a in range(m)], float)
+    power = np.linalg.matrix_power(matrix, n)
+    log_scale = math.lgamma(n + 1) - n * math.log(n)
+    inside = power[k - 1, k - 1]
+    return float(min(1.0, max(0.0, 1.0 - math.exp(log_scale + math.log(inside))))) if inside > 0 else 1.0
+
+
 def kernel_density(df: DataFrame, col: str, points: list[float], bandwidth: float = 1.0) -> DataFrame:
     """Gaussian kernel density estimate at each point: one average per point,
     all in one aggregate."""
@@ -200,18 +268,18 @@ def ranking_metrics(ranked: DataFrame, relevant: DataFrame, qid: str, item: str,
 
     ``ranked``: (qid, item, pos 0-based) predicted order; ``relevant``:
     (qid, item) ground truth.  Queries without relevant items count 0 (as
-    the reference's metrics do).
+    the reference's metrics do).  A NULL query or item is one like any other.
     """
     rel = relevant.select(qid, item).distinct().withColumn("_rel", F.lit(1))
     n_rel = rel.groupBy(qid).agg(F.count(F.lit(1)).alias("_nrel"))
-    r = ranked.select(qid, item, pos).join(rel, [qid, item], "left").fillna(0, subset=["_rel"])
+    r = join_on(ranked.select(qid, item, pos), rel, [qid, item], "left").fillna(0, subset=["_rel"])
     # hits before and at each position, for average precision
     r = win.running(r, [qid], [pos], "_rel", "sum", "_hits")
     per_q = r.groupBy(qid).agg(
         F.sum(F.when(F.col(pos) < k, F.col("_rel")).otherwise(0)).alias("_hits_k"),
         F.sum(F.when(F.col("_rel") == 1, F.col("_hits") / (F.col(pos) + 1)).otherwise(0.0)).alias("_ap_sum"),
         F.sum(F.when((F.col(pos) < k) & (F.col("_rel") == 1), 1 / F.log2(F.col(pos) + 2)).otherwise(0.0)).alias("_dcg"))
-    per_q = per_q.join(n_rel, qid, "left").fillna(0, subset=["_nrel"])
+    per_q = join_on(per_q, n_rel, [qid], "left").fillna(0, subset=["_nrel"])
     # ideal DCG: the first min(n_rel, k) positions all relevant
     idcg = F.aggregate(F.sequence(F.lit(0), F.least(F.col("_nrel"), F.lit(k)) - 1), F.lit(0.0),
                        lambda acc, i: acc + 1 / F.log2(i + 2))
@@ -225,22 +293,31 @@ def ranking_metrics(ranked: DataFrame, relevant: DataFrame, qid: str, item: str,
 
 def multilabel_metrics(df: DataFrame, pred: str, label: str, n_labels: int) -> DataFrame:
     """Subset accuracy, accuracy, Hamming loss, precision, recall, F1 and
-    micro averages, for array<string> label / prediction sets."""
-    p, l = F.array_distinct(F.col(pred)), F.array_distinct(F.col(label))
+    micro averages, for array label / prediction sets.  NULL counts as the
+    empty set.  Two empty sets are equal: their accuracy and F1 are 1, and so
+    are the micro averages of a table with empty sets only; the precision of an
+    empty prediction and the recall of an empty label set are 0."""
+    empty = F.array().cast(df.schema[label].dataType)
+    p, l = F.array_distinct(F.coalesce(F.col(pred), empty)), F.array_distinct(F.coalesce(F.col(label), empty))
     inter = F.size(F.array_intersect(p, l))
     union = F.size(F.array_union(p, l))
     x = df.select(inter.alias("i"), union.alias("u"), F.size(p).alias("np"), F.size(l).alias("nl"),
                   (F.array_sort(p) == F.array_sort(l)).alias("eq"))
     n = F.count(F.lit(1))
+
+    def micro(part: Column, whole: Column) -> Column:
+        none = F.sum(F.col("np") + F.col("nl")) == 0
+        return F.when(none, 1.0).when(whole == 0, 0.0).otherwise(F.try_divide(part, whole))
+
     return x.agg(
         F.avg(F.col("eq").cast("double")).alias("subset_accuracy"),
-        F.avg(F.col("i") / F.col("u")).alias("accuracy"),
-        (F.sum(F.col("np") + F.col("nl") - 2 * F.col("i")) / (n * F.lit(n_labels))).alias("hamming_loss"),
+        F.avg(F.when(F.col("u") == 0, 1.0).otherwise(F.try_divide("i", "u"))).alias("accuracy"),
+        F.try_divide(F.sum(F.col("np") + F.col("nl") - 2 * F.col("i")), n * F.lit(n_labels)).alias("hamming_loss"),
         F.avg(F.when(F.col("np") > 0, F.col("i") / F.col("np")).otherwise(0.0)).alias("precision"),
         F.avg(F.when(F.col("nl") > 0, F.col("i") / F.col("nl")).otherwise(0.0)).alias("recall"),
-        F.avg(2 * F.col("i") / (F.col("np") + F.col("nl"))).alias("f1"),
-        (F.sum("i") / F.sum("np")).alias("micro_precision"), (F.sum("i") / F.sum("nl")).alias("micro_recall"),
-        (2 * F.sum("i") / (F.sum("np") + F.sum("nl"))).alias("micro_f1"))
+        F.avg(F.when(F.col("u") == 0, 1.0).otherwise(F.try_divide(2 * F.col("i"), F.col("np") + F.col("nl")))).alias("f1"),
+        micro(F.sum("i"), F.sum("np")).alias("micro_precision"), micro(F.sum("i"), F.sum("nl")).alias("micro_recall"),
+        micro(2 * F.sum("i"), F.sum("np") + F.sum("nl")).alias("micro_f1"))
 
 
 def multilabel_label_metrics(df: DataFrame, pred: str, label: str) -> DataFrame:

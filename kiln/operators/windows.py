@@ -6,8 +6,9 @@ operators split every group over many partitions instead:
 
 * positions come from ``index_within_groups`` (range partitioning on
   (group, order) + per-span offsets);
-* offsets (lag/lead) and bounded row frames become equi-joins on
-  (group, position) -- the key is unique per row, so nothing is hot;
+* offsets (lag/lead) become equi-joins on (group, position) -- the key is
+  unique per row, so nothing is hot;
+* bounded row frames run in bands of positions as wide as the frame;
 * ranks come from per-peer-group min/max positions (a partial aggregate);
 * running (unbounded preceding) aggregates are a partition-local window
   plus the prefix of earlier spans of the same group;
@@ -89,17 +90,20 @@ def shift(df: DataFrame, group: list[str], order: list[str], col: str, offset: i
 
 def rows_frames(df: DataFrame, group: list[str], order: list[str], col: str, lo: int, hi: int,
                 outs: dict[str, str]) -> DataFrame:
-    """``fn(col) over (rows between lo and hi)`` for each ``{out: fn}``: every
-    row is sent to the (hi - lo + 1) positions whose frame contains it, then
-    aggregated by (group, position).  No key is hot: positions are unique per
-    group."""
-    pos = with_position(df, group, order)
-    offs = F.sequence(F.lit(-hi), F.lit(-lo))
-    contrib = pos.select(*group, F.explode(offs).alias("_d"), "_pos", F.col(col).alias("_v")) \
-                 .select(*group, (F.col("_pos") + F.col("_d")).alias("_pos"), "_v")
-    framed = contrib.groupBy(*group, "_pos").agg(*(_AGG[fn]("_v").alias(out) for out, fn in outs.items()))
-    j = join_on(pos, framed, [*group, "_pos"], "left").drop("_pos")
-    return j.fillna(0, [out for out, fn in outs.items() if fn == "count"])
+    """``fn(col) over (rows between lo and hi)`` for each ``{out: fn}``.
+
+    Positions are cut into bands as wide as the frame.  A row goes to its own
+    band and to the one or two that hold rows with a frame over it, whatever
+    the width, and the window runs per (group, band): its rows are at most
+    three frames, so no group is held by one task."""
+    if lo > hi:
+        raise ValueError("a frame must not end before it begins")
+    width, at = hi - lo + 1, F.col("_pos")
+    bands = F.array_distinct(F.array(*(F.floor((at - d) / width) for d in (hi, lo, 0))))
+    sent = with_position(df, group, order).withColumn("_own", F.floor(at / width)).withColumn("_band", F.explode(bands))
+    w = Window.partitionBy(*group, "_band").orderBy("_pos").rangeBetween(lo, hi)
+    return (sent.withColumns({out: _AGG[fn](col).over(w) for out, fn in outs.items()})
+            .where("_band = _own").drop("_pos", "_own", "_band"))
 
 
 def rows_frame(df: DataFrame, group: list[str], order: list[str], col: str, lo: int, hi: int,

@@ -35,5 +35,5 @@ def load_all() -> dict[str, Query]:
     # Importing the plan modules fills the registry.
     from kiln.plans import (power_plans, relational_plans, aggregate_plans,  # noqa: F401
                             window_plans, function_plans, source_plans, stats_plans,
-                            stream_plans, ml_plans, fit_plans)
+                            stream_plans, ml_plans, fit_plans, keyed_plans)
     return REGISTRY

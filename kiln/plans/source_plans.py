@@ -219,7 +219,8 @@ SELECT doc_id, CAST(len(string_split(text, ' ')) AS BIGINT) AS n_words,
        upper(lang) || ':' || source AS tag FROM documents""")
 def x1_pandas_udf_and_sql_registration(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    spark.udf.register("kiln_tag", F.udf(lambda lang, src: f"{lang.upper()}:{src}", T.StringType(), useArrow=True))
+    spark.udf.register("kiln_tag", F.udf(lambda lang, src: None if lang is None or src is None else f"{lang.upper()}:{src}",
+                                              T.StringType(), useArrow=True))
     docs.createOrReplaceTempView("documents")
     tagged = spark.sql("SELECT doc_id, kiln_tag(lang, source) AS tag FROM documents")
     counts = docs.select("doc_id", _word_count_udf("text").alias("n_words"))

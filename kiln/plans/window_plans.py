@@ -33,6 +33,18 @@ def w2_moving_average_rows(spark, sf_dir):
     return r.select("o_orderkey", F.round("moving_avg", 4).alias("moving_avg"))
 
 
+@query("w2_wide_rows_frame", ids=("W2",), sql="""
+SELECT l_orderkey, l_linenumber, l_suppkey, round(sum(l_quantity) OVER w, 2) AS total, count(*) OVER w AS n, max(l_quantity) OVER w AS most
+FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity, l_extendedprice
+                           ROWS BETWEEN 500 PRECEDING AND 20 FOLLOWING)""")
+def w2_wide_rows_frame(spark, sf_dir):
+    """Frames of 521 rows in three large groups."""
+    li = table(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice"]
+    r = win.rows_frames(li.select("l_returnflag", *order), ["l_returnflag"], order, "l_quantity", -500, 20, {"total": "sum", "n": "count", "most": "max"})
+    return r.select("l_orderkey", "l_linenumber", "l_suppkey", F.round("total", 2).alias("total"), "n", "most")
+
+
 @query("w2_range_frame_days", ids=("W2",), sql="""
 WITH x AS (SELECT o_orderkey, o_custkey, CAST(datediff('day', DATE '1990-01-01', o_orderdate) AS INTEGER) AS day_no,
                   o_totalprice FROM orders)

@@ -58,9 +58,9 @@ def kmeans_update(centres: np.ndarray, weights: np.ndarray, m: np.ndarray, xs: n
 
 
 def _before(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
-    """The model history up to the batch before this one, read from what was
+    """The model after the batch before this one, read from what was
     committed: a restarted or repeated batch starts from the same model."""
-    return spark.read.option("basePath", out).parquet(*(f"{out}/b={i}" for i in range(batch_id))) if batch_id else None
+    return spark.read.parquet(f"{out}/b={batch_id - 1}") if batch_id else None
 
 
 def last_centres(history: DataFrame) -> np.ndarray:
@@ -95,8 +95,8 @@ def streaming_kmeans(stream: DataFrame, col: str, k: int, decay: float = 1.0, se
         first = batch.select(col).first()
         if batch_id:
             centres, weights = _kmeans_model(_before(spark, out, batch_id))
-        elif first is None:
-            return
+        elif first is None and dim is None:
+            raise ValueError("give dim: the first batch has no vector to take it from")
         else:
             centres = np.random.default_rng(seed).normal(size=(k, dim or len(first[0])))
             weights = np.zeros(k)

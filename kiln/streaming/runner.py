@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from kiln.operators.joins import full_join_on
 from kiln.session import partitions_for, scratch_path
 
 
@@ -70,9 +71,9 @@ def _wait(q) -> None:
         raise q.exception()
 
 
-def run_append(stream: DataFrame, name: str) -> DataFrame:
+def run_append(stream: DataFrame, name: str, checkpoint: str | None = None) -> DataFrame:
     spark = stream.sparkSession
-    out, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ck")
+    out, ck = scratch_path(spark, f"{name}-out"), checkpoint or scratch_path(spark, f"{name}-ck")
     _wait(stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ck)
           .trigger(availableNow=True).start(out))
     return spark.read.schema(stream.schema).parquet(out)
@@ -135,7 +136,7 @@ def update_state_by_key(stream: DataFrame, name: str, key: str, new: dict[str, C
     def each(batch: DataFrame, batch_id: int):
         rows = batch.groupBy(key).agg(*(c.alias(n) for n, c in new.items()))
         old = spark.read.schema(empty.schema).parquet(f"{out}/batch_id={batch_id - 1}") if batch_id else empty
-        renewed = rows.join(old, key, "full_outer").select(
+        renewed = full_join_on(rows, old, [key]).select(
             key, *(c.cast(empty.schema[n].dataType).alias(n) for n, c in state.items()))
         renewed.where(keep).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         written[:] = [batch_id]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
+from kiln.operators.estimators import MlpRegressor, PopulationScaler
 from kiln.session import scratch_path
 
 
@@ -30,3 +33,46 @@ def test_cross_validator_picks_zero_error_setting(spark):
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=RegressionEvaluator(), numFolds=3, seed=1)
     model = cv.fit(data)
     assert model.avgMetrics[0] < 1e-6 < model.avgMetrics[1]
+
+
+def _wave(spark, n=600):
+    x = F.pmod(F.xxhash64("id"), F.lit(1000)) / 500.0 - 1
+    return (spark.range(n).select("id", x.alias("a"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000.0).alias("b"), F.lit(3.0).alias("same"))
+            .withColumn("y", 5 + F.sin(3 * F.col("a")) * 2 + F.col("b")))
+
+
+def test_own_estimators_in_a_pipeline_saved_and_loaded(spark):
+    data = _wave(spark)
+    stages = [PopulationScaler(inputCols=["a", "same"], outputCols=["a_std", "same_std"]),
+              MlpRegressor(inputCols=["a_std", "b", "same_std"], labelCol="y", predictionCol="yhat", hidden=[6], maxIter=40, seed=2)]
+    fitted = Pipeline(stages=stages).fit(data)
+    scored = fitted.transform(data)
+    assert scored.columns == [*data.columns, "a_std", "same_std", "yhat"]
+    m = scored.agg(F.avg("a_std"), F.stddev_pop("a_std"), F.max("same_std"), F.avg(F.pow(F.col("yhat") - F.col("y"), 2)), F.var_pop("y")).first()
+    assert abs(m[0]) < 1e-9 and abs(m[1] - 1) < 1e-9 and m[2] == 0 and m[3] < 0.1 * m[4]
+    path = scratch_path(spark, "pipeline")
+    fitted.save(path)
+    again = PipelineModel.load(path).transform(data)
+    assert again.join(scored.select("id", F.col("yhat").alias("z")), "id").where("yhat <> z").count() == 0
+    plain = scratch_path(spark, "estimator")
+    stages[1].save(plain)
+    assert MlpRegressor.load(plain).getOrDefault("hidden") == [6] and fitted.stages[1].getOrDefault("losses")[-1] < 0.1
+
+
+def test_own_estimator_in_a_cross_validator(spark):
+    data = _wave(spark, 300)
+    net = MlpRegressor(inputCols=["a", "b"], labelCol="y", maxIter=15, seed=1)
+    grid = ParamGridBuilder().addGrid(net.hidden, [[4]]).addGrid(net.maxIter, [1, 15]).build()
+    cv = CrossValidator(estimator=net, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="y"), numFolds=2, seed=3)
+    model = cv.fit(data)
+    assert model.avgMetrics[1] < model.avgMetrics[0] and model.bestModel.transform(data).count() == 300
+
+
+def test_own_estimators_and_missing_values(spark):
+    data = spark.createDataFrame([(1.0, 2.0), (None, 3.0), (3.0, None)], "x double, y double")
+    scaled = PopulationScaler(inputCols=["x"], outputCols=["z"]).fit(data).transform(data)
+    assert [r.z for r in scaled.collect()] == [-1.0, None, 1.0]
+    none = PopulationScaler(inputCols=["x"], outputCols=["z"]).fit(data.limit(0))
+    assert none.getOrDefault("means") == [0.0]
+    with pytest.raises(ValueError, match="no row"):
+        MlpRegressor(inputCols=["x"], labelCol="y").fit(data.where("x is null"))
