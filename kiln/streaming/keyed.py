@@ -202,7 +202,8 @@ class _KeyState(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentProcessingTimeInMs()
-        if self.called.exists() and self.called.get()[0] == now:
+        # called in this batch, or removed: a timer from before may be left
+        if not self.state.exists() or (self.called.exists() and self.called.get()[0] == now):
             return iter(())
         return self._call(key, [], now)
 

