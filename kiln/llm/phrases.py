@@ -11,7 +11,7 @@ exact.
 
 *When* a phrase reached the threshold is held in a table of ``1 << bits`` bytes
 per length, by hash: a size set by parameters, whatever the vocabulary, and it
-is all that the driver gathers and broadcasts.  A place of the table belongs to
+is all that the driver gathers and (compressed) broadcasts.  A place of the table belongs to
 the first phrase that reaches the threshold there and isn't changed again, so
 phrases that share one are at most counted earlier than needed, always through
 a full cycle.  Counts are keyed by the phrases themselves: each stop groups the
@@ -27,12 +27,14 @@ repeated rows each count; ids aren't used; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kiln.llm import bytewords, textvec
@@ -41,6 +43,7 @@ from kiln.session import materialize, scratch_path
 
 BREAKS, BLANKS = ".,;:!?\n\x0b\x0c\r", " \t"
 NEVER = 255
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 COUNTS = "size tinyint, lang string, phrase string, since smallint, n bigint"
 
 
@@ -150,23 +153,23 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     path = scratch_path(spark, "shards")
     (docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"),
                  F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-     .where("text is not null").write.partitionBy("shard").parquet(path))
+     .where("text is not null").write.option("compression", "zstd").partitionBy("shard").parquet(path))
     corpus = spark.read.schema("lang string, text string, shard int").parquet(path)
 
     tables = [np.full(1 << bits, NEVER, np.uint8) for _ in range(max_words - 1)]
     still_open, closed = None, []
     stop, last_reached = 0, -1
     while True:
-        shared = spark.sparkContext.broadcast(tables)
+        shared = spark.sparkContext.broadcast([zlib.compress(t, 1) for t in tables])
         counts = corpus.where(F.col("shard") == stop % shards).select("lang", "text").mapInArrow(_counter(shared, bits, stop, shards), COUNTS)
         counts = counts.withColumn("fresh", F.col("n"))
         if still_open is not None:
             counts = counts.unionByName(still_open.withColumn("fresh", F.lit(0).cast("bigint")))
         ended = F.col("since") + shards <= stop
-        merged = materialize(
+        merged = _written(
             counts.groupBy("size", "lang", "phrase").agg(F.min("since").alias("since"), F.sum("n").alias("n"), F.sum("fresh").alias("fresh"))
-            .where(~ended | (F.col("n") >= least) | (F.col("size") == 0)), "phrases")
-        shared.unpersist()
+            .where(~ended | (F.col("n") >= least) | (F.col("size") == 0)))
+        shared.destroy()                                    # the counts are written
         if _note_reached(merged.where((F.col("n") >= least) & (F.col("n") - F.col("fresh") < least)), tables, bits, stop):
             last_reached = stop
         still_open = merged.where(~ended).drop("fresh")
@@ -177,17 +180,42 @@ def count_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     out = closed[0]
     for more in closed[1:]:
         out = out.unionByName(more)
-    return materialize(out, "phrases")
+    return _written(out)
+
+
+@contextmanager
+def _shuffles_cleaned(spark: SparkSession):
+    """What runs inside gives its shuffle files back at its end: a written
+    table doesn't need them, and stops would pile them up."""
+    old = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, old)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """Written in the shared folder, packed tighter than by default: a stop's
+    counts are read once or twice."""
+    path = scratch_path(df.sparkSession, "phrases")
+    with _shuffles_cleaned(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _counter(shared, bits: int, stop: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = [np.frombuffer(zlib.decompress(t), np.uint8) for t in shared.value]
         for b in batches:
             coded = b.column(0).dictionary_encode()
             lang_of, langs = np.asarray(coded.indices).astype(np.int64), coded.dictionary
             lang_hash = lang_hashes(langs.to_pylist())
             for s in bytewords.byte_slices(b.column(1)):
-                yield from count_slice(s, lang_of[s.first:s.first + s.n], langs, lang_hash, shared.value, bits, stop, shards)
+                yield from count_slice(s, lang_of[s.first:s.first + s.n], langs, lang_hash, tables, bits, stop, shards)
         pa.default_memory_pool().release_unused()
 
     return run
