@@ -24,6 +24,8 @@ extra columns are kept by ``mixed_documents`` and ignored by ``mix``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,9 +134,12 @@ def positions(sized: DataFrame) -> DataFrame:
 
 def draw_slots(shares: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     """(shard, slot, src, use): a source for every slot, and the number of
-    the slot among the source's; ``use`` is 0 to quota - 1, each once."""
+    the slot among the source's; ``use`` is 0 to quota - 1, each once.
+    Shards have ``shard_slots`` slots or the square root of all, so that a
+    source's counts per shard, which are summed in order, grow as slowly."""
     spark = shares.sparkSession
     total = shares.agg(F.sum("quota")).first()[0] or 0
+    shard_slots = max(shard_slots, math.isqrt(total))
     running = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # the share of a source is an interval of [0, 1), listed under every bin it touches
     high = F.sum("quota").over(running)
@@ -221,20 +226,19 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     documents, pieces = mix(docs, id_col, source_col, text_col, **options)
     key = ["src", "chunk", "nth"]
     copy = F.row_number().over(Window.partitionBy("row_key").orderBy(*key))
-    piece = F.struct("copy", "round", "from_word", "to_word")
+    piece = F.struct("round", "from_word", "to_word")
     parts = (pieces.join(documents.withColumn("copy", copy).select(*key, "row_key", "copy"), key)
-             .groupBy("row_key").agg(F.collect_list(piece).alias("pieces")))
+             .groupBy("row_key", "copy").agg(F.collect_list(piece).alias("pieces")))
     text = F.col("row").getField(text_col)
-    own = F.filter("pieces", lambda p: p["copy"] == F.col("copy"))
     ranges = F.array_sort(F.transform(F.filter("pieces", lambda p: p["round"] == F.col("round")),
                                       lambda p: F.struct(p["from_word"].alias("a"), p["to_word"].alias("z"))))
     whole = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["z"] - r["a"]) == word_count(text)
     words = F.regexp_extract_all(text, F.lit(SPACED_WORD), F.lit(0))
     some = F.array_join(F.transform("ranges", lambda r: F.array_join(
         F.slice("words", (r["a"] + 1).cast("int"), (r["z"] - r["a"]).cast("int")), "")), "")
-    chosen = (docs.select(F.struct("*").alias("row"), row_key(id_col, source_col, text_col).alias("row_key")).join(parts, "row_key")
+    chosen = (docs.select(F.struct("*").alias("row"), row_key(id_col, source_col, text_col).alias("row_key"))
               .withColumn("copy", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key")))
-              .withColumn("pieces", own)
+              .join(parts, ["row_key", "copy"])
               .withColumn("round", F.explode(F.array_distinct(F.transform("pieces", lambda p: p["round"]))))
               .withColumn("ranges", ranges).withColumn("whole", whole).withColumn("words", F.when(~F.col("whole"), words)))
     return chosen.select(*((F.when(F.col("whole"), text).otherwise(some) if c == text_col else F.col("row").getField(c)).alias(c)
