@@ -37,8 +37,10 @@ N, PERMUTATIONS, SEED = 5, 128, 9
 THRESHOLD, RECALL = 0.8, 0.9995
 WORDLESS = 0xFFFF
 
-#: Most buckets that ids are cut into: their first ids go to every task.
-BUCKETS = 1 << 16
+#: Ids are cut into four buckets a partition, at quantiles of so many sampled
+#: ids a bucket, about: that sample, and the buckets' first ids for every task,
+#: are all that the driver holds.  The cuts affect only how even buckets are.
+CUT_SAMPLE = 20
 NULL_ID = -(1 << 63)
 
 RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -80,14 +82,18 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     result = RESULT + ", class binary" * with_class
     named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = partitions_for(docs)
-    wanted = min(BUCKETS, 4 * parts)
+    wanted = 4 * parts
     key = F.coalesce("doc_id", F.lit(NULL_ID))
-    cuts = named.agg(F.percentile_approx(key, [k / wanted for k in range(1, wanted)] or [0.5], max(10_000, 10 * wanted)),
-                     F.max(key)).first()
-    if cuts[1] is None:
+    rows, most = named.agg(F.count("*"), F.max(key)).first()
+    if not rows:
         return docs.sparkSession.createDataFrame([], result)
+    # quantiles of a sample of the ids, by their hashes: the same in every run
+    share = min(1.0, CUT_SAMPLE * wanted / rows)
+    chance = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    sample = np.sort(np.array([r[0] for r in named.where(chance < share).select(key).collect()], np.int64))
+    cuts = sample[np.arange(1, wanted) * len(sample) // wanted] if len(sample) else sample
     # bucket b holds the ids from firsts[b] down to above firsts[b + 1]
-    firsts = np.unique(np.array([*cuts[0], cuts[1]], np.int64))[::-1]
+    firsts = np.unique(np.append(cuts, most))[::-1]
     shared = docs.sparkSession.sparkContext.broadcast(firsts)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

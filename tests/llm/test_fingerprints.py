@@ -84,3 +84,15 @@ def test_messy_rows(spark, messy, nothing):
     assert only.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and only.near_next == 1
     null = fingerprints.edited_neighbours(documents(spark, [(None, "abcd", None, None), (None, None, None, None)]))
     assert as_found(null.collect()) == as_wanted(brute([(None, "abcd"), (None, "")]))
+
+
+def test_buckets_are_even(spark):
+    """Cut at sampled quantiles, whatever the ids look like; a row's successor is still found."""
+    ids = [k * k * k for k in range(3000)]
+    docs = spark.createDataFrame([(i, f"text number {i}") for i in ids], "doc_id bigint, text string").repartition(5)
+    rows = {r.doc_id: r for r in fingerprints.edited_neighbours(docs).collect()}
+    assert len(rows) == 3000
+    for k in (0, 1, 700, 2999):
+        successor = f"text number {ids[k - 1]}"
+        text = fingerprints.edited(f"text number {ids[k]}", successor)
+        assert rows[ids[k]].edited_sha256 == hashlib.sha256(text.encode()).hexdigest()
