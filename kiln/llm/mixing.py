@@ -132,14 +132,15 @@ def positions(sized: DataFrame) -> DataFrame:
             .join(sums, ["src", "chunk"]).withColumn("start", F.col("start") + F.col("words_before")).drop("words_before"))
 
 
-def draw_slots(shares: DataFrame, shard_slots: int, seed: int) -> DataFrame:
+def draw_slots(shares: DataFrame, shard_slots: int | None, seed: int) -> DataFrame:
     """(shard, slot, src, use): a source for every slot, and the number of
     the slot among the source's; ``use`` is 0 to quota - 1, each once.
-    Shards have ``shard_slots`` slots or the square root of all, so that a
-    source's counts per shard, which are summed in order, grow as slowly."""
+    Shards have ``shard_slots`` slots; if none are given, ``SHARD_SLOTS`` or
+    the square root of all, if that is more, so that a source's counts per
+    shard, which are summed in order, grow as slowly."""
     spark = shares.sparkSession
     total = shares.agg(F.sum("quota")).first()[0] or 0
-    shard_slots = max(shard_slots, math.isqrt(total))
+    shard_slots = shard_slots or max(SHARD_SLOTS, math.isqrt(total))
     running = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # the share of a source is an interval of [0, 1), listed under every bin it touches
     high = F.sum("quota").over(running)
@@ -177,7 +178,7 @@ def draw_slots(shares: DataFrame, shard_slots: int, seed: int) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights: tuple[float, ...] = WEIGHTS, most_repeats: int = MOST_REPEATS, block_words: int = BLOCK_WORDS,
-        shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+        shard_slots: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces).  Documents: (doc_id, source, row_key, size, src,
     chunk, nth, start, source_size, target).  Pieces, the mix: (shard, slot,
     round, src, chunk, nth, from_word, to_word), the words of a document that
