@@ -12,8 +12,9 @@
 
 Rows are reduced (or, for the state function, optionally shrunk) in the task
 that reads them, so a hot key sends a few partial values per task.  A NULL key
-is a key like any other.  Values and states are tuples in the order of their
-DDL; user functions get and return such tuples.
+is a key like any other; keys are of types that text can hold.  Values and
+states are tuples in the order of their DDL; user functions get and return such
+tuples.  Give values that aren't NULL (coalesce them before).
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DataType, IntegerType, LongType, StructField, StructType
 
 from kiln.operators.indexing import index_within_groups
 from kiln.streaming.runner import run_append, run_batches
@@ -68,6 +69,16 @@ def _plain(x):
     return x.item() if hasattr(x, "item") else x
 
 
+def _as_text(key: str) -> Column:
+    """A key as text that is never NULL: the store's frames turn whole numbers
+    beside a NULL into fractions."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")).alias(key)
+
+
+def _from_text(key: str, kind: DataType) -> Column:
+    return F.when(F.col(key) != "", F.expr(f"substring(`{key}`, 2)")).cast(kind).alias(key)
+
+
 def _rows(pdfs: Iterator[pd.DataFrame], columns: list[int]) -> Iterator[tuple]:
     """Columns by place: the frames don't keep every name."""
     for pdf in pdfs:
@@ -148,8 +159,9 @@ def reduce_by_key_and_window(stream: DataFrame, name: str, keys: list[str], time
     slide_us = slide_s * 1_000_000
     grouped = keys or ["all_rows"]
     rows = stream if keys else stream.withColumn("all_rows", F.lit(0))
+    kinds = {k: rows.schema[k].dataType for k in grouped}
     rows = rows.where(F.col(time_col).isNotNull()).select(
-        *grouped, F.floor(F.unix_micros(F.col(time_col)) / slide_us).cast("bigint").alias("pane_no"), F.col(time_col).alias("pane_time"), *values)
+        *map(_as_text, grouped), F.floor(F.unix_micros(F.col(time_col)) / slide_us).cast("bigint").alias("pane_no"), F.col(time_col).alias("pane_time"), *values)
     schema = to_arrow_schema(rows.schema)
     n_keys = len(grouped) + 1
 
@@ -182,7 +194,8 @@ def reduce_by_key_and_window(stream: DataFrame, name: str, keys: list[str], time
         windows = (rows.mapInArrow(partial, rows.schema).withWatermark("pane_time", delay).groupBy(*grouped)
                    .transformWithStateInPandas(_PaneWindows(value_type, out, slide_s * 1000, panes, reduce, inverse, keep),
                                                out, "append", "EventTime"))
-        return run_append(windows, name, checkpoint).drop(*([] if keys else grouped))
+        sent = run_append(windows, name, checkpoint)
+    return sent.select(*(_from_text(k, kinds[k]) for k in keys), *(c for c in sent.columns if c not in grouped))
 
 
 class _KeyState(StatefulProcessor):
@@ -240,7 +253,8 @@ def update_state_by_key(stream: DataFrame, name: str, key: str, values: list[str
     example to the largest few); the function must give the same for shrunk
     values."""
     spark = stream.sparkSession
-    rows = stream.select(key, *values)
+    kind = stream.schema[key].dataType
+    rows = stream.select(_as_text(key), *values)
     if shrink is not None:
         schema = to_arrow_schema(rows.schema)
 
@@ -268,7 +282,8 @@ def update_state_by_key(stream: DataFrame, name: str, key: str, values: list[str
     out = StructType([rows.schema[key], StructField("removed", BooleanType()), *state_type.fields])
     with state_store(spark, without_rows=False):
         changes = rows.groupBy(key).transformWithStateInPandas(_KeyState(len(values), state_type, out, update), out, "update", "ProcessingTime")
-        return run_batches(changes, name, lambda batch, _: batch, mode="update")
+        sent = run_batches(changes, name, lambda batch, _: batch, mode="update")
+    return sent.withColumn(key, _from_text(key, kind))
 
 
 def latest_state(changes: DataFrame, key: str) -> DataFrame:
