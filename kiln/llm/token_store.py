@@ -13,16 +13,16 @@ A store is a folder in the shared file system:
   key that isn't in the store fails the fingerprint, but for one in 2**32.
 * ``manifest``: a Parquet table of the shards with key ranges and sizes.
 
-Writing shuffles the texts once, by ranges of (key, first characters, digest,
-row); a key with very many rows spans several shards.  A task streams its
+Writing shuffles the texts once, by ranges of (key, first characters); a key
+with very many rows spans several shards, but for those of its rows whose
+first ``TIE_CHARS`` characters are equal.  A task streams its
 texts into its payload and keeps only keys and lengths.  Files get their
 names when complete, and a repeated task writes the same bytes, so lost
 executors and repeated attempts do no harm.  Records are read back with one
 task per shard, so a task reads as much payload as one wrote.
 
 Defined results: null text is empty; rows of equal key, and those of the null
-key, are separate documents, ordered by their first ``TIE_CHARS`` characters,
-then by digest; any 64-bit number can be a key; an empty table gives a store
+key, are separate documents, ordered by text; any 64-bit number can be a key; an empty table gives a store
 without shards; a text that holds an added token's own string is encoded as
 the tokenizer does.
 """
@@ -54,7 +54,7 @@ from kiln.session import partitions_for, scratch_path
 MAGIC = b"KILNTOK1"
 LOAD, BLOCK_BITS = 2.0, 512
 
-#: Characters that order documents of one key; the sample that cuts the ranges holds no more of a text.
+#: Characters that part documents of one key; the sample that cuts the ranges holds no more of a text.
 TIE_CHARS = 64
 FINGERPRINT_SEED = np.uint64(0xD6E8FEB86659FD93)
 
@@ -313,10 +313,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col:
             ["shard", "n_docs", "n_null", "n_ids", "first_key", "last_key"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(F.col(id_col).cast("bigint").alias("key"), text.alias("text"), F.substring(text, 1, TIE_CHARS).alias("begin"),
-                        F.xxhash64(text).alias("digest"), F.monotonically_increasing_id().alias("row"))
-    order = ["key", "begin", "digest"]
-    (keyed.repartitionByRange(partitions_for(docs), *order, "row").sortWithinPartitions(*order, "text").select("key", "text")
+    keyed = docs.select(F.col(id_col).cast("bigint").alias("key"), text.alias("text"), F.substring(text, 1, TIE_CHARS).alias("begin"))
+    (keyed.repartitionByRange(partitions_for(docs), "key", "begin").sortWithinPartitions("key", "text").select("key", "text")
      .mapInArrow(run, MANIFEST).write.parquet(f"{path}/manifest"))
     return docs.sparkSession.read.parquet(f"{path}/manifest")
 
