@@ -5,13 +5,15 @@ X3, X4)."""
 from __future__ import annotations
 
 import os
+import time
 
+import pytest
 from pyspark import StorageLevel
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from kiln.session import materialize, scratch_path
-from kiln.sources.tables import read_lines, table
+from kiln.sources.tables import RECORDS_A_SLICE, fixed_length_records, read_lines, table
 
 from kiln_cases import SF_SMALL
 
@@ -85,3 +87,24 @@ def test_foreach_partition_and_observe(spark):
     acc = spark.sparkContext.accumulator(0)
     df.select("l_orderkey").foreachPartition(lambda it: acc.add(sum(1 for _ in it)))
     assert acc.value == df.count()
+
+
+def _cut_file(spark, folder, data: bytes, length: int) -> list[bytes]:
+    (folder / "a.bin").write_bytes(data)
+    files = spark.read.format("binaryFile").load(str(folder))
+    return [bytes(r["record"]) for r in fixed_length_records(files, length).select("record").collect()]
+
+
+@pytest.mark.parametrize("n", [0, 1, RECORDS_A_SLICE, 2 * RECORDS_A_SLICE + 1])
+def test_fixed_length_records_at_slice_ends(spark, tmp_path, n):
+    data = b"".join(b"%7d" % i for i in range(n))
+    assert sorted(_cut_file(spark, tmp_path, data + b"tail", 7)) == [b"%7d" % i for i in range(n)]
+
+
+def test_fixed_length_records_in_time_linear_in_the_file(spark, tmp_path):
+    """Cut with a copy of the file for every record, this takes minutes."""
+    n = 300_000
+    start = time.monotonic()
+    out = _cut_file(spark, tmp_path, b"".join(b"%11d\n" % i for i in range(n)), 12)
+    assert len(set(out)) == n
+    assert time.monotonic() - start < 45
