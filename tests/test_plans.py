@@ -8,6 +8,7 @@ import io
 
 from pyspark.sql import functions as F
 
+from kiln.session import materialize
 from kiln.plans.registry import load_all
 
 from kiln_cases import SF_SMALL
@@ -91,3 +92,24 @@ def test_estimates_scan_the_sample_once(spark):
     from kiln.operators.aggregates import clt_estimate
     df = clt_estimate(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"), "l_quantity", 0.1)
     assert _formatted(df).split("\n\n")[0].count("Scan parquet") == 1
+
+
+def test_regression_rows_are_written_without_computed_copies(spark, monkeypatch):
+    """The inputs of the regression are copies of table columns, so only
+    those are written, shuffled and sorted."""
+    from kiln.operators import indexing
+    from kiln.plans import power_plans
+    from kiln.sources.tables import table
+    written = []
+
+    def seen(df, *args, **kw):
+        written.append(df.columns)
+        return materialize(df, *args, **kw)
+
+    monkeypatch.setattr(power_plans, "materialize", seen)
+    monkeypatch.setattr(indexing, "materialize", seen)
+    rows = power_plans._regression_rows(table(spark, SF_SMALL, "lineitem"), table(spark, SF_SMALL, "part"), True)
+    assert rows.columns == ["bucket", "l_orderkey", "l_linenumber", *power_plans.INPUTS, power_plans.TARGET, "idx", "n_in_group", "fold"]
+    assert len(written) == 3 and not {*power_plans.INPUTS, power_plans.TARGET} & {c for columns in written for c in columns}
+    bucket = rows.where("bucket = 3").orderBy("idx").toPandas()
+    assert bucket["idx"].tolist() == list(range(len(bucket))) and (bucket["x1"] > 0).all()
