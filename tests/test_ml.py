@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from kiln.operators.estimators import MlpRegressor, PopulationScaler
 from kiln.session import scratch_path
+from kiln.sources.tables import table
+
+from kiln_cases import SF_SMALL
 
 
 def test_model_save_load_round_trip(spark):
@@ -76,3 +79,21 @@ def test_own_estimators_and_missing_values(spark):
     assert none.getOrDefault("means") == [0.0]
     with pytest.raises(ValueError, match="no row"):
         MlpRegressor(inputCols=["x"], labelCol="y").fit(data.where("x is null"))
+
+
+def test_word2vec_tasks_grow_with_the_texts(spark, monkeypatch):
+    """One task would train on all texts, however many."""
+    from pyspark.ml import feature
+
+    from kiln.plans import ml_plans
+    asked, fit = [], feature.Word2Vec._fit
+
+    def seen(self, dataset):
+        asked.append(self.getNumPartitions())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(feature.Word2Vec, "_fit", seen)
+    size = table(spark, SF_SMALL, "documents").selectExpr("sum(octet_length(text))").first()[0]
+    monkeypatch.setattr(ml_plans, "WORD2VEC_BYTES", size // 3 + 1)
+    row = ml_plans.m9_word2vec_synonyms(spark, SF_SMALL).first()
+    assert asked == [3] and tuple(row) == (5, True, True)
