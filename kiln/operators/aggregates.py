@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.operators.indexing import index_within_groups
+from kiln.session import partitions_for
 
 
 def histogram(df: DataFrame, col: str, buckets) -> DataFrame:
@@ -103,17 +104,21 @@ def frequent_values(df: DataFrame, col: str, support: float) -> DataFrame:
 #: Keys a task of ``keyed_reduce`` holds before it sends their partials, and
 #: the partials of one key that meet in the last merge at most.
 HELD_KEYS, LAST_PARTIALS = 1 << 18, 64
+#: Groups of keys, per 128 MB of input files, that ``keyed_reduce`` merges in a call each.
+KEY_GROUPS = 16
 
 
 def keyed_reduce(df: DataFrame, key: str, val: str, ufunc: np.ufunc, out_type: str = "double") -> DataFrame:
     """``reduceByKey`` with a user monoid given as a numpy ufunc, for monoids
     that no built-in aggregate expresses.
 
-    A task keeps one partial per key over all its batches (and sends them
-    when it holds ``HELD_KEYS``).  A key's partials are merged in two levels:
-    first per (key, one of ``LAST_PARTIALS`` salts), then per key, so the
-    last merge of a key sees at most ``LAST_PARTIALS`` values however many
-    tasks held it.  NULL is a key; NULL values are skipped.
+    A task keeps one partial per key (and sends them when it holds
+    ``HELD_KEYS``), reduced whenever as many new rows have come.  A key's
+    partials are merged in two levels: first per (key, one of
+    ``LAST_PARTIALS`` salts), then per key, so the last merge of a key sees at
+    most ``LAST_PARTIALS`` values however many tasks held it.  A call merges
+    all keys of one of the groups.  NULL is a key, in a group of
+    its own; NULL values are skipped.
     """
     narrow = df.select(F.col(key), F.col(val).cast(out_type).alias(val)).where(F.col(val).isNotNull())
     schema = narrow.schema
@@ -125,20 +130,26 @@ def keyed_reduce(df: DataFrame, key: str, val: str, ufunc: np.ufunc, out_type: s
         return pd.DataFrame({key: keys, val: ufunc.reduceat(pdf[val].to_numpy()[order], firsts)})
 
     def partial(batches):
-        held = []
+        held, new = [], 0
         for pdf in batches:
             if len(pdf):
-                held = [reduced(pd.concat([*held, pdf[[key, val]]]))]
+                held.append(pdf[[key, val]])
+                new += len(pdf)
+            if new >= HELD_KEYS:
+                held, new = [reduced(pd.concat(held))], 0
                 if len(held[0]) >= HELD_KEYS:
                     yield held.pop()
-        yield from held
+        if held:
+            yield reduced(pd.concat(held))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         return reduced(pdf[[key, val]])
 
     salt = F.pmod(F.spark_partition_id(), F.lit(LAST_PARTIALS))
-    salted = narrow.mapInPandas(partial, schema).withColumn("_salt", salt)
-    return salted.groupBy(key, "_salt").applyInPandas(merge, schema).groupBy(key).applyInPandas(merge, schema)
+    group = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(KEY_GROUPS * partitions_for(df, least=1))))
+    salted = narrow.mapInPandas(partial, schema).withColumns({"_salt": salt, "_group": group})
+    some = salted.groupBy("_group", "_salt").applyInPandas(merge, schema).withColumn("_group", group)
+    return some.groupBy("_group").applyInPandas(merge, schema)
 
 
 def grouped_values(df: DataFrame, key: str, val: str, order: list[str] | None = None) -> DataFrame:

@@ -181,3 +181,25 @@ def test_clt_estimate_covers_truth(spark):
     est = {r["stat"]: r for r in agg.clt_estimate(df, "v", 0.2, seed=3).collect()}
     assert est["count"]["low"] <= 20000 <= est["count"]["high"]
     assert est["mean"]["low"] <= 49.5 <= est["mean"]["high"]
+
+
+def test_keyed_reduce_merges_many_keys_in_a_call(spark, monkeypatch):
+    """NULL is a key beside others over many batches, and a task's last
+    merges are of groups of keys: a call for each key took most of the time."""
+    monkeypatch.setattr(agg, "HELD_KEYS", 500)
+    monkeypatch.setattr(agg, "KEY_GROUPS", 4)
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counted:
+        def reduceat(self, values, firsts):
+            calls.add(1)
+            return np.add.reduceat(values, firsts)
+
+    rows = spark.range(6000, numPartitions=4).selectExpr("CASE WHEN id % 301 > 0 THEN id % 301 END AS k", "double(id) AS v")
+    got = {r["k"]: r["v"] for r in agg.keyed_reduce(rows, "k", "v", Counted()).collect()}
+    want = {}
+    for i in range(6000):
+        k = i % 301 or None
+        want[k] = want.get(k, 0.0) + i
+    assert got == want
+    assert calls.value < 100
