@@ -1,6 +1,8 @@
 """Mini-batch gradient descent with proximal updaters, one Spark job a step.
 
-Every step takes the rows whose hash of (seed, step, row) lies below
+If every row counts in every step (``fraction`` 1), the rows are packed once
+into blocks of numbers, which the steps read.  Otherwise
+every step takes the rows whose hash of (seed, step, row) lies below
 ``fraction``, averages their loss gradients and updates the weights on the
 driver, which holds one number per feature.  A task folds its rows into one
 gradient (numpy), and the gradients are summed position by position, so the
@@ -20,11 +22,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SUMS = "pos int, total double"
 
+#: Rows of a block at most, and bytes of blocks a partition should have at most.
+BLOCK_ROWS, PARTITION_BYTES = 1 << 14, 64 << 20
+
 
 def _squared(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (margin - y) ** 2 / 2, margin - y
@@ -100,38 +106,75 @@ def fit_sgd(df: DataFrame, features: str, label: str, loss: str = "squared", upd
     free = np.zeros(d, bool)
     free[first[0]:] = True
     losses, history, converged, penalty = [], [], False, shrink(w, np.zeros(d), 0.0, updater, reg, free)[1]
-    for i in range(1, iterations + 1):
-        total, count, gradient = _gradient(rows, w, loss, intercept, fraction, seed, i)
-        if not count:
-            continue
-        losses.append(total / count + penalty)
-        before = w
-        w, penalty = shrink(w, gradient / count, step / np.sqrt(i), updater, reg, free)
-        if keep_history:
-            history.append(w)
-        if np.linalg.norm(w - before) < tolerance * max(1.0, float(np.linalg.norm(w))):
-            converged = True
-            break
+    packed = fraction == 1 and iterations > 1
+    if packed:
+        rows = _packed(rows, first[0]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for i in range(1, iterations + 1):
+            total, count, gradient = _gradient(rows, packed, w, loss, intercept, fraction, seed, i)
+            if not count:
+                continue
+            losses.append(total / count + penalty)
+            before = w
+            w, penalty = shrink(w, gradient / count, step / np.sqrt(i), updater, reg, free)
+            if keep_history:
+                history.append(w)
+            if np.linalg.norm(w - before) < tolerance * max(1.0, float(np.linalg.norm(w))):
+                converged = True
+                break
+    finally:
+        if packed:
+            rows.unpersist()
     return SgdModel(w[:first[0]], float(w[-1]) if intercept else 0.0, losses, converged, history)
 
 
-def _gradient(rows: DataFrame, w: np.ndarray, loss: str, intercept: bool, fraction: float, seed: int, step: int) -> tuple[float, int, np.ndarray]:
-    """(sum of losses, rows, sum of gradients) of a step's sample."""
+def _numbers(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(features, labels) of a batch of rows."""
+    return np.asarray(b.column(0).flatten(), float).reshape(b.num_rows, -1), b.column(1).to_numpy(zero_copy_only=False)
+
+
+def _packed(rows: DataFrame, width: int) -> DataFrame:
+    """(block): the rows as blocks of doubles, rows x (features and label),
+    dealt evenly over the tasks."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                x, y = _numbers(b)
+                if x.shape[1] != width:
+                    raise ValueError(f"expected rows of {width} features")
+                whole = np.column_stack((x, y))
+                yield pa.RecordBatch.from_arrays([pa.array([whole[s:s + BLOCK_ROWS].tobytes() for s in range(0, len(whole), BLOCK_ROWS)], pa.binary())], ["block"])
+
+    sc = rows.sparkSession.sparkContext
+    n_rows = rows.count()
+    tasks = max(1, min(sc.defaultParallelism, -(-n_rows // BLOCK_ROWS)), -(-n_rows * 8 * (width + 1) // PARTITION_BYTES))
+    return rows.mapInArrow(pack, "block binary").repartition(tasks)
+
+
+def _gradient(rows: DataFrame, packed: bool, w: np.ndarray, loss: str, intercept: bool, fraction: float, seed: int, step: int) -> tuple[float, int, np.ndarray]:
+    """(sum of losses, rows, sum of gradients) of a step's sample; ``packed``:
+    whether the rows are blocks."""
     d, derive = len(w), LOSSES[loss]
     if fraction < 1:
         part = F.pmod(F.xxhash64(F.lit(seed), F.lit(step), "x", "y"), F.lit(1 << 53)) / F.lit(float(1 << 53))
         rows = rows.where(part < fraction)
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for b in batches:
+            if packed:
+                for block in b.column(0):
+                    whole = np.frombuffer(block.as_buffer()).reshape(-1, d - intercept + 1)
+                    yield whole[:, :-1], whole[:, -1]
+            elif b.num_rows:
+                yield _numbers(b)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(d + 2)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x = np.asarray(b.column(0).flatten(), float).reshape(b.num_rows, -1)
+        for x, y in parts(batches):
             if intercept:
                 x = np.hstack([x, np.ones((len(x), 1))])
-            values, slopes = derive(x @ w, b.column(1).to_numpy(zero_copy_only=False))
-            sums += np.concatenate((x.T @ slopes, [values.sum(), b.num_rows]))
+            values, slopes = derive(x @ w, y)
+            sums += np.concatenate((x.T @ slopes, [values.sum(), len(x)]))
         if sums[-1]:
             yield pa.RecordBatch.from_arrays([pa.array(range(d + 2), pa.int32()), pa.array(sums)], ["pos", "total"])
 

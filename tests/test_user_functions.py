@@ -210,3 +210,20 @@ def test_ks_limit_meets_the_exact_values():
     for d in (0.05, 0.08, 0.1, 0.15):
         assert stats.ks_p_value(d, 140) == pytest.approx(stats.ks_p_value(d, 140, exact_rows=1), abs=1e-2)      # of order 1 / n
     assert stats.ks_p_value(1.0, 5) == 0 and stats.ks_p_value(0.0, 5) == 1 and math.isfinite(stats.ks_p_value(0.3, 1000))
+
+
+def test_descent_over_all_rows_reads_them_once(spark):
+    """The rows are computed when they are counted and packed, not in every step."""
+    rng = random.Random(3)
+    rows = [([rng.uniform(-1, 1), rng.uniform(-1, 1)],) for _ in range(500)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def label(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf.assign(y=pdf["x"].map(lambda x: 2 * x[0] - x[1] + 0.5))
+
+    data = spark.createDataFrame(rows, "x array<double>").mapInPandas(label, "x array<double>, y double")
+    model = sgd.fit_sgd(data, "x", "y", step=3.0, iterations=40, intercept=True)
+    assert np.allclose([*model.weights, model.intercept], [2, -1, 0.5], atol=0.02) and len(model.losses) == 40
+    assert seen.value <= 3 * len(rows)
