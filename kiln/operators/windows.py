@@ -8,7 +8,8 @@ operators split every group over many partitions instead:
   (group, order) + per-span offsets);
 * offsets (lag/lead) become equi-joins on (group, position) -- the key is
   unique per row, so nothing is hot;
-* bounded row frames run in bands of positions as wide as the frame;
+* bounded row frames run in bands of positions, wide ones from running
+  aggregates;
 * ranks come from per-peer-group min/max positions (a partial aggregate);
 * running (unbounded preceding) aggregates are a partition-local window
   plus the prefix of earlier spans of the same group;
@@ -25,11 +26,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from kiln.operators.indexing import index_within_groups
 from kiln.operators.joins import join_on, join_small, lookup
 from kiln.session import materialize, partitions_for
 
+#: Widest frame (rows) that a window adds up row by row, and rows of a band of wider ones at least.
+NARROW_FRAME, BAND_ROWS = 24, 8192
+
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "avg": F.avg}
 #: How partial aggregates of a group are merged.
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
@@ -95,10 +100,15 @@ def rows_frames(df: DataFrame, group: list[str], order: list[str], col: str, lo:
     Positions are cut into bands as wide as the frame.  A row goes to its own
     band and to the one or two that hold rows with a frame over it, whatever
     the width, and the window runs per (group, band): its rows are at most
-    three frames, so no group is held by one task."""
+    three frames, so no group is held by one task.  A window adds up each frame
+    anew, so frames of more than ``NARROW_FRAME`` rows are put together from
+    running aggregates."""
     if lo > hi:
         raise ValueError("a frame must not end before it begins")
     width, at = hi - lo + 1, F.col("_pos")
+    exact_mean = isinstance(df.schema[col].dataType, DecimalType) and "avg" in outs.values()
+    if width > NARROW_FRAME and not exact_mean:
+        return _wide_frames(df, group, order, col, lo, hi, outs)
     bands = F.array_distinct(F.array(*(F.floor((at - d) / width) for d in (hi, lo, 0))))
     sent = with_position(df, group, order).withColumn("_own", F.floor(at / width)).withColumn("_band", F.explode(bands))
     w = Window.partitionBy(*group, "_band").orderBy("_pos").rangeBetween(lo, hi)
@@ -106,6 +116,50 @@ def rows_frames(df: DataFrame, group: list[str], order: list[str], col: str, lo:
             .where("_band = _own").drop("_pos", "_own", "_band"))
 
 
+def _wide_frames(df: DataFrame, group: list[str], order: list[str], col: str, lo: int, hi: int, outs: dict[str, str]) -> DataFrame:
+    """``rows_frames`` in time that doesn't grow with the frame.
+
+    Positions are cut into cells as wide as the frame, so that a frame is the
+    end of a cell and the beginning of the next, or one whole cell: running
+    aggregates from the left and from the right of the cells, looked up at
+    the frame's two ends.  Bands are some cells; rows near their edges go to the
+    neighbours too."""
+    width, at = hi - lo + 1, F.col("_pos")
+    band = width * -(-BAND_ROWS // width)
+    needed = dict.fromkeys(f for fn in outs.values() for f in (("sum", "count") if fn == "avg" else (fn,)))
+    bands = F.array_distinct(F.array(*(F.floor((at - d) / band) for d in (hi, lo, 0))))
+    sent = (with_position(df, group, order).withColumn("_own", F.floor(at / band)).withColumn("_band", F.explode(bands))
+            .repartition(*group, "_band").withColumn("_cell", F.floor(at / width)))
+    cell = Window.partitionBy(*group, "_band", "_cell")
+    left = cell.orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    right = cell.orderBy(F.desc("_pos")).rowsBetween(Window.unboundedPreceding, 0)
+    x = sent.withColumns({f"_r_{f}": _AGG[f](col).over(right) for f in needed}).withColumns({f"_l_{f}": _AGG[f](col).over(left) for f in needed})
+    # a band's positions have no gap, so that a position is as many rows away;
+    # beyond the group's last row its last one ends the frame
+    along = Window.partitionBy(*group, "_band").orderBy("_pos")
+    all_rows = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = {f: F.struct(at.alias("at"), F.col(f"_l_{f}").alias("v")) for f in needed}
+    x = x.withColumns({
+        **{f"_a_{f}": _away(F.struct(at.alias("at"), F.col(f"_r_{f}").alias("v")), lo, along) for f in needed},
+        **{f"_b_{f}": F.coalesce(_away(e, hi, along), F.last(e).over(all_rows) if hi > 0 else F.lit(None)) for f, e in ends.items()}})
+    first_cell, last_cell = F.floor((at + lo) / width), F.floor((at + hi) / width)
+    both = {}
+    for f in needed:
+        begin, end = F.col(f"_a_{f}"), F.col(f"_b_{f}")
+        # from the frame's first row to the end of its cell, unless that is the end's cell as well
+        head = F.when(first_cell < last_cell, begin["v"])
+        tail = F.when(F.floor(end["at"] / width) == last_cell, end["v"])
+        both[f] = _both(f, head, tail)
+    both = {f: F.coalesce(c, F.lit(0).cast("bigint")) if f == "count" else c for f, c in both.items()}
+    found = {out: F.when(both["count"] > 0, both["sum"].cast("double") / both["count"]) if fn == "avg" else both[fn] for out, fn in outs.items()}
+    return x.where("_band = _own").select(*(F.col(c) for c in df.columns if c not in outs), *(c.alias(out) for out, c in found.items()))
+
+
+def _away(value: Column, rows: int, along) -> Column:
+    """The value so many rows further on."""
+    return F.lead(value, rows).over(along) if rows >= 0 else F.lag(value, -rows).over(along)
+
+
 def rows_frame(df: DataFrame, group: list[str], order: list[str], col: str, lo: int, hi: int,
                fn: str, out: str) -> DataFrame:
     return rows_frames(df, group, order, col, lo, hi, {out: fn})

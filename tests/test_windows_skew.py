@@ -187,3 +187,18 @@ def test_keyed_reduce_last_merge_is_bounded(spark, monkeypatch):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("FlatMapGroupsInPandas") == 2 and "pmod(SPARK_PARTITION_ID(), 4)" in plan
+
+
+@pytest.mark.parametrize("band_rows", [1, 8192])
+@pytest.mark.parametrize("lo,hi", [(-30, 5), (5, 60), (-60, -7), (-900, 900)])
+def test_wide_frames_equal_windows_without_adding_up_each_frame(spark, monkeypatch, band_rows, lo, hi):
+    monkeypatch.setattr(win, "BAND_ROWS", band_rows)
+    rows = [("ab"[i % 2] if i % 5 else None, i, None if i % 3 == 0 else float(i * 37 % 101 - 50)) for i in range(600)]
+    df = spark.createDataFrame(rows + [("c", i, None) for i in range(20)], "g string, i int, v double")
+    outs = {"total": "sum", "n": "count", "least": "min", "most": "max", "mean": "avg"}
+    got = win.rows_frames(df, ["g"], ["i"], "v", lo, hi, outs)
+    w = Window.partitionBy("g").orderBy("i").rowsBetween(lo, hi)
+    want = df.select("g", "i", "v", *(getattr(F, fn)("v").over(w).alias(out) for out, fn in outs.items()))
+    pd.testing.assert_frame_equal(_pdf(got, want.columns), _pdf(want, want.columns))
+    frames = re.findall(r"specifiedwindowframe\(\w+, ([^,]+), ([^)]+)\)", got._jdf.queryExecution().toString())
+    assert frames and not any(re.fullmatch(r"-?\d+", a) and re.fullmatch(r"-?\d+", b) and a != b for a, b in frames)
