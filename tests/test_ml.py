@@ -97,3 +97,20 @@ def test_word2vec_tasks_grow_with_the_texts(spark, monkeypatch):
     monkeypatch.setattr(ml_plans, "WORD2VEC_BYTES", size // 3 + 1)
     row = ml_plans.m9_word2vec_synonyms(spark, SF_SMALL).first()
     assert asked == [3] and tuple(row) == (5, True, True)
+
+
+@pytest.mark.parametrize("id_bytes", [0, 1 << 20])
+def test_exact_tf_idf_meets_rows_of_an_id(spark, monkeypatch, tmp_path, id_bytes):
+    """Repeated and missing ids, whether rows of an id meet before or after the split."""
+    import math
+    from collections import Counter
+
+    from kiln.plans import ml_plans
+    monkeypatch.setattr(ml_plans, "ID_BYTES", max(1, id_bytes))
+    rows = [(1, "a b a"), (1, "A c"), (None, "b b"), (None, "d"), (2, None), (3, "!"), (4, "c d e")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tf = Counter((d, w) for d, t in rows for w in (t or "").lower().replace("!", "").split())
+    df = Counter(w for _, w in tf)
+    want = {d: [(n * math.log((len(rows) + 1) / (df[w] + 1))) for (e, w), n in tf.items() if e == d] for d, _ in tf}
+    got = ml_plans.m6_exact_tf_idf(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_terms, r.tfidf_sum) for r in got} == {d: (len(v), round(sum(v), 4)) for d, v in want.items()}
