@@ -11,7 +11,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from kiln.operators.estimators import MlpRegressor, PopulationScaler
-from kiln.session import scratch_path
+from kiln.session import materialize, scratch_path
 from kiln.sources.tables import table
 
 from kiln_cases import SF_SMALL
@@ -114,3 +114,12 @@ def test_exact_tf_idf_meets_rows_of_an_id(spark, monkeypatch, tmp_path, id_bytes
     want = {d: [(n * math.log((len(rows) + 1) / (df[w] + 1))) for (e, w), n in tf.items() if e == d] for d, _ in tf}
     got = ml_plans.m6_exact_tf_idf(spark, str(tmp_path)).collect()
     assert {r.doc_id: (r.n_terms, r.tfidf_sum) for r in got} == {d: (len(v), round(sum(v), 4)) for d, v in want.items()}
+
+
+def test_als_computes_its_ratings_once(spark, monkeypatch):
+    """Fits and predictions read the numbered ratings as written, without the joins before."""
+    from kiln.plans import ml_plans
+    written = []
+    monkeypatch.setattr(ml_plans, "materialize", lambda df, name="cut", *a: written.append((name, df.columns)) or materialize(df, name, *a))
+    got = ml_plans.m17_als(spark, SF_SMALL).collect()
+    assert ("numbered", ["user", "item", "rating"]) in written and all(r.finite for r in got)
