@@ -98,3 +98,58 @@ def test_only_changed_states_are_written(spark):
     changes = keyed.update_state_by_key(runner.stage(df, "unchanged", 4, "id").stream(spark), "unchanged", "k", ["v"], "most bigint",
                                         lambda new, old: (max([v[0] for v in new] + list(old or ())),), shrink=lambda vs: [max(vs)])
     assert sorted((r.batch_id, r.k, r.most) for r in changes.collect()) == [(0, "a", 9), (1, "b", 19), (2, "b", 29), (3, "b", 39)]
+
+
+def test_a_call_asks_the_store_at_most_twice():
+    """Each access is a message to the store: one read and one write for a key in a batch."""
+    import pandas as pd
+    from pyspark.sql.types import StructType
+
+    from kiln.streaming.keyed import _KeyState
+
+    class Value:
+        def __init__(self):
+            self.value, self.asked = None, 0
+
+        def __getattr__(self, name):
+            if name not in ("get", "exists", "update", "clear"):
+                raise AttributeError(name)
+
+            def access(*given):
+                self.asked += 1
+                if name in ("update", "clear"):
+                    self.value = given[0] if given else None
+                return self.value is not None if name == "exists" else self.value
+            return access
+
+    class Handle:
+        def __init__(self):
+            self.values, self.timers = [], []
+
+        def getValueState(self, *_):
+            self.values.append(Value())
+            return self.values[-1]
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Time:
+        def __init__(self, now):
+            self.now = now
+
+        def getCurrentProcessingTimeInMs(self):
+            return self.now
+
+    def update(new, old):
+        n = (old[0] if old else 0) + len(new)
+        return (n,) if new or n < 3 else None
+
+    handle, state = Handle(), StructType.fromDDL("n int")
+    p = _KeyState(1, state, StructType.fromDDL("k string, removed boolean, n int"), update)
+    p.init(handle)
+    sent = [list(p.handleInputRows(("a",), iter([pd.DataFrame({"v": [1, 2]})]), Time(10))),
+            list(p.handleExpiredTimer(("a",), Time(10), None)), list(p.handleExpiredTimer(("a",), Time(11), None)),
+            list(p.handleInputRows(("a",), iter([pd.DataFrame({"v": [1]})]), Time(12))),
+            list(p.handleExpiredTimer(("a",), Time(13), None)), list(p.handleExpiredTimer(("a",), Time(14), None))]
+    assert [[f.iloc[0].tolist()[1:] for f in s] for s in sent] == [[[False, 2]], [], [], [[False, 3]], [[True, None]], []]
+    assert sum(v.asked for v in handle.values) <= 2 * len(sent)
