@@ -123,3 +123,28 @@ def test_als_computes_its_ratings_once(spark, monkeypatch):
     monkeypatch.setattr(ml_plans, "materialize", lambda df, name="cut", *a: written.append((name, df.columns)) or materialize(df, name, *a))
     got = ml_plans.m17_als(spark, SF_SMALL).collect()
     assert ("numbered", ["user", "item", "rating"]) in written and all(r.finite for r in got)
+
+
+def test_a_vertex_is_in_few_partitions_of_a_graph(spark, monkeypatch):
+    """Power iteration gets its edges in a grid by both ends; a vertex was in all partitions."""
+    from pyspark.ml.clustering import PowerIterationClustering
+
+    from kiln.plans import ml_plans
+    seen, assign = [], PowerIterationClustering.assignClusters
+    monkeypatch.setattr(PowerIterationClustering, "assignClusters", lambda self, edges: seen.append(edges) or assign(self, edges))
+    monkeypatch.setattr(ml_plans, "CELL_EDGES", 400)
+    assert {r.kind: r.in_range for r in ml_plans.m16_pic_lda(spark, SF_SMALL).collect()} == {"pic": True, "lda": True}
+    cells = seen[0].rdd.glom().collect()
+    n = sum(map(len, cells))
+    side = round(len(cells) ** 0.5)
+    assert side * side == len(cells) and side >= 3 and max(map(len, cells)) < 3 * n / len(cells)
+    assert all(cell == sorted(cell, key=lambda e: (e.src, e.dst)) for cell in cells)
+    for end in ("src", "dst"):
+        of_vertex = {}
+        for i, cell in enumerate(cells):
+            for e in cell:
+                of_vertex.setdefault(e[end], set()).add(i)
+        assert max(map(len, of_vertex.values())) <= side
+    want = (table(spark, SF_SMALL, "lineitem").join(table(spark, SF_SMALL, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .agg(F.count_distinct("o_custkey", "l_partkey"), F.sum("l_quantity")).first())
+    assert (n, sum(e.weight for cell in cells for e in cell)) == (want[0], pytest.approx(want[1]))
