@@ -8,8 +8,9 @@ import io
 
 from pyspark.sql import functions as F
 
-from kiln.session import materialize
 from kiln.plans.registry import load_all
+from kiln.session import materialize
+from kiln.sources.tables import table
 
 from kiln_cases import SF_SMALL
 
@@ -113,3 +114,27 @@ def test_regression_rows_are_written_without_computed_copies(spark, monkeypatch)
     assert len(written) == 3 and not {*power_plans.INPUTS, power_plans.TARGET} & {c for columns in written for c in columns}
     bucket = rows.where("bucket = 3").orderBy("idx").toPandas()
     assert bucket["idx"].tolist() == list(range(len(bucket))) and (bucket["x1"] > 0).all()
+
+
+def test_many_parts_are_joined_without_sorting_the_rows(spark, monkeypatch):
+    """A side too large to send met the rows of lineitem in a sort of both, which spills."""
+    from kiln.operators import joins
+    from kiln.plans import power_plans
+    small = power_plans._regression_rows(table(spark, SF_SMALL, "lineitem"), table(spark, SF_SMALL, "part"), True)
+    plans = []
+
+    def seen(df, name="cut", *a):
+        plans.append((name, df._jdf.queryExecution().toString()))
+        return materialize(df, name, *a)
+
+    monkeypatch.setattr(power_plans, "materialize", seen)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = power_plans._regression_rows(table(spark, SF_SMALL, "lineitem"), table(spark, SF_SMALL, "part"), True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    plan = dict(plans)["regression"].split("== Physical Plan ==")[1]
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert large.exceptAll(small).count() == 0 and small.count() == large.count()
