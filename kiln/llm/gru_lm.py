@@ -56,6 +56,8 @@ PART_TOKENS, LEAST_TOKENS = 6_000_000, 500_000
 #: Tokens that a task holds side by side (in scoring: bytes of texts), and
 #: slices of the weight vector.
 GROUP_TOKENS, GROUP_BYTES, CHUNKS = 4_000_000, 12 << 20, 64
+#: Texts side by side in scoring, where the weights stay the same, so that this changes no result.
+SCORING_LANES = 512
 SMOOTHING = 0.1
 #: What sums of squared gradients begin with.
 FIRST_SQUARE = 1e-7
@@ -200,14 +202,25 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def gate_inputs(w: dict[str, np.ndarray]) -> np.ndarray:
+    """What each id as the previous token adds to the gates."""
+    return w["embed"] @ w["input"] + w["gates"]
+
+
 @np.errstate(over="ignore")                                 # 1 / infinity is the right limit
-def forward(w: dict[str, np.ndarray], previous: np.ndarray, keep: np.ndarray, h: np.ndarray, trace: bool = True):
-    """States of a window.  ``previous``: (steps, lanes) ids; ``keep``:
-    (steps, lanes) 0 where a text begins, else 1; ``h``: state before.  With
-    ``trace``, also what the gradients need."""
-    steps, size = len(previous), h.shape[1]
-    x = w["embed"][previous.ravel()]
-    gx = (x @ w["input"] + w["gates"]).reshape(steps, -1, 3 * size)
+def forward(w: dict[str, np.ndarray], previous: np.ndarray, keep: np.ndarray, h: np.ndarray, by_id: np.ndarray | None = None):
+    """States of a window, and what the gradients need.  ``previous``: (steps,
+    lanes) ids; ``keep``: (steps, lanes) 0 where a text begins, else 1; ``h``:
+    state before.  ``by_id``: ``gate_inputs`` of weights that stay the same;
+    then the states only."""
+    steps, size, trace = len(previous), h.shape[1], by_id is None
+    if trace:
+        x = w["embed"][previous.ravel()]
+        gx = x @ w["input"]
+        gx += w["gates"]
+    else:
+        x, gx = None, by_id.take(previous.ravel(), axis=0)
+    gx = gx.reshape(steps, -1, 3 * size)
     before, gates, own = (np.empty((steps if trace else 1, len(h), n), np.float32) for n in (size, 2 * size, size))
     fresh, states = (np.empty((steps, len(h), size), np.float32) for _ in range(2))
     gh = np.empty((len(h), 3 * size), np.float32)
@@ -227,18 +240,24 @@ def forward(w: dict[str, np.ndarray], previous: np.ndarray, keep: np.ndarray, h:
     return states, (x, before, gates, fresh, own)
 
 
-def _shares(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(exponentials, their sums) of rows of logits; rows with very large
+def _shares(states: np.ndarray, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials, their sums) of the states' logits; rows with very large
     logits are scaled down first."""
-    with np.errstate(over="ignore"):
-        e = np.exp(logits)
-    sums = e.sum(axis=1)
-    if not np.isfinite(sums).all() or sums.min(initial=1.0) < 1e-30:
-        e = np.exp(logits - logits.max(axis=1, keepdims=True))
-        sums = e.sum(axis=1)
+    def logits() -> np.ndarray:
+        z = states @ w.T
+        z += bias
+        return z
+
+    e, ones = logits(), np.ones(len(bias), bias.dtype)
+    sums = np.exp(e, out=e) @ ones                           # in place, and a product: sums of short rows are slow
+    if not (sums.min(initial=1.0) >= 1e-30 and sums.max(initial=1.0) < np.inf):
+        e = logits()
+        e -= e.max(axis=1, keepdims=True)
+        sums = np.exp(e, out=e) @ ones
     return e, sums
 
 
+@np.errstate(over="ignore")                                 # such rows are scaled down
 def outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: dict[str, np.ndarray] | None = None, scale: float = 0.0):
     """(log probability of each target, gradient of the states): the class,
     then the member of the class, whose rows are taken class by class.  With
@@ -248,7 +267,7 @@ def outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: dict[s
     order = np.argsort(cls, kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(int(cls.max(initial=-1)) + 2))
     states, member, cls = states[order], (targets - cls * size)[order], cls[order]
-    e, sums = _shares(states @ w["classes"].T + w["class_bias"])
+    e, sums = _shares(states, w["classes"], w["class_bias"])
     rows = np.arange(len(cls))
     share, back = e[rows, cls] / sums, None
 
@@ -265,7 +284,7 @@ def outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: dict[s
     for c in np.flatnonzero(np.diff(cuts)):
         at, block = slice(cuts[c], cuts[c + 1]), slice(c * size, (c + 1) * size)
         own = states[at]
-        e, sums = _shares(own @ w["members"][block].T + w["member_bias"][block])
+        e, sums = _shares(own, w["members"][block], w["member_bias"][block])
         share[at] *= e[rows[:len(own)], member[at]] / sums
         if grads is not None:
             d = wrong(e, sums, member[at])
@@ -292,9 +311,14 @@ def gradients(net: Network, previous: np.ndarray, targets: np.ndarray, keep: np.
     ds[at] = back
     ds = ds.reshape(states.shape)
     z, r = gates[:, :, :size], gates[:, :, size:]
-    to_fresh = (1 - z) * (1 - fresh * fresh)                 # slopes of the state by each input
-    to_z = (before - fresh) * z * (1 - z)
-    to_r = own * r * (1 - r)
+    rest, to_fresh, to_z = 1 - z, fresh * fresh, before - fresh          # slopes of the state by each input
+    np.subtract(1, to_fresh, out=to_fresh)
+    to_fresh *= rest
+    rest *= z
+    to_z *= rest
+    to_r = np.subtract(1, r, out=rest)
+    to_r *= r
+    to_r *= own
     d_in, d_state = (np.empty((len(states), len(h), 3 * size), np.float32) for _ in range(2))
     dh, back_state = np.zeros_like(h), np.ascontiguousarray(w["state"].T)
     for t in range(len(states) - 1, -1, -1):
@@ -385,14 +409,14 @@ def train(net: Network, ids: np.ndarray, offsets: np.ndarray, end: int, rng: np.
     return total
 
 
-def log_probabilities(net: Network, ids: np.ndarray, offsets: np.ndarray, end: int, lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
+def log_probabilities(net: Network, ids: np.ndarray, offsets: np.ndarray, end: int, lanes: int = SCORING_LANES, window: int = WINDOW) -> np.ndarray:
     """Natural log probability of each whole text."""
     sizes = np.diff(offsets)
     laid = Lanes.of(ids, offsets, lanes, np.argsort(-sizes, kind="stable"), end)
     logs = np.zeros(laid.targets.shape, np.float64)
-    h = np.zeros((len(laid.loads), net.weights["state"].shape[0]), np.float32)
+    h, by_id = np.zeros((len(laid.loads), net.weights["state"].shape[0]), np.float32), gate_inputs(net.weights)
     for t, previous, targets, keep, live in laid.windows(end, window):
-        states, _ = forward(net.weights, previous, keep, h[:previous.shape[1]], trace=False)
+        states, _ = forward(net.weights, previous, keep, h[:previous.shape[1]], by_id)
         h = states[-1]
         at = np.flatnonzero(live.ravel())
         values = np.zeros(live.size)

@@ -189,3 +189,19 @@ def test_a_long_token(spark):
     docs = documents(spark, [(1, "x" * 3_000_000, "en", "a"), (2, "x " * 30_000, "en", "a")])
     rows = {r.doc_id: r.n_tokens for r in gru_lm.score(docs, gru_lm.fit(docs, least_tokens=1)).collect()}
     assert rows == {1: 2, 2: 30_001}
+
+
+def test_scoring_takes_the_gates_by_id():
+    """Unchanged weights are multiplied once per id, not once per token; large logits are scaled down."""
+    rng = np.random.default_rng(3)
+    net = gru_lm.Network.new(np.array([50, 30, 20, 10, 5, 5, 2, 1]), 4, 3)
+    previous, keep, h = rng.integers(0, 8, (5, 6)), np.ones((5, 6), np.float32), rng.normal(size=(6, 4)).astype(np.float32)
+    plain, _ = gru_lm.forward(net.weights, previous, keep, h)
+    by_id, _ = gru_lm.forward(net.weights, previous, keep, h, gru_lm.gate_inputs(net.weights))
+    np.testing.assert_allclose(by_id, plain, rtol=0, atol=1e-6)
+    states = rng.normal(size=(9, 4)).astype(np.float32)
+    net.weights["classes"] *= np.float32(1e4)
+    z = states.astype(float) @ net.weights["classes"].T.astype(float) + net.weights["class_bias"]
+    e, sums = gru_lm._shares(states, net.weights["classes"], net.weights["class_bias"])
+    want = np.exp(z - z.max(axis=1, keepdims=True))
+    np.testing.assert_allclose(e / sums[:, None], want / want.sum(axis=1, keepdims=True), atol=1e-2)
