@@ -240,20 +240,24 @@ def forward(w: dict[str, np.ndarray], previous: np.ndarray, keep: np.ndarray, h:
     return states, (x, before, gates, fresh, own)
 
 
-def _shares(states: np.ndarray, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _shares(states: np.ndarray, w: np.ndarray, bias: np.ndarray, training: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(exponentials, their sums) of the states' logits; rows with very large
-    logits are scaled down first."""
+    logits are scaled down first.  Training, which would carry another rounding
+    on, adds in numpy's order; scoring by a product, as sums of short rows are slow."""
     def logits() -> np.ndarray:
         z = states @ w.T
         z += bias
         return z
 
-    e, ones = logits(), np.ones(len(bias), bias.dtype)
-    sums = np.exp(e, out=e) @ ones                           # in place, and a product: sums of short rows are slow
+    def sums_of(e: np.ndarray) -> np.ndarray:
+        return e.sum(axis=1) if training else e @ np.ones(len(bias), bias.dtype)
+
+    e = logits()
+    sums = sums_of(np.exp(e, out=e))
     if not (sums.min(initial=1.0) >= 1e-30 and sums.max(initial=1.0) < np.inf):
         e = logits()
         e -= e.max(axis=1, keepdims=True)
-        sums = np.exp(e, out=e) @ ones
+        sums = sums_of(np.exp(e, out=e))
     return e, sums
 
 
@@ -267,7 +271,7 @@ def outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: dict[s
     order = np.argsort(cls, kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(int(cls.max(initial=-1)) + 2))
     states, member, cls = states[order], (targets - cls * size)[order], cls[order]
-    e, sums = _shares(states, w["classes"], w["class_bias"])
+    e, sums = _shares(states, w["classes"], w["class_bias"], grads is not None)
     rows = np.arange(len(cls))
     share, back = e[rows, cls] / sums, None
 
@@ -284,7 +288,7 @@ def outputs(net: Network, states: np.ndarray, targets: np.ndarray, grads: dict[s
     for c in np.flatnonzero(np.diff(cuts)):
         at, block = slice(cuts[c], cuts[c + 1]), slice(c * size, (c + 1) * size)
         own = states[at]
-        e, sums = _shares(own, w["members"][block], w["member_bias"][block])
+        e, sums = _shares(own, w["members"][block], w["member_bias"][block], grads is not None)
         share[at] *= e[rows[:len(own)], member[at]] / sums
         if grads is not None:
             d = wrong(e, sums, member[at])
@@ -311,14 +315,12 @@ def gradients(net: Network, previous: np.ndarray, targets: np.ndarray, keep: np.
     ds[at] = back
     ds = ds.reshape(states.shape)
     z, r = gates[:, :, :size], gates[:, :, size:]
-    rest, to_fresh, to_z = 1 - z, fresh * fresh, before - fresh          # slopes of the state by each input
+    rest, to_fresh, to_z, to_r = 1 - z, fresh * fresh, before - fresh, own * r       # slopes of the state by each input
     np.subtract(1, to_fresh, out=to_fresh)
     to_fresh *= rest
-    rest *= z
+    to_z *= z
     to_z *= rest
-    to_r = np.subtract(1, r, out=rest)
-    to_r *= r
-    to_r *= own
+    to_r *= np.subtract(1, r, out=rest)
     d_in, d_state = (np.empty((len(states), len(h), 3 * size), np.float32) for _ in range(2))
     dh, back_state = np.zeros_like(h), np.ascontiguousarray(w["state"].T)
     for t in range(len(states) - 1, -1, -1):
