@@ -148,3 +148,18 @@ def test_a_vertex_is_in_few_partitions_of_a_graph(spark, monkeypatch):
     want = (table(spark, SF_SMALL, "lineitem").join(table(spark, SF_SMALL, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
             .agg(F.count_distinct("o_custkey", "l_partkey"), F.sum("l_quantity")).first())
     assert (n, sum(e.weight for cell in cells for e in cell)) == (want[0], pytest.approx(want[1]))
+
+
+def test_blocks_of_a_factorization_follow_the_ratings(spark, monkeypatch):
+    """Ten blocks a side hold a tenth of all ratings each, whatever their number."""
+    from pyspark.ml.recommendation import ALS
+
+    from kiln.plans import ml_plans
+    used, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, r: used.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or fit(self, r))
+    as_rows = [(r.feedback, r.n, r.finite, r.orders_preferences) for r in ml_plans.m17_als(spark, SF_SMALL).collect()]
+    assert used == [(10, 10)] * 2
+    n = as_rows[0][1]
+    monkeypatch.setattr(ml_plans, "ALS_BLOCK_RATINGS", n // 12)
+    assert [(r.feedback, r.n, r.finite, r.orders_preferences) for r in ml_plans.m17_als(spark, SF_SMALL).collect()] == as_rows
+    assert used[2:] == [(-(-n // (n // 12)),) * 2] * 2 and used[2][0] > 10
