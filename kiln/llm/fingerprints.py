@@ -41,6 +41,8 @@ WORDLESS = 0xFFFF
 #: ids a bucket, about: that sample, and the buckets' first ids for every task,
 #: are all that the driver holds.  The cuts affect only how even buckets are.
 CUT_SAMPLE = 20
+#: Buckets in all, instead of four a partition.
+BUCKETS = None
 NULL_ID = -(1 << 63)
 
 RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -82,7 +84,7 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     result = RESULT + ", class binary" * with_class
     named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = partitions_for(docs)
-    wanted = 4 * parts
+    wanted = BUCKETS or 4 * parts
     key = F.coalesce("doc_id", F.lit(NULL_ID))
     rows, most = named.agg(F.count("*"), F.max(key)).first()
     if not rows:
